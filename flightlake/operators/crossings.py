@@ -10,6 +10,7 @@ from flightlake.functions import measure
 from flightlake.operators.events import has_position, with_event_type, with_last_event
 from flightlake.operators.geo import TerritoryCells, containing, with_cells, with_territory
 from flightlake.plans.sequence import HOUR, with_neighbours
+from flightlake.session import cut_lineage
 
 # Fixed value: segments a route is cut into.
 ROUTE_SEGMENTS = 10
@@ -46,7 +47,8 @@ def territory_sessions(
     Positions are located first (row-local), then one pass over each aircraft
     in time chunks finds events and territory changes together. Only rows that
     can matter later go on: events, and positions whose territory differs from the
-    position before.
+    position before. They and the later stay borders are written to the shared
+    folder, so neither a lost executor nor a later step repeats the scan.
     """
     flying = ~F.col("on_ground") & has_position(exact=exact_zero)
     located = with_territory(
@@ -60,6 +62,7 @@ def territory_sessions(
     event = F.when(F.col("event_type").isNotNull(), F.struct(F.col(ts).alias("at"), F.col("event_type").alias("kind")))
     if aircraft is not None:
         marks = marks.join(aircraft.select("icao24"), "icao24", "left_semi")
+    marks = cut_lineage(marks)
     tracked = with_last_event(marks.withColumn("_event", event), order, "_event", width).drop("_event").filter(
         F.col("last_event").isNotNull()
     )
@@ -67,6 +70,7 @@ def territory_sessions(
     steps = tracked.filter(over | landing)
     near = with_neighbours(steps, ["icao24"], order, ["event_type", *_SAME], width, "before", "after").drop("after")
     borders = near.filter(landing | F.col("before.territory_id").isNull() | _differs("before")).drop("before")
+    borders = cut_lineage(borders)
     framed = with_neighbours(borders, ["icao24"], order, ["event_type", ts], width, "before", "after")
     first = F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED")
     landed = F.col("after.event_type").eqNullSafe("LANDED")

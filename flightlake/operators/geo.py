@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions import geometry as g
+from flightlake.session import cut_lineage
 
 _TERRITORY = ("level", "territory_id", "territory_name")
 
@@ -84,6 +85,11 @@ def build_cells(territories: DataFrame, size: float = 1.0) -> TerritoryCells:
     return TerritoryCells(entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries")), size)
 
 
+def stored(index: TerritoryCells) -> TerritoryCells:
+    """The index with its cell table written to the shared folder, for use by many queries."""
+    return TerritoryCells(cut_lineage(index.cells), index.size)
+
+
 def with_cells(points: DataFrame, index: TerritoryCells, lon: str, lat: str) -> DataFrame:
     """Points with the candidate territories of their cell; one row per point."""
     return points.withColumn("cell_x", _cell(F.col(lon), index.size)).withColumn("cell_y", _cell(F.col(lat), index.size)).join(

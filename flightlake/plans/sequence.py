@@ -21,6 +21,7 @@ HOUR = 3600
 DAY = 86400
 MONTH = 30 * DAY
 _CHUNK = "_chunk"
+_ROW = "_row"
 
 
 def chunk_of(ts: Column | str, width: int) -> Column:
@@ -45,19 +46,15 @@ def with_neighbours(
     near = Window.partitionBy(*key, _CHUNK).orderBy(*order)
     far = Window.partitionBy(*key).orderBy(*order)
     row = F.struct(*fields)
-    cut = (
-        df.withColumn(_CHUNK, chunk_of(order[0], width))
-        .withColumn(back, F.lag(row).over(near))
-        .withColumn(ahead, F.lead(row).over(near))
-        .drop(_CHUNK)
-    )
+    cut = df.withColumn(_CHUNK, chunk_of(order[0], width)).withColumn(_ROW, row)
+    cut = cut.select(*df.columns, _ROW, F.lag(_ROW).over(near).alias(back), F.lead(_ROW).over(near).alias(ahead))
     border = F.col(back).isNull() | F.col(ahead).isNull()
-    joined = (
-        cut.filter(border)
-        .withColumn(back, F.coalesce(F.col(back), F.lag(row).over(far)))
-        .withColumn(ahead, F.coalesce(F.col(ahead), F.lead(row).over(far)))
+    joined = cut.filter(border).select(
+        *df.columns,
+        F.coalesce(F.col(back), F.lag(_ROW).over(far)).alias(back),
+        F.coalesce(F.col(ahead), F.lead(_ROW).over(far)).alias(ahead),
     )
-    return cut.filter(~border).unionByName(joined)
+    return cut.filter(~border).drop(_ROW).unionByName(joined)
 
 
 def with_last_known(

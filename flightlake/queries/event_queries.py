@@ -79,8 +79,15 @@ _SESSIONS = {
 }
 
 
+_STORED: dict[tuple[str, str], geo.TerritoryCells] = {}
+
+
 def _index(spark, sf):
-    return geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL)
+    """Cell table of the boundaries, built once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        _STORED[key] = geo.stored(geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL))
+    return _STORED[key]
 
 
 # Events ------------------------------------------------------------------------------------

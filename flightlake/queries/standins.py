@@ -76,11 +76,11 @@ def aircraft(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def airports(spark: SparkSession, sf: str) -> DataFrame:
-    """Suppliers as airports; IATA codes repeat, some are missing."""
+    """Suppliers as airports; two share each IATA code, some have none."""
     k = F.col("s_suppkey")
     return table(spark, sf, "supplier").select(
         F.concat(F.lit("S"), k.cast("string")).alias("ident"),
-        F.when(k % 8 != 7, _iata(k, 60)).alias("airport_iata_code"),
+        F.when(k % 8 != 7, F.concat(F.lit("I"), F.floor(k / 2).cast("string"))).alias("airport_iata_code"),
         F.when(k % 6 != 5, F.concat(F.lit("K"), (k % 90).cast("string"))).alias("airport_icao_code"),
         F.col("s_name").alias("airport_name"),
         (k % 3 != 0).alias("is_commercial"),
@@ -163,7 +163,7 @@ VIEWS = {
                'T' || c_custkey % 17 AS icao_aircraft_type
         FROM customer WHERE c_custkey % 11 <> 5""",
     "airports": """
-        SELECT 'S' || s_suppkey AS ident, CASE WHEN s_suppkey % 8 <> 7 THEN 'I' || s_suppkey % 60 END AS airport_iata_code,
+        SELECT 'S' || s_suppkey AS ident, CASE WHEN s_suppkey % 8 <> 7 THEN 'I' || s_suppkey // 2 END AS airport_iata_code,
                CASE WHEN s_suppkey % 6 <> 5 THEN 'K' || s_suppkey % 90 END AS airport_icao_code,
                s_name AS airport_name, s_suppkey % 3 <> 0 AS is_commercial, 'N' || s_nationkey AS iso_country,
                CAST((s_suppkey * 47) % 360 - 180 AS DOUBLE) AS longitude_deg,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(app: str = "flightlake", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -51,12 +51,13 @@ def workdir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, spark: SparkSession):
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably in the shared folder and read it back.
 
     Used where a result feeds several later steps and recomputing it, after a
     lost executor or in a second action, would cost a full scan again.
     """
+    spark = df.sparkSession
     path = workdir(spark, "stage")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,0 +1,169 @@
+"""Keyed state of the live tracker: last position, last event and open stay per aircraft.
+
+Events and stays follow the batch operators ``detect_events`` and
+``territory_sessions``: the event rule is the same column expression, already applied to
+neighbours inside the micro-batch, and the state only supplies what came before it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from flightlake.functions import measure
+from flightlake.operators.events import has_position
+from flightlake.operators.geo import TerritoryCells, with_territory
+
+_STAY = "stay_type string, stay_id int, stay_name string, stay_country int, stay_role string, stay_call string, entered bigint, stay_event_at bigint, stay_event string"
+_STATE = f"at bigint, tie bigint, on_ground boolean, rate double, event_at bigint, event string, {_STAY}"
+_FIELDS = [f.split()[0] for f in _STATE.split(", ")]
+_PLACE = ("country_id", "territory_type", "territory_id", "territory_name")
+OUTPUT = T.StructType([
+    T.StructField("record", T.StringType()), T.StructField("icao24", T.StringType()), T.StructField("callsign", T.StringType()),
+    T.StructField("at", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()), T.StructField("altitude_ft", T.DoubleType()),
+    T.StructField("velocity_kmh", T.DoubleType()), T.StructField("heading_deg", T.DoubleType()),
+    T.StructField("vertical_rate_fpm", T.DoubleType()), T.StructField("on_ground", T.BooleanType()),
+    T.StructField("event_at", T.LongType()), T.StructField("territory_type", T.StringType()), T.StructField("territory_id", T.IntegerType()),
+    T.StructField("territory_name", T.StringType()), T.StructField("crossing_role", T.StringType()),
+    T.StructField("flight_status", T.StringType()), T.StructField("exited_at", T.LongType()),
+])
+_COLUMNS = OUTPUT.names
+_PING = ("latitude", "longitude", "altitude_ft", "velocity_kmh", "heading_deg", "vertical_rate_fpm")
+
+
+def _none(v):
+    return None if v is None or v != v else v
+
+
+def _event(before: dict, rate: float, altitude: float, ground: bool) -> str | None:
+    """The event rule of the batch expression, for one pair of positions."""
+    if before["on_ground"] is None:
+        return None
+    if ground or before["on_ground"]:
+        return None if ground == before["on_ground"] else ("LANDED" if ground else "DEPARTED")
+    if abs(rate) > measure.CLIMB_FPM:
+        return "CLIMBING" if rate > 0 else "DESCENDING"
+    levelled = altitude > measure.CRUISE_ALTITUDE_FT and abs(before["rate"] or 0.0) > measure.CLIMB_FPM
+    return "CRUISING" if levelled else None
+
+
+class Tracker(StatefulProcessor):
+    """Emits ``EVENT`` rows, ``CROSSING`` rows when a stay ends, and a snapshot of a stay still open.
+
+    A position not newer than the last one seen of its aircraft is late and ignored.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("tracker", _STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = self._state.get() if self._state.exists() else None
+        now = dict(zip(_FIELDS, held)) if held is not None else dict.fromkeys(_FIELDS)
+        # One aircraft's positions of one micro-batch; the trigger bounds their number.
+        batch = pd.concat(list(rows)).sort_values(["at", "tie"])
+        out: list[dict] = []
+        for p in batch.to_dict("records"):
+            if now["at"] is not None and (p["at"], p["tie"]) <= (now["at"], now["tie"]):
+                continue
+            self._step(key[0], now, p, out)
+        if now["entered"] is not None and out:
+            out.append(self._crossing(key[0], now, None, "IN_PROGRESS"))
+        self._state.update(tuple(now[f] for f in _FIELDS))
+        if out:
+            yield pd.DataFrame(out, columns=_COLUMNS).astype(object)
+
+    def _step(self, icao24: str, now: dict, p: dict, out: list[dict]) -> None:
+        rate, ground = _none(p["vertical_rate_fpm"]), bool(p["on_ground"])
+        event = _event(now, rate or 0.0, _none(p["altitude_ft"]) or 0.0, ground)
+        if event:
+            out.append({
+                "record": "EVENT", "icao24": icao24, "callsign": _none(p["callsign"]), "at": p["at"], "tie": p["tie"],
+                "event_type": event, "on_ground": ground, **{c: _none(p[c]) for c in _PING},
+            })
+            if p["accepted"]:
+                now["event_at"], now["event"] = p["at"], event
+        if event == "LANDED" and now["entered"] is not None:
+            out.append(self._crossing(icao24, now, p["at"], "COMPLETED"))
+            now["entered"] = None
+        place = _none(p["territory_id"])
+        if place is not None and now["event_at"] is not None:
+            here = (int(p["country_id"]), p["territory_type"], int(place))
+            if now["entered"] is None or here != (now["stay_country"], now["stay_type"], now["stay_id"]):
+                fresh = now["entered"] is None
+                if not fresh:
+                    out.append(self._crossing(icao24, now, p["at"], "IN_PROGRESS"))
+                now.update(
+                    stay_country=here[0], stay_type=here[1], stay_id=here[2], stay_name=p["territory_name"],
+                    stay_role="START" if fresh else "ROUTE", stay_call=_none(p["callsign"]), entered=p["at"],
+                    stay_event_at=now["event_at"], stay_event=now["event"],
+                )
+        now.update(at=p["at"], tie=p["tie"], on_ground=ground, rate=rate)
+
+    @staticmethod
+    def _crossing(icao24: str, now: dict, exited: int | None, status: str) -> dict:
+        return {
+            "record": "CROSSING", "icao24": icao24, "callsign": now["stay_call"], "at": now["entered"],
+            "event_type": now["stay_event"], "event_at": now["stay_event_at"], "territory_type": now["stay_type"],
+            "territory_id": now["stay_id"], "territory_name": now["stay_name"], "crossing_role": now["stay_role"],
+            "flight_status": status, "exited_at": exited,
+        }
+
+
+def track(pings: DataFrame, index: TerritoryCells, aircraft: DataFrame | None = None, tie: str | None = None) -> DataFrame:
+    """Stream of positions to the stream of tracker records.
+
+    Positions are located before the state, so the only shuffle is the one by aircraft.
+    ``aircraft`` limits accepted events to known aircraft.
+    """
+    spark = pings.sparkSession
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    )
+    flying = ~F.col("on_ground") & has_position()
+    located = with_territory(
+        pings.withColumn("_x", F.when(flying, F.col("longitude"))).withColumn("_y", F.when(flying, F.col("latitude"))), index, "_x", "_y"
+    )
+    if aircraft is None:
+        marked = located.withColumn("accepted", F.lit(True))
+    else:
+        marked = located.join(aircraft.select("icao24", F.lit(True).alias("_known")), "icao24", "left").withColumn(
+            "accepted", F.coalesce("_known", F.lit(False))
+        )
+    shaped = marked.select(
+        "icao24", "callsign", *[F.col(c).cast("double").alias(c) for c in _PING], "on_ground", "accepted",
+        F.unix_micros("timestamp").alias("at"), (F.col(tie) if tie else F.lit(0)).cast("bigint").alias("tie"), *_PLACE,
+    )
+    return shaped.groupBy("icao24").transformWithStateInPandas(
+        statefulProcessor=Tracker(), outputStructType=OUTPUT, outputMode="Append", timeMode="None"
+    )
+
+
+def event_records(records: DataFrame) -> DataFrame:
+    """Events among the tracker records."""
+    return records.filter(F.col("record") == "EVENT").select(
+        "tie", "icao24", "callsign", "event_type", F.timestamp_micros("at").alias("timestamp"), *_PING, "on_ground"
+    )
+
+
+def crossing_records(records: DataFrame) -> DataFrame:
+    """Stays among the tracker records, each in its final form so far: closed wins over open."""
+    key = ["icao24", "entered_at", "territory_id", "territory_type"]
+    rows = records.filter(F.col("record") == "CROSSING").select(
+        "icao24", "callsign", F.timestamp_micros("event_at").alias("event_timestamp"), "event_type", "territory_type", "territory_id",
+        "territory_name", "crossing_role", "flight_status", F.timestamp_micros("at").alias("entered_at"),
+        F.timestamp_micros("exited_at").alias("exited_at"),
+    )
+    rest = [c for c in rows.columns if c not in key]
+    best = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.when(F.col("exited_at").isNull(), 0).otherwise(1)).alias("r"))
+    return best.select(*key, "r.*").select(
+        *rows.columns, F.to_date("entered_at").alias("entered_date"), F.to_date("exited_at").alias("exited_date"),
+        measure.stay_minutes("entered_at", "exited_at").alias("duration_minutes"),
+    )
+
+
