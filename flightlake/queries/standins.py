@@ -62,9 +62,9 @@ def pings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def aircraft(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers as aircraft; every eleventh is unknown, some have no airline."""
+    """Customers with some credit as aircraft, the rest are unknown; some have no airline."""
     k = F.col("c_custkey")
-    return table(spark, sf, "customer").filter(k % 11 != 5).select(
+    return table(spark, sf, "customer").filter(F.col("c_acctbal") >= 500).select(
         k.cast("string").alias("icao24"),
         F.when(k % 13 != 0, F.col("c_mktsegment")).alias("airline_name"),
         F.when(k % 9 != 0, F.concat(F.substring("c_mktsegment", 1, 1), (k % 3).cast("string"))).alias("airline_iata"),
@@ -130,6 +130,17 @@ def crossings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def flight_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Flight records of the provider; some ends are unknown."""
+    n = F.col("event_id")
+    code = lambda k: F.concat(F.lit("K"), F.pmod(n * k, F.lit(100)).cast("string"))
+    return table(spark, sf, "events").filter(F.col("event_type") != "view").select(
+        F.col("user_id").cast("string").alias("icao24"),
+        F.when(n % 5 != 0, code(3)).alias("estDepartureAirport"), F.when(n % 7 != 0, code(5)).alias("estArrivalAirport"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("lastSeen"),
+    )
+
+
 # The same views for the checker.
 VIEWS = {
     "flight_events": """
@@ -161,7 +172,7 @@ VIEWS = {
                DATE '1990-01-01' + CAST((c_custkey * 37) % 9000 AS INTEGER) AS first_flight_date,
                CASE WHEN c_custkey % 4 = 0 THEN 'HEAVY' ELSE 'MEDIUM' END AS weight_category,
                'T' || c_custkey % 17 AS icao_aircraft_type
-        FROM customer WHERE c_custkey % 11 <> 5""",
+        FROM customer WHERE c_acctbal >= 500""",
     "airports": """
         SELECT 'S' || s_suppkey AS ident, CASE WHEN s_suppkey % 8 <> 7 THEN 'I' || s_suppkey // 2 END AS airport_iata_code,
                CASE WHEN s_suppkey % 6 <> 5 THEN 'K' || s_suppkey % 90 END AS airport_icao_code,
@@ -172,6 +183,13 @@ VIEWS = {
     "boxes": """
         SELECT n_nationkey AS id, n_name AS name, -180 + 72 * (n_nationkey % 5) AS x0, -90 + 36 * (n_nationkey // 5) AS y0
         FROM nation""",
+    "records": """
+        SELECT CAST(user_id AS VARCHAR) AS icao24, CASE WHEN event_id % 5 <> 0 THEN 'K' || (event_id * 3) % 100 END AS dep,
+               CASE WHEN event_id % 7 <> 0 THEN 'K' || (event_id * 5) % 100 END AS arr, epoch_us(ts) AS last_seen
+        FROM events WHERE event_type <> 'view'""",
+    "codes": """
+        SELECT airport_icao_code AS icao, max_by(airport_iata_code, ident) AS iata FROM airports
+        WHERE airport_icao_code IS NOT NULL AND airport_iata_code IS NOT NULL GROUP BY 1""",
     "crossings": """
         SELECT event_id AS crossing_id, event_id AS flight_event_id, icao24, callsign,
                CASE WHEN event_id % 3 <> 0 THEN 'COUNTRY' ELSE 'STATE' END AS territory_type,
@@ -184,7 +202,7 @@ VIEWS = {
                CASE WHEN event_id % 11 <> 0 THEN CAST(altitude_ft / 250 - 5 AS DECIMAL(8,2)) END AS duration_minutes, source
         FROM hist_events""",
 }
-_NEEDS = {"hist_events": ["flight_events"], "pings": ["flight_events"], "crossings": ["hist_events"]}
+_NEEDS = {"codes": ["airports"], "hist_events": ["flight_events"], "pings": ["flight_events"], "crossings": ["hist_events"]}
 
 
 def with_views(sql: str, *names: str, **extra: str) -> str:
