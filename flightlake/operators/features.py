@@ -10,8 +10,8 @@ from flightlake.functions import measure
 from flightlake.operators.marts import is_international
 
 NEAR_KM = 50.0
-# One degree of latitude is about 111 km: cells of this width hold the disc within one ring.
-_KM_PER_DEGREE = 111.0
+# Slightly less than the length of a degree of latitude, so that cells are never too narrow.
+_KM_PER_DEGREE = 110.0
 
 
 def _one_airport_per_code(airports: DataFrame) -> DataFrame:
@@ -51,20 +51,18 @@ def congestion(departures: DataFrame, pings: DataFrame, airports: DataFrame, pol
     airports near them; positions are never paired with each other, and the count per (poll,
     airport) is folded before it meets the departures.
     """
-    size = max(near_km / _KM_PER_DEGREE * 2, 0.5)
+    # The earth's girth is cut into whole columns, each at least as wide as the disc's radius at the equator.
+    columns = max(int(360 * _KM_PER_DEGREE / max(near_km, 1.0)), 1)
+    size = 360 / columns
     cell = lambda c: F.floor(c / F.lit(size)).cast("int")
     spots = _one_airport_per_code(airports).select("airport_iata_code", "lon", "lat")
-    # Longitude shrinks towards the poles: widen the ring in x by 1/cos(lat), at most the whole row.
-    half_row = int(180 / size) + 1
-    reach = F.least(F.lit(half_row), F.ceil(F.lit(near_km / _KM_PER_DEGREE / size) / F.greatest(F.cos(F.radians(F.least(F.abs("lat") + 1, F.lit(90.0)))), F.lit(1e-6))))
-    columns = int(round(360 / size)) if abs(round(360 / size) - 360 / size) < 1e-9 else None
-    if columns is None:
-        size = 360 / int(360 / size)
-        columns = int(round(360 / size))
+    # A degree of longitude shrinks with the cosine of the latitude: reach farther in x, at most all the way round.
+    top = F.least(F.abs("lat") + near_km / _KM_PER_DEGREE + 0.01, F.lit(90.0))
+    reach = F.least(F.lit(float(columns)), F.ceil(F.lit(1.0) / F.greatest(F.cos(F.radians(top)), F.lit(1e-9)))).cast("int") + 1
     wrap = lambda c: F.pmod(c, F.lit(columns))
     grid = (
-        spots.withColumn("_dx", F.explode(F.sequence(-reach.cast("int") - 1, reach.cast("int") + 1)))
-        .withColumn("_dy", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+        spots.withColumn("_dx", F.explode(F.sequence(-reach, reach)))
+        .withColumn("_dy", F.explode(F.sequence(F.lit(-2), F.lit(2))))
         .select(wrap(cell(F.col("lon")) + F.col("_dx")).alias("_cx"), (cell(F.col("lat")) + F.col("_dy")).alias("_cy"), F.struct("airport_iata_code", "lon", "lat").alias("a"))
         .groupBy("_cx", "_cy").agg(F.collect_set("a").alias("_near"))
     )

@@ -83,3 +83,135 @@ def top_routes(spark, sf):
         mart.orderBy(F.desc("total_flights"), "route_label", "origin_country", "destination_country")
         .limit(20).select("route_label", "total_flights", "primary_airline", "avg_duration_min")
     )
+
+
+_TERRITORY = "territory_type territory_id territory_name"
+_TERRITORY_JOINED = """
+    SELECT c.territory_type, c.territory_id, c.territory_name, c.crossing_role, c.entered_date, c.duration_minutes, c.icao24,
+           year(c.entered_date) AS yr, a.airline_iata, a.airline_name, a.country_iso2
+    FROM crossings c LEFT JOIN aircraft a ON a.icao24 = c.icao24 WHERE c.duration_minutes > 0"""
+
+
+def _territory_ctes(joined: str) -> dict[str, str]:
+    group = ", ".join(_TERRITORY.split())
+    return {
+        "joined": joined,
+        "m1": _mode("country_iso2", _TERRITORY, "joined"),
+        "m2": _mode("airline_name", _TERRITORY, "joined"),
+        "agg": f"""
+            SELECT {group}, count(*) AS total_crossings, count(DISTINCT icao24) AS unique_aircraft,
+                   count(DISTINCT airline_iata) AS unique_airlines, {_YEARS.format(what='crossings')}
+                   {s.half_up('CAST(sum(duration_minutes) * 100 AS HUGEINT)', 'count(*) * 100', 1)} AS avg_duration_min,
+                   CAST(round(sum(duration_minutes), 1) AS DOUBLE) AS total_duration_min,
+                   CAST(round(max(duration_minutes), 1) AS DOUBLE) AS max_duration_min,
+                   count(*) FILTER (WHERE crossing_role = 'START') AS start_crossings,
+                   count(*) FILTER (WHERE crossing_role = 'ROUTE') AS route_crossings,
+                   count(*) FILTER (WHERE crossing_role = 'END') AS end_crossings,
+                   CAST(min(entered_date) AS VARCHAR) AS first_crossing_date, CAST(max(entered_date) AS VARCHAR) AS last_crossing_date
+            FROM joined GROUP BY {group}""",
+        "mart": f"""
+            SELECT agg.*, m1.v AS top_aircraft_country, m2.v AS top_airline,
+                   rank() OVER (PARTITION BY agg.territory_type ORDER BY total_crossings DESC) AS rank_within_type
+            FROM agg LEFT JOIN m1 ON {_join_on(_TERRITORY, 'agg', 'm1')} LEFT JOIN m2 ON {_join_on(_TERRITORY, 'agg', 'm2')}""",
+    }
+
+
+_TERRITORY_CTES = _territory_ctes(_TERRITORY_JOINED)
+
+
+@query("territory_mart", s.with_views("SELECT * FROM mart", "crossings", "aircraft", **_TERRITORY_CTES))
+def territory_mart(spark, sf):
+    return marts.territory_mart(s.crossings(spark, sf), s.aircraft(spark, sf))
+
+
+@query("top_territories", s.with_views(
+    "SELECT territory_name, total_crossings, unique_aircraft FROM mart WHERE territory_type = 'COUNTRY' "
+    "ORDER BY total_crossings DESC, territory_name LIMIT 10", "crossings", "aircraft", **_TERRITORY_CTES))
+def top_territories(spark, sf):
+    return marts.top_territories(marts.territory_mart(s.crossings(spark, sf), s.aircraft(spark, sf)))
+
+
+@query("yearly_trend", s.with_views(
+    "SELECT year(event_date) AS year, count(*) AS total_flights, count(DISTINCT icao24) AS unique_aircraft FROM hist_events GROUP BY 1",
+    "hist_events"))
+def yearly_trend(spark, sf):
+    return marts.yearly_trend(s.hist_events(spark, sf))
+
+
+# The marts over the largest tables: order lines as flights -----------------------------------
+
+_SCALE_YEARS = (1996, 1997, 1998, 1999)
+_SHIPPED = """
+    SELECT 'N' || s.s_nationkey AS origin_iata, 'N' || c.c_nationkey AS destination_iata, CAST(o.o_custkey AS VARCHAR) AS icao24,
+           o.o_orderdate AS departed_at, l.l_shipdate AS landed_at
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+    JOIN supplier s ON s.s_suppkey = l.l_suppkey"""
+
+
+def shipments(spark, sf):
+    """Order lines as flights from the supplier's nation to the customer's, flown by the customer."""
+    line = s.table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
+    order = s.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    buyer = s.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    seller = s.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nation = lambda c: F.concat(F.lit("N"), F.col(c).cast("string"))
+    return line.join(order, "l_orderkey").join(buyer, "o_custkey").join(seller, "l_suppkey").select(
+        nation("s_nationkey").alias("origin_iata"), nation("c_nationkey").alias("destination_iata"),
+        F.col("o_custkey").cast("string").alias("icao24"),
+        F.col("o_orderdate").cast("timestamp").alias("departed_at"), F.col("l_shipdate").cast("timestamp").alias("landed_at"),
+    )
+
+
+_SCALE_EVENTS = """
+    SELECT icao24, 'DEPARTED' AS event_type, departed_at AS event_timestamp, CAST(departed_at AS DATE) AS event_date, origin_iata, destination_iata FROM shipped
+    UNION ALL SELECT icao24, 'LANDED', landed_at, CAST(landed_at AS DATE), origin_iata, destination_iata FROM shipped"""
+_SCALE_AIRPORTS = "SELECT 'N' || n_nationkey AS airport_iata_code, 'R' || n_regionkey AS iso_country FROM nation"
+_SCALE_JOINED = """
+    SELECT d.origin_iata, d.destination_iata, o.iso_country AS origin_country, t.iso_country AS destination_country,
+           a.airline_name, a.airline_iata, d.event_date, year(d.event_date) AS yr, epoch_us(l.event_timestamp) - epoch_us(d.event_timestamp) AS us
+    FROM flown d LEFT JOIN aircraft a ON a.icao24 = d.icao24
+    LEFT JOIN flown l ON l.icao24 = d.icao24 AND l.event_type = 'LANDED' AND l.event_date = d.event_date
+    LEFT JOIN ports o ON o.airport_iata_code = d.origin_iata LEFT JOIN ports t ON t.airport_iata_code = d.destination_iata
+    WHERE d.event_type = 'DEPARTED'"""
+_SCALE_CTES = {"shipped": _SHIPPED, "flown": _SCALE_EVENTS, "ports": _SCALE_AIRPORTS}
+_SCALE_YEAR_SQL = "".join(f"count(*) FILTER (WHERE yr = {y}) AS flights_{y}, " for y in _SCALE_YEARS)
+_SCALE_ROUTE = {
+    **_SCALE_CTES,
+    **{k: v.replace(_YEARS.format(what="flights"), _SCALE_YEAR_SQL) for k, v in _route_sql(_SCALE_JOINED, "").items()},
+}
+
+
+@query("route_mart_scale", s.with_views("SELECT * FROM mart", "aircraft", **_SCALE_ROUTE))
+def route_mart_scale(spark, sf):
+    ends = F.explode(F.array(
+        F.struct(F.lit("DEPARTED").alias("event_type"), F.col("departed_at").alias("event_timestamp")),
+        F.struct(F.lit("LANDED").alias("event_type"), F.col("landed_at").alias("event_timestamp")),
+    ))
+    flown = shipments(spark, sf).select("icao24", "origin_iata", "destination_iata", ends.alias("e")).select(
+        "icao24", "origin_iata", "destination_iata", "e.*", F.to_date("e.event_timestamp").alias("event_date"), F.lit("x").alias("source"))
+    ports = s.table(spark, sf, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("airport_iata_code"),
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("iso_country"))
+    return marts.route_mart(flown, s.aircraft(spark, sf), ports, landed_source="x", years=_SCALE_YEARS)
+
+
+_SCALE_STAYS = """
+    SELECT 'COUNTRY' AS territory_type, CAST(substr(destination_iata, 2) AS INTEGER) AS territory_id, destination_iata AS territory_name,
+           CASE WHEN origin_iata = destination_iata THEN 'START' ELSE 'ROUTE' END AS crossing_role, CAST(departed_at AS DATE) AS entered_date,
+           CAST(date_diff('day', departed_at, landed_at) + 0.25 AS DECIMAL(8,2)) AS duration_minutes, icao24,
+           year(departed_at) AS yr, a.airline_iata, a.airline_name, a.country_iso2
+    FROM shipped LEFT JOIN aircraft a USING (icao24) WHERE date_diff('day', departed_at, landed_at) + 0.25 > 0"""
+_SCALE_TERRITORY = {
+    "shipped": _SHIPPED,
+    **{k: v.replace(_YEARS.format(what="crossings"), _SCALE_YEAR_SQL.replace("flights_", "crossings_")) for k, v in _territory_ctes(_SCALE_STAYS).items()},
+}
+
+
+@query("territory_mart_scale", s.with_views("SELECT * FROM mart", "aircraft", **_SCALE_TERRITORY))
+def territory_mart_scale(spark, sf):
+    d = F.col("destination_iata")
+    stays = shipments(spark, sf).select(
+        F.lit("COUNTRY").alias("territory_type"), F.substring(d, 2, 9).cast("int").alias("territory_id"), d.alias("territory_name"),
+        F.when(F.col("origin_iata") == d, "START").otherwise("ROUTE").alias("crossing_role"), F.to_date("departed_at").alias("entered_date"),
+        (F.date_diff("landed_at", "departed_at") + F.lit(0.25)).cast("decimal(8,2)").alias("duration_minutes"), "icao24")
+    return marts.territory_mart(stays, s.aircraft(spark, sf), years=_SCALE_YEARS)

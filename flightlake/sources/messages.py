@@ -13,7 +13,8 @@ TOPIC = "flight_events"
 
 def to_messages(events: DataFrame, time: str = "event_timestamp") -> DataFrame:
     """Events as ``key`` (aircraft id) and ``value`` (JSON). One key's messages keep their order in its partition."""
-    body = [measure.iso_text(time).alias("event_timestamp") if f.name == "event_timestamp" else F.col(f.name).cast(f.dataType) for f in schema.MESSAGE]
+    value = lambda f: measure.iso_text(time) if f.name == "event_timestamp" else F.col(f.name).cast(f.dataType)
+    body = [value(f).alias(f.name) for f in schema.MESSAGE]
     return events.select(F.col("icao24").cast("string").alias("key"), F.to_json(F.struct(*body), {"ignoreNullFields": "false"}).alias("value"))
 
 
