@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.functions import clean, measure
-from flightlake.operators.geo import with_nearest_airport
-from flightlake.plans.sequence import HOUR, MONTH, with_last_known, with_neighbours
+from flightlake.operators.geo import AirportGrids, with_nearest_airport
+from flightlake.plans.sequence import DAY, HOUR, with_last_known, with_neighbours
 
 _MEASURES = ("callsign", "latitude", "longitude", "altitude_ft", "velocity_kmh", "heading_deg", "vertical_rate_fpm", "on_ground")
 
@@ -66,14 +66,14 @@ def has_position(lat: str = "latitude", lon: str = "longitude", exact: bool = Fa
     return known & (F.col(lat) != 0) & (F.col(lon) != 0) if exact else known
 
 
-def with_origin(events: DataFrame, airports: DataFrame) -> DataFrame:
+def with_origin(events: DataFrame, grids: AirportGrids) -> DataFrame:
     """Departures get the nearest commercial airport as origin; the rest keep NULL."""
     departed = F.col("event_type") == "DEPARTED"
     located = (
         events.withColumn("_x", F.when(departed & has_position(), F.col("longitude")))
         .withColumn("_y", F.when(departed & has_position(), F.col("latitude")))
     )
-    return with_nearest_airport(located, airports, "origin_iata", "_x", "_y").drop("_x", "_y")
+    return with_nearest_airport(located, grids, "origin_iata", "_x", "_y").drop("_x", "_y")
 
 
 def event_rows(events: DataFrame, run_ts: Column, source: str = schema.LIVE_SOURCE) -> DataFrame:
@@ -153,7 +153,7 @@ def flights_to_events(flights: DataFrame, airports: DataFrame, run_ts: Column, e
     return full.select(*[F.col(f.name).try_cast(f.dataType) for f in schema.HIST_EVENT])
 
 
-def pair_next_landing(events: DataFrame, order: tuple[str, ...] = ("event_timestamp",), same_day: bool = False, width: int = MONTH) -> DataFrame:
+def pair_next_landing(events: DataFrame, order: tuple[str, ...] = ("event_timestamp",), same_day: bool = False, width: int = DAY) -> DataFrame:
     """Each departure with the next landing of the same aircraft and source, if one comes before its next departure.
 
     Linear in the events, unlike pairing every departure of a day with every
@@ -193,7 +193,7 @@ def count_flights(events: DataFrame, source: str = schema.HISTORY_SOURCE, year:
     return per_day.agg(F.coalesce(F.sum(F.col("d") * F.col("l")), F.lit(0)).alias("flights"))
 
 
-def departed_never_landed(events: DataFrame, order: tuple[str, ...] = ("event_timestamp",), width: int = MONTH) -> DataFrame:
+def departed_never_landed(events: DataFrame, order: tuple[str, ...] = ("event_timestamp",), width: int = DAY) -> DataFrame:
     """Departures that no landing follows before the next departure, or at all."""
     ends = events.filter(F.col("event_type").isin("DEPARTED", "LANDED"))
     linked = with_neighbours(ends, ["icao24"], order, ["event_type"], width, "before", "after")

@@ -6,30 +6,47 @@ point in that cell. All candidates of a cell sit in one row, so locating points
 is one equi-join that keeps exactly one row per point, with the polygon test
 evaluated on that row: points are neither multiplied nor regrouped.
 
-The cell tables grow with the reference data, not with the points. They carry
-no broadcast hint: Spark broadcasts them when their measured size allows and
-otherwise joins by shuffle, where adaptive execution splits hot cells.
+The cell tables grow with the reference data, not with the points. ``stored``
+writes one and measures it; only a measured, small one is broadcast, any other
+joins by shuffle with hot cells split (``plans.lookup``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.functions import geometry as g
-from flightlake.session import cut_lineage
+from flightlake.plans.lookup import join_lookup
+from flightlake.session import cut_lineage_sized
 
 _TERRITORY = ("level", "territory_id", "territory_name")
 
 
 @dataclass(frozen=True)
 class TerritoryCells:
-    """Cell table and the cell width in degrees it was built for."""
+    """Cell table, the cell width in degrees it was built for, and its stored size if measured."""
 
     cells: DataFrame
     size: float
+    stored_bytes: int | None = None
+
+
+@dataclass(frozen=True)
+class AirportGrids:
+    """Airports per cell of every grid ``steps`` wide, and the stored size if measured."""
+
+    cells: DataFrame
+    steps: tuple[float, ...]
+    stored_bytes: int | None = None
+
+
+def stored(index):
+    """The index with its cell table written to the shared folder and measured, for use by many queries."""
+    cells, size = cut_lineage_sized(index.cells)
+    return replace(index, cells=cells, stored_bytes=size)
 
 
 def boundary_edges(boundaries: DataFrame, wkt: str = "wkt") -> DataFrame:
@@ -85,16 +102,10 @@ def build_cells(territories: DataFrame, size: float = 1.0) -> TerritoryCells:
     return TerritoryCells(entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries")), size)
 
 
-def stored(index: TerritoryCells) -> TerritoryCells:
-    """The index with its cell table written to the shared folder, for use by many queries."""
-    return TerritoryCells(cut_lineage(index.cells), index.size)
-
-
 def with_cells(points: DataFrame, index: TerritoryCells, lon: str, lat: str) -> DataFrame:
     """Points with the candidate territories of their cell; one row per point."""
-    return points.withColumn("cell_x", _cell(F.col(lon), index.size)).withColumn("cell_y", _cell(F.col(lat), index.size)).join(
-        index.cells, ["cell_x", "cell_y"], "left"
-    )
+    placed = points.withColumn("cell_x", _cell(F.col(lon), index.size)).withColumn("cell_y", _cell(F.col(lat), index.size))
+    return join_lookup(placed, index.cells, ["cell_x", "cell_y"], index.stored_bytes, [F.col(lon), F.col(lat)])
 
 
 def containing(entries: Column, level: str, lon: Column, lat: Column) -> Column:
@@ -156,42 +167,46 @@ def near_territories(points: DataFrame, territories: DataFrame, radius: float, l
 _NEAREST_STEPS = (1.0, 4.0, 16.0, 64.0, 512.0)
 
 
+def build_airport_grids(airports: DataFrame, steps: tuple[float, ...] = _NEAREST_STEPS) -> AirportGrids:
+    """Commercial airports with an IATA code, entered into their own and the eight neighbouring cells of every grid."""
+    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    spots = airports.filter(F.col("airport_iata_code").isNotNull() & F.col("is_commercial")).select(
+        F.struct(
+            F.col("longitude_deg").cast("double").alias("x"), F.col("latitude_deg").cast("double").alias("y"),
+            F.col("ident"), F.col("airport_iata_code").alias("code"),
+        ).alias("a"),
+        F.posexplode(F.array(*[F.lit(w) for w in steps])).alias("grid", "_width"),
+    )
+    cell = lambda axis: F.floor(F.col(f"a.{axis}") / F.col("_width")).cast("int")
+    entered = spots.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
+    grouped = entered.groupBy("grid", (cell("x") + F.col("_dx")).alias("cell_x"), (cell("y") + F.col("_dy")).alias("cell_y"))
+    return AirportGrids(grouped.agg(F.collect_list("a").alias("near")), steps)
+
+
 def with_nearest_airport(
-    points: DataFrame, airports: DataFrame, out: str = "origin_iata",
-    lon: str = "longitude", lat: str = "latitude", steps: tuple[float, ...] = _NEAREST_STEPS,
+    points: DataFrame, grids: AirportGrids, out: str = "origin_iata", lon: str = "longitude", lat: str = "latitude"
 ) -> DataFrame:
     """Code of the commercial airport with an IATA code nearest in planar degrees.
 
-    Each airport is entered into its own and the eight neighbouring cells of
-    every grid. A candidate closer than one cell width is certainly the
-    nearest, since anything farther out is at least that far away. Points
-    not settled on one grid go on to the next, wider one; the last grid holds every
-    airport, so the answer is exact. Ties go to the smallest ``ident``.
-    Each grid is one equi-join with one row per cell; NULL coordinates give NULL.
+    The grids are tried from fine to wide. A candidate closer than one cell width is certainly the
+    nearest, since anything outside the nine cells is at least that far away. Points not settled
+    on one grid go on to the next; the last grid holds every airport, so the answer
+    is exact. Ties go to the smallest ``ident``; NULL coordinates give NULL.
     """
-    usable = airports.filter(F.col("airport_iata_code").isNotNull() & F.col("is_commercial")).select(
-        F.col("longitude_deg").cast("double").alias("ax"), F.col("latitude_deg").cast("double").alias("ay"),
-        "ident", "airport_iata_code",
-    )
     x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
     found = points.withColumn("_best", F.lit(None).cast("struct<d:double,ident:string,code:string>"))
-    for width in steps:
-        around = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        grid = (
-            usable.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
-            .groupBy((_cell(F.col("ax"), width) + F.col("_dx")).alias("_cx"), (_cell(F.col("ay"), width) + F.col("_dy")).alias("_cy"))
-            .agg(F.collect_list(F.struct("ax", "ay", "ident", "airport_iata_code")).alias("_near"))
-        )
+    for number, width in enumerate(grids.steps):
+        cells = grids.cells.filter(F.col("grid") == number).select("cell_x", "cell_y", "near")
         open_ = F.col("_best").isNull()
-        ranked = F.array_min(F.transform("_near", lambda a: F.struct(
-            g.planar_distance(x, y, a["ax"], a["ay"]).alias("d"), a["ident"].alias("ident"), a["airport_iata_code"].alias("code"),
+        ranked = F.array_min(F.transform("near", lambda a: F.struct(
+            g.planar_distance(x, y, a["x"], a["y"]).alias("d"), a["ident"].alias("ident"), a["code"].alias("code"),
         )))
-        settled = F.lit(True) if width == steps[-1] else F.col("_new.d") <= width
+        last = number == len(grids.steps) - 1
+        placed = found.withColumn("cell_x", F.when(open_, _cell(x, width))).withColumn("cell_y", F.when(open_, _cell(y, width)))
         found = (
-            found.withColumn("_cx", F.when(open_, _cell(x, width))).withColumn("_cy", F.when(open_, _cell(y, width)))
-            .join(grid, ["_cx", "_cy"], "left")
+            join_lookup(placed, cells, ["cell_x", "cell_y"], grids.stored_bytes, [x, y])
             .withColumn("_new", F.when(open_, ranked))
-            .withColumn("_best", F.coalesce(F.col("_best"), F.when(settled, F.col("_new"))))
-            .drop("_cx", "_cy", "_near", "_new")
+            .withColumn("_best", F.coalesce(F.col("_best"), F.when(F.lit(last) | (F.col("_new.d") <= width), F.col("_new"))))
+            .drop("cell_x", "cell_y", "near", "_new")
         )
     return found.withColumn(out, F.col("_best.code")).drop("_best")

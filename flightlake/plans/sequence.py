@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 HOUR = 3600
 DAY = 86400
-MONTH = 30 * DAY
 _CHUNK = "_chunk"
 _ROW = "_row"
 

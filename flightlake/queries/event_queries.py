@@ -79,17 +79,25 @@ _SESSIONS = {
 }
 
 
-_STORED: dict[tuple[str, str], geo.TerritoryCells] = {}
+_STORED: dict[tuple, geo.TerritoryCells | geo.AirportGrids] = {}
 
 
-def _index(spark, sf):
-    """Cell table of the boundaries, built once per application and table folder."""
-    key = (spark.sparkContext.applicationId, sf)
+def _once(spark, sf, name, build):
+    """An index built and stored once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
-        _STORED[key] = geo.stored(geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL))
+        _STORED[key] = geo.stored(build())
     return _STORED[key]
 
 
+def _index(spark, sf):
+    return _once(spark, sf, "territories", lambda: geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL))
+
+
+def _grids(spark, sf):
+    return _once(spark, sf, "airports", lambda: geo.build_airport_grids(s.airports(spark, sf)))
+
+
 # Events ------------------------------------------------------------------------------------
 
 _EVENT_COLS = f"event_id, icao24, callsign, event_type, {s.ts_text('ts')} AS timestamp, latitude, longitude, altitude_ft"
@@ -149,20 +157,29 @@ def ocean_points(spark, sf):
         F.count(F.lit(1)).alias("points"), F.count_if(F.col("territory_id").isNull()).alias("ocean"))
 
 
-@query("territory_edges", s.with_views(
-    "SELECT level, tid AS territory_id, count(*) AS edges, CAST(sum(e.x1 * e.y2 - e.x2 * e.y1) AS DOUBLE) / 2 AS area, "
-    "CAST(min(e.x1) AS DOUBLE) AS west, CAST(max(e.y1) AS DOUBLE) AS north, "
-    "CAST(sum((e.x1 + e.x2) * (e.x1 * e.y2 - e.x2 * e.y1)) AS DOUBLE) / (3 * sum(e.x1 * e.y2 - e.x2 * e.y1)) AS centre_lon, "
-    "CAST(sum((e.y1 + e.y2) * (e.x1 * e.y2 - e.x2 * e.y1)) AS DOUBLE) / (3 * sum(e.x1 * e.y2 - e.x2 * e.y1)) AS centre_lat "
-    "FROM edges GROUP BY level, tid", "boxes", edges=_EDGES))
-def territory_edges(spark, sf):
-    b = geo.boundary_edges(s.boundaries(spark, sf)).withColumn("centre", geometry.centroid(F.col("edges")))
-    cross = F.aggregate(F.transform("edges", lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]), F.lit(0.0), lambda a, v: a + v)
-    return b.select(
-        "level", "territory_id", F.size("edges").alias("edges"), (cross / 2).alias("area"),
-        F.array_min(F.transform("edges", lambda e: e["x1"])).alias("west"),
-        F.array_max(F.transform("edges", lambda e: e["y1"])).alias("north"),
-        F.col("centre.lon").alias("centre_lon"), F.col("centre.lat").alias("centre_lat"))
+# Every event as a triangle with a hole, written as WKT.
+_SHAPES = """
+    SELECT event_id, unnest([{'x1': x, 'y1': y, 'x2': x + 8, 'y2': y}, {'x1': x + 8, 'y1': y, 'x2': x, 'y2': y + 6}, {'x1': x, 'y1': y + 6, 'x2': x, 'y2': y},
+        {'x1': x + 1, 'y1': y + 1, 'x2': x + 1, 'y2': y + 2}, {'x1': x + 1, 'y1': y + 2, 'x2': x + 2, 'y2': y + 1}, {'x1': x + 2, 'y1': y + 1, 'x2': x + 1, 'y2': y + 1}]) AS e
+    FROM (SELECT event_id, CAST((event_id * 37) % 360 - 180 AS DOUBLE) AS x, CAST((event_id * 53) % 180 - 90 AS DOUBLE) AS y FROM events)"""
+
+
+@query("wkt_shapes", f"""
+    WITH sh AS ({_SHAPES})
+    SELECT event_id, count(*) AS edges, sum(e.x1 * e.y2 - e.x2 * e.y1) / 2 AS area,
+           round(sum((e.x1 + e.x2) * (e.x1 * e.y2 - e.x2 * e.y1)) / (3 * sum(e.x1 * e.y2 - e.x2 * e.y1)), 6) AS centre_lon,
+           round(sum((e.y1 + e.y2) * (e.x1 * e.y2 - e.x2 * e.y1)) / (3 * sum(e.x1 * e.y2 - e.x2 * e.y1)), 6) AS centre_lat
+    FROM sh GROUP BY event_id""")
+def wkt_shapes(spark, sf):
+    n = F.col("event_id")
+    placed = s.table(spark, sf, "events").select(n, ((n * 37) % 360 - 180).alias("x"), ((n * 53) % 180 - 90).alias("y"))
+    at = lambda dx, dy: F.concat((F.col("x") + dx).cast("string"), F.lit(" "), (F.col("y") + dy).cast("string"))
+    ring = lambda *cs: F.concat(F.lit("("), F.concat_ws(", ", *cs, cs[0]), F.lit(")"))
+    wkt = F.concat(F.lit("POLYGON ("), ring(at(0, 0), at(8, 0), at(0, 6)), F.lit(", "), ring(at(1, 1), at(1, 2), at(2, 1)), F.lit(")"))
+    shapes = geo.boundary_edges(placed.select("event_id", wkt.alias("wkt"))).withColumn("c", geometry.centroid(F.col("edges")))
+    twice = F.aggregate(F.transform("edges", lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]), F.lit(0.0), lambda a, v: a + v)
+    return shapes.select("event_id", F.size("edges").alias("edges"), (twice / 2).alias("area"),
+                         F.round("c.lon", 6).alias("centre_lon"), F.round("c.lat", 6).alias("centre_lat"))
 
 
 _DISC = """
@@ -192,7 +209,7 @@ def disc_territories(spark, sf):
     "flight_events", "airports"))
 def nearest_airport(spark, sf):
     departed = s.flight_events(spark, sf).filter(F.col("event_type") == "DEPARTED").drop("origin_iata")
-    return events.with_origin(departed, s.airports(spark, sf)).select("event_id", "origin_iata")
+    return events.with_origin(departed, _grids(spark, sf)).select("event_id", "origin_iata")
 
 
 # Live sessions -----------------------------------------------------------------------------

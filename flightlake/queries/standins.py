@@ -22,9 +22,12 @@ def _iata(n: Column, codes: int) -> Column:
     return F.concat(F.lit("I"), F.pmod(n, F.lit(codes)).cast("string"))
 
 
-def flight_events(spark: SparkSession, sf: str) -> DataFrame:
-    """signup departs, error lands; the rest are airborne events of user ``user_id`` as aircraft."""
-    e, kind = table(spark, sf, "events"), F.col("event_type")
+def flight_events(spark: SparkSession, sf: str, source: DataFrame | None = None) -> DataFrame:
+    """signup departs, error lands; the rest are airborne events of user ``user_id`` as aircraft.
+
+    ``source`` replaces the events table, by a stream of it for one.
+    """
+    e, kind = table(spark, sf, "events") if source is None else source, F.col("event_type")
     ts = F.col("ts").cast("timestamp")
     n, u = F.col("event_id"), F.col("user_id")
     return e.select(
@@ -53,9 +56,9 @@ def hist_events(spark: SparkSession, sf: str) -> DataFrame:
     return flight_events(spark, sf).withColumn("event_timestamp", moved).withColumn("event_date", F.to_date("event_timestamp"))
 
 
-def pings(spark: SparkSession, sf: str) -> DataFrame:
+def pings(spark: SparkSession, sf: str, source: DataFrame | None = None) -> DataFrame:
     """Positions; ``event_id`` breaks ties."""
-    return flight_events(spark, sf).select(
+    return flight_events(spark, sf, source).select(
         "event_id", "icao24", "callsign", "longitude", "latitude", "altitude_ft", "on_ground", "vertical_rate_fpm",
         F.lit(800.0).alias("velocity_kmh"), F.lit(90.0).alias("heading_deg"), F.col("event_timestamp").alias("timestamp"),
     )

@@ -15,20 +15,9 @@ from flightlake.streaming import jobs, tracker
 _EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-class _Streamed:
-    """The stand-in views over a stream: ``read`` yields the events table as a stream."""
-
-    def __init__(self, spark):
-        self._spark = spark
-        self.conf, self.sparkContext = spark.conf, spark.sparkContext
-
-    @property
-    def read(self):
-        return self
-
-    def parquet(self, path):
-        folder, name = path.rsplit("/", 1)
-        return self._spark.readStream.schema(_EVENT_SCHEMA).option("pathGlobFilter", name).option("recursiveFileLookup", False).parquet(folder)
+def _streamed(spark, sf):
+    """The events table as a stream of its files."""
+    return prepare(spark).readStream.schema(_EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(sf)
 
 
 def _finish(query_):
@@ -45,7 +34,7 @@ def _stored(spark, stream, name):
 
 
 def _records(spark, sf):
-    pings = s.pings(_Streamed(spark), sf)
+    pings = s.pings(spark, sf, _streamed(spark, sf))
     return _stored(spark, tracker.track(pings, eq._index(spark, sf), tie="event_id"), "tracker")
 
 
@@ -66,7 +55,7 @@ def stream_crossings(spark, sf):
     FROM (SELECT * FROM flight_events QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY event_timestamp DESC, event_id DESC) = 1) WHERE NOT on_ground""", "flight_events"))
 def stream_latest(spark, sf):
     base = workdir(prepare(spark), "cache")
-    stream = jobs.latest_states(s.flight_events(_Streamed(spark), sf), tie="event_id")
+    stream = jobs.latest_states(s.flight_events(spark, sf, _streamed(spark, sf)), tie="event_id")
     _finish(jobs.start(stream, f"{base}/checkpoint", each=jobs.numbered_parquet(f"{base}/cache"), mode="update", replay=True))
     return jobs.read_cache(spark, f"{base}/cache")
 
@@ -75,7 +64,7 @@ def stream_latest(spark, sf):
     f"SELECT icao24, event_type, {s.ts_text('event_timestamp')} AS event_timestamp, count(*) AS copies FROM flight_events GROUP BY ALL", "flight_events"))
 def stream_dedup(spark, sf):
     """Every event delivered twice, kept once."""
-    once = s.flight_events(_Streamed(spark), sf).select("icao24", "event_type", "event_timestamp")
+    once = s.flight_events(spark, sf, _streamed(spark, sf)).select("icao24", "event_type", "event_timestamp")
     twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
     kept = _stored(spark, jobs.without_repeats(twice), "dedup")
     return kept.groupBy("icao24", "event_type", "event_timestamp").agg(F.count(F.lit(1)).alias("copies"))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build(app: str = "flightlake", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -61,3 +62,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = workdir(spark, "stage")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage_sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` with the bytes the written files take."""
+    spark = df.sparkSession
+    path = workdir(spark, "stage")
+    df.write.mode("errorifexists").parquet(path)
+    size = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.sum("length").alias("n")).first()["n"]
+    return spark.read.schema(df.schema).parquet(path), int(size or 0)
