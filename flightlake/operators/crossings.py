@@ -112,36 +112,40 @@ def route_samples(flights: DataFrame, segments: int = ROUTE_SEGMENTS) -> DataFra
     )
 
 
-def route_stays(flights: DataFrame, index: TerritoryCells, flight_key: str = "departed_event_id", segments: int = ROUTE_SEGMENTS) -> DataFrame:
-    """Countries along each flight with entry and exit steps.
+def _stays(flights: DataFrame, index: TerritoryCells, key: str, segments: int, carry: list[str]) -> DataFrame:
+    """Stays along each flight with the ``carry`` columns of the flight.
 
-    A flight has a fixed number of samples, so they are gathered into one small
-    array per flight and folded there: water is skipped, runs of one country
-    merge, a run ends where the next begins, and the last ends at the last step.
+    A flight has a fixed number of samples, which one task makes and folds back into
+    one small array before the shuffle. Water is skipped, runs of one country merge, a run
+    ends where the next begins, and the last ends at the last step.
     """
-    points = route_samples(flights.select(flight_key, "lat1", "lon1", "lat2", "lon2"), segments)
+    flight = F.struct(*[F.col(c) for c in carry])
+    points = route_samples(flights.select(key, "lat1", "lon1", "lat2", "lon2", flight.alias("flight")), segments)
     country = containing(F.col("entries"), "COUNTRY", F.col("longitude"), F.col("latitude"))
     visits = (
         with_cells(points, index, "longitude", "latitude")
-        .select(flight_key, "step", country.alias("country"))
+        .select(key, "flight", "step", country.alias("country"))
         .filter(F.col("country").isNotNull())
-        .groupBy(flight_key)
-        .agg(F.array_sort(F.collect_list(F.struct("step", "country"))).alias("seen"))
+        .groupBy(key)
+        .agg(F.first("flight").alias("flight"), F.array_sort(F.collect_list(F.struct("step", "country"))).alias("seen"))
     )
     heads = F.filter("seen", lambda s, i: (i == 0) | (s["country"]["id"] != F.get(F.col("seen"), i - 1)["country"]["id"]))
-    stays = visits.withColumn("heads", heads).select(
-        flight_key, F.size("heads").alias("countries"), "heads", F.posexplode("heads").alias("place", "head")
-    )
-    return stays.select(
-        flight_key,
+    placed = visits.select(key, "flight", heads.alias("heads")).select("*", F.posexplode("heads").alias("place", "head"))
+    return placed.select(
+        key, "flight.*",
         F.col("head.country.id").alias("territory_id"),
         F.col("head.country.name").alias("territory_name"),
-        "place", "countries",
+        "place", F.size("heads").alias("countries"),
         F.col("head.step").alias("entry_step"),
         F.coalesce(F.get(F.col("heads"), F.col("place") + 1)["step"], F.lit(segments)).alias("exit_step"),
     )
 
 
+def route_stays(flights: DataFrame, index: TerritoryCells, flight_key: str = "departed_event_id", segments: int = ROUTE_SEGMENTS) -> DataFrame:
+    """Countries along each flight with entry and exit steps."""
+    return _stays(flights, index, flight_key, segments, ["icao24"]).drop("icao24")
+
+
 def route_crossings(flights: DataFrame, index: TerritoryCells, run_ts: Column, segments: int = ROUTE_SEGMENTS) -> DataFrame:
     """History crossings estimated along each flight: roles, times in proportion, all completed.
 
@@ -149,29 +153,30 @@ def route_crossings(flights: DataFrame, index: TerritoryCells, run_ts: Column, s
     length keep their end times and have no minutes.
     """
     key = "departed_event_id"
-    stays = route_stays(flights, index, key, segments)
+    stays = _stays(flights, index, key, segments, ["icao24", "callsign", "landed_event_id", "firstseen", "lastseen"])
     last = F.col("place") == F.col("countries") - 1
     role = F.when(F.col("place") == 0, "START").when(last, "END").otherwise("ROUTE")
     whole = measure.micros_between("firstseen", "lastseen")
     moved = whole > 0
     at = lambda step: measure.moment_between("firstseen", "lastseen", F.col(step), segments)
+    steps = (F.col("exit_step") - F.col("entry_step")).cast("decimal(4,0)")
     out = (
-        flights.join(stays, key)
-        .withColumn("crossing_role", role)
-        .withColumn("flight_event_id", F.when(F.col("crossing_role") == "END", F.col("landed_event_id")).otherwise(F.col(key)))
-        .withColumn("territory_type", F.lit("COUNTRY"))
-        .withColumn("flight_status", F.lit("COMPLETED"))
-        .withColumn("entered_at", F.when(moved, at("entry_step")).otherwise(F.col("firstseen")))
-        .withColumn("exited_at", F.when(moved, at("exit_step")).otherwise(F.col("lastseen")))
-        .withColumn("entered_date", F.to_date("entered_at"))
-        .withColumn("exited_date", F.to_date("exited_at"))
-        .withColumn(
-            "duration_minutes",
-            F.when(moved, measure.ratio((F.col("exit_step") - F.col("entry_step")).cast("decimal(4,0)") * whole, F.lit(60_000_000 * segments), 2)),
-        )
-        .withColumn("crossing_id", F.xxhash64("icao24", "entered_at", "territory_id"))
-        .withColumn("source", F.lit(schema.HISTORY_SOURCE))
-        .withColumns({"inserted_at": run_ts, "updated_at": run_ts, "created_at": run_ts, "batch_date": F.to_date(run_ts)})
+        stays.withColumns({
+            "crossing_role": role,
+            "territory_type": F.lit("COUNTRY"),
+            "flight_status": F.lit("COMPLETED"),
+            "entered_at": F.when(moved, at("entry_step")).otherwise(F.col("firstseen")),
+            "exited_at": F.when(moved, at("exit_step")).otherwise(F.col("lastseen")),
+            "duration_minutes": F.when(moved, measure.ratio(steps * whole, F.lit(60_000_000 * segments), 2)),
+            "source": F.lit(schema.HISTORY_SOURCE),
+            "inserted_at": run_ts, "updated_at": run_ts, "created_at": run_ts, "batch_date": F.to_date(run_ts),
+        })
+        .withColumns({
+            "flight_event_id": F.when(F.col("crossing_role") == "END", F.col("landed_event_id")).otherwise(F.col(key)),
+            "entered_date": F.to_date("entered_at"),
+            "exited_date": F.to_date("exited_at"),
+            "crossing_id": F.xxhash64("icao24", "entered_at", "territory_id"),
+        })
     )
     return out.select(*[F.col(f.name).cast(f.dataType) for f in schema.HIST_CROSSING])
 

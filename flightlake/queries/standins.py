@@ -31,7 +31,7 @@ def flight_events(spark: SparkSession, sf: str, source: DataFrame | None = None)
     ts = F.col("ts").cast("timestamp")
     n, u = F.col("event_id"), F.col("user_id")
     return e.select(
-        n.alias("event_id"),
+        n,
         u.cast("string").alias("icao24"),
         F.when(n % 7 != 0, F.concat(F.lit("FL"), u.cast("string"))).alias("callsign"),
         F.when(kind == "signup", "DEPARTED").when(kind == "error", "LANDED").when(kind == "view", "CLIMBING")
