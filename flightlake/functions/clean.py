@@ -9,9 +9,12 @@ _BLANKS = " \t\n\r\f\v"
 # Texts that stand for a missing value.
 _MISSING = ("", "nan", "none")
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# Accepted date and time formats, in the order they are tried.
-DATE_FORMATS = ("M/d/yyyy", "yyyy-M-d", "d/M/yyyy")
-TIME_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m:s[XXX][XX]", "yyyy-M-d'T'H:m:s[XXX][XX]")
+# Accepted formats. A time is a date and a clock time with a blank or T between them and
+# an optional zone; a date is m/d/y, y-m-d or d/m/y, tried in this order.
+_TIME_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}([+-]\d{2}:?\d{2}|Z)?$"
+_TIME_FORMAT = "yyyy-M-d H:m:s[XXX][XX]"
+_SLASHED = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_DASHED = r"^\d{4}-\d{1,2}-\d{1,2}$"
 # Codes meaning "no official ISO code", and one ISO patch.
 _NO_ISO = ("-99", "-9")
 _ISO_PATCH = {"CN-TW": "TW"}
@@ -39,17 +42,26 @@ def to_double(c: Column | str) -> Column:
 
 
 def to_time(c: Column | str) -> Column:
-    """Unix seconds, else one of ``TIME_FORMATS``; zone-less text is UTC (the session zone)."""
-    t = clean_text(c)
-    seconds = to_double(t)
-    micros = F.round(seconds * F.lit(1e6)).try_cast("bigint")
-    return F.coalesce(F.timestamp_micros(micros), *[F.try_to_timestamp(t, F.lit(f)) for f in TIME_FORMATS])
+    """Unix seconds, else a date and clock time; zone-less text is UTC (the session zone).
+
+    The shape is tested first, so texts of another kind never reach the parser.
+    """
+    t = stripped(c)
+    seconds = F.round(F.when(t.rlike(_NUMBER), t).try_cast("double") * F.lit(1e6)).try_cast("bigint")
+    written = F.try_to_timestamp(F.when(t.rlike(_TIME_SHAPE), F.translate(t, "T", " ")), F.lit(_TIME_FORMAT))
+    return F.coalesce(F.timestamp_micros(seconds), written)
 
 
 def to_day(c: Column | str) -> Column:
-    """First of ``DATE_FORMATS`` that fits the text, else NULL."""
-    t = clean_text(c)
-    return F.coalesce(*[F.try_to_date(t, f) for f in DATE_FORMATS])
+    """Date written m/d/y, y-m-d or d/m/y, else NULL. Day first is read only where month first cannot be."""
+    t = stripped(c)
+    slashed = F.when(t.rlike(_SLASHED), t)
+    month_first = F.substring_index(slashed, "/", 1).cast("int") <= 12
+    return F.coalesce(
+        F.try_to_date(F.when(month_first, slashed), "M/d/yyyy"),
+        F.try_to_date(F.when(~month_first, slashed), "d/M/yyyy"),
+        F.try_to_date(F.when(t.rlike(_DASHED), t), "yyyy-M-d"),
+    )
 
 
 def yes(c: Column | str) -> Column:

@@ -196,10 +196,11 @@ def complete_flights(crossings: DataFrame, order: str = "entered_at") -> DataFra
 
 
 def close_carried(hist: DataFrame, today: DataFrame) -> DataFrame:
-    """Yesterday's open crossings of history closed by today's first crossing of the aircraft.
+    """Open crossings of history closed where their aircraft left the territory or landed since.
 
     ``today`` holds per aircraft the moment its carried crossing ended, as
-    ``(icao24, closed_at, landed)``. Matching is by natural key, never by a reused id.
+    ``(icao24, closed_at, landed)``. Matching is by aircraft and time, never by a reused id.
+    Crossings closed before, and those entered later, stay as they are.
     """
     open_ = (F.col("flight_status") == "IN_PROGRESS") & F.col("exited_at").isNull()
     closing = open_ & F.col("closed_at").isNotNull() & (F.col("closed_at") >= F.col("entered_at"))
@@ -207,7 +208,7 @@ def close_carried(hist: DataFrame, today: DataFrame) -> DataFrame:
     return (
         out.withColumn("_closing", F.coalesce(closing, F.lit(False)))
         .withColumn("exited_at", F.when(F.col("_closing"), F.col("closed_at")).otherwise(F.col("exited_at")))
-        .withColumn("exited_date", F.to_date("exited_at"))
+        .withColumn("exited_date", F.when(F.col("_closing"), F.to_date("closed_at")).otherwise(F.col("exited_date")))
         .withColumn("duration_minutes", F.when(F.col("_closing"), measure.stay_minutes("entered_at", "exited_at")).otherwise(F.col("duration_minutes")))
         .withColumn("flight_status", F.when(F.col("_closing") & F.col("landed"), "COMPLETED").otherwise(F.col("flight_status")))
         .select(*hist.columns)

@@ -3,20 +3,22 @@
 Both marts aggregate before they join. A crossing or event row is folded into
 its (aircraft, group) partial first, so the dimension joins see one row per
 aircraft and group, hot aircraft and hot territories shrink on the map side,
-and no join ever emits the pairs it only needs counted.
+and no join ever emits the pairs it only needs counted. The aggregated mart,
+which ranking reads twice, is written to the shared folder before it is ranked.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.functions.measure import ratio
 from flightlake.functions.text import route_label
 from flightlake.plans.ranking import smallest_mode, with_rank
+from flightlake.session import cut_lineage
 
 # The years the marts break their counts down by.
 MART_YEARS = (2019, 2020, 2021, 2022)
@@ -27,12 +29,6 @@ def is_international(origin_country: Column, destination_country: Column) -> Col
     return F.coalesce(origin_country != destination_country, F.lit(False))
 
 
-def _offset(ts: str, day: str) -> Column:
-    """Microseconds of a timestamp after the start of a date, as an exact decimal."""
-    start = F.unix_micros(F.col(day).cast("timestamp"))
-    return (F.unix_micros(ts) - start).cast("decimal(18,0)")
-
-
 def departures_with_landings(events: DataFrame, landed_source: str) -> DataFrame:
     """Departures left-joined to all same-day landings of the aircraft, as weights.
 
@@ -40,37 +36,43 @@ def departures_with_landings(events: DataFrame, landed_source: str) -> DataFrame
     plain join would produce, ``timed`` those with a landing, and the duration
     columns are the sum and extremes over them, all computed from per-side
     counts, sums and extremes. Unpaired departures count once and carry no duration.
+
+    Both sides are folded in one scan; the landings of an aircraft-day then reach its routes
+    through a window over these few folded rows. Times are summed as whole seconds
+    and microseconds after the start of the date, which cannot overflow.
     """
-    key = ["icao24", "event_date"]
-    landed = (
-        events.filter((F.col("event_type") == "LANDED") & (F.col("source") == landed_source))
-        .groupBy(*key)
-        .agg(
-            F.count(F.lit(1)).alias("l_n"),
-            F.sum(_offset("event_timestamp", "event_date")).alias("l_sum"),
-            F.min(F.unix_micros("event_timestamp")).alias("l_min"),
-            F.max(F.unix_micros("event_timestamp")).alias("l_max"),
-        )
+    departs = (F.col("event_type") == "DEPARTED") & F.col("origin_iata").isNotNull() & F.col("destination_iata").isNotNull()
+    lands = (F.col("event_type") == "LANDED") & (F.col("source") == landed_source)
+    after = F.unix_micros("event_timestamp") - F.unix_micros(F.col("event_date").cast("timestamp"))
+    timed = events.filter(departs | lands).select(
+        "icao24", "event_date",
+        F.when(departs, F.col("origin_iata")).alias("origin_iata"), F.when(departs, F.col("destination_iata")).alias("destination_iata"),
+        departs.alias("departs"), after.alias("after"),
     )
-    departed = (
-        events.filter(
-            (F.col("event_type") == "DEPARTED") & F.col("origin_iata").isNotNull() & F.col("destination_iata").isNotNull()
-        )
-        .groupBy(*key, "origin_iata", "destination_iata")
-        .agg(
-            F.count(F.lit(1)).alias("d_n"),
-            F.sum(_offset("event_timestamp", "event_date")).alias("d_sum"),
-            F.min(F.unix_micros("event_timestamp")).alias("d_min"),
-            F.max(F.unix_micros("event_timestamp")).alias("d_max"),
-        )
+    rest = F.pmod("after", F.lit(1_000_000))
+
+    def fold(name: str, side) -> list:
+        mine = lambda c: F.when(side, c)
+        return [
+            F.count(mine(F.lit(1))).alias(f"{name}_n"),
+            F.sum(mine(F.floor((F.col("after") - rest) / 1_000_000))).alias(f"{name}_s"), F.sum(mine(rest)).alias(f"{name}_u"),
+            F.min(mine(F.col("after"))).alias(f"{name}_min"), F.max(mine(F.col("after"))).alias(f"{name}_max"),
+        ]
+
+    folded = timed.groupBy("icao24", "event_date", "origin_iata", "destination_iata").agg(
+        *fold("d", F.col("departs")), *fold("l", ~F.col("departs"))
     )
-    return departed.join(landed, key, "left").select(
-        *key,
-        "origin_iata",
-        "destination_iata",
-        (F.col("d_n") * F.coalesce("l_n", F.lit(1))).alias("flights"),
-        (F.col("d_n") * F.coalesce("l_n", F.lit(0))).alias("timed"),
-        (F.col("d_n") * F.col("l_sum") - F.col("l_n") * F.col("d_sum")).cast("decimal(30,0)").alias("micros_sum"),
+    same_day = Window.partitionBy("icao24", "event_date")
+    landings = [F.sum("l_n").over(same_day).alias("l_n")]
+    landings += [F.sum(f"l_{c}").over(same_day).alias(f"l_{c}") for c in ("s", "u")]
+    landings += [F.min("l_min").over(same_day).alias("l_min"), F.max("l_max").over(same_day).alias("l_max")]
+    spread = folded.select("icao24", "event_date", "origin_iata", "destination_iata", "d_n", "d_s", "d_u", "d_min", "d_max", *landings)
+    total = lambda side: (F.col(f"{side}_s").cast("decimal(20,0)") * 1_000_000 + F.col(f"{side}_u")).cast("decimal(26,0)")
+    return spread.filter(F.col("d_n") > 0).select(
+        "icao24", "event_date", "origin_iata", "destination_iata",
+        (F.col("d_n") * F.greatest("l_n", F.lit(1))).alias("flights"),
+        (F.col("d_n") * F.col("l_n")).alias("timed"),
+        (F.col("d_n") * total("l") - F.col("l_n") * total("d")).cast("decimal(30,0)").alias("micros_sum"),
         (F.col("l_min") - F.col("d_max")).alias("micros_min"),
         (F.col("l_max") - F.col("d_min")).alias("micros_max"),
     )
@@ -179,7 +181,7 @@ def route_mart(
             route_label("origin_iata", "destination_iata").alias("route_label"),
         )
     )
-    ranked = with_rank(routes, "total_flights", "route_rank")
+    ranked = with_rank(cut_lineage(routes), "total_flights", "route_rank")
     return ranked.orderBy("route_rank") if ordered else ranked
 
 
@@ -249,7 +251,7 @@ def territory_mart(
             "top_aircraft_country", "top_airline", "first_crossing_date", "last_crossing_date",
         )
     )
-    ranked = with_rank(stats, "total_crossings", "rank_within_type", by=["territory_type"])
+    ranked = with_rank(cut_lineage(stats), "total_crossings", "rank_within_type", by=["territory_type"])
     return ranked.orderBy("territory_type", "rank_within_type") if ordered else ranked
 
 

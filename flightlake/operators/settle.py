@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.operators import marts
-from flightlake.session import cut_lineage
 from flightlake.plans.sequence import first_per_key
+from flightlake.session import cut_lineage
 
 # Counts under which a day looks suspicious.
 MIN_EVENTS = 10
@@ -119,6 +119,11 @@ def run_status(metrics: DataFrame) -> DataFrame:
     )
 
 
+def one_history(live: DataFrame, backfill: DataFrame) -> DataFrame:
+    """Live and backfilled rows as one history; ``source`` tells them apart. Columns one side lacks are NULL."""
+    return live.unionByName(backfill, allowMissingColumns=True)
+
+
 @dataclass(frozen=True)
 class Tables:
     """Catalog names of the tables settlement works on."""

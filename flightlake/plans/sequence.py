@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+MINUTE = 60
 HOUR = 3600
 DAY = 86400
 _CHUNK = "_chunk"
@@ -29,6 +30,21 @@ def chunk_of(ts: Column | str, width: int) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(width * 1_000_000))
 
 
+def fitting_width(
+    df: DataFrame, key: Sequence[str], ts: str, most_rows: int = 5_000_000, widths: Sequence[int] = (DAY, HOUR, MINUTE, 1)
+) -> int:
+    """Widest of ``widths`` whose fullest (key, chunk) holds at most ``most_rows``; the narrowest if none does.
+
+    For data whose density is not known: each try is one count over the key and time columns.
+    Positions polled once a minute need no measuring, an hour of one aircraft is 60 rows.
+    """
+    for width in widths[:-1]:
+        fullest = df.groupBy(*key, chunk_of(ts, width).alias(_CHUNK)).count().agg(F.max("count").alias("n")).first()["n"]
+        if fullest is None or fullest <= most_rows:
+            return width
+    return widths[-1]
+
+
 def with_neighbours(
     df: DataFrame,
     key: Sequence[str],

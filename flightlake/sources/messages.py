@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from flightlake import schema
 from flightlake.functions import measure
@@ -34,6 +35,14 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str = TOPIC, starting
     )
 
 
+def stream_to_kafka(messages: DataFrame, servers: str, checkpoint: str, topic: str = TOPIC) -> StreamingQuery:
+    """Stream of messages appended to a topic, acknowledged by all replicas."""
+    return (
+        messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.acks", "all")
+        .option("topic", topic).option("checkpointLocation", checkpoint).start()
+    )
+
+
 def write_kafka(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:
     """Batch append to a topic, acknowledged by all replicas."""
     (

@@ -189,3 +189,26 @@ def test_flight_list(spark):
     assert out["DEPARTED"]["icao24"] == "ab12" and out["DEPARTED"]["callsign"] is None and out["DEPARTED"]["velocity_kmh"] is None
     exact = {r["event_type"]: r for r in events.flights_to_events(typed, airports, run, exact=True).collect()}
     assert exact["LANDED"]["altitude_ft"] is None
+
+
+def test_complete_flights(spark):
+    day = T0.date()
+    rows = [(k, T0 + timedelta(minutes=m), day, r, s) for k, m, r, s in [
+        ("a", 0, "START", "IN_PROGRESS"), ("a", 5, "ROUTE", "IN_PROGRESS"), ("a", 9, "ROUTE", "COMPLETED"), ("a", 60, "START", "IN_PROGRESS"), ("a", 70, "ROUTE", "IN_PROGRESS"),
+        ("b", 0, "START", "IN_PROGRESS")]]
+    df = spark.createDataFrame(rows, "icao24 string, entered_at timestamp, entered_date date, crossing_role string, flight_status string")
+    got = sorted((r["icao24"], (r["entered_at"] - T0).seconds // 60, r["flight_status"]) for r in crossings.complete_flights(df).collect())
+    assert [g[2] for g in got] == ["COMPLETED"] * 3 + ["IN_PROGRESS"] * 3
+
+
+def test_close_carried(spark):
+    row = lambda k, m, status, out: (k, T0 + timedelta(minutes=m), status, out, out and out.date(), None)
+    hist = spark.createDataFrame([row("a", 0, "IN_PROGRESS", None), row("a", -60, "COMPLETED", T0), row("b", 0, "IN_PROGRESS", None), row("c", 0, "IN_PROGRESS", None), row("d", 500, "IN_PROGRESS", None)],
+                                 "icao24 string, entered_at timestamp, flight_status string, exited_at timestamp, exited_date date, duration_minutes decimal(8,2)")
+    later = T0 + timedelta(minutes=90)
+    today = spark.createDataFrame([("a", later, True), ("b", later, False), ("d", later, True)], "icao24 string, closed_at timestamp, landed boolean")
+    got = {(r["icao24"], r["entered_at"]): (r["flight_status"], r["exited_at"], r["duration_minutes"]) for r in crossings.close_carried(hist, today).collect()}
+    assert got[("a", T0)] == ("COMPLETED", later, Decimal("90.00"))
+    assert got[("a", T0 - timedelta(minutes=60))] == ("COMPLETED", T0, None)
+    assert got[("b", T0)] == ("IN_PROGRESS", later, Decimal("90.00"))
+    assert got[("c", T0)][1] is None and got[("d", T0 + timedelta(minutes=500))][1] is None

@@ -89,3 +89,10 @@ def test_rank_equals_sql_rank(spark, rows):
     assert rows(with_rank(df, "n", "r", by=["g"])) == rows(want)
     whole = df.withColumn("r", F.rank().over(Window.orderBy(F.desc("n"))).cast("long"))
     assert rows(with_rank(df, "n", "r")) == rows(whole)
+
+
+def test_fitting_width(spark):
+    df = frame(spark, skewed(600))
+    assert sequence.fitting_width(df, ["k"], "t", most_rows=10_000) == sequence.DAY
+    assert sequence.fitting_width(df, ["k"], "t", most_rows=20) == sequence.HOUR
+    assert sequence.fitting_width(df, ["k"], "t", most_rows=0) == 1
