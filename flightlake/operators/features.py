@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightlake import schema
 from flightlake.functions import geometry as g
 from flightlake.functions import measure
 from flightlake.operators.marts import is_international
+from flightlake.plans.lookup import join_lookup
 
 NEAR_KM = 50.0
 # Slightly less than the length of a degree of latitude, so that cells are never too narrow.
@@ -43,39 +47,62 @@ def flight_features(events: DataFrame, aircraft: DataFrame, airports: DataFrame)
     )
 
 
-def congestion(departures: DataFrame, pings: DataFrame, airports: DataFrame, poll: str = "poll", near_km: float = NEAR_KM) -> DataFrame:
-    """Aircraft within ``near_km`` of the origin in the poll that saw the departure.
+@dataclass(frozen=True)
+class AirportDiscs:
+    """Airports by the grid cells their disc of ``near_km`` may meet; ``columns`` cells go round the earth."""
 
-    ``poll`` identifies one position snapshot in both inputs. Each position
-    looks up the airports around it in a grid, so the work grows with the positions and the
-    airports near them; positions are never paired with each other, and the count per (poll,
-    airport) is folded before it meets the departures.
+    cells: DataFrame
+    columns: int
+    near_km: float
+    stored_bytes: int | None = None
+
+
+def _cell(c: Column, columns: int) -> Column:
+    return F.floor(c / F.lit(360 / columns)).cast("int")
+
+
+def build_discs(airports: DataFrame, near_km: float = NEAR_KM) -> AirportDiscs:
+    """Cell table of the airports, one per IATA code.
+
+    Cells are at least as wide as the radius at the equator. A degree of longitude shrinks with
+    the cosine of the latitude, so an airport reaches farther in x, at most all the way round.
     """
-    # The earth's girth is cut into whole columns, each at least as wide as the disc's radius at the equator.
     columns = max(int(360 * _KM_PER_DEGREE / max(near_km, 1.0)), 1)
-    size = 360 / columns
-    cell = lambda c: F.floor(c / F.lit(size)).cast("int")
-    spots = _one_airport_per_code(airports).select("airport_iata_code", "lon", "lat")
-    # A degree of longitude shrinks with the cosine of the latitude: reach farther in x, at most all the way round.
     top = F.least(F.abs("lat") + near_km / _KM_PER_DEGREE + 0.01, F.lit(90.0))
     reach = F.least(F.lit(float(columns)), F.ceil(F.lit(1.0) / F.greatest(F.cos(F.radians(top)), F.lit(1e-9)))).cast("int") + 1
-    wrap = lambda c: F.pmod(c, F.lit(columns))
-    grid = (
-        spots.withColumn("_dx", F.explode(F.sequence(-reach, reach)))
+    entered = (
+        _one_airport_per_code(airports).select("airport_iata_code", "lon", "lat")
+        .withColumn("_dx", F.explode(F.sequence(-reach, reach)))
         .withColumn("_dy", F.explode(F.sequence(F.lit(-2), F.lit(2))))
-        .select(wrap(cell(F.col("lon")) + F.col("_dx")).alias("_cx"), (cell(F.col("lat")) + F.col("_dy")).alias("_cy"), F.struct("airport_iata_code", "lon", "lat").alias("a"))
-        .groupBy("_cx", "_cy").agg(F.collect_set("a").alias("_near"))
     )
+    cell_x = F.pmod(_cell(F.col("lon"), columns) + F.col("_dx"), F.lit(columns)).alias("cell_x")
+    cell_y = (_cell(F.col("lat"), columns) + F.col("_dy")).alias("cell_y")
+    grouped = entered.groupBy(cell_x, cell_y).agg(F.collect_set(F.struct("airport_iata_code", "lon", "lat")).alias("near"))
+    return AirportDiscs(grouped, columns, near_km)
+
+
+def congestion(departures: DataFrame, pings: DataFrame, discs: AirportDiscs, poll: str = "poll") -> DataFrame:
+    """Aircraft near the origin in the poll that saw the departure.
+
+    ``poll`` identifies one position snapshot in both inputs. Each position
+    looks up the airports around it in the cell table, so the work grows with the positions and the
+    airports near them; positions are never paired with each other, and the count per (poll,
+    airport) is folded before it meets the departures.
+    """
     x, y = F.col("longitude").cast("double"), F.col("latitude").cast("double")
-    close = F.filter("_near", lambda a: g.haversine_km(x, y, a["lon"], a["lat"]) <= near_km)
+    placed = pings.select(
+        poll, "icao24", x.alias("longitude"), y.alias("latitude"),
+        F.pmod(_cell(x, discs.columns), F.lit(discs.columns)).alias("cell_x"), _cell(y, discs.columns).alias("cell_y"),
+    )
+    close = F.filter("near", lambda a: g.haversine_km(F.col("longitude"), F.col("latitude"), a["lon"], a["lat"]) <= discs.near_km)
     around = (
-        pings.withColumn("_cx", wrap(cell(x))).withColumn("_cy", cell(y)).join(grid, ["_cx", "_cy"])
+        join_lookup(placed, discs.cells, ["cell_x", "cell_y"], discs.stored_bytes, [F.col("icao24"), F.col(poll)])
         .select(poll, "icao24", F.explode(F.transform(close, lambda a: a["airport_iata_code"])).alias("origin_iata"))
         .distinct()
         .groupBy(poll, "origin_iata").agg(F.count(F.lit(1)).alias("origin_congestion_score"))
     )
     return departures.join(around, [poll, "origin_iata"], "left").withColumn(
-        "origin_congestion_score", F.coalesce("origin_congestion_score", F.lit(0)).cast("decimal(5,2)")
+        "origin_congestion_score", F.coalesce("origin_congestion_score", F.lit(0)).cast("decimal(10,2)")
     )
 
 
@@ -111,8 +138,6 @@ def delay_causes(delays: DataFrame, by: list[str]) -> DataFrame:
 
 def typed_us_delays(raw: DataFrame) -> DataFrame:
     """On-time performance texts as typed rows: 0/1 flags, HHMM clock numbers, minutes."""
-    from flightlake import schema
-
     def typed(field):
         c = F.col(field.name)
         if field.name.startswith("is_"):

@@ -27,11 +27,14 @@ _TERRITORY = ("level", "territory_id", "territory_name")
 
 @dataclass(frozen=True)
 class TerritoryCells:
-    """Cell table, the cell width in degrees it was built for, and its stored size if measured."""
+    """Cell table, the cell width in degrees it was built for, its stored size if measured,
+    and how far beyond a cell its edges reach.
+    """
 
     cells: DataFrame
     size: float
     stored_bytes: int | None = None
+    reach: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -64,31 +67,32 @@ def _span(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(_cell(lo, size), _cell(hi, size))
 
 
-def build_cells(territories: DataFrame, size: float = 1.0) -> TerritoryCells:
+def build_cells(territories: DataFrame, size: float = 1.0, reach: float = 0.0) -> TerritoryCells:
     """Cell table from territories ``(level, territory_id, territory_name, edges)``.
 
     Edges are first cut to latitude bands, then to cells, so the work per cell
     is the edges of its band. A cell that no edge touches is wholly in or out.
+    ``reach`` also enters territories and edges up to that many degrees outside a cell, for discs.
     """
-    step = F.lit(float(size))
+    step, r = F.lit(float(size)), F.lit(float(reach))
     low = lambda e, axis: F.least(e[f"{axis}1"], e[f"{axis}2"])
     high = lambda e, axis: F.greatest(e[f"{axis}1"], e[f"{axis}2"])
     ends = lambda pick, f, axis: pick(F.transform("edges", lambda e: f(e, axis)))
     bands = (
         territories.select(
             *_TERRITORY, "edges",
-            ends(F.array_min, low, "x").alias("x_lo"), ends(F.array_max, high, "x").alias("x_hi"),
-            F.explode(_span(ends(F.array_min, low, "y"), ends(F.array_max, high, "y"), size)).alias("cell_y"),
+            (ends(F.array_min, low, "x") - r).alias("x_lo"), (ends(F.array_max, high, "x") + r).alias("x_hi"),
+            F.explode(_span(ends(F.array_min, low, "y") - r, ends(F.array_max, high, "y") + r, size)).alias("cell_y"),
         )
         .withColumn("y0", F.col("cell_y") * step)
-        .withColumn("band", F.filter("edges", lambda e: (high(e, "y") >= F.col("y0")) & (low(e, "y") <= F.col("y0") + step)))
+        .withColumn("band", F.filter("edges", lambda e: (high(e, "y") >= F.col("y0") - r) & (low(e, "y") <= F.col("y0") + step + r)))
         .drop("edges")
     )
     cut = (
         bands.withColumn("cell_x", F.explode(_span(F.col("x_lo"), F.col("x_hi"), size)))
         .withColumn("x0", F.col("cell_x") * step)
-        .withColumn("near", F.filter("band", lambda e: high(e, "x") >= F.col("x0")))
-        .withColumn("touched", F.exists("near", lambda e: low(e, "x") <= F.col("x0") + step))
+        .withColumn("near", F.filter("band", lambda e: high(e, "x") >= F.col("x0") - r))
+        .withColumn("touched", F.exists("near", lambda e: low(e, "x") <= F.col("x0") + step + r))
         .withColumn("centre_in", g.inside(F.col("near"), F.col("x0") + step / 2, F.col("y0") + step / 2))
     )
     entries = cut.filter(F.col("touched") | F.col("centre_in")).select(
@@ -99,7 +103,7 @@ def build_cells(territories: DataFrame, size: float = 1.0) -> TerritoryCells:
             F.when(F.col("touched"), F.col("near")).otherwise(F.slice("near", 1, 0)).alias("edges"),
         ).alias("entry"),
     )
-    return TerritoryCells(entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries")), size)
+    return TerritoryCells(entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries")), size, reach=reach)
 
 
 def with_cells(points: DataFrame, index: TerritoryCells, lon: str, lat: str) -> DataFrame:
@@ -143,23 +147,18 @@ def with_territory(points: DataFrame, index: TerritoryCells, lon: str = "longitu
     )
 
 
-def near_territories(points: DataFrame, territories: DataFrame, radius: float, lon: str, lat: str, size: float = 1.0) -> DataFrame:
+def near_territories(points: DataFrame, index: TerritoryCells, radius: float, lon: str, lat: str) -> DataFrame:
     """Points with every territory that a disc of ``radius`` degrees around them meets.
 
-    Only the territories whose box, grown by the radius, covers the point's
-    cell are tested.
+    The index must have been built with at least that reach.
     """
-    low = lambda axis: F.array_min(F.transform("edges", lambda e: F.least(e[f"{axis}1"], e[f"{axis}2"]))) - radius
-    high = lambda axis: F.array_max(F.transform("edges", lambda e: F.greatest(e[f"{axis}1"], e[f"{axis}2"]))) + radius
-    boxed = (
-        territories.withColumn("cell_y", F.explode(_span(low("y"), high("y"), size)))
-        .withColumn("cell_x", F.explode(_span(low("x"), high("x"), size)))
-    )
-    placed = points.withColumn("cell_x", _cell(F.col(lon), size)).withColumn("cell_y", _cell(F.col(lat), size))
+    if radius > index.reach:
+        raise ValueError(f"the index reaches {index.reach} degrees, not {radius}")
+    x, y = F.col(lon), F.col(lat)
+    met = F.filter("entries", lambda t: t["whole"] | g.touches_disc(t["edges"], x, y, radius))
     return (
-        placed.join(boxed, ["cell_x", "cell_y"])
-        .filter(g.touches_disc(F.col("edges"), F.col(lon), F.col(lat), radius))
-        .drop("cell_x", "cell_y", "edges")
+        with_cells(points, index, lon, lat).withColumn("_t", F.explode(met))
+        .select(*points.columns, *[F.col(f"_t.{c}").alias(c) for c in _TERRITORY])
     )
 
 

@@ -11,6 +11,7 @@ from flightlake import schema
 from flightlake.operators import marts
 from flightlake.plans.sequence import first_per_key
 from flightlake.session import cut_lineage
+from flightlake.sources.tables import by_date
 
 # Counts under which a day looks suspicious.
 MIN_EVENTS = 10
@@ -165,11 +166,11 @@ def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_ma
         old_crossings = lambda: _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates)
         if event_dates[0] is not None:
             new = cut_lineage(rollup_events(events, old_events(), at))
-            new.write.mode("append").partitionBy("event_date").format("parquet").saveAsTable(tables.hist_events)
+            by_date(new, "event_date").write.mode("append").partitionBy("event_date").format("parquet").saveAsTable(tables.hist_events)
             out["events_rolled"] = new.count()
         if crossing_dates[0] is not None:
             new = cut_lineage(rollup_crossings(crossings, events, old_events(), old_crossings(), at))
-            new.write.mode("append").partitionBy("entered_date").format("parquet").saveAsTable(tables.hist_crossings)
+            by_date(new, "entered_date").write.mode("append").partitionBy("entered_date").format("parquet").saveAsTable(tables.hist_crossings)
             out["crossings_rolled"] = new.count()
             out["orphans"] = orphan_crossings(crossings, events).count()
         checks = []

@@ -82,7 +82,7 @@ _SESSIONS = {
 _STORED: dict[tuple, geo.TerritoryCells | geo.AirportGrids] = {}
 
 
-def _once(spark, sf, name, build):
+def once(spark, sf, name, build):
     """An index built and stored once per application and table folder."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
@@ -91,11 +91,11 @@ def _once(spark, sf, name, build):
 
 
 def _index(spark, sf):
-    return _once(spark, sf, "territories", lambda: geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL))
+    return once(spark, sf, "territories", lambda: geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL))
 
 
 def _grids(spark, sf):
-    return _once(spark, sf, "airports", lambda: geo.build_airport_grids(s.airports(spark, sf)))
+    return once(spark, sf, "airports", lambda: geo.build_airport_grids(s.airports(spark, sf)))
 
 
 # Events ------------------------------------------------------------------------------------
@@ -197,7 +197,8 @@ _DISC = """
 def disc_territories(spark, sf):
     spots = s.airports(spark, sf).select(
         "ident", (F.col("longitude_deg") + 0.25).alias("lon"), (F.col("latitude_deg") + 0.25).alias("lat"))
-    near = geo.near_territories(spots, geo.boundary_edges(s.boundaries(spark, sf)), 3.1, "lon", "lat", CELL)
+    index = once(spark, sf, "discs", lambda: geo.build_cells(geo.boundary_edges(s.boundaries(spark, sf)), CELL, reach=3.1))
+    near = geo.near_territories(spots, index, 3.1, "lon", "lat")
     return near.select("ident", "level", "territory_id")
 
 

@@ -8,6 +8,7 @@ from flightlake import schema
 from flightlake.functions import geometry, measure
 from flightlake.operators import dims, features, serve
 from flightlake.queries import standins as s
+from flightlake.queries.event_queries import once
 from flightlake.queries.registry import query
 from flightlake.sources import messages, positions
 
@@ -312,7 +313,8 @@ def congestion(spark, sf):
     """Aircraft within 600 km on the same day: the test positions are too sparse for one poll."""
     events = s.flight_events(spark, sf).withColumn("poll", F.col("event_date"))
     departed = events.filter(F.col("event_type") == "DEPARTED").select("event_id", "origin_iata", "poll")
-    return features.congestion(departed, events.select("icao24", "longitude", "latitude", "poll"), s.airports(spark, sf), near_km=600.0).drop("poll")
+    discs = once(spark, sf, "congestion", lambda: features.build_discs(s.airports(spark, sf), near_km=600.0))
+    return features.congestion(departed, events, discs).drop("poll")
 
 
 @query("delay_class", """

@@ -14,7 +14,8 @@ def build(app: str = "flightlake", master: str | None = None, shuffle_partitions
     """A session with the settings the plans in this package are written for.
 
     Adaptive execution picks partition counts, turns small shuffled sides into
-    broadcasts once their size is known, and splits skewed join partitions.
+    broadcasts once their size is known, and splits skewed join partitions. Reference
+    tables of up to 64 MB, by Spark's own measure, are broadcast.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -22,6 +23,7 @@ def build(app: str = "flightlake", master: str | None = None, shuffle_partitions
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
     )

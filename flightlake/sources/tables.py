@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake import schema
+from flightlake.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,11 @@ SOURCES = {
 }
 
 
+def by_date(rows: DataFrame, partition: str) -> DataFrame:
+    """Rows arranged for a write partitioned by date: few files per date, a large date in several."""
+    return rows.hint("rebalance", partition)
+
+
 class TableRegistry:
     """Named Parquet tables below one folder."""
 
@@ -60,8 +66,6 @@ class TableRegistry:
 
         Only the table's partitions that the batch touches are compared.
         """
-        from flightlake.session import cut_lineage
-
         part = SOURCES[name].partition
         shaped = rows.select(*[F.col(f.name).cast(f.dataType) for f in SOURCES[name].schema])
         shaped = shaped.dropDuplicates(list(key))
@@ -75,8 +79,10 @@ class TableRegistry:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
         new = cut_lineage(shaped)
-        writer = new.write.mode("append")
-        (writer.partitionBy(part) if part else writer).parquet(self.path(name))
+        if part:
+            by_date(new, part).write.mode("append").partitionBy(part).parquet(self.path(name))
+        else:
+            new.write.mode("append").parquet(self.path(name))
         return new
 
 

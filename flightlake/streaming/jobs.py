@@ -12,6 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from flightlake import schema
 from flightlake.functions.clean import shown_callsign
 from flightlake.functions.text import monitor_line
+from flightlake.operators.events import flights_to_events, typed_flights
+from flightlake.sources.files import flight_list_stream, load_summary
+from flightlake.sources.tables import by_date
 
 log = logging.getLogger(__name__)
 POLL = "60 seconds"
@@ -110,15 +113,12 @@ def load_flight_lists(
     The checkpoint is the ledger of loaded files. Each micro-batch writes its own
     folder, so a retried batch replaces itself.
     """
-    from flightlake.operators.events import flights_to_events, typed_flights
-    from flightlake.sources.files import flight_list_stream, load_summary
-
     at = F.lit(run_ts).cast("timestamp")
 
     def each(batch: DataFrame, number: int) -> None:
         typed = typed_flights(batch)
         rows = flights_to_events(typed, airports, at)
-        rows.write.mode("overwrite").partitionBy("event_date").parquet(f"{target}/events/batch={number}")
+        by_date(rows, "event_date").write.mode("overwrite").partitionBy("event_date").parquet(f"{target}/events/batch={number}")
         load_summary(typed).write.mode("overwrite").parquet(f"{target}/summary/batch={number}")
 
     query = start(flight_list_stream(spark, source, files_per_trigger), checkpoint, each=each, replay=True)

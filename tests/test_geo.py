@@ -84,8 +84,12 @@ def test_broadcast_and_salted_joins_agree(spark, territories, monkeypatch):
 
 def test_disc(spark, territories, rows):
     spots = spark.createDataFrame([(1, 2.6, 7.0), (2, 2.0, 7.0), (3, 5.0, 8.0)], "i int, lon double, lat double")
-    near = geo.near_territories(spots, territories.filter("level = 'COUNTRY'"), 0.2, "lon", "lat", 1.0).select("i", "territory_name")
-    assert rows(near) == [(1, "Nigeria"), (3, "Nigeria")]
+    countries = territories.filter("level = 'COUNTRY'")
+    for size in (0.1, 1.0, 7.0):
+        near = geo.near_territories(spots, geo.build_cells(countries, size, reach=0.2), 0.2, "lon", "lat").select("i", "territory_name")
+        assert rows(near) == [(1, "Nigeria"), (3, "Nigeria")]
+    with pytest.raises(ValueError):
+        geo.near_territories(spots, geo.build_cells(countries, 1.0), 0.2, "lon", "lat")
 
 
 def test_centroid(spark):

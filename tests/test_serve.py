@@ -96,7 +96,7 @@ def test_congestion_across_the_date_line_and_pole(spark):
     pings = spark.createDataFrame([(1, "a", -179.95, 0.0), (1, "b", 179.9, 0.2), (1, "c", -179.0, 0.0), (1, "d", 180.0 - 1e-9, 89.9), (2, "a", 179.95, 0.0), (1, "a", 179.96, 0.0)],
                                   "poll int, icao24 string, longitude double, latitude double")
     departures = spark.createDataFrame([(1, "DL"), (1, "PO"), (2, "DL"), (3, "DL")], "poll int, origin_iata string")
-    got = {(r["poll"], r["origin_iata"]): int(r["origin_congestion_score"]) for r in features.congestion(departures, pings, airports).collect()}
+    got = {(r["poll"], r["origin_iata"]): int(r["origin_congestion_score"]) for r in features.congestion(departures, pings, features.build_discs(airports)).collect()}
     assert got == {(1, "DL"): 2, (1, "PO"): 1, (2, "DL"): 1, (3, "DL"): 0}
 
 
