@@ -50,44 +50,70 @@ def territory_sessions(
     position before. They and the later stay borders are written to the shared
     folder, so neither a lost executor nor a later step repeats the scan.
     """
+    seen = with_event_type(located_pings(pings, index, exact_zero), order, carry=_SAME, width=width)
+    tracked = tracked_marks(seen, order, aircraft, width)
+    framed = framed_borders(tracked, order, width)
+    first, landed = F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), F.col("after.event_type").eqNullSafe("LANDED")
+    role = F.when(first, "START")
+    if mark_end:
+        role = role.when(landed, "END")
+    return framed.filter(F.col("territory_id").isNotNull()).select(
+        "icao24", "callsign",
+        F.col("last_event.at").alias("event_timestamp"), F.col("last_event.kind").alias("event_type"),
+        "territory_type", "territory_id", "territory_name",
+        role.otherwise("ROUTE").alias("crossing_role"),
+        *stay_end(F.col(order[0]), order[0]),
+    )
+
+
+def located_pings(pings: DataFrame, index: TerritoryCells, exact_zero: bool = False) -> DataFrame:
+    """Positions with their territory; none on the ground or without coordinates."""
     flying = ~F.col("on_ground") & has_position(exact=exact_zero)
-    located = with_territory(
-        pings.withColumn("_x", F.when(flying, F.col("longitude"))).withColumn("_y", F.when(flying, F.col("latitude"))),
-        index, "_x", "_y",
-    ).drop("_x", "_y")
-    seen = with_event_type(located, order, carry=_SAME, width=width)
-    over = F.col("territory_id").isNotNull()
-    marks = seen.filter(F.col("event_type").isNotNull() | (over & _differs("before"))).drop("before")
-    ts = order[0]
-    event = F.when(F.col("event_type").isNotNull(), F.struct(F.col(ts).alias("at"), F.col("event_type").alias("kind")))
+    placed = pings.withColumn("_x", F.when(flying, F.col("longitude"))).withColumn("_y", F.when(flying, F.col("latitude")))
+    return with_territory(placed, index, "_x", "_y").drop("_x", "_y")
+
+
+def tracked_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None, width: int) -> DataFrame:
+    """Rows that can matter to sessions, with the last accepted event at or before each.
+
+    A ``carried`` column marks the row an earlier run ended with; it brings its own ``carried_event``.
+    """
+    resumed = "carried" in seen.columns
+    is_event = F.col("event_type").isNotNull()
+    keep = is_event | (F.col("territory_id").isNotNull() & _differs("before"))
+    event = F.when(is_event, F.struct(F.col(order[0]).alias("at"), F.col("event_type").alias("kind")))
+    if resumed:
+        keep, event = keep | F.col("carried"), F.coalesce(event, F.col("carried_event"))
+    marks = seen.filter(keep).drop("before")
     if aircraft is not None:
         marks = marks.join(aircraft.select("icao24"), "icao24", "left_semi")
-    marks = cut_lineage(marks)
-    tracked = with_last_event(marks.withColumn("_event", event), order, "_event", width).drop("_event").filter(
+    return with_last_event(cut_lineage(marks).withColumn("_event", event), order, "_event", width).drop("_event").filter(
         F.col("last_event").isNotNull()
     )
+
+
+def framed_borders(tracked: DataFrame, order: tuple[str, ...], width: int) -> DataFrame:
+    """Landings and first rows of stays, each with the border before and after it."""
     landing = F.col("event_type").eqNullSafe("LANDED")
-    steps = tracked.filter(over | landing)
+    steps = tracked.filter(F.col("territory_id").isNotNull() | landing)
     near = with_neighbours(steps, ["icao24"], order, ["event_type", *_SAME], width, "before", "after").drop("after")
-    borders = near.filter(landing | F.col("before.territory_id").isNull() | _differs("before")).drop("before")
-    borders = cut_lineage(borders)
-    framed = with_neighbours(borders, ["icao24"], order, ["event_type", ts], width, "before", "after")
-    first = F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED")
-    landed = F.col("after.event_type").eqNullSafe("LANDED")
-    role = F.when(first, "START")
-    if mark_end:
-        role = role.when(landed, "END")
+    border = landing | F.col("before.territory_id").isNull() | _differs("before")
+    if "carried" in tracked.columns:
+        border = border | F.col("carried")
+    borders = cut_lineage(near.filter(border).drop("before"))
+    return with_neighbours(borders, ["icao24"], order, ["event_type", order[0]], width, "before", "after")
+
+
+def stay_end(entered: Column, ts: str) -> list[Column]:
+    """Entry, exit, status and minutes of a stay from the border ``after`` it."""
     exit_ = F.col(f"after.{ts}")
-    return framed.filter(over).select(
-        "icao24", "callsign",
-        F.col("last_event.at").alias("event_timestamp"), F.col("last_event.kind").alias("event_type"),
-        "territory_type", "territory_id", "territory_name",
-        role.otherwise("ROUTE").alias("crossing_role"),
+    landed = F.col("after.event_type").eqNullSafe("LANDED")
+    return [
         F.when(landed, "COMPLETED").otherwise("IN_PROGRESS").alias("flight_status"),
-        F.col(ts).alias("entered_at"), F.to_date(ts).alias("entered_date"),
+        entered.alias("entered_at"), F.to_date(entered).alias("entered_date"),
         exit_.alias("exited_at"), F.to_date(exit_).alias("exited_date"),
-        measure.stay_minutes(ts, f"after.{ts}").alias("duration_minutes"),
-    )
+        measure.stay_minutes(entered, exit_).alias("duration_minutes"),
+    ]
 
 
 def crossing_rows(sessions: DataFrame, run_ts: Column) -> DataFrame:

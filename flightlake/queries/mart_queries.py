@@ -27,7 +27,7 @@ def _join_on(group: str, left: str, right: str) -> str:
 _ROUTE = "origin_iata destination_iata origin_country destination_country"
 
 
-def _route_sql(joined: str, select: str) -> dict[str, str]:
+def _route_sql(joined: str) -> dict[str, str]:
     """CTEs of the route mart over a ``joined`` view with one row per joined flight."""
     group = ", ".join(_ROUTE.split())
     return {
@@ -62,7 +62,7 @@ _JOINED_ROUTES = """
     WHERE d.event_type = 'DEPARTED' AND d.origin_iata IS NOT NULL AND d.destination_iata IS NOT NULL"""
 
 _ROUTE_VIEWS = ("hist_events", "aircraft", "airports")
-_ROUTE_CTES = _route_sql(_JOINED_ROUTES, "")
+_ROUTE_CTES = _route_sql(_JOINED_ROUTES)
 
 
 def _routes(spark, sf):
@@ -177,7 +177,7 @@ _SCALE_CTES = {"shipped": _SHIPPED, "flown": _SCALE_EVENTS, "ports": _SCALE_AIRP
 _SCALE_YEAR_SQL = "".join(f"count(*) FILTER (WHERE yr = {y}) AS flights_{y}, " for y in _SCALE_YEARS)
 _SCALE_ROUTE = {
     **_SCALE_CTES,
-    **{k: v.replace(_YEARS.format(what="flights"), _SCALE_YEAR_SQL) for k, v in _route_sql(_SCALE_JOINED, "").items()},
+    **{k: v.replace(_YEARS.format(what="flights"), _SCALE_YEAR_SQL) for k, v in _route_sql(_SCALE_JOINED).items()},
 }
 
 

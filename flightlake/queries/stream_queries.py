@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flightlake.operators import events as event_ops
+from flightlake.plans.sequence import DAY
 from flightlake.queries import event_queries as eq
 from flightlake.queries import standins as s
 from flightlake.queries.registry import query
 from flightlake.session import prepare, workdir
 from flightlake.sources import files
-from flightlake.streaming import jobs, tracker
+from flightlake.streaming import jobs, microbatch
 
 _EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -33,21 +34,23 @@ def _stored(spark, stream, name):
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-def _records(spark, sf):
-    pings = s.pings(spark, sf, _streamed(spark, sf))
-    return _stored(spark, tracker.track(pings, eq._index(spark, sf), tie="event_id"), "tracker")
+def _tracked(spark, sf):
+    """All positions streamed through the micro-batch tracker."""
+    base = workdir(prepare(spark), "tracking")
+    job = microbatch.Tracking(base, eq._index(spark, sf), tie="event_id", width=DAY)
+    _finish(jobs.start(s.pings(spark, sf, _streamed(spark, sf)), f"{base}/checkpoint", each=job.each, replay=True))
+    return job
 
 
 @query("stream_events", s.with_views(
     f"SELECT {eq._EVENT_COLS} FROM detected WHERE event_type IS NOT NULL", "pings", detected=eq._DETECTED.format(src="pings")))
 def stream_events(spark, sf):
-    found = tracker.event_records(_records(spark, sf))
-    return found.select(F.col("tie").alias("event_id"), "icao24", "callsign", "event_type", "timestamp", "latitude", "longitude", "altitude_ft")
+    return _tracked(spark, sf).events(spark).select("event_id", "icao24", "callsign", "event_type", "timestamp", "latitude", "longitude", "altitude_ft")
 
 
 @query("stream_crossings", s.with_views(f"SELECT {eq._SESSION_COLS} FROM sessions", "pings", "boxes", **eq._SESSIONS))
 def stream_crossings(spark, sf):
-    return tracker.crossing_records(_records(spark, sf))
+    return _tracked(spark, sf).crossings(spark)
 
 
 @query("stream_latest", s.with_views(f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from flightlake import schema
 from flightlake.operators import crossings, events, geo
 from flightlake.sources import messages
-from flightlake.streaming import jobs, tracker
+from flightlake.streaming import jobs, microbatch, tracker
 
 from test_events import PING, T0, FLIGHT, pings
 
@@ -46,6 +46,38 @@ def test_stream_equals_batch(spark, tmp_path, rows, index):
     records.unpersist()
 
 
+def test_micro_batches_equal_one_batch(spark, tmp_path, rows, index):
+    df = spark.createDataFrame(pings(spark, {**busy(), "x": FLIGHT}).collect(), PING)
+    source = str(tmp_path / "in")
+    job = microbatch.Tracking(str(tmp_path / "out"), index)
+    low = datetime(2000, 1, 1)
+    for high in [T0 + timedelta(minutes=62), T0 + timedelta(minutes=152), T0 + timedelta(minutes=160), datetime(2100, 1, 1)]:
+        part = df.filter((F.col("timestamp") >= F.lit(low)) & (F.col("timestamp") < F.lit(high)))
+        # Each part is delivered with a copy of the part before it, which is late by then.
+        old = df.filter(F.col("timestamp") < F.lit(low))
+        part.unionByName(old).repartition(3).write.mode("append").parquet(source)
+        q = jobs.start(spark.readStream.schema(df.schema).parquet(source), str(tmp_path / "check"), each=job.each, replay=True)
+        q.awaitTermination()
+        low = high
+    cols = ["icao24", "event_type", "timestamp", "altitude_ft", "vertical_rate_fpm", "callsign"]
+    assert rows(job.events(spark).select(*cols)) == rows(events.detect_events(df).select(*cols))
+    batch = crossings.territory_sessions(df, index)
+    assert rows(job.crossings(spark).select(*batch.columns)) == rows(batch)
+
+
+def test_micro_batch_of_unknown_aircraft(spark, tmp_path, index):
+    df = pings(spark, {"x": FLIGHT, "y": FLIGHT})
+    job = microbatch.Tracking(str(tmp_path / "out"), index, aircraft=spark.createDataFrame([("x",)], "icao24 string"))
+    job.each(df, 0)
+    job.each(df.filter("false"), 1)
+    assert {r["icao24"] for r in job.crossings(spark).collect()} == {"x"}
+    # A retried micro-batch replaces its results.
+    before = job.crossings(spark).count()
+    job.each(df.filter("false"), 1)
+    job.each(df, 0)
+    assert job.crossings(spark).count() == before
+
+
 def test_late_and_unknown(spark, tmp_path, index):
     df = spark.createDataFrame(pings(spark, {"x": FLIGHT, "y": FLIGHT}).collect(), PING)
     known = spark.createDataFrame([("x",)], "icao24 string")
