@@ -1,8 +1,10 @@
 """Territory lookup and nearest airport without cross joins.
 
 Territories are cut into grid cells once per boundary release. A cell keeps,
-per territory, either "wholly inside" or just the edges that can matter to a
-point in that cell. All candidates of a cell sit in one row, so locating points
+per territory, either "wholly inside", or the edges that touch the cell and, for all edges
+to its right, the latitudes where their crossing count changes between odd and even. A
+coastline running past a cell leaves only its turning points there, so a cell stays small
+however detailed the outline. All candidates of a cell sit in one row, so locating points
 is one equi-join that keeps exactly one row per point, with the polygon test
 evaluated on that row: points are neither multiplied nor regrouped.
 
@@ -88,24 +90,43 @@ def build_cells(territories: DataFrame, size: float = 1.0, reach: float = 0.0) -
         .withColumn("band", F.filter("edges", lambda e: (high(e, "y") >= F.col("y0") - r) & (low(e, "y") <= F.col("y0") + step + r)))
         .drop("edges")
     )
+    right = F.col("x0") + step + r
     cut = (
         bands.withColumn("cell_x", F.explode(_span(F.col("x_lo"), F.col("x_hi"), size)))
         .withColumn("x0", F.col("cell_x") * step)
         .withColumn("near", F.filter("band", lambda e: high(e, "x") >= F.col("x0") - r))
-        .withColumn("touched", F.exists("near", lambda e: low(e, "x") <= F.col("x0") + step + r))
+        .withColumn("touching", F.filter("near", lambda e: low(e, "x") <= right))
+        .withColumn("touched", F.size("touching") > 0)
         .withColumn("centre_in", g.inside(F.col("near"), F.col("x0") + step / 2, F.col("y0") + step / 2))
+        .filter(F.col("touched") | F.col("centre_in"))
     )
-    entries = cut.filter(F.col("touched") | F.col("centre_in")).select(
-        "cell_x", "cell_y",
-        F.struct(
-            *_TERRITORY,
-            (~F.col("touched")).alias("whole"),
-            F.when(F.col("touched"), F.col("near")).otherwise(F.slice("near", 1, 0)).alias("edges"),
-        ).alias("entry"),
+    place = [*_TERRITORY, "cell_x", "cell_y"]
+    beyond = F.filter("near", lambda e: F.col("touched") & (low(e, "x") > right))
+    ends_of = F.flatten(F.transform(beyond, lambda e: F.array(low(e, "y"), high(e, "y"))))
+    # Below the cell only the parity counts, so all ends there move to its lower border; equal ends cancel in pairs.
+    flips = (
+        cut.select(*place, "y0", F.explode(ends_of).alias("y"))
+        .filter(F.col("y") <= F.col("y0") + step)
+        .groupBy(*place, F.greatest("y", "y0").alias("y")).agg((F.count(F.lit(1)) % 2).alias("odd"))
+        .filter(F.col("odd") == 1)
+        .groupBy(*place).agg(F.collect_list("y").alias("flips"))
+    )
+    entries = (
+        cut.select(*place, "touched", "touching").join(flips, place, "left")
+        .select("cell_x", "cell_y", F.struct(
+            *_TERRITORY, (~F.col("touched")).alias("whole"), F.col("touching").alias("edges"),
+            F.coalesce("flips", F.array().cast("array<double>")).alias("flips"),
+        ).alias("entry"))
     )
     return TerritoryCells(entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries")), size, reach=reach)
 
 
+def _in_entry(entry: Column, lon: Column, lat: Column) -> Column:
+    """Even-odd test of a point against a territory's entry in the point's cell."""
+    crossed = F.size(F.filter(entry["edges"], lambda e: g.ray_hits(e, lon, lat)))
+    return entry["whole"] | ((crossed + F.size(F.filter(entry["flips"], lambda y: y <= lat))) % 2 == 1)
+
+
 def with_cells(points: DataFrame, index: TerritoryCells, lon: str, lat: str) -> DataFrame:
     """Points with the candidate territories of their cell; one row per point."""
     placed = points.withColumn("cell_x", _cell(F.col(lon), index.size)).withColumn("cell_y", _cell(F.col(lat), index.size))
@@ -114,7 +135,7 @@ def with_cells(points: DataFrame, index: TerritoryCells, lon: str, lat: str) ->
 
 def containing(entries: Column, level: str, lon: Column, lat: Column) -> Column:
     """Smallest-id territory of a level that contains the point, or NULL."""
-    hits = F.filter(entries, lambda t: (t["level"] == level) & (t["whole"] | g.inside(t["edges"], lon, lat)))
+    hits = F.filter(entries, lambda t: (t["level"] == level) & _in_entry(t, lon, lat))
     return F.array_min(F.transform(hits, lambda t: F.struct(t["territory_id"].alias("id"), t["territory_name"].alias("name"))))
 
 
@@ -155,7 +176,8 @@ def near_territories(points: DataFrame, index: TerritoryCells, radius: float, lo
     if radius > index.reach:
         raise ValueError(f"the index reaches {index.reach} degrees, not {radius}")
     x, y = F.col(lon), F.col(lat)
-    met = F.filter("entries", lambda t: t["whole"] | g.touches_disc(t["edges"], x, y, radius))
+    close = lambda t: F.exists(t["edges"], lambda e: g.segment_distance(e, x, y) <= radius)
+    met = F.filter("entries", lambda t: _in_entry(t, x, y) | close(t))
     return (
         with_cells(points, index, lon, lat).withColumn("_t", F.explode(met))
         .select(*points.columns, *[F.col(f"_t.{c}").alias(c) for c in _TERRITORY])
