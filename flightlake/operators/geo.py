@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from flightlake.functions import geometry as g
 from flightlake.plans.lookup import join_lookup
-from flightlake.session import cut_lineage_sized
+from flightlake.session import cut_lineage, cut_lineage_sized
 
 _TERRITORY = ("level", "territory_id", "territory_name")
 
@@ -75,13 +75,15 @@ def build_cells(territories: DataFrame, size: float = 1.0, reach: float = 0.0) -
     Edges are first cut to latitude bands, then to cells, so the work per cell
     is the edges of its band. A cell that no edge touches is wholly in or out.
     ``reach`` also enters territories and edges up to that many degrees outside a cell, for discs.
+    The parsed edges are written to the shared folder, so outlines are parsed once.
     """
     step, r = F.lit(float(size)), F.lit(float(reach))
     low = lambda e, axis: F.least(e[f"{axis}1"], e[f"{axis}2"])
     high = lambda e, axis: F.greatest(e[f"{axis}1"], e[f"{axis}2"])
     ends = lambda pick, f, axis: pick(F.transform("edges", lambda e: f(e, axis)))
+    drawn = cut_lineage(territories.select(*_TERRITORY, "edges"))
     bands = (
-        territories.select(
+        drawn.select(
             *_TERRITORY, "edges",
             (ends(F.array_min, low, "x") - r).alias("x_lo"), (ends(F.array_max, high, "x") + r).alias("x_hi"),
             F.explode(_span(ends(F.array_min, low, "y") - r, ends(F.array_max, high, "y") + r, size)).alias("cell_y"),

@@ -4,7 +4,8 @@ Each micro-batch of positions runs the same plans as a batch: events and stays i
 time chunks, on executors only. What a later batch needs is one row per aircraft: the
 last position, the last accepted event and the stay still open. That row joins the next
 micro-batch as its earliest position. A busy aircraft is split as in a batch, so a micro-batch may be
-of any size. State and results are numbered by micro-batch and overwritten on a retry.
+of any size. Results are numbered by micro-batch and overwritten on a retry. The state rotates over
+three folders, so the one a retry starts from is never the one being written, and old states do not pile up.
 """
 
 from __future__ import annotations
@@ -42,10 +43,14 @@ class Tracking:
     def each(self, batch: DataFrame, number: int) -> None:
         """Batch function for ``jobs.start``."""
         spark = batch.sparkSession
-        before = spark.read.schema(_STATE).parquet(f"{self.base}/state/batch={number - 1}") if number else spark.createDataFrame([], _STATE)
+        before = spark.read.schema(_STATE).parquet(self._state(number - 1)) if number else spark.createDataFrame([], _STATE)
         events, closed, state = self.step(batch, before)
-        for name, rows in (("events", events), ("crossings", closed), ("state", state)):
-            rows.write.mode("overwrite").parquet(f"{self.base}/{name}/batch={number}")
+        events.write.mode("overwrite").parquet(f"{self.base}/events/batch={number}")
+        closed.write.mode("overwrite").parquet(f"{self.base}/crossings/batch={number}")
+        state.withColumn("number", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(self._state(number))
+
+    def _state(self, number: int) -> str:
+        return f"{self.base}/state/slot={number % 3}"
 
     def step(self, batch: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Events and ended stays of a micro-batch, and the state after it.
@@ -89,9 +94,9 @@ class Tracking:
     def crossings(self, spark: SparkSession) -> DataFrame:
         """Ended stays, and those the newest state still has open."""
         ended = spark.read.option("basePath", f"{self.base}/crossings").parquet(f"{self.base}/crossings/batch=*").drop("batch")
-        states = spark.read.option("basePath", f"{self.base}/state").parquet(f"{self.base}/state/batch=*")
-        newest = states.agg(F.max("batch")).first()[0]
-        still = states.filter(F.col("batch") == newest).filter(F.col("stay").isNotNull()).select("icao24", "stay.*").withColumns({
+        states = spark.read.schema(f"{_STATE}, number bigint").parquet(f"{self.base}/state/slot=*")
+        newest = states.agg(F.max("number")).first()[0]
+        still = states.filter(F.col("number") == newest).filter(F.col("stay").isNotNull()).select("icao24", "stay.*").withColumns({
             "crossing_role": F.col("role"), "flight_status": F.lit("IN_PROGRESS"), "entered_date": F.to_date("entered_at"),
             "exited_at": F.lit(None).cast("timestamp"), "exited_date": F.lit(None).cast("date"), "duration_minutes": F.lit(None).cast("decimal(8,2)"),
         })
