@@ -117,7 +117,9 @@ def typed_flights(lists: DataFrame) -> DataFrame:
     numbers = {c: clean.to_double(c) for c in ("latitude_1", "longitude_1", "altitude_1", "latitude_2", "longitude_2", "altitude_2")}
     times = {c: clean.to_time(c) for c in ("firstseen", "lastseen")}
     kept = [c for c in lists.columns if c not in schema.FLIGHT_LIST_COLUMNS]
-    return lists.select(*kept, *[c.alias(n) for n, c in {**texts, **numbers, **times}.items()]).withColumn(
+    # As a generator the parse stays below the filter on its outcome and runs once per flight.
+    typed = F.inline(F.array(F.struct(*[c.alias(n) for n, c in {**texts, **numbers, **times}.items()])))
+    return lists.select(*kept, typed).withColumn(
         "accepted", F.col("icao24").isNotNull() & F.col("firstseen").isNotNull() & F.col("lastseen").isNotNull()
     )
 

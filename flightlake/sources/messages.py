@@ -21,7 +21,8 @@ def to_messages(events: DataFrame, time: str = "event_timestamp") -> DataFrame:
 
 def from_messages(messages: DataFrame, body: str = "value") -> DataFrame:
     """Event columns out of JSON values; messages without an aircraft id are ignored."""
-    parsed = messages.select(F.from_json(F.col(body).cast("string"), schema.MESSAGE).alias("m")).select("m.*")
+    # As a generator the parse stays below the filter and runs once per message.
+    parsed = messages.select(F.inline(F.array(F.from_json(F.col(body).cast("string"), schema.MESSAGE))))
     return parsed.filter(F.coalesce(F.col("icao24"), F.lit("")) != "").withColumn(
         "event_timestamp", F.to_timestamp("event_timestamp")
     )
