@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import packing
+from flightlake.llm import lines, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,23 @@ def tokenizer(name: str = "byte_bpe_50k.json") -> str:
 def op2_sum_of_squares_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Where each piece of each document stands in sequences of 1024 tokens."""
     return packing.packed_documents(table(spark, sf, "documents"), tokenizer())
+
+
+@query
+def op6_line_keep_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the lines that ten or more of them share."""
+    docs = table(spark, sf, "documents")
+    return lines.digests(docs, lines.keep_bitmaps(docs, min_docs=10, min_chars=1))
+
+
+ORACLES["op6_line_keep_bitmaps"] = r"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS body, row_number() OVER () AS rid FROM documents),
+line AS (SELECT rid, doc_id, unnest(string_split(body, chr(10))) AS s, unnest(range(len(string_split(body, chr(10))))) AS i FROM doc),
+keyed AS (SELECT rid, doc_id, s, i, translate(regexp_replace(s, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM line),
+common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT rid) >= 10),
+judged AS (SELECT rid, doc_id, s, i, k IN (SELECT k FROM common) AS gone FROM keyed)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(s, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY rid
+"""
