@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import lines, packing
+from flightlake.llm import contamination, lines, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,26 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
   sha256(coalesce(string_agg(s, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY rid
 """
+
+
+@query
+def op9_fm_index_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """How much of each document benchmark items cover."""
+    return contamination.digests(contamination.removal_spans(table(spark, sf, "documents"), table(spark, sf, "benchmark"), size=10))
+
+
+ORACLES["op9_fm_index_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+phrase AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM phrase),
+start AS (SELECT rid, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+hit AS (SELECT s.rid, s.i, s.n, q.item_id FROM (SELECT rid, n, i, array_to_string(w[i : i + n - 1], ' ') AS p FROM start) s JOIN phrase q ON q.p = s.p AND q.n = s.n),
+word AS (SELECT rid, count(DISTINCT i) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS i FROM hit) GROUP BY rid),
+item AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item_id FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (rid) LEFT JOIN item USING (rid)
+"""
