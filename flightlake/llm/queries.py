@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, lines, packing
+from flightlake.llm import contamination, lines, packing, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,3 +76,18 @@ item AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN word USING (rid) LEFT JOIN item USING (rid)
 """
+
+
+@query
+def op7_block_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+ORACLES["op7_block_top_k"] = """
+WITH fine AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+"""
