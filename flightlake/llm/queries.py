@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, lines, packing, topk
+from flightlake.llm import contamination, lines, packing, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,21 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE
   FROM fine q JOIN fine c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
 """
+
+
+@query
+def op1_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
+    """Which pages repeat the payload of another one."""
+    return warc.resolved_pages(table(spark, sf, "pages"), min_bytes=0)
+
+
+ORACLES["op1_warc_revisits"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT body, max(page_id) AS original FROM p GROUP BY body)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(d, 1 + 5 * (i // 4), 5))::BIGINT) >> (5 * (3 - i % 4))) & 31)::INTEGER + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to
+FROM p JOIN f USING (body)
+"""
