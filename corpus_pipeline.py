@@ -9,19 +9,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import packing
+from flightlake.llm import contamination, cotrain, lines, packing
 from flightlake.llm.common import stage
 from flightlake.llm.queries import table, tokenizer
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier finds good and not toxic."""
+    return cotrain.accepted(docs, cotrain.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more of them share."""
+    return lines.apply_bitmaps(docs, lines.keep_bitmaps(docs))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where the pieces of the documents stand in sequences of 1024 tokens."""
     return packing.packed_documents(docs, tokenizer())
 
 
-STAGES: list[tuple[str, Stage]] = [("best_fit_packing", pack)]
+STAGES: list[tuple[str, Stage]] = [("quality_classifier", classify), ("line_dedup", drop_lines), ("best_fit_packing", pack)]
 #: Training, hashing and tokenizing are beyond SQL; the stages are tested one by one and together.
 ORACLE_SQL = None
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, lines, packing, topk, warc
+from flightlake.llm import contamination, cotrain, lines, packing, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -109,3 +109,10 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
   CASE WHEN page_id <> original THEN original END AS refers_to
 FROM p JOIN f USING (body)
 """
+
+
+@query
+def op10_cotrained_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality and toxicity of every document, by a model fitted on a sample of the labels."""
+    docs = table(spark, sf, "documents")
+    return cotrain.scores(docs, cotrain.fit(docs, table(spark, sf, "labels")))
