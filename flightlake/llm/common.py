@@ -184,3 +184,24 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 def arrow_batch(schema: pa.Schema, *columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, label`` for every end of ``edges`` (longs ``a, b``): the smallest node that links lead to.
+
+    Each round takes the smallest label among the neighbours and then the label of that label, so chains shrink by
+    powers; it ends when no label changes. Labels are staged round by round and the older ones deleted.
+    """
+    both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
+    while True:
+        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
+        lower = stage(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label")))
+        jump = lower.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        new = stage(lower.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
+        changed = new.filter("label <> old").limit(1).count()
+        unstage(labels, lower)
+        labels = new
+        if not changed:
+            unstage(both)
+            return labels.select("node", "label")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, cotrain, lines, packing, topk, warc
+from flightlake.llm import contamination, cotrain, jaccard, lines, packing, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,3 +116,12 @@ def op10_cotrained_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality and toxicity of every document, by a model fitted on a sample of the labels."""
     docs = table(spark, sf, "documents")
     return cotrain.scores(docs, cotrain.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op5_grouped_prefix_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by the component of near copies they are in: four-word shingles, similarity 0.85."""
+    return jaccard.jaccard_components(table(spark, sf, "documents"), size=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+# DuckDB has no connected components short of a recursion over all links; the query is tested against brute force.
