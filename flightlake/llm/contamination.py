@@ -24,7 +24,7 @@ from flightlake.llm.common import ALNUM, LOWER, arrow_batch, batches_of, flat, k
 SAMPLE = 8
 #: Characters of test items whose phrases travel as one block.
 BLOCK_CHARS = 8_000_000
-SPANS = "doc_id long, _h long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+SPANS = "doc_id long, _h int, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
 class WaveletMatrix:
@@ -174,7 +174,7 @@ def occurrences(hashes: np.ndarray, counts: np.ndarray, p: Phrases) -> tuple[np.
 
 
 def _search(batches: Iterator[pa.RecordBatch], phrases) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
     p = phrases.value
     for batch in batches_of(batches):
         hashes, counts = hashed_words(batch.column(2))

@@ -70,7 +70,7 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(np.maximum(counts / max(counts.mean(), 1e-9), 1))).astype(np.uint64)
 
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("g", pa.int64()), ("hist", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("g", pa.int64()), ("hist", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int, percent: int, level) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     for r in texts.select("text").mapInArrow(partial(_count, size=size), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["bucket"]] = r["n"]  # at most SKETCH rows, whatever the corpus
     level = spark.sparkContext.broadcast(levels(counts))
-    rows = stage(texts.mapInArrow(partial(_sets, size=size, percent=percent, level=level), "doc_id long, _h long, n long, s1 long, s2 long, g long, hist binary, prefix array<long>"))
+    rows = stage(texts.mapInArrow(partial(_sets, size=size, percent=percent, level=level), "doc_id long, _h int, n long, s1 long, s2 long, g long, hist binary, prefix array<long>"))
     same = ["s1", "s2", "n"]
     sets = stage(
         rows.filter("n > 0").groupBy(*same).agg(F.min(F.struct("doc_id", "_h")).alias("rep"), F.min("doc_id").alias("least"), F.first("g").alias("g"), F.first("hist").alias("hist"))

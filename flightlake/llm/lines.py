@@ -24,9 +24,9 @@ from flightlake.llm.common import arrow_batch, batches_of, keyed, on_key, stage
 
 #: Stripped from both ends of a line before it is compared.
 BLANKS = b" \t\n\x0b\x0c\r"
-_LINES = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("_h", pa.int64()), ("line", pa.int32())])
+_LINES = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("_h", pa.int32()), ("line", pa.int32())])
 _FOUND = pa.schema([("kind", pa.int32()), *_LINES])
-_COLUMNS = "h1 long, h2 long, doc_id long, _h long, line int"
+_COLUMNS = "h1 long, h2 long, doc_id long, _h int, line int"
 DROP, OPEN, FULL = 0, 1, 2
 
 
@@ -106,7 +106,7 @@ def _stream(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.Rec
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("keep", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("keep", pa.binary())])
     for batch in batches:
         maps = []
         for lines in batch.column(2).to_pylist():
@@ -135,7 +135,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Dat
     doc_id = F.when(F.col("doc_id") != F.lit(-(1 << 63)), F.col("doc_id")).alias("doc_id")
     dropped = found.filter(F.col("kind") == DROP).unionByName(late).select(doc_id, "_h", "line")
     grouped = dropped.groupBy("doc_id", "_h").agg(F.collect_list("line").alias("lines"))
-    return grouped.mapInArrow(_bitmaps, "doc_id long, _h long, keep binary")
+    return grouped.mapInArrow(_bitmaps, "doc_id long, _h int, keep binary")
 
 
 def kept_lines(text: bytes, keep: bytes | None) -> tuple[list[bytes], int]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, cotrain, jaccard, lines, packing, topk, warc
+from flightlake.llm import contamination, cotrain, jaccard, lines, packing, passages, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,21 @@ def op5_grouped_prefix_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # DuckDB has no connected components short of a recursion over all links; the query is tested against brute force.
+
+
+@query
+def op3_de_bruijn_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the words of passages of 35 words that also stand elsewhere."""
+    return passages.digests(table(spark, sf, "documents"), window=35)
+
+
+ORACLES["op3_de_bruijn_passages"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+start AS (SELECT rid, i, md5(array_to_string(w[i : i + 34], ' ')) AS h FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+often AS (SELECT h FROM start GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM start WHERE h IN (SELECT h FROM often)),
+word AS (SELECT rid, unnest(w) AS s, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT rid, count(*) AS n, string_agg(s, ' ' ORDER BY i) AS body FROM word ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
