@@ -111,6 +111,12 @@ def _pairs(runs: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray,
         at = to
 
 
+def _opened(packed: pa.Array) -> np.ndarray:
+    """One row of counts for each packed histogram; the order of the buckets does not matter."""
+    both = np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(-1, BINS // 2)
+    return np.concatenate([both & 15, both >> 4], 1)
+
+
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Whole lists of one partition sorted by list: the columns with histograms opened, some lists at a time."""
     names = ("token", "lo", "hi", "b", "sid", "n", "comp")
@@ -118,8 +124,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        packed = np.frombuffer(b"".join(batch.column("hist").to_pylist()), np.uint8).reshape(-1, BINS // 2)
-        t = [*(batch.column(c).to_numpy(zero_copy_only=False) for c in names), np.concatenate([packed & 15, packed >> 4], 1)]
+        t = [*(batch.column(c).to_numpy(zero_copy_only=False) for c in names), _opened(batch.column("hist"))]
         if held is not None:
             t = [np.concatenate(x) for x in zip(held, t)]
         same = (t[0] == t[0][-1]) & (t[1] == t[1][-1]) & (t[2] == t[2][-1])
@@ -168,6 +173,22 @@ def _whole(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([t.tobytes() for t in shingles(batch.column("text"), size)], pa.binary())], names=["sid", "tokens"])
 
 
+def _allowed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hist = np.concatenate([_opened(batch.column(c)) for c in ("hist_a", "hist_b")])
+        sizes = np.concatenate([batch.column(c).to_numpy() for c in ("n_a", "n_b")])
+        at = np.arange(batch.num_rows)
+        yield batch.select(["a", "b"]).filter(pa.array(bound_passes(hist, sizes, at, at + batch.num_rows, percent)))
+
+
+def allowed(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``a, b`` that sizes and histograms allow."""
+    both = pairs
+    for end in "ab":
+        both = both.join(members.select(F.col("sid").alias(end), F.col("n").alias(f"n_{end}"), F.col("hist").alias(f"hist_{end}")), end)
+    return both.select("a", "b", "n_a", "n_b", "hist_a", "hist_b").mapInArrow(partial(_allowed, percent=percent), "a long, b long")
+
+
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches_of(batches, "tokens_a"):
         keep = []
@@ -229,7 +250,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     pivots = placed.groupBy("token").agg(F.max(F.struct("weight", "sid", "n")).alias("p")).select("token", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pivot_n"))
     fits = (F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent) & (F.col("sid") != F.col("pivot"))
     stars = stage(placed.join(pivots, "token").filter(fits).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct())
-    first = stage(verified(stars, whole, percent))
+    first = stage(verified(stage(allowed(stars, member.join(involved, "sid"), percent)), whole, percent))
     joined = components(first)
     apart = lists.join(joined.select(F.col("node").alias("sid"), "label"), "sid", "left").withColumn("comp", F.coalesce("label", "sid"))
     rest = stage(_blocks(apart).mapInArrow(partial(_close, percent=percent, pairs=True), "a long, b long").distinct())
