@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, cotrain, jaccard, lines, packing, passages, topk, warc
+from flightlake.llm import contamination, cotrain, jaccard, lines, packing, passages, suffixes, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +143,12 @@ kept AS (SELECT rid, count(*) AS n, string_agg(s, ' ' ORDER BY i) AS body FROM w
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (rid)
 """
+
+
+@query
+def op4_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the bytes of strings of 400 bytes that also stand elsewhere."""
+    return suffixes.digests(table(spark, sf, "documents"), window=400)
+
+
+# DuckDB can't hash the 400 bytes at every offset of every text in bounded memory; the query is tested against brute force.
