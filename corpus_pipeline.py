@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.llm import contamination, cotrain, lines, packing
+from flightlake.llm import contamination, cotrain, jaccard, lines, packing
 from flightlake.llm.common import stage
 from flightlake.llm.queries import table, tokenizer
 
@@ -26,12 +26,28 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.apply_bitmaps(docs, lines.keep_bitmaps(docs))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: five-word shingles, similarity 0.8."""
+    return jaccard.one_of_each(docs, size=5, percent=80)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with the spans cut out that they share with benchmark items."""
+    return contamination.without_spans(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where the pieces of the documents stand in sequences of 1024 tokens."""
     return packing.packed_documents(docs, tokenizer())
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_classifier", classify), ("line_dedup", drop_lines), ("best_fit_packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", classify),
+    ("line_dedup", drop_lines),
+    ("ngram_jaccard_join", one_of_each),
+    ("benchmark_decontamination", decontaminate),
+    ("best_fit_packing", pack),
+]
 #: Training, hashing and tokenizing are beyond SQL; the stages are tested one by one and together.
 ORACLE_SQL = None
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import ALNUM, LOWER, arrow_batch, batches_of, flat, keyed, word_bounds, word_hashes
+from flightlake.llm.common import ALNUM, LOWER, arrow_batch, batches_of, flat, keyed, text_key, word_bounds, word_hashes
 
 SAMPLE = 8
 #: Characters of test items whose phrases travel as one block.
@@ -253,3 +253,31 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(spans: DataFrame) -> DataFrame:
     """Counts and a digest of the items for each document."""
     return spans.mapInArrow(_digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches_of(batches):
+        data, offsets = flat(batch.column("text"))
+        starts, ends, counts = word_bounds(LOWER[data], offsets, ALNUM)
+        texts, whole = [], data.tobytes()
+        for i, spans in enumerate(batch.column("__spans").to_pylist()):
+            at, parts = int(offsets[i]), []
+            for s in spans or ():
+                parts.append(whole[at : starts[counts[i] + s["start"]]])
+                at = int(ends[counts[i] + s["end"] - 1])
+            texts.append(b"".join([*parts, whole[at : offsets[i + 1]]]))
+        nulls = batch.column("text").is_null().to_numpy(zero_copy_only=False)
+        cleaned = pa.array([None if null else t for t, null in zip(texts, nulls)], pa.binary()).view(pa.string())
+        names = [n for n in batch.schema.names if n not in ("text", "__spans")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), cleaned], names=[*names, "text"])
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """``docs`` with all columns; every span that test phrases cover is cut out, from its first word to its last."""
+    found = removal_spans(docs, benchmark, size).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "_h"])
+    marked = docs.withColumn("__h", text_key(docs["text"]))
+    same = (marked["__h"] == found["_h"]) & marked["doc_id"].cast("long").eqNullSafe(found["doc_id"])
+    both = marked.join(found, same, "left").select(*(marked[f"`{c}`"] for c in docs.columns if c != "text"), found["spans"].alias("__spans"), marked["text"])
+    kinds = dict(docs.dtypes)
+    out = both.mapInArrow(_without, ", ".join(f"`{c}` {kinds[c]}" for c in [*(c for c in docs.columns if c != "text"), "text"]))
+    return out.select(*(out[f"`{c}`"] for c in docs.columns))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import LOWER, SPACED, arrow_batch, batches_of, components, flat, keyed, mixed, prefix_sums, signed, span_hash, stage, unstage, word_bounds, word_hashes
+from flightlake.llm.common import LOWER, SPACED, arrow_batch, batches_of, components, flat, keyed, mixed, prefix_sums, signed, span_hash, stage, text_key, unstage, word_bounds, word_hashes
 
 #: Buckets that tokens are counted in to find the frequent ones; fixed, whatever the corpus.
 SKETCH = 1 << 16
@@ -207,11 +207,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, _h, n_shingles, component_id`` of every row.
+    """``doc_id, _h, n_shingles, component_id, label`` of every row.
 
     A document's set holds its distinct runs of ``size`` words; words are runs of anything but ASCII white space, with A-Z in lower
     case. A text of fewer words has the run of all of them, one without words (or null) no run, and links with nothing. Two documents link if
-    their sets' intersection is at least ``percent`` hundredths of their union; ``component_id`` is the smallest id that links lead to.
+    their sets' intersection is at least ``percent`` hundredths of their union; ``component_id`` is the smallest id that links lead to, and
+    ``label`` a number of the component, null without words.
     Rows with equal sets are one member of the join, however many they are. Of null ids in a component the others decide.
     """
     spark = docs.sparkSession
@@ -259,7 +260,21 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     labelled = sets.join(final.select(F.col("node").alias("sid"), "label"), "sid", "left").select(*same, "least", F.coalesce("label", "sid").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_set = stage(labelled.join(named, "label").select(*same, "component_id"))
+    of_set = stage(labelled.join(named, "label").select(*same, "label", "component_id"))
     result = rows.select("doc_id", "_h", *same).join(of_set, same, "left")
     unstage(sets, listed, involved, lists, whole, stars, first, rest)
-    return result.select("doc_id", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return result.select("doc_id", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with all columns, and of each component only the row with the smallest id (null before any; then by text).
+
+    Rows without words are all kept, but for equal rows, of which one stays.
+    """
+    found = jaccard_components(docs, size, percent)
+    least = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    parts = found.select(least.alias("__id"), F.col("_h").alias("__h"), "label")
+    first = parts.filter("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("__id", "__h")).alias("f")).select("f.*")
+    keep = stage(first.unionByName(parts.filter("label IS NULL").select("__id", "__h")).distinct())
+    marked = docs.withColumns({"__id": F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))), "__h": text_key(docs["text"])})
+    return marked.join(keep, ["__id", "__h"], "left_semi").dropDuplicates(["__id", "__h"]).select(*(marked[f"`{c}`"] for c in docs.columns))
