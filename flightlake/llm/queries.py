@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, cotrain, jaccard, lines, packing, passages, suffixes, topk, warc
+from flightlake.llm import contamination, cotrain, jaccard, licences, lines, packing, passages, suffixes, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -152,3 +152,12 @@ def op4_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # DuckDB can't hash the 400 bytes at every offset of every text in bounded memory; the query is tested against brute force.
+
+
+@query
+def op8_licence_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with known licence sentences, and the licences these make."""
+    return licences.licences(table(spark, sf, "documents"))
+
+
+ORACLES["op8_licence_sentences"] = licences.licences_sql()
