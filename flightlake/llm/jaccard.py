@@ -26,7 +26,7 @@ from flightlake.llm.common import LOWER, SPACED, arrow_batch, batches_of, compon
 
 #: Buckets that tokens are counted in to find the frequent ones; fixed, whatever the corpus.
 SKETCH = 1 << 16
-#: Buckets of a set's histogram, two to a byte, each counting up to 15.
+#: Buckets of a set's histogram, a byte each.
 BINS = 256
 #: Members of a list that are compared at a time.
 BLOCK = 1024
@@ -52,8 +52,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def histogram(tokens: np.ndarray) -> bytes:
-    counts = np.minimum(np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 15).astype(np.uint8)
-    return (counts[::2] | counts[1::2] << 4).tobytes()
+    return np.minimum(np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
 def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -92,7 +91,7 @@ def bound_passes(hist: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarr
     sizes_ok = np.minimum(sizes[a], sizes[b]) * 100 >= percent * np.maximum(sizes[a], sizes[b])
     out = np.zeros(len(a), bool)
     at = np.flatnonzero(sizes_ok)
-    apart = np.abs(hist[a[at]].astype(np.int8) - hist[b[at]].astype(np.int8)).sum(1, dtype=np.int64)
+    apart = np.abs(hist[a[at]].astype(np.int16) - hist[b[at]].astype(np.int16)).sum(1, dtype=np.int64)
     out[at] = (100 + percent) * apart <= (100 - percent) * (sizes[a[at]] + sizes[b[at]])
     return out
 
@@ -112,9 +111,8 @@ def _pairs(runs: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _opened(packed: pa.Array) -> np.ndarray:
-    """One row of counts for each packed histogram; the order of the buckets does not matter."""
-    both = np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(-1, BINS // 2)
-    return np.concatenate([both & 15, both >> 4], 1)
+    """One row of counts for each packed histogram."""
+    return np.frombuffer(b"".join(packed.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
