@@ -98,6 +98,8 @@ class Linear:
 
     def columns(self, features: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and vocabulary place of the known features."""
+        if not len(self.vocabulary):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.searchsorted(self.vocabulary, features)
         known = self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == features
         return np.repeat(np.arange(len(begins) - 1), np.diff(begins))[known], at[known]
@@ -209,8 +211,9 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _train_task(frames: Iterator[pd.DataFrame], rounds: int) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(frames), ignore_index=True)
-    if len(rows):
+    parts = [f for f in frames if len(f)]
+    if parts:
+        rows = pd.concat(parts, ignore_index=True)
         rows["doc_id"] = rows["doc_id"].fillna(-1)
         rows = rows.sort_values("doc_id", kind="stable")
         parts = [np.asarray(f, np.int64).view(np.uint64) for f in rows["features"]]

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import arrow_batch, batches_of, keyed, on_key, stage
+from flightlake.llm.common import arrow_batch, batches_of, keyed, on_key, stage, text_key
 
 #: Stripped from both ends of a line before it is compared.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -147,12 +147,6 @@ def kept_lines(text: bytes, keep: bytes | None) -> tuple[list[bytes], int]:
     return [x for i, x in enumerate(lines) if i >= len(bits) or bits[i]], len(lines)
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, *more: str) -> DataFrame:
-    """``doc_id, text, keep`` and the columns named: each document beside its bitmap, null if it keeps all."""
-    left = keyed(docs, *more)
-    return left.join(bitmaps, on_key(left, bitmaps), "left").select(left["doc_id"], left["text"], bitmaps["keep"], *(left[c] for c in more))
-
-
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
     for batch in batches_of(batches):
@@ -166,22 +160,26 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` of every row: the bitmaps applied to the texts."""
-    return with_bitmaps(docs, bitmaps).mapInArrow(_digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    left = keyed(docs)
+    both = left.join(bitmaps, on_key(left, bitmaps), "left").select(left["doc_id"], left["text"], bitmaps["keep"])
+    return both.mapInArrow(_digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches_of(batches):
         texts = []
-        for text, keep in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("keep").to_pylist()):
-            texts.append(None if text is None else b"\n".join(kept_lines(text, keep)[0]).decode("utf-8", "replace"))
-        names = [n for n in batch.schema.names if n not in ("text", "keep")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, "text"])
+        for text, keep in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("__keep").to_pylist()):
+            texts.append(None if text is None else b"\n".join(kept_lines(text, keep)[0]))
+        names = [n for n in batch.schema.names if n not in ("text", "__keep")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.binary()).view(pa.string())], names=[*names, "text"])
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with all its columns and without the dropped lines; a null text stays null."""
-    more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    both = with_bitmaps(docs, bitmaps, *more)
-    kinds = dict(both.dtypes)
-    cleaned = both.mapInArrow(_apply, ", ".join(f"`{c}` {kinds[c]}" for c in [*(c for c in both.columns if c not in ("text", "keep")), "text"]))
+    marked = docs.withColumn("__h", text_key(docs["text"]))
+    same = (marked["__h"] == bitmaps["_h"]) & marked["doc_id"].cast("long").eqNullSafe(bitmaps["doc_id"])
+    rest = [c for c in docs.columns if c != "text"]
+    both = marked.join(bitmaps, same, "left").select(*(marked[f"`{c}`"] for c in rest), bitmaps["keep"].alias("__keep"), marked["text"])
+    kinds = dict(docs.dtypes)
+    cleaned = both.mapInArrow(_apply, ", ".join(f"`{c}` {kinds[c]}" for c in [*rest, "text"]))
     return cleaned.select(*(cleaned[f"`{c}`"] for c in docs.columns))

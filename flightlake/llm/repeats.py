@@ -115,8 +115,8 @@ def repeated_and_open(texts: DataFrame, kind: str, window: int, k: int) -> tuple
     unstage(every, kept)
     classes = stage(again.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "_h", "start", "n")).alias("at")))
     whole = again.join(classes.filter("copies > 1"), ["anchor", "whole"], "left_semi").select("doc_id", "_h", "start", "n")
-    mixed_anchors = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest")).filter("kinds > 1 AND fewest = 1").select("anchor")
-    unclear = classes.join(mixed_anchors, "anchor", "left_semi").select("at.*", "anchor", "copies")
+    branching = stage(classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest")).filter("kinds > 1 AND fewest = 1").select("anchor"))
+    unclear = classes.join(branching, "anchor", "left_semi").select("at.*", "anchor", "copies")
     return whole, unclear
 
 

@@ -27,7 +27,7 @@ from flightlake.llm.common import arrow_batch, batches_of, flat, keyed, stage
 #: Bytes of an anchor, of the 400 of a window.
 ANCHOR = 150
 #: Bytes of a shard, and the most stretches of one anchor that go to one.
-SHARD, MOST = 2 << 20, 4096
+SHARD, MOST = 1 << 20, 4096
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
