@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.operators import marts
+from flightlake.operators.crossings import close_carried
 from flightlake.plans.sequence import first_per_key
-from flightlake.session import cut_lineage
+from flightlake.session import cut_lineage, delete, scratch
 from flightlake.sources.tables import by_date
 
 # Counts under which a day looks suspicious.
@@ -34,19 +36,38 @@ def rollup_events(daily: DataFrame, hist: DataFrame, run_ts: Column, distinct_ke
     return fresh.withColumn("inserted_at", run_ts).withColumn("batch_date", F.to_date(run_ts))
 
 
+def with_parent(crossings: DataFrame, daily_events: DataFrame, hist_events: DataFrame) -> DataFrame:
+    """Crossings with the natural key of their event as ``_icao24, _event_timestamp, _event_type``, NULL if it is nowhere.
+
+    The event is one of the day or one that an earlier night moved to history. Ids
+    count together with the aircraft only, and the latest event of an id that is used again.
+    """
+
+    def keys(events: DataFrame, name: str) -> DataFrame:
+        newest = F.max(F.struct("event_timestamp", "event_type")).alias(name)
+        return events.select(F.col("event_id").alias("flight_event_id"), *schema.EVENT_KEY).groupBy("flight_event_id", "icao24").agg(newest)
+
+    known = crossings.join(keys(daily_events, "_day"), ["flight_event_id", "icao24"], "left").join(keys(hist_events, "_old"), ["flight_event_id", "icao24"], "left")
+    found = F.coalesce("_day", "_old")
+    return known.select(
+        *[crossings[c] for c in crossings.columns], F.when(found.isNotNull(), F.col("icao24")).alias("_icao24"),
+        found["event_timestamp"].alias("_event_timestamp"), found["event_type"].alias("_event_type"),
+    )
+
+
 def rollup_crossings(
     daily: DataFrame, daily_events: DataFrame, hist_events: DataFrame, hist: DataFrame, run_ts: Column
 ) -> DataFrame:
     """Daily crossings history does not have yet, re-keyed to the history event.
 
-    The anti join runs first, so only new crossings are looked up.
+    The anti join runs first, so only new crossings are looked up. Their event may have been rolled over the night before.
     """
     fresh = daily.join(hist.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti").select(*daily.columns)
-    parent = daily_events.select(F.col("event_id").alias("flight_event_id"), *[F.col(c).alias(f"_{c}") for c in schema.EVENT_KEY])
-    target = hist_events.select(F.col("event_id").alias("_hist_id"), *[F.col(c).alias(f"_{c}") for c in schema.EVENT_KEY])
+    key = [f"_{c}" for c in schema.EVENT_KEY]
+    target = hist_events.groupBy(*[F.col(c).alias(f"_{c}") for c in schema.EVENT_KEY]).agg(F.min("event_id").alias("_hist_id"))
     return (
-        fresh.join(parent, "flight_event_id")
-        .join(target, [f"_{c}" for c in schema.EVENT_KEY])
+        with_parent(fresh, daily_events, hist_events)
+        .join(target, key)
         .withColumn("flight_event_id", F.col("_hist_id"))
         .withColumn("source", F.lit(schema.LIVE_SOURCE))
         .withColumns({"inserted_at": run_ts, "batch_date": F.to_date(run_ts), "updated_at": run_ts})
@@ -54,6 +75,42 @@ def rollup_crossings(
     )
 
 
+_ENDING = ("flight_status", "exited_at", "exited_date", "duration_minutes")
+
+
+def still_open(crossings: DataFrame) -> DataFrame:
+    """Crossings in progress without an exit."""
+    return crossings.filter((F.col("flight_status") == "IN_PROGRESS") & F.col("exited_at").isNull())
+
+
+def closings(daily: DataFrame, hist: DataFrame) -> DataFrame:
+    """How crossings that history still has open have ended since, by the day's row of the same key: the key and the end."""
+    ended = daily.filter(F.col("exited_at").isNotNull()).groupBy(*schema.CROSSING_KEY).agg(F.max_by(F.struct(*_ENDING), "exited_at").alias("end"))
+    return ended.join(still_open(hist).select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_semi").select(*schema.CROSSING_KEY, "end.*")
+
+
+def carried_ends(events: DataFrame, crossings: DataFrame) -> DataFrame:
+    """Per aircraft when the stay ended that was open at its last cut-off, as ``(icao24, closed_at, landed)``.
+
+    That is the day's first landing or first entry into a territory, whichever came first.
+    """
+    landed = events.filter(F.col("event_type") == "LANDED").select("icao24", F.col("event_timestamp").alias("closed_at"), F.lit(True).alias("landed"))
+    entered = crossings.select("icao24", F.col("entered_at").alias("closed_at"), F.lit(False).alias("landed"))
+    both = landed.unionByName(entered).groupBy("icao24").agg(F.min(F.struct("closed_at", (~F.col("landed")).alias("entered"))).alias("first"))
+    return both.select("icao24", F.col("first.closed_at").alias("closed_at"), (~F.col("first.entered")).alias("landed"))
+
+
+def with_endings(hist: DataFrame, ends: DataFrame, run_ts: Column) -> DataFrame:
+    """History with its open crossings ended as ``ends`` says; rows closed before stay as they are."""
+    end = F.struct(*[F.col(c) for c in _ENDING]).alias("_end")
+    out = hist.join(ends.select(*schema.CROSSING_KEY, end), list(schema.CROSSING_KEY), "left")
+    closing = F.col("_end").isNotNull() & (F.col("flight_status") == "IN_PROGRESS") & F.col("exited_at").isNull()
+    out = out.withColumn("_closing", closing)
+    changed = {c: F.when(F.col("_closing"), F.col(f"_end.{c}")).otherwise(F.col(c)) for c in _ENDING}
+    changed["updated_at"] = F.when(F.col("_closing"), run_ts).otherwise(F.col("updated_at"))
+    return out.withColumns(changed).select(*hist.columns)
+
+
 def orphan_crossings(crossings: DataFrame, events: DataFrame) -> DataFrame:
     """Crossings whose event is not there."""
     return crossings.join(events.select(F.col("event_id").alias("flight_event_id")), "flight_event_id", "left_anti").select(
@@ -107,12 +164,14 @@ def reconcile_coverage(name: str, daily: DataFrame, hist: DataFrame, key: tuple[
 
 def in_flight(hist_crossings: DataFrame, batch_day: str) -> DataFrame:
     """Crossings of the batch still open at the cut-off."""
-    open_ = (F.col("flight_status") == "IN_PROGRESS") & F.col("exited_at").isNull() & (F.col("batch_date") == F.lit(batch_day).cast("date"))
-    return hist_crossings.filter(open_).agg(F.count(F.lit(1)).alias("in_flight"))
+    return still_open(hist_crossings).filter(F.col("batch_date") == F.lit(batch_day).cast("date")).agg(F.count(F.lit(1)).alias("in_flight"))
 
 
 def run_status(metrics: DataFrame) -> DataFrame:
-    """Status of a run from ``events_rolled``, ``crossings_rolled`` (NULL or 0 when the step failed) and ``warnings``."""
+    """Status of a run from ``events_rolled``, ``crossings_rolled`` and ``warnings``.
+
+    NULL says that the step failed. A run that rolled nothing counts as FAILED too, a rerun of a settled day among them.
+    """
     failed = (F.coalesce("events_rolled", F.lit(0)) == 0) | (F.coalesce("crossings_rolled", F.lit(0)) == 0)
     return metrics.withColumn(
         "status",
@@ -148,31 +207,85 @@ def _within(df: DataFrame, column: str, bounds: tuple) -> DataFrame:
     return df.filter(F.col(column).between(F.lit(bounds[0]), F.lit(bounds[1])))
 
 
-def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_marts: bool = True) -> dict:
+@dataclass(frozen=True)
+class Snapshot:
+    """The rows of a table at one moment, and the files they are in; files never change."""
+
+    rows: DataFrame
+    files: tuple[str, ...]
+
+
+def snapshot(spark: SparkSession, table: str) -> Snapshot:
+    spark.catalog.refreshTable(table)
+    source = spark.table(table)
+    files = tuple(source.inputFiles())
+    if not files:
+        return Snapshot(spark.createDataFrame([], source.schema), ())
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()["data_type"]
+    return Snapshot(spark.read.schema(source.schema).option("basePath", place).parquet(*files), files)
+
+
+def clear(spark: SparkSession, table: str, seen: Snapshot) -> None:
+    """Remove what was read and verified from a daily table; rows that came later stay."""
+    for file in seen.files:
+        delete(spark, file)
+    spark.catalog.refreshTable(table)
+
+
+def _rewrite(spark: SparkSession, table: str, ends: DataFrame, run_ts: Column) -> int:
+    """End open history crossings, rewriting only the dates they were entered on."""
+    ends = cut_lineage(ends)
+    dates = [r[0] for r in ends.select(F.to_date("entered_at")).distinct().collect()]
+    if dates:
+        new = cut_lineage(with_endings(spark.table(table).filter(F.col("entered_date").isin(dates)), ends, run_ts))
+        arranged = by_date(new.select(*spark.table(table).columns), "entered_date")
+        arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        spark.catalog.refreshTable(table)
+    return ends.count()
+
+
+def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_marts: bool = True, carry_days: int = 3) -> dict:
     """Run one settlement. Steps stop at the first failure; the summary is always returned.
 
-    Keys contain their own timestamp, so a row of the batch can only repeat a
-    history row of the same date: history is read for the batch's dates only.
+    Works on the files the daily tables have at its start, and clears just these. Keys
+    contain their own timestamp, so a row of the batch can only repeat a history row of the same date: history is read
+    for the batch's dates only, and ``carry_days`` before them for stays and their events that went on over midnight.
     """
+    with scratch(spark):
+        return _settle(spark, run_ts, tables, build_marts, carry_days)
+
+
+def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool, carry_days: int) -> dict:
     at, day = F.lit(run_ts).cast("timestamp"), run_ts[:10]
-    out: dict = {"day": day, "events_rolled": 0, "crossings_rolled": 0, "in_flight": None, "warnings": [], "error": None}
+    out: dict = {"day": day, "events_rolled": 0, "crossings_rolled": 0, "closed": 0, "in_flight": None, "warnings": [], "error": None}
     try:
-        events, crossings = spark.table(tables.daily_events), spark.table(tables.daily_crossings)
+        seen_events, seen_crossings = snapshot(spark, tables.daily_events), snapshot(spark, tables.daily_crossings)
+        events, crossings = seen_events.rows, seen_crossings.rows
         counts = with_warnings(day_counts(events, crossings, day)).first()
         out.update(event_count=counts["event_count"], crossing_count=counts["crossing_count"], warnings=list(counts["warnings"]))
 
         event_dates, crossing_dates = _dates(events, "event_date"), _dates(crossings, "entered_date")
-        old_events = lambda: _within(spark.table(tables.hist_events), "event_date", event_dates)
-        old_crossings = lambda: _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates)
+        first = min([d for d in (event_dates[0], crossing_dates[0]) if d is not None], default=None)
+        last = max([d for d in (event_dates[1], crossing_dates[1]) if d is not None], default=None)
+        carried = (first - timedelta(days=carry_days), last) if first else None
+        old_events = lambda: _within(spark.table(tables.hist_events), "event_date", carried)
+        old_crossings = lambda: _within(spark.table(tables.hist_crossings), "entered_date", carried)
         if event_dates[0] is not None:
-            new = cut_lineage(rollup_events(events, old_events(), at))
+            new = cut_lineage(rollup_events(events, _within(spark.table(tables.hist_events), "event_date", event_dates), at))
             by_date(new, "event_date").write.mode("append").partitionBy("event_date").format("parquet").saveAsTable(tables.hist_events)
             out["events_rolled"] = new.count()
+        if carried:
+            ends = cut_lineage(closings(crossings, old_crossings()))
+            out["closed"] = _rewrite(spark, tables.hist_crossings, ends, at)
+            # Open stays of earlier days without a row of their own today end with the aircraft's next landing or entry.
+            earlier = still_open(old_crossings()).join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
+            left = close_carried(earlier, carried_ends(events, crossings)).filter(F.col("exited_at").isNotNull())
+            out["closed"] += _rewrite(spark, tables.hist_crossings, left.select(*schema.CROSSING_KEY, *_ENDING), at)
         if crossing_dates[0] is not None:
-            new = cut_lineage(rollup_crossings(crossings, events, old_events(), old_crossings(), at))
+            new = cut_lineage(rollup_crossings(crossings, events, old_events(), _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates), at))
             by_date(new, "entered_date").write.mode("append").partitionBy("entered_date").format("parquet").saveAsTable(tables.hist_crossings)
             out["crossings_rolled"] = new.count()
-            out["orphans"] = orphan_crossings(crossings, events).count()
+            out["orphans"] = with_parent(crossings, events, old_events()).filter(F.col("_icao24").isNull()).count()
         checks = []
         if event_dates[0] is not None:
             checks.append(reconcile_coverage("events", events, old_events(), schema.EVENT_KEY).first())
@@ -182,8 +295,8 @@ def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_ma
         if short:
             raise ReconciliationError("; ".join(short))
         out["in_flight"] = in_flight(spark.table(tables.hist_crossings), day).first()["in_flight"]
-        clear(spark, tables.daily_events)
-        clear(spark, tables.daily_crossings)
+        clear(spark, tables.daily_events, seen_events)
+        clear(spark, tables.daily_crossings, seen_crossings)
         if build_marts:
             history, master = spark.table(tables.hist_events), spark.table(tables.aircraft)
             marts.write_mart(marts.route_mart(history, master, spark.table(tables.airports)), tables.route_mart)
@@ -191,12 +304,7 @@ def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_ma
     except Exception as e:  # the summary reports whatever stopped the run
         out["error"] = f"{type(e).__name__}: {e}"
     if out["error"]:
-        out["status"] = "FAILED"
-    else:
-        out["status"] = "COMPLETED WITH WARNINGS" if out["warnings"] else "COMPLETED SUCCESSFULLY"
+        out.update(events_rolled=None, crossings_rolled=None)
+    metrics = spark.createDataFrame([(out["events_rolled"], out["crossings_rolled"], out["warnings"])], "events_rolled long, crossings_rolled long, warnings array<string>")
+    out["status"] = run_status(metrics).first()["status"]
     return out
-
-
-def clear(spark: SparkSession, table: str) -> None:
-    """Empty a daily table after its rows are verified to be in history."""
-    spark.sql(f"TRUNCATE TABLE {table}")

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,14 +57,39 @@ def workdir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of this package's own, wherever Spark keeps it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path)) if "://" in path or "%" in path else spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``cut_lineage`` stages inside is deleted at the end; only results written elsewhere outlive it."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably in the shared folder and read it back.
 
     Used where a result feeds several later steps and recomputing it, after a
-    lost executor or in a second action, would cost a full scan again.
+    lost executor or in a second action, would cost a full scan again. Inside
+    ``scratch`` the copy goes with its scope.
     """
     spark = df.sparkSession
     path = workdir(spark, "stage")
+    if (paths := _SCRATCH.get()) is not None:
+        paths.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

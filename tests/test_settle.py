@@ -119,6 +119,59 @@ def test_failed_settlement_clears_nothing(catalog, monkeypatch):
     assert spark.table("daily_flight_events").count() == 1
 
 
+def history(spark):
+    return {r["crossing_id"]: r for r in spark.table("hist_territory_crossings").collect()}
+
+
+def test_stays_over_midnight(catalog):
+    """Three nights: a stay is closed by its own row, one by a landing, and its event may be from the night before."""
+    spark = catalog
+    late, morning = NOON + timedelta(hours=11), NOON + timedelta(hours=20)
+    append(spark, "daily_flight_events", [event(1, "a", at=late), event(2, "b", at=late)])
+    append(spark, "daily_territory_crossings", [crossing(11, 1, "a", late, "IN_PROGRESS"), crossing(12, 2, "b", late, "IN_PROGRESS")])
+    first = settle.settle(spark, RUN, build_marts=False)
+    assert first["error"] is None and first["in_flight"] == 2
+    # The day after: a's stay ends and it enters the next territory under yesterday's event; b lands without a row of its own.
+    append(spark, "daily_flight_events", [event(3, "b", "LANDED", at=morning)])
+    ended = {**crossing(13, 1, "a", late), "exited_at": morning, "exited_date": morning.date(), "flight_status": "COMPLETED"}
+    append(spark, "daily_territory_crossings", [ended, crossing(14, 1, "a", morning, tid=2)])
+    second = settle.settle(spark, "2026-04-23 23:59:00", build_marts=False)
+    assert second["error"] is None and (second["closed"], second["crossings_rolled"], second["orphans"]) == (2, 1, 0)
+    rows = history(spark)
+    assert sorted(rows) == [11, 12, 14]
+    assert (rows[11]["flight_status"], rows[11]["exited_at"]) == ("COMPLETED", morning)
+    assert (rows[12]["flight_status"], rows[12]["exited_at"], float(rows[12]["duration_minutes"])) == ("COMPLETED", morning, 540.0)
+    assert rows[14]["flight_event_id"] == 1
+    assert spark.table("daily_territory_crossings").count() == 0
+    third = settle.settle(spark, "2026-04-24 23:59:00", build_marts=False)
+    assert third["error"] is None and history(spark) == rows
+
+
+def test_rows_that_come_after_the_check_survive(catalog, monkeypatch):
+    spark = catalog
+    append(spark, "daily_flight_events", [event(1)])
+    check = settle.reconcile_coverage
+
+    def late(*args):
+        append(spark, "daily_flight_events", [event(2, "late")])
+        return check(*args)
+
+    monkeypatch.setattr(settle, "reconcile_coverage", late)
+    assert settle.settle(spark, RUN, build_marts=False)["error"] is None
+    assert [r["icao24"] for r in spark.table("daily_flight_events").collect()] == ["late"]
+
+
+def test_settlement_leaves_no_staging(catalog):
+    import glob
+
+    spark = catalog
+    base = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{base}/stage-*"))
+    append(spark, "daily_flight_events", [event(1)])
+    settle.settle(spark, RUN)
+    assert set(glob.glob(f"{base}/stage-*")) == before
+
+
 def test_enrichment_branches(spark):
     day = frame(spark, schema.DAILY_EVENT, [
         event(1, "both", "DEPARTED", origin="OLD"), event(2, "both", "CLIMBING", origin="OLD", destination="OLD"),
