@@ -221,16 +221,16 @@ def complete_flights(crossings: DataFrame, order: str = "entered_at") -> DataFra
     return crossings.withColumn("flight_status", F.when(leg_done, "COMPLETED").otherwise(F.col("flight_status")))
 
 
-def close_carried(hist: DataFrame, today: DataFrame) -> DataFrame:
+def close_carried(hist: DataFrame, today: DataFrame, on: tuple[str, ...] = ("icao24",)) -> DataFrame:
     """Open crossings of history closed where their aircraft left the territory or landed since.
 
-    ``today`` holds per aircraft the moment its carried crossing ended, as
-    ``(icao24, closed_at, landed)``. Matching is by aircraft and time, never by a reused id.
+    ``today`` holds per aircraft, or whatever key ``on`` names, the moment the carried crossing ended, as
+    ``(*on, closed_at, landed)``. Matching is by aircraft and time, never by a reused id.
     Crossings closed before, and those entered later, stay as they are.
     """
     open_ = (F.col("flight_status") == "IN_PROGRESS") & F.col("exited_at").isNull()
     closing = open_ & F.col("closed_at").isNotNull() & (F.col("closed_at") >= F.col("entered_at"))
-    out = hist.join(today.select("icao24", "closed_at", "landed"), "icao24", "left")
+    out = hist.join(today.select(*on, "closed_at", "landed"), list(on), "left")
     return (
         out.withColumn("_closing", F.coalesce(closing, F.lit(False)))
         .withColumn("exited_at", F.when(F.col("_closing"), F.col("closed_at")).otherwise(F.col("exited_at")))

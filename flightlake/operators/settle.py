@@ -89,15 +89,17 @@ def closings(daily: DataFrame, hist: DataFrame) -> DataFrame:
     return ended.join(still_open(hist).select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_semi").select(*schema.CROSSING_KEY, "end.*")
 
 
-def carried_ends(events: DataFrame, crossings: DataFrame) -> DataFrame:
-    """Per aircraft when the stay ended that was open at its last cut-off, as ``(icao24, closed_at, landed)``.
+def carried_ends(open_: DataFrame, events: DataFrame, crossings: DataFrame) -> DataFrame:
+    """When open stays ended that the day has no row for: their key, ``closed_at`` and ``landed``.
 
-    That is the day's first landing or first entry into a territory, whichever came first.
+    That is the aircraft's next landing or entry into a territory, whichever came first. An
+    aircraft has few open stays, so the join by aircraft stays about as large as the day.
     """
-    landed = events.filter(F.col("event_type") == "LANDED").select("icao24", F.col("event_timestamp").alias("closed_at"), F.lit(True).alias("landed"))
-    entered = crossings.select("icao24", F.col("entered_at").alias("closed_at"), F.lit(False).alias("landed"))
-    both = landed.unionByName(entered).groupBy("icao24").agg(F.min(F.struct("closed_at", (~F.col("landed")).alias("entered"))).alias("first"))
-    return both.select("icao24", F.col("first.closed_at").alias("closed_at"), (~F.col("first.entered")).alias("landed"))
+    landed = events.filter(F.col("event_type") == "LANDED").select("icao24", F.col("event_timestamp").alias("closed_at"), F.lit(0).alias("entry"))
+    entered = crossings.select("icao24", F.col("entered_at").alias("closed_at"), F.lit(1).alias("entry"))
+    later = open_.select(*schema.CROSSING_KEY).join(landed.unionByName(entered), "icao24").filter(F.col("closed_at") > F.col("entered_at"))
+    first = later.groupBy(*schema.CROSSING_KEY).agg(F.min(F.struct("closed_at", "entry")).alias("first"))
+    return first.select(*schema.CROSSING_KEY, F.col("first.closed_at").alias("closed_at"), (F.col("first.entry") == 0).alias("landed"))
 
 
 def with_endings(hist: DataFrame, ends: DataFrame, run_ts: Column) -> DataFrame:
@@ -279,7 +281,7 @@ def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool,
             out["closed"] = _rewrite(spark, tables.hist_crossings, ends, at)
             # Open stays of earlier days without a row of their own today end with the aircraft's next landing or entry.
             earlier = still_open(old_crossings()).join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
-            left = close_carried(earlier, carried_ends(events, crossings)).filter(F.col("exited_at").isNotNull())
+            left = close_carried(earlier, carried_ends(earlier, events, crossings), schema.CROSSING_KEY).filter(F.col("exited_at").isNotNull())
             out["closed"] += _rewrite(spark, tables.hist_crossings, left.select(*schema.CROSSING_KEY, *_ENDING), at)
         if crossing_dates[0] is not None:
             new = cut_lineage(rollup_crossings(crossings, events, old_events(), _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates), at))

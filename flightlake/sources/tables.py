@@ -86,13 +86,13 @@ class TableRegistry:
         return new
 
 
-def create_catalog_tables(spark: SparkSession, names: tuple[str, ...] = tuple(SOURCES)) -> None:
+def create_catalog_tables(spark: SparkSession, names: tuple[str, ...] = tuple(SOURCES), database: str | None = None) -> None:
     """Empty catalog tables with the declared schemas and partitioning."""
     for name in names:
         source = SOURCES[name]
         empty = spark.createDataFrame([], source.schema)
         writer = empty.write.mode("ignore").format("parquet")
-        (writer.partitionBy(source.partition) if source.partition else writer).saveAsTable(name)
+        (writer.partitionBy(source.partition) if source.partition else writer).saveAsTable(f"{database}.{name}" if database else name)
 
 
 def pending_files(spark: SparkSession, pattern: str, ledger: str) -> list[str]:
