@@ -20,10 +20,10 @@ def _col(c: Column | str) -> Column:
 def scaled(c: Column | str, factor: str) -> Column:
     """``c * factor`` to one decimal, half away from zero; NULL stays NULL.
 
-    The product is exact: both sides are decimals.
+    The product is exact: both sides are decimals. A value of 10^12 or more is no measurement: NULL.
     """
     exact = F.lit(factor).cast("decimal(9,5)")
-    return F.round(_col(c).cast("decimal(18,6)") * exact, 1).cast("double")
+    return F.round(_col(c).try_cast("decimal(18,6)") * exact, 1).cast("double")
 
 
 def feet(metres: Column | str) -> Column:
@@ -54,7 +54,8 @@ def minutes(micros: Column, digits: int = 2) -> Column:
 
 
 def stay_minutes(start: Column | str, end: Column | str) -> Column:
-    return minutes(micros_between(start, end), 2).cast("decimal(8,2)")
+    """Minutes of a stay; one too long for the tables (694 days) has none."""
+    return minutes(micros_between(start, end), 2).try_cast("decimal(8,2)")
 
 
 def moment_between(start: Column | str, end: Column | str, part: Column, parts: Column | int) -> Column:

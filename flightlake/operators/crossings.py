@@ -123,7 +123,7 @@ def crossing_rows(sessions: DataFrame, run_ts: Column) -> DataFrame:
         .withColumn("crossing_id", F.xxhash64("icao24", "entered_at", "territory_id"))
         .withColumn("created_at", run_ts)
     )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in schema.DAILY_CROSSING])
+    return out.select(*[F.col(f.name).try_cast(f.dataType) for f in schema.DAILY_CROSSING])
 
 
 def route_samples(flights: DataFrame, segments: int = ROUTE_SEGMENTS) -> DataFrame:
@@ -204,7 +204,7 @@ def route_crossings(flights: DataFrame, index: TerritoryCells, run_ts: Column, s
             "crossing_id": F.xxhash64("icao24", "entered_at", "territory_id"),
         })
     )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in schema.HIST_CROSSING])
+    return out.select(*[F.col(f.name).try_cast(f.dataType) for f in schema.HIST_CROSSING])
 
 
 def complete_flights(crossings: DataFrame, order: str = "entered_at") -> DataFrame:

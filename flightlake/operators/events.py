@@ -89,7 +89,7 @@ def event_rows(events: DataFrame, run_ts: Column, source: str = schema.LIVE_SOUR
         F.lit(source).alias("source"),
         run_ts.alias("created_at"),
     )
-    return shaped.select(*[F.col(f.name).cast(f.dataType) for f in schema.DAILY_EVENT])
+    return shaped.select(*[F.col(f.name).try_cast(f.dataType) for f in schema.DAILY_EVENT])
 
 
 def with_last_event(rows: DataFrame, order: tuple[str, ...], event: str, width: int = HOUR, out: str = "last_event") -> DataFrame:

@@ -31,7 +31,7 @@ def choose_positions(cache: DataFrame | None, fallback: DataFrame) -> DataFrame:
     """The stream's cache if there is one with rows, else the batch result."""
     if cache is None or cache.isEmpty():
         return fallback
-    return cache.filter(has_position(exact=True))
+    return cache.filter(has_position())
 
 
 def live_board(positions: DataFrame) -> DataFrame:

@@ -267,7 +267,8 @@ _M = "CAST(value * 100 AS DECIMAL(18,6))"
     SELECT CAST(user_id AS VARCHAR) AS icao24, CASE WHEN event_type <> 'click' THEN 'FL' || user_id END AS callsign,
            CAST((event_id * 37) % 360 - 180 + 0.5 AS DOUBLE) AS longitude, CAST((event_id * 53) % 180 - 90 + 0.5 AS DOUBLE) AS latitude,
            CASE WHEN event_type <> 'view' THEN CAST(round({_M} * 3.28084, 1) AS DOUBLE) END AS altitude_ft, event_type IN ('signup', 'error') AS on_ground,
-           CAST(round({_M} * 3.6, 1) AS DOUBLE) AS velocity_kmh, CAST(round({_M} * 196.85, 1) AS DOUBLE) AS vertical_rate_fpm
+           CAST(round({_M} * 3.6, 1) AS DOUBLE) AS velocity_kmh, CAST(round({_M} * 196.85, 1) AS DOUBLE) AS vertical_rate_fpm,
+           CAST(90 AS DOUBLE) AS heading_deg, {s.ts_text("date_trunc('second', ts)")} AS "timestamp"
     FROM events WHERE event_type <> 'purchase'
       AND (event_id * 53) % 180 - 90 + 0.5 BETWEEN -35 AND 37 AND (event_id * 37) % 360 - 180 + 0.5 BETWEEN -17 AND 60""")
 def parse_positions(spark, sf):
@@ -281,7 +282,23 @@ def parse_positions(spark, sf):
         F.when(kind != "view", metres), kind.isin("signup", "error").cast("string"), metres, text("90"), metres, text(None))
     states = F.array(F.when(kind == "purchase", F.slice(slots, 1, 5)).otherwise(slots))
     docs = e.select(F.to_json(F.struct(F.unix_timestamp(F.col("ts").cast("timestamp")).alias("time"), states.alias("states")), {"ignoreNullFields": "false"}).alias("value"))
-    return positions.parse_positions(docs).drop("heading_deg", "timestamp")
+    return positions.parse_positions(docs, box=geometry.COVERAGE)
+
+
+@query("hostile_numbers", f"""
+    SELECT event_id, CASE WHEN event_id % 4 = 1 OR event_id % 4 = 2 THEN NULL ELSE CAST(round({_M} * 3.28084, 1) AS DOUBLE) END AS altitude_ft,
+           CASE WHEN event_id % 4 = 1 THEN NULL ELSE CAST(round({_M} * 3.6, 1) AS DOUBLE) END AS velocity_kmh,
+           CASE WHEN event_id % 5 = 0 THEN NULL ELSE 90.0 END AS stay_minutes
+    FROM events""")
+def hostile_numbers(spark, sf):
+    """Numbers beyond any range, texts that are none, and stays of years are unknown, and no row is lost over them."""
+    n, ts, metres = F.col("event_id"), F.col("ts").cast("timestamp"), (F.col("value") * 100).cast("string")
+    height = F.when(n % 4 == 1, "1e30").when(n % 4 == 2, "12,5 m").otherwise(metres)
+    speed = F.when(n % 4 == 1, "-9e13").otherwise(metres)
+    over = F.when(n % 5 == 0, ts + F.make_ym_interval(years=F.lit(9))).otherwise(ts + F.make_dt_interval(mins=F.lit(90)))
+    return s.table(spark, sf, "events").select(
+        n, measure.feet(height.try_cast("double")).alias("altitude_ft"), measure.kmh(speed.try_cast("double")).alias("velocity_kmh"),
+        measure.stay_minutes(ts, over).alias("stay_minutes"))
 
 
 # Features ----------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from flightlake.queries import standins as s
 from flightlake.queries.registry import query
 from flightlake.session import prepare, workdir
 from flightlake.sources import files
+from flightlake.sources.tables import TableRegistry
 from flightlake.streaming import jobs, microbatch
 
 _EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -117,20 +118,37 @@ def flight_to_events(spark, sf):
     return event_ops.flights_to_events(event_ops.typed_flights(_flight_list(spark, sf)), s.airports(spark, sf), run).select(*_LIST_COLS)
 
 
-@query("flight_list_load", s.with_views(
-    "SELECT count(*) AS total_rows, 2 * count(*) FILTER (WHERE accepted) AS events_inserted, count(*) FILTER (WHERE NOT accepted) AS rows_skipped, "
-    "2 * count(*) FILTER (WHERE accepted) AS stored FROM fl", fl=_LIST))
-def flight_list_load(spark, sf):
-    """The list written as compressed CSV, loaded file by file, and a second load that finds nothing new."""
+_TOTALS = ("total_rows", "events_inserted", "rows_skipped")
+_LOADED = "SELECT accepted FROM fl UNION ALL SELECT accepted FROM fl WHERE event_id % 3 = 0"
+
+
+def _load_lists(spark, sf):
+    """Two compressed lists with their columns in different order, the second repeating a third of the flights; the load runs again after each."""
     base = workdir(prepare(spark), "lists")
-    _flight_list(spark, sf).write.option("header", True).option("compression", "gzip").csv(f"{base}/in")
+    flights = _flight_list(spark, sf)
+    put = lambda df: df.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{base}/in")
     load = lambda: jobs.load_flight_lists(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", s.airports(spark, sf), _RUN_TS)
+    put(flights.select(*reversed(flights.columns)))
+    load()
+    put(flights.filter("cast(number AS bigint) % 3 = 0").select(*sorted(flights.columns), F.lit("x").alias("Note")))
     load()
-    summary = load()
-    stored = spark.read.option("basePath", f"{base}/out/events").parquet(f"{base}/out/events/batch=*")
-    totals = summary.select("total_rows", "events_inserted", "rows_skipped", F.lit(0).cast("bigint").alias("stored")).unionByName(
-        stored.select(*[F.lit(0).cast("bigint").alias(c) for c in ("total_rows", "events_inserted", "rows_skipped")], F.lit(1).cast("bigint").alias("stored")))
-    return totals.agg(*[F.sum(c).alias(c) for c in totals.columns])
+    return load(), TableRegistry(spark, f"{base}/out").read("hist_flight_events")
+
+
+@query("flight_list_load", s.with_views(f"""
+    SELECT DISTINCT icao24, side AS event_type, {s.ts_text("date_trunc('second', ts) + CASE side WHEN 'LANDED' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END")} AS event_timestamp,
+           CASE side WHEN 'DEPARTED' THEN 6.5 ELSE -1.25 END::DOUBLE AS latitude, 'opensky_historical' AS source
+    FROM fl CROSS JOIN (SELECT unnest(['DEPARTED', 'LANDED']) AS side) WHERE accepted""", fl=_LIST))
+def flight_list_load(spark, sf):
+    """History rows out of overlapping lists: each key once."""
+    return _load_lists(spark, sf)[1].select("icao24", "event_type", "event_timestamp", "latitude", "source")
+
+
+@query("flight_list_summary", s.with_views(
+    "SELECT count(*) AS total_rows, 2 * count(*) FILTER (WHERE accepted) AS events_inserted, count(*) FILTER (WHERE NOT accepted) AS rows_skipped FROM loaded",
+    fl=_LIST, loaded=_LOADED))
+def flight_list_summary(spark, sf):
+    return _load_lists(spark, sf)[0].agg(*[F.sum(c).alias(c) for c in _TOTALS])
 
 
 @query("flight_list_scan", s.with_views(

@@ -45,19 +45,48 @@ def read_texts(spark: SparkSession, path: str | list[str], columns: Sequence[str
     return df
 
 
+def named_rows(lines: DataFrame, columns: Sequence[str] = schema.FLIGHT_LIST_COLUMNS) -> DataFrame:
+    """Rows of CSV lines ``value, file``, every column a text, bound by the names in the header of their file.
+
+    Names are trimmed and lower-cased; columns beyond ``columns`` are not read. A file whose header
+    lacks one of them, or has none, stops the load and is named. Files with the same header are read together.
+    """
+    bare = F.lower(F.regexp_replace("value", r'["\s\ufeff]', ""))
+    is_header = F.forall(F.array(*[F.lit(c) for c in columns[:3]]), lambda c: F.array_contains(F.split(bare, ","), c))
+    marked = lines.filter(F.trim("value") != "").select("file", "value", is_header.alias("_header"))
+    heads = marked.groupBy("file").agg(F.min(F.when(F.col("_header"), bare)).alias("header")).collect()  # one row for each file
+    by_header: dict[str, list[str]] = {}
+    for r in heads:
+        missing = [c for c in columns if c not in (r["header"] or "").split(",")]
+        if missing:
+            raise ValueError(f"{r['file']}: the header lacks {', '.join(missing)}")
+        by_header.setdefault(r["header"], []).append(r["file"])
+    out = None
+    for header, names in by_header.items():
+        fields = ", ".join(f"`{c or i}` string" for i, c in enumerate(header.split(",")))
+        row = F.from_csv("value", fields, {"mode": "PERMISSIVE", "escape": '"'})
+        rows = marked.filter(F.col("file").isin(names) & ~F.col("_header")).select("file", row.alias("r"))
+        part = rows.select(*[F.nullif(F.col(f"r.`{c}`"), F.lit("")).alias(c) for c in columns], "file")
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else lines.sparkSession.createDataFrame([], texts([*columns, "file"]))
+
+
+def with_aircraft(rows: DataFrame) -> DataFrame:
+    """Rows with an aircraft id that is not blank."""
+    return rows.filter(F.trim("icao24") != "")
+
+
 def flight_lists(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Monthly flight lists with the file they came from; rows without an aircraft id are dropped."""
-    raw = read_texts(spark, path, schema.FLIGHT_LIST_COLUMNS)
-    return raw.withColumn("file", F.col("_metadata.file_name")).filter(F.trim("icao24") != "")
+    return with_aircraft(named_rows(spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))))
 
 
-def flight_list_stream(spark: SparkSession, path: str, files_per_trigger: int = 8) -> DataFrame:
-    """The same as a stream of files: each file is read once, however often the load is restarted."""
-    return (
-        spark.readStream.schema(schema.FLIGHT_LIST).option("header", True).option("nullValue", "").option("escape", '"')
-        .option("maxFilesPerTrigger", files_per_trigger).csv(path)
-        .withColumn("file", F.col("_metadata.file_name"))
-    )
+def flight_list_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The lines of flight lists as a stream of files, for ``named_rows``: each file is read once, however often the load is restarted."""
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.text(path).select("value", F.col("_metadata.file_name").alias("file"))
 
 
 def load_summary(typed: DataFrame) -> DataFrame:

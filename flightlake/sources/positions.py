@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flightlake.functions import measure
 from flightlake.functions.clean import stripped
-from flightlake.functions.geometry import COVERAGE, in_box
+from flightlake.functions.geometry import in_box
 
 _DOCUMENT = "time bigint, states array<array<string>>"
 # Place of each field in an aircraft's slots, and slots needed.
@@ -15,12 +15,12 @@ SLOTS = {"icao24": 0, "callsign": 1, "longitude": 5, "latitude": 6, "altitude_m"
 _LEAST_SLOTS = 12
 
 
-def parse_positions(documents: DataFrame, body: str = "value", polled_at: Column | None = None, box: tuple | None = COVERAGE) -> DataFrame:
+def parse_positions(documents: DataFrame, body: str = "value", polled_at: Column | None = None, box: tuple | None = None) -> DataFrame:
     """One row per aircraft in the unit system of the event tables.
 
     Short slot lists are skipped, a document without states gives no rows.
-    The poll time is ``polled_at`` or the document's own ``time``. Positions outside ``box`` are
-    left out; ``box=None`` keeps all.
+    The poll time is ``polled_at`` or the document's own ``time``. With a ``box``, such as ``geometry.COVERAGE``,
+    positions outside it are left out. Numbers out of any range are NULL.
     """
     doc = documents.withColumn("_doc", F.from_json(F.col(body).cast("string"), _DOCUMENT))
     at = polled_at if polled_at is not None else F.timestamp_seconds("_doc.time")

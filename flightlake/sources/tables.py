@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake import schema
+from flightlake.plans.sequence import first_per_key
 from flightlake.session import cut_lineage
 
 
@@ -61,14 +62,18 @@ class TableRegistry:
                     raise
         return made
 
-    def append_new(self, name: str, rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    def append_new(self, name: str, rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
         """Append the rows whose key the table lacks, and return them.
 
-        Only the table's partitions that the batch touches are compared.
+        Of rows with the same key the first by ``order`` and then by all other columns
+        is kept. Values a column cannot hold become NULL; rows without a required
+        value are left out. Only the table's partitions that the batch touches are compared.
         """
-        part = SOURCES[name].partition
-        shaped = rows.select(*[F.col(f.name).cast(f.dataType) for f in SOURCES[name].schema])
-        shaped = shaped.dropDuplicates(list(key))
+        part, struct = SOURCES[name].partition, SOURCES[name].schema
+        shaped = rows.select(*[F.col(f.name).try_cast(f.dataType) for f in struct])
+        shaped = shaped.dropna(subset=[f.name for f in struct if not f.nullable])
+        rest = [c for c in shaped.columns if c not in key and c not in order]
+        shaped = cut_lineage(first_per_key(shaped, list(key), [*order, *rest]))
         try:
             have = self.read(name)
             low, high = shaped.agg(F.min(part), F.max(part)).first() if part else (None, None)

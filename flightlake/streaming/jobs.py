@@ -13,8 +13,9 @@ from flightlake import schema
 from flightlake.functions.clean import shown_callsign
 from flightlake.functions.text import monitor_line
 from flightlake.operators.events import flights_to_events, typed_flights
-from flightlake.sources.files import flight_list_stream, load_summary
-from flightlake.sources.tables import by_date
+from flightlake.session import cut_lineage, scratch
+from flightlake.sources.files import flight_list_stream, load_summary, named_rows, with_aircraft
+from flightlake.sources.tables import TableRegistry
 
 log = logging.getLogger(__name__)
 POLL = "60 seconds"
@@ -106,20 +107,23 @@ def monitor(events: DataFrame, checkpoint: str) -> StreamingQuery:
 
 
 def load_flight_lists(
-    spark: SparkSession, source: str, target: str, checkpoint: str, airports: DataFrame, run_ts: str, files_per_trigger: int = 8
+    spark: SparkSession, source: str, target: str, checkpoint: str, airports: DataFrame, run_ts: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Restartable history load: every file once, rows with a known key skipped. Returns the per-file summary.
+    """Restartable history load into ``hist_flight_events`` below ``target``. Returns the per-file summary.
 
-    The checkpoint is the ledger of loaded files. Each micro-batch writes its own
-    folder, so a retried batch replaces itself.
+    Every file is read once: the checkpoint is the ledger of loaded files. Columns are bound by
+    name. A list is parsed once, spread over the executors, and feeds events and summary. Events with a known
+    key are skipped, so a retried micro-batch adds nothing.
     """
     at = F.lit(run_ts).cast("timestamp")
+    registry = TableRegistry(spark, target)
 
     def each(batch: DataFrame, number: int) -> None:
-        typed = typed_flights(batch)
-        rows = flights_to_events(typed, airports, at)
-        by_date(rows, "event_date").write.mode("overwrite").partitionBy("event_date").parquet(f"{target}/events/batch={number}")
-        load_summary(typed).write.mode("overwrite").parquet(f"{target}/summary/batch={number}")
+        with scratch(spark):
+            # A compressed file is one read task; what follows is not.
+            typed = cut_lineage(typed_flights(with_aircraft(named_rows(batch))).hint("rebalance"))
+            registry.append_new("hist_flight_events", flights_to_events(typed, airports, at), schema.EVENT_KEY)
+            load_summary(typed).write.mode("overwrite").parquet(f"{target}/summary/batch={number}")
 
     query = start(flight_list_stream(spark, source, files_per_trigger), checkpoint, each=each, replay=True)
     query.awaitTermination()

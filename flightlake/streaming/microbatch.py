@@ -19,7 +19,7 @@ from flightlake.operators.crossings import framed_borders, located_pings, stay_e
 from flightlake.operators.events import with_event_type
 from flightlake.operators.geo import TerritoryCells
 from flightlake.plans.sequence import HOUR, latest_per_key
-from flightlake.session import cut_lineage
+from flightlake.session import cut_lineage, scratch
 
 _EVENT = "struct<at:timestamp,kind:string>"
 _STAY = (
@@ -44,10 +44,11 @@ class Tracking:
         """Batch function for ``jobs.start``."""
         spark = batch.sparkSession
         before = spark.read.schema(_STATE).parquet(self._state(number - 1)) if number else spark.createDataFrame([], _STATE)
-        events, closed, state = self.step(batch, before)
-        events.write.mode("overwrite").parquet(f"{self.base}/events/batch={number}")
-        closed.write.mode("overwrite").parquet(f"{self.base}/crossings/batch={number}")
-        state.withColumn("number", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(self._state(number))
+        with scratch(spark):
+            events, closed, state = self.step(batch, before)
+            events.write.mode("overwrite").parquet(f"{self.base}/events/batch={number}")
+            closed.write.mode("overwrite").parquet(f"{self.base}/crossings/batch={number}")
+            state.withColumn("number", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(self._state(number))
 
     def _state(self, number: int) -> str:
         return f"{self.base}/state/slot={number % 3}"

@@ -29,6 +29,9 @@ def test_source_choice(spark):
     assert serve.choose_positions(None, batch) is batch and serve.choose_positions(empty, batch) is batch
     cache = batch.withColumn("source", F.lit("stream"))
     assert {r["source"] for r in serve.choose_positions(cache, batch).collect()} == {"stream"}
+    # On the equator is a position, as in the batch result.
+    level = cache.withColumn("latitude", F.lit(0.0))
+    assert serve.choose_positions(level, batch).count() == cache.count()
 
 
 def test_daily_stats(spark):

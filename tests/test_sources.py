@@ -1,10 +1,13 @@
+import glob
 import gzip
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from flightlake import schema
+from flightlake.functions.geometry import COVERAGE
 from flightlake.operators import events
 from flightlake.sources import files, messages, positions, tables
 from flightlake.streaming import jobs
@@ -17,13 +20,15 @@ def slots(icao24="abc", call=" FL1 ", lon=3.39, lat=6.45, alt=1000.0, ground=Fal
 def test_position_documents(spark):
     states = [slots(), slots("b", "  ", alt=None, vel=None, rate=None, ground=True), slots("short")[:6], slots("far", lon=120.0), slots("nowhere", lon=None, lat=None)]
     docs = spark.createDataFrame([(json.dumps({"time": 1700000000, "states": states}),), (json.dumps({"time": 1, "states": None}),), ("broken",)], "value string")
-    got = {r["icao24"]: r for r in positions.parse_positions(docs).collect()}
+    got = {r["icao24"]: r for r in positions.parse_positions(docs, box=COVERAGE).collect()}
     assert set(got) == {"abc", "b"}
     a = got["abc"]
     assert (a["callsign"], a["altitude_ft"], a["velocity_kmh"], a["vertical_rate_fpm"], a["heading_deg"]) == ("FL1", 3280.8, 900.0, 1000.0, 90.0)
     assert a["timestamp"] == datetime(2023, 11, 14, 22, 13, 20)
     assert got["b"]["callsign"] is None and got["b"]["altitude_ft"] is None and got["b"]["on_ground"] is True
-    assert positions.parse_positions(docs, box=None).count() == 4
+    assert positions.parse_positions(docs).count() == 4
+    wild = spark.createDataFrame([(json.dumps({"time": 1, "states": [slots(alt=1e13, vel=1e30)]}),)], "value string")
+    assert positions.parse_positions(wild).first()["altitude_ft"] is None
     assert [(f.name, f.dataType) for f in positions.parse_positions(docs).schema] == [(f.name, f.dataType) for f in schema.PING]
 
 
@@ -68,7 +73,7 @@ def test_load_restarts_where_it_stopped(spark, tmp_path):
     source.mkdir()
     write_list(source / "a.csv.gz", [line(), line(last="nan")])
     load = lambda: jobs.load_flight_lists(spark, str(source), base, f"{base}/checkpoint", no_airports(spark), "2026-01-01 00:00:00")
-    stored = lambda: spark.read.option("basePath", f"{base}/events").parquet(f"{base}/events/batch=*").count()
+    stored = lambda: tables.TableRegistry(spark, base).read("hist_flight_events").count()
     assert load().agg(F.sum("events_inserted"), F.sum("rows_skipped")).first()[:] == (2, 1)
     load()
     assert stored() == 2
@@ -76,6 +81,39 @@ def test_load_restarts_where_it_stopped(spark, tmp_path):
     assert load().count() == 2 and stored() == 6
 
 
+def test_columns_are_bound_by_name(spark, tmp_path):
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
+        f.write(' LastSeen,"icao24",extra,' + ",".join(c for c in schema.FLIGHT_LIST_COLUMNS if c not in ("lastseen", "icao24")) + "\n")
+        f.write('2,ab,"x, y",FL1\n')
+    write_list(tmp_path / "b.csv.gz", [line("cd")])
+    got = {r["icao24"]: (r["callsign"], r["lastseen"]) for r in files.flight_lists(spark, str(tmp_path / "*.csv.gz")).collect()}
+    assert got == {"ab": ("FL1", "2"), "cd": ("FL1", "1577840400")}
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as f:
+        f.write("callsign,number,icao24\nFL2,1,ab\n")
+    with pytest.raises(ValueError, match="c.csv.gz: the header lacks .*lastseen"):
+        files.flight_lists(spark, str(tmp_path / "*.csv.gz"))
+
+
+def test_numbers_out_of_range_are_unknown(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "job")
+    source.mkdir()
+    write_list(source / "a.csv.gz", ["FL1,,ab,,,KA,KB,1577836800,1577840400,,1e30,2.5,1e30,3.5,4.5,1e13", "FL1,,ab,,,KA,KB,1577836800,1577840400,,1,2.5,1,3.5,4.5,1"])
+    jobs.load_flight_lists(spark, str(source), base, f"{base}/checkpoint", no_airports(spark), "2026-01-01 00:00:00")
+    rows = tables.TableRegistry(spark, base).read("hist_flight_events").collect()
+    assert len(rows) == 2
+
+
+def test_staging_of_a_load_is_gone(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "job")
+    source.mkdir()
+    work = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{work}/stage-*"))
+    for n in "abc":
+        write_list(source / f"{n}.csv.gz", [line(n)])
+        jobs.load_flight_lists(spark, str(source), base, f"{base}/checkpoint", no_airports(spark), "2026-01-01 00:00:00")
+    assert set(glob.glob(f"{work}/stage-*")) == before
+
+
 def test_ledger(spark, tmp_path):
     source, ledger = tmp_path / "in", str(tmp_path / "ledger")
     source.mkdir()
