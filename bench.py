@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--driver-memory 12g --conf spark.ui.showConsoleProgress=false pyspark-shell")
@@ -31,7 +32,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     out = sys.stdout
     sys.stdout = sys.stderr
-    spark = session.build("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8)
+    work = tempfile.mkdtemp(prefix="flightlake-bench-")
+    spark = session.build("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, work)
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count().collect()
     times = {}

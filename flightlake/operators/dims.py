@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flightlake.functions import clean
 from flightlake.plans.sequence import first_per_key
 
-# ISO3 codes of state boundaries and the country code they belong to.
+# ISO3 codes of state boundaries and the country code they belong to. Codes that map to themselves are left out.
 ISO3_REMAP = {
     "ABW": "ANT", "AIA": "GBR", "ALD": "AUS", "ANT": "NLD", "ASM": "USA", "ATC": "AUS", "BLM": "FRA",
     "BMU": "GBR", "CLP": "CHL", "COK": "NZL", "CSI": "SLV", "CUW": "NLD", "CYM": "GBR", "CYN": "CYP",

@@ -256,12 +256,9 @@ def territory_mart(
 
 
 def top_routes(mart: DataFrame, k: int = 20) -> DataFrame:
-    """Busiest routes of the mart."""
-    return (
-        mart.select("route_label", "total_flights", "primary_airline", "avg_duration_min")
-        .orderBy(F.desc("total_flights"), "route_label")
-        .limit(k)
-    )
+    """Busiest routes of the mart; ties by label and countries."""
+    first = mart.orderBy(F.desc("total_flights"), "route_label", "origin_country", "destination_country").limit(k)
+    return first.select("route_label", "total_flights", "primary_airline", "avg_duration_min")
 
 
 def top_territories(mart: DataFrame, territory_type: str = "COUNTRY", k: int = 10) -> DataFrame:

@@ -137,7 +137,7 @@ def counts_by_type(events: DataFrame, day: str) -> DataFrame:
 
 
 def with_warnings(counts: DataFrame, min_events: int = MIN_EVENTS, min_crossings: int = MIN_CROSSINGS) -> DataFrame:
-    """Texts for counts under their minimum; informational, never blocks."""
+    """Texts for counts under their minimum; informational, never blocks. The wording of the texts."""
 
     def warn(label: str, column: str, least: int) -> Column:
         text = F.concat(F.lit(f"{label} ("), F.col(column).cast("string"), F.lit(f") below minimum threshold ({least})."))

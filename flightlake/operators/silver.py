@@ -15,9 +15,9 @@ def _of_day(events: DataFrame, day: str) -> DataFrame:
 
 
 def worklist(events: DataFrame, day: str) -> DataFrame:
-    """Aircraft with a departure or landing of the day that lacks an airport."""
+    """Aircraft with a departure or landing of the day that lacks an airport, in order."""
     lacking = F.col("origin_iata").isNull() | F.col("destination_iata").isNull()
-    return _of_day(events, day).filter(F.col("event_type").isin("DEPARTED", "LANDED") & lacking).select("icao24").distinct()
+    return _of_day(events, day).filter(F.col("event_type").isin("DEPARTED", "LANDED") & lacking).select("icao24").distinct().orderBy("icao24")
 
 
 def resolved_routes(work: DataFrame, records: DataFrame, airports: DataFrame) -> DataFrame:

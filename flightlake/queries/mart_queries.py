@@ -78,11 +78,7 @@ def route_mart(spark, sf):
     "SELECT route_label, total_flights, primary_airline, avg_duration_min FROM mart "
     "ORDER BY total_flights DESC, route_label, origin_country, destination_country LIMIT 20", *_ROUTE_VIEWS, **_ROUTE_CTES))
 def top_routes(spark, sf):
-    mart = _routes(spark, sf)
-    return (
-        mart.orderBy(F.desc("total_flights"), "route_label", "origin_country", "destination_country")
-        .limit(20).select("route_label", "total_flights", "primary_airline", "avg_duration_min")
-    )
+    return marts.top_routes(_routes(spark, sf))
 
 
 _TERRITORY = "territory_type territory_id territory_name"

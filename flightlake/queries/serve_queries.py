@@ -309,14 +309,14 @@ _ONE_AIRPORT = "SELECT airport_iata_code, iso_country, longitude_deg AS lon, lat
 @query("features_basic", s.with_views("""
     SELECT event_id, f.icao24, callsign, CAST(event_date AS VARCHAR) AS flight_date, origin_iata, destination_iata, airline_iata, weight_category, icao_aircraft_type,
            hour(event_timestamp) AS departure_hour, isodow(event_timestamp) AS departure_day_of_week,
-           coalesce(o.iso_country <> d.iso_country, false) AS is_international, year(event_date) - year(first_flight_date) AS years
+           coalesce(o.iso_country <> d.iso_country, false) AS is_international,
+           CAST(round(CAST((year(event_date) - year(first_flight_date)) * 12 + month(event_date) - month(first_flight_date)
+             + CASE WHEN day(event_date) = day(first_flight_date) OR (event_date = last_day(event_date) AND first_flight_date = last_day(first_flight_date)) THEN 0
+                    ELSE (day(event_date) - day(first_flight_date)) / 31.0 END AS DECIMAL(12,6)) / 12, 1) AS DOUBLE) AS aircraft_age_years
     FROM hist_events f LEFT JOIN aircraft a ON a.icao24 = f.icao24 LEFT JOIN one o ON o.airport_iata_code = f.origin_iata
     LEFT JOIN one d ON d.airport_iata_code = f.destination_iata WHERE event_type = 'DEPARTED'""", "hist_events", "aircraft", "airports", one=_ONE_AIRPORT))
 def features_basic(spark, sf):
-    """The age is compared by calendar years here; its exact value is unit-tested."""
-    made = features.flight_features(s.hist_events(spark, sf), s.aircraft(spark, sf), s.airports(spark, sf))
-    born = s.aircraft(spark, sf).select("icao24", F.year("first_flight_date").alias("_y"))
-    return made.join(born, "icao24", "left").withColumn("years", F.year("flight_date") - F.col("_y")).drop("_y", "aircraft_age_years")
+    return features.flight_features(s.hist_events(spark, sf), s.aircraft(spark, sf), s.airports(spark, sf))
 
 
 @query("congestion", s.with_views(f"""

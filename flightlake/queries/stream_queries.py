@@ -17,9 +17,20 @@ from flightlake.streaming import jobs, microbatch
 _EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
+_PARTS = 4
+
+
 def _streamed(spark, sf):
-    """The events table as a stream of its files."""
-    return prepare(spark).readStream.schema(_EVENT_SCHEMA).parquet(f"{sf}/events.parquet*")
+    """The events table as a stream of micro-batches in time order."""
+    base = workdir(prepare(spark), "stream")
+    events = s.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / _PARTS
+    for i in range(_PARTS):
+        low, high = (F.lit(first + step * k).cast("timestamp_ntz") for k in (i, i + 1))
+        part = events.filter((F.col("ts") >= low) & ((F.col("ts") < high) if i < _PARTS - 1 else F.lit(True)))
+        part.coalesce(1).write.mode("append").parquet(base)
+    return spark.readStream.schema(_EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(base)
 
 
 def _finish(query_):

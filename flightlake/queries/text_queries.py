@@ -88,10 +88,10 @@ def coverage_filter(spark, sf):
 
 
 @query("monitor_lines", s.with_views(
-    "SELECT event_id, rpad(event_type, 12, ' ') || ' | ' || icao24 || ' | ' || lpad(coalesce(callsign, 'unknown'), 8, ' ') || ' | alt=' AS head FROM flight_events", "flight_events"))
+    "SELECT event_id, rpad(event_type, 12, ' ') || ' | ' || icao24 || ' | ' || lpad(coalesce(callsign, 'unknown'), 8, ' ') || ' | alt=' "
+    "|| lpad(format('{:,}', CAST(round(coalesce(altitude_ft, 0)) AS BIGINT)), 8, ' ') || 'ft' AS line FROM flight_events", "flight_events"))
 def monitor_lines(spark, sf):
-    lines = s.flight_events(spark, sf).withColumn("line", text.monitor_line())
-    return lines.select("event_id", F.concat(F.substring_index("line", "alt=", 1), F.lit("alt=")).alias("head"))
+    return s.flight_events(spark, sf).select("event_id", text.monitor_line().alias("line"))
 
 
 @query("airport_distance", s.with_views("""

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def build(app: str = "flightlake", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build(app: str = "flightlake", master: str | None = None, shuffle_partitions: int | None = None, work: str | None = None) -> SparkSession:
     """A session with the settings the plans in this package are written for.
 
     Adaptive execution picks partition counts, turns small shuffled sides into
     broadcasts once their size is known, and splits skewed join partitions. Reference
-    tables of up to 64 MB, by Spark's own measure, are broadcast.
+    tables of up to 64 MB, by Spark's own measure, are broadcast. ``work`` names the shared folder
+    for staged tables, where the cluster's settings do not.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -32,6 +33,8 @@ def build(app: str = "flightlake", master: str | None = None, shuffle_partitions
     )
     if master:
         builder = builder.master(master)
+    if work:
+        builder = builder.config("spark.checkpoint.dir", f"{work}/work").config("spark.sql.warehouse.dir", f"{work}/warehouse")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

@@ -45,23 +45,26 @@ class Tracking:
         spark = batch.sparkSession
         before = spark.read.schema(_STATE).parquet(self._state(number - 1)) if number else spark.createDataFrame([], _STATE)
         with scratch(spark):
-            events, closed, state = self.step(batch, before)
+            events, closed, state, late = self.step(batch, before)
             events.write.mode("overwrite").parquet(f"{self.base}/events/batch={number}")
             closed.write.mode("overwrite").parquet(f"{self.base}/crossings/batch={number}")
+            late.write.mode("overwrite").parquet(f"{self.base}/late/batch={number}")
             state.withColumn("number", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(self._state(number))
 
     def _state(self, number: int) -> str:
         return f"{self.base}/state/slot={number % 3}"
 
-    def step(self, batch: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Events and ended stays of a micro-batch, and the state after it.
+    def step(self, batch: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """Events and ended stays of a micro-batch, the state after it, and the positions that came too late.
 
-        Positions not newer than the state of their aircraft are late and ignored.
+        Those not newer than the state of their aircraft are late: they change nothing here and go to an
+        output of their own, from which the batch operators can replay their days.
         """
         order = ("timestamp", "tie")
         tied = batch.withColumn("tie", (F.col(self.tie) if self.tie else F.lit(0)).cast("bigint"))
         known = before.select("icao24", F.struct("timestamp", "tie").alias("_seen"))
-        fresh = tied.join(known, "icao24", "left").filter(F.col("_seen").isNull() | (F.struct("timestamp", "tie") > F.col("_seen"))).drop("_seen")
+        compared = tied.join(known, "icao24", "left").withColumn("_late", F.coalesce(F.struct("timestamp", "tie") <= F.col("_seen"), F.lit(False)))
+        fresh, late = (compared.filter(c).drop("_seen", "_late") for c in (~F.col("_late"), F.col("_late")))
         located = located_pings(fresh, self.index).withColumns({
             "carried": F.lit(False), "carried_event": F.lit(None).cast(_EVENT), "stay": F.lit(None).cast(_STAY),
         })
@@ -87,7 +90,11 @@ class Tracking:
             *_SAME, "territory_name", "entered_at", "callsign", F.col("crossing_role").alias("role"), "event",
         ).alias("stay"))
         state = last.join(heard, "icao24", "left").join(open_, "icao24", "left")
-        return events, _crossing(stays.filter(F.col("exited_at").isNotNull())), state
+        return events, _crossing(stays.filter(F.col("exited_at").isNotNull())), state, late.select(*batch.columns)
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        """Positions that came too late, with their micro-batch."""
+        return spark.read.option("basePath", f"{self.base}/late").parquet(f"{self.base}/late/batch=*")
 
     def events(self, spark: SparkSession) -> DataFrame:
         return spark.read.option("basePath", f"{self.base}/events").parquet(f"{self.base}/events/batch=*").drop("batch")

@@ -1,3 +1,4 @@
+import glob
 from datetime import datetime, timedelta
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from flightlake import schema
 from flightlake.operators import crossings, events, geo
 from flightlake.sources import messages
-from flightlake.streaming import jobs, microbatch, tracker
+from flightlake.streaming import jobs, microbatch
 
 from test_events import PING, T0, FLIGHT, pings
 
@@ -22,30 +23,6 @@ def busy():
     return {f"p{i}": [(j * 7 + i, (i * j) % 5 == 0, float((i * 31 + j * 17) % 900 - 450), 12000.0, float((i * 13 + j * 7) % 34), 5.0) for j in range(30)] for i in range(5)}
 
 
-def replay(spark, tmp_path, all_pings, cuts, index, aircraft=None):
-    """Positions fed in time order as several micro-batches, with a restart in between."""
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    ddl = all_pings.schema
-    low = datetime(2000, 1, 1)
-    for high in [*cuts, datetime(2100, 1, 1)]:
-        all_pings.filter((F.col("timestamp") >= F.lit(low)) & (F.col("timestamp") < F.lit(high))).coalesce(1).write.mode("append").parquet(source)
-        stream = tracker.track(spark.readStream.schema(ddl).parquet(source), index, aircraft)
-        query = jobs.start(stream, str(tmp_path / "check"), path=out, replay=True)
-        query.awaitTermination()
-        low = high
-    return spark.read.schema(tracker.OUTPUT).parquet(out)
-
-
-def test_stream_equals_batch(spark, tmp_path, rows, index):
-    df = spark.createDataFrame(pings(spark, {**busy(), "x": FLIGHT}).collect(), PING)
-    records = replay(spark, tmp_path, df, [T0 + timedelta(minutes=62), T0 + timedelta(minutes=152)], index).cache()
-    cols = ["icao24", "event_type", "timestamp", "altitude_ft", "vertical_rate_fpm", "callsign"]
-    assert rows(tracker.event_records(records).select(*cols)) == rows(events.detect_events(df).select(*cols))
-    batch = crossings.territory_sessions(df, index)
-    assert rows(tracker.crossing_records(records).select(*batch.columns)) == rows(batch)
-    records.unpersist()
-
-
 def test_micro_batches_equal_one_batch(spark, tmp_path, rows, index):
     df = spark.createDataFrame(pings(spark, {**busy(), "x": FLIGHT}).collect(), PING)
     source = str(tmp_path / "in")
@@ -63,6 +40,13 @@ def test_micro_batches_equal_one_batch(spark, tmp_path, rows, index):
     assert rows(job.events(spark).select(*cols)) == rows(events.detect_events(df).select(*cols))
     batch = crossings.territory_sessions(df, index)
     assert rows(job.crossings(spark).select(*batch.columns)) == rows(batch)
+    # What came late is kept apart, with its count: nothing is lost unseen.
+    cuts = [T0 + timedelta(minutes=m) for m in (62, 152, 160)]
+    assert job.late(spark).count() == sum(df.filter(F.col("timestamp") < F.lit(c)).count() for c in cuts)
+    work = spark.conf.get("spark.checkpoint.dir")
+    staged = set(glob.glob(f"{work}/stage-*"))
+    job.each(df.limit(0), 4)
+    assert set(glob.glob(f"{work}/stage-*")) == staged
 
 
 def test_micro_batch_of_unknown_aircraft(spark, tmp_path, index):
@@ -78,15 +62,6 @@ def test_micro_batch_of_unknown_aircraft(spark, tmp_path, index):
     assert job.crossings(spark).count() == before
 
 
-def test_late_and_unknown(spark, tmp_path, index):
-    df = spark.createDataFrame(pings(spark, {"x": FLIGHT, "y": FLIGHT}).collect(), PING)
-    known = spark.createDataFrame([("x",)], "icao24 string")
-    records = replay(spark, tmp_path, df.unionByName(df), [T0 + timedelta(minutes=100)], index, known)
-    # Repeated positions are not newer than the state and change nothing.
-    assert tracker.event_records(records).groupBy("icao24").count().collect()[0]["count"] == events.detect_events(df.filter("icao24 = 'x'")).count()
-    assert {r["icao24"] for r in tracker.crossing_records(records).collect()} == {"x"}
-
-
 def message_rows(spark, data):
     ddl = "icao24 string, event_type string, event_timestamp timestamp, latitude double, longitude double, altitude_ft double, on_ground boolean, callsign string"
     return spark.createDataFrame([(k, e, T0 + timedelta(minutes=m), 1.0, 2.0, float(m), g, None) for k, e, m, g in data], ddl)
@@ -140,4 +115,4 @@ def test_topic_failure_does_not_fail_the_table(spark, tmp_path):
 
 
 def test_output_names():
-    assert {"record", "icao24", "flight_status"} <= set(tracker.OUTPUT.names) and set(schema.FLIGHT_STATUSES) == {"IN_PROGRESS", "COMPLETED"}
+    assert set(schema.FLIGHT_STATUSES) == {"IN_PROGRESS", "COMPLETED"}
