@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,24 @@ def text_key(text: Column) -> Column:
     return F.hash(text)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches_of(batches):
+        texts = [None if t is None else press(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_h"), pa.array(texts, pa.binary())], names=["doc_id", "_h", "packed"])
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """``doc_id, _h, packed``: texts that are to be shuffled, compressed one by one; a third less to move than what Spark makes of them."""
+    return texts.select("doc_id", "_h", "text").mapInArrow(_packed, "doc_id long, _h int, packed binary")
+
+
+def unpacked(column: pa.Array) -> pa.Array:
+    """The texts of a batch as bytes."""
+    plain = zstandard.ZstdDecompressor().decompress
+    return pa.array([None if t is None else plain(t) for t in column.to_pylist()], pa.large_binary())
+
+
 def on_key(left: DataFrame, right: DataFrame) -> Column:
     """Join condition: the same document."""
     return (left["_h"] == right["_h"]) & left["doc_id"].eqNullSafe(right["doc_id"])

@@ -22,7 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import LOWER, SPACED, arrow_batch, batches_of, components, flat, keyed, mixed, prefix_sums, signed, span_hash, stage, text_key, unstage, word_bounds, word_hashes
+from flightlake.llm.common import (
+    BATCH_BYTES, LOWER, SPACED, arrow_batch, batches_of, components, flat, keyed, mixed, on_key, packed, prefix_sums, signed, span_hash, stage, text_key,
+    unpacked, unstage, word_bounds, word_hashes,
+)
 
 #: Buckets that tokens are counted in to find the frequent ones; fixed, whatever the corpus.
 SKETCH = 1 << 16
@@ -167,8 +170,8 @@ def _blocks(lists: DataFrame) -> DataFrame:
 
 
 def _whole(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches_of(batches):
-        yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([t.tobytes() for t in shingles(batch.column("text"), size)], pa.binary())], names=["sid", "tokens"])
+    for batch in batches_of(batches, "packed", BATCH_BYTES // 4):
+        yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([t.tobytes() for t in shingles(unpacked(batch.column("packed")), size)], pa.binary())], names=["sid", "tokens"])
 
 
 def _allowed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -221,6 +224,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     level = spark.sparkContext.broadcast(levels(counts))
     rows = stage(texts.mapInArrow(partial(_sets, size=size, percent=percent, level=level), "doc_id long, _h int, n long, s1 long, s2 long, g long, hist binary, prefix array<long>"))
     same = ["s1", "s2", "n"]
+    members_of = stage(rows.select("doc_id", "_h", *same))
     sets = stage(
         rows.filter("n > 0").groupBy(*same).agg(F.min(F.struct("doc_id", "_h")).alias("rep"), F.min("doc_id").alias("least"), F.first("g").alias("g"), F.first("hist").alias("hist"))
         .withColumn("sid", F.monotonically_increasing_id())
@@ -230,6 +234,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     postings = rows.select(F.explode("prefix").alias("token"), "g", "n").repartition("token")
     shared = postings.groupBy("token").agg(F.count("*").alias("members"), (F.min("g") != F.max("g")).alias("g2"), (F.min("n") != F.max("n")).alias("n2")).filter("g2 OR n2").select("token", "members")
     listed = stage(postings.join(shared, "token").dropDuplicates(["token", "g", "n"]))
+    unstage(rows)
     # Within a group its own key is the list.
     inside = sets.groupBy("g", "n").agg(F.count("*").alias("members")).filter("members > 1").select(F.xxhash64("g", "n").alias("token"), "members", "g", "n")
     groups = listed.select("token", "members", "g", "n").unionByName(inside)
@@ -238,9 +243,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     involved = stage(_blocks(lists).mapInArrow(partial(_close, percent=percent, pairs=False), "sid long").distinct())
     lists = stage(groups.join(member.join(involved, "sid"), ["g", "n"]).select("token", "members", "sid", "n", "hist"))
     fetched = sets.join(involved, "sid").select("sid", "rep.doc_id", "rep._h")
-    whole = stage(
-        texts.join(fetched, (texts["_h"] == fetched["_h"]) & texts["doc_id"].eqNullSafe(fetched["doc_id"])).select("sid", "text").mapInArrow(partial(_whole, size=size), "sid long, tokens binary").dropDuplicates(["sid"])
-    )
+    moved = packed(texts)
+    whole = stage(moved.join(fetched, on_key(moved, fetched)).select("sid", "packed").mapInArrow(partial(_whole, size=size), "sid long, tokens binary").dropDuplicates(["sid"]))
 
     # Stars: every member of a list with its most central one, the one with the most company over all its lists.
     company = lists.groupBy("token").agg(F.count("*").alias("c"))
@@ -259,7 +263,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     labelled = sets.join(final.select(F.col("node").alias("sid"), "label"), "sid", "left").select(*same, "least", F.coalesce("label", "sid").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     of_set = stage(labelled.join(named, "label").select(*same, "label", "component_id"))
-    result = rows.select("doc_id", "_h", *same).join(of_set, same, "left")
+    result = members_of.join(of_set, same, "left")
     unstage(sets, listed, involved, lists, whole, stars, first, rest)
     return result.select("doc_id", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
 
