@@ -34,7 +34,7 @@ BINS = 256
 #: Members of a list that are compared at a time.
 BLOCK = 1024
 #: Pairs that are compared at a time.
-PAIRS = 1 << 17
+PAIRS = 1 << 15
 
 
 def shingles(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -60,7 +60,7 @@ def histogram(tokens: np.ndarray) -> bytes:
 
 def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SKETCH, np.int64)
-    for batch in batches_of(batches):
+    for batch in batches_of(batches, limit=BATCH_BYTES // 2):
         for tokens in shingles(batch.column("text"), size):
             counts += np.bincount((tokens >> np.uint64(48)).astype(np.int64), minlength=SKETCH)
     at = np.flatnonzero(counts)
@@ -77,7 +77,7 @@ _SETS = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("n", pa.int64())
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int, percent: int, level) -> Iterator[pa.RecordBatch]:
     seed = np.uint64(0x8CB92BA72F3D8DD7)
-    for batch in batches_of(batches):
+    for batch in batches_of(batches, limit=BATCH_BYTES // 2):
         out: list[list] = [[] for _ in range(6)]
         for tokens in shingles(batch.column("text"), size):
             order = np.argsort(level.value[(tokens >> np.uint64(48)).astype(np.int64)], kind="stable")
