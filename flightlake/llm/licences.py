@@ -104,12 +104,10 @@ def known_sentences(docs: DataFrame) -> DataFrame:
     """``doc_id, row, joined, place, sentence``: identifiers of the known sentences of each row, in both ways of cutting."""
     mentions = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).withColumn("row", F.monotonically_increasing_id()).filter(F.lower("text").rlike(CUES))
     known = docs.sparkSession.createDataFrame([(s, i) for i, all_of in SENTENCES.items() for s in all_of], "known string, sentence string")
-    found = None
-    for joined in (False, True):
-        one = mentions.select("doc_id", "row", F.lit(joined).alias("joined"), F.posexplode(sentences(F.col("text"), joined)).alias("place", "s"))
-        hits = one.withColumn("s", normalised(F.col("s"))).join(F.broadcast(known), F.col("s") == F.col("known")).select("doc_id", "row", "joined", "place", "sentence")
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    ways = F.array(*(F.struct(F.lit(joined).alias("joined"), sentences(F.col("text"), joined).alias("parts")) for joined in (False, True)))
+    cut = mentions.select("doc_id", "row", F.inline(ways)).select("doc_id", "row", "joined", F.posexplode("parts").alias("place", "s"))
+    # The table of known sentences is fixed, so it may be broadcast.
+    return cut.withColumn("s", normalised(F.col("s"))).join(F.broadcast(known), F.col("s") == F.col("known")).select("doc_id", "row", "joined", "place", "sentence")
 
 
 def licences(docs: DataFrame) -> DataFrame:

@@ -176,8 +176,9 @@ def windows_that_repeat(texts: DataFrame, unclear: DataFrame, kind: str, window:
     """``doc_id, _h, start, n`` (1): windows of stretches with one copy that stand in another stretch too.
 
     Windows of all unclear stretches are counted by their hash within their anchor, folded before the shuffle.
+    Where equal rows show a stretch twice it has two copies at least, so counting it again changes nothing.
     """
-    with_places = of_documents(texts, unclear, "start", "n", "anchor", "copies").filter("places IS NOT NULL").dropDuplicates(["doc_id", "_h"])
+    with_places = of_documents(texts, unclear, "start", "n", "anchor", "copies").filter("places IS NOT NULL")
     found = stage(with_places.mapInArrow(partial(_windows, kind=kind, window=window), WINDOWS))
     often = found.groupBy("anchor", "window").agg(F.sum("copies").alias("c")).filter("c > 1").select("anchor", "window")
     kept = stage(often)

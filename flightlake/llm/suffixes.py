@@ -164,7 +164,7 @@ def repeated_windows(docs: DataFrame, window: int = 400, anchor: int | None = No
     total = sizes.filter(F.col("kinds") <= most).agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-int(total) // shard))
     small = unclear.join(large, "anchor", "left_anti")
-    places = repeats.of_documents(texts, small, "start", "n", "anchor", "copies").filter("places IS NOT NULL").dropDuplicates(["doc_id", "_h"])
+    places = repeats.of_documents(texts, small, "start", "n", "anchor", "copies").filter("places IS NOT NULL")
     segments = places.mapInArrow(partial(_segments, window=window), "doc_id long, _h int, start int, anchor long, copies long, segment binary")
     dealt = segments.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     found = stage(dealt.groupBy("shard").applyInPandas(partial(_resolve, window=window), "doc_id long, _h int, start int, n int"))
