@@ -98,6 +98,7 @@ def congestion(departures: DataFrame, pings: DataFrame, discs: AirportDiscs, pol
     around = (
         join_lookup(placed, discs.cells, ["cell_x", "cell_y"], discs.stored_bytes, [F.col("icao24"), F.col(poll)])
         .select(poll, "icao24", F.explode(F.transform(close, lambda a: a["airport_iata_code"])).alias("origin_iata"))
+        .join(departures.select(poll, "origin_iata").distinct(), [poll, "origin_iata"], "left_semi")  # no other airport is asked for
         .distinct()
         .groupBy(poll, "origin_iata").agg(F.count(F.lit(1)).alias("origin_congestion_score"))
     )

@@ -71,7 +71,7 @@ def stream_crossings(spark, sf):
 def stream_latest(spark, sf):
     base = workdir(prepare(spark), "cache")
     stream = jobs.latest_states(s.flight_events(spark, sf, _streamed(spark, sf)), tie="event_id")
-    _finish(jobs.start(stream, f"{base}/checkpoint", each=jobs.numbered_parquet(f"{base}/cache"), mode="update", replay=True))
+    _finish(jobs.start(stream, f"{base}/checkpoint", each=jobs.position_snapshot(f"{base}/cache"), mode="update", replay=True))
     return jobs.read_cache(spark, f"{base}/cache")
 
 

@@ -227,7 +227,7 @@ DELAY_PREDICTION = _struct(
     icao_aircraft_type string
     departure_hour int
     departure_day_of_week int
-    origin_congestion_score decimal(5,2)
+    origin_congestion_score decimal(10,2)
     is_international boolean
     departure_delay_min decimal(6,1)
     delay_probability decimal(5,4)

@@ -64,11 +64,20 @@ def dual_write(write_table: Callable[[DataFrame, int], DataFrame | None], write_
     return each
 
 
-def numbered_parquet(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch function: one sub-folder per micro-batch, overwritten when it is retried."""
+def position_snapshot(path: str) -> Callable[[DataFrame, int], None]:
+    """Batch function for ``latest_states``: the newest message of every aircraft so far.
+
+    The snapshot rotates over three folders: the one a retry starts from is never the one being
+    written, and its size is that of the fleet, however long the job runs.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark = batch.sparkSession
+        now = batch.withColumn("number", F.lit(number).cast("bigint"))
+        if number:
+            before = spark.read.schema(now.schema).parquet(f"{path}/slot={(number - 1) % 3}").withColumn("number", F.lit(number).cast("bigint"))
+            now = now.unionByName(before.join(batch.select("icao24"), "icao24", "left_anti"))
+        now.write.mode("overwrite").parquet(f"{path}/slot={number % 3}")
 
     return each
 
@@ -86,12 +95,13 @@ def latest_states(messages: DataFrame, time: str = "event_timestamp", tie: str |
 
 
 def read_cache(spark: SparkSession, path: str, source: str = "stream") -> DataFrame:
-    """Current airborne positions out of the numbered updates of ``latest_states``.
+    """Current airborne positions out of the newest snapshot of ``position_snapshot``.
 
     A last message on the ground removes the aircraft.
     """
-    updates = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
-    newest = updates.groupBy("icao24").agg(F.max_by("last", "batch").alias("last")).filter(~F.col("last.on_ground"))
+    slots = spark.read.parquet(f"{path}/slot=*")
+    number = slots.agg(F.max("number")).first()[0]
+    newest = slots.filter(F.col("number") == number).filter(~F.col("last.on_ground"))
     return newest.select(
         "icao24", shown_callsign("last.callsign", "icao24").alias("callsign"), "last.latitude", "last.longitude", "last.altitude_ft",
         "last.event_type", F.col("last.event_timestamp").alias("updated_at"), F.lit(source).alias("source"),

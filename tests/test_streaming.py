@@ -73,7 +73,7 @@ def test_position_cache(spark, tmp_path):
     for part in feed:
         df = message_rows(spark, part)
         df.coalesce(1).write.mode("append").parquet(source)
-        q = jobs.start(jobs.latest_states(spark.readStream.schema(df.schema).parquet(source)), str(tmp_path / "check"), each=jobs.numbered_parquet(str(tmp_path / "cache")), mode="update", replay=True)
+        q = jobs.start(jobs.latest_states(spark.readStream.schema(df.schema).parquet(source)), str(tmp_path / "check"), each=jobs.position_snapshot(str(tmp_path / "cache")), mode="update", replay=True)
         q.awaitTermination()
     got = {r["icao24"]: (r["event_type"], r["altitude_ft"], r["callsign"]) for r in jobs.read_cache(spark, str(tmp_path / "cache")).collect()}
     assert got == {"a": ("CRUISING", 5.0, "a"), "c": ("DEPARTED", 7.0, "c")}
