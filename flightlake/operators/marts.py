@@ -9,9 +9,10 @@ which ranking reads twice, is written to the shared folder before it is ranked.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flightlake import schema
@@ -93,10 +94,16 @@ def route_mart(
     codes shared by several airports multiply the counts, as in the declared
     SQL mart; both are applied as weights.
     """
+    return route_mart_of(departures_with_landings(events, landed_source), aircraft, airports, years, min_flights, ordered)
+
+
+def route_mart_of(
+    days: DataFrame, aircraft: DataFrame, airports: DataFrame, years: Sequence[int] = MART_YEARS, min_flights: int = 2, ordered: bool = False
+) -> DataFrame:
+    """``route_mart`` out of the folded days of ``departures_with_landings``."""
     airline = aircraft.select("icao24", "airline_name", "airline_iata")
     by_airline = (
-        departures_with_landings(events, landed_source)
-        .join(airline, "icao24", "left")
+        days.join(airline, "icao24", "left")
         .groupBy("origin_iata", "destination_iata", "airline_name", "airline_iata", F.year("event_date").alias("flight_year"))
         .agg(
             F.sum("flights").alias("flights"),
@@ -192,22 +199,37 @@ def territory_mart(
     ordered: bool = False,
 ) -> DataFrame:
     """Crossings per territory with durations, roles, usual airline and rank within its type."""
-    territory = ["territory_type", "territory_id", "territory_name"]
+    return territory_mart_of(territory_days(crossings), aircraft, years, ordered)
+
+
+_TERRITORY = ("territory_type", "territory_id", "territory_name")
+_ROLES = tuple(f"{r.lower()}_crossings" for r in schema.CROSSING_ROLES)
+
+
+def territory_days(crossings: DataFrame) -> DataFrame:
+    """Crossings of positive length per territory, aircraft and date of entry: what the mart adds up."""
+    roles = [F.count(F.when(F.col("crossing_role") == r, F.lit(1))).alias(name) for r, name in zip(schema.CROSSING_ROLES, _ROLES)]
+    return (
+        crossings.filter(F.col("duration_minutes") > 0)
+        .groupBy(*_TERRITORY, "icao24", "entered_date")
+        .agg(F.count(F.lit(1)).alias("total_crossings"), *roles, F.sum("duration_minutes").alias("minutes_sum"), F.max("duration_minutes").alias("minutes_max"))
+    )
+
+
+def territory_mart_of(days: DataFrame, aircraft: DataFrame, years: Sequence[int] = MART_YEARS, ordered: bool = False) -> DataFrame:
+    """``territory_mart`` out of the folded days of ``territory_days``."""
+    territory = list(_TERRITORY)
     counts = {
-        "total_crossings": F.lit(True),
-        **{f"crossings_{y}": F.year("entered_date") == y for y in years},
-        **{f"{r.lower()}_crossings": F.col("crossing_role") == r for r in schema.CROSSING_ROLES},
+        "total_crossings": F.col("total_crossings"),
+        **{f"crossings_{y}": F.when(F.year("entered_date") == y, F.col("total_crossings")).otherwise(0) for y in years},
+        **{name: F.col(name) for name in _ROLES},
     }
-    per_aircraft = (
-        crossings.filter(F.col("duration_minutes") > 0)
-        .groupBy(*territory, "icao24")
-        .agg(
-            *[F.count(F.when(test, F.lit(1))).alias(name) for name, test in counts.items()],
-            F.sum("duration_minutes").alias("minutes_sum"),
-            F.max("duration_minutes").alias("minutes_max"),
-            F.min("entered_date").alias("first_date"),
-            F.max("entered_date").alias("last_date"),
-        )
+    per_aircraft = days.groupBy(*territory, "icao24").agg(
+        *[F.sum(c).alias(name) for name, c in counts.items()],
+        F.sum("minutes_sum").alias("minutes_sum"),
+        F.max("minutes_max").alias("minutes_max"),
+        F.min("entered_date").alias("first_date"),
+        F.max("entered_date").alias("last_date"),
     )
     owner = aircraft.select("icao24", "airline_iata", "airline_name", "country_iso2")
     sided = per_aircraft.join(owner, "icao24", "left").withColumn(
@@ -255,6 +277,21 @@ def territory_mart(
     return ranked.orderBy("territory_type", "rank_within_type") if ordered else ranked
 
 
+def refresh_days(spark: SparkSession, table: str, days: Callable[[DataFrame], DataFrame], history: DataFrame, date: str, touched: Sequence[datetime.date]) -> DataFrame:
+    """The table of folded days after folding the touched dates anew; the first time, all dates.
+
+    Only the history partitions of those dates are read and only their partitions of the table are
+    written, so a night costs what it brings. Whoever else changes history names its dates here too.
+    """
+    if not spark.catalog.tableExists(table):
+        days(history).write.partitionBy(date).format("parquet").saveAsTable(table)
+    elif touched:
+        new = days(history.filter(F.col(date).isin(list(touched)))).select(*spark.table(table).columns)
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def top_routes(mart: DataFrame, k: int = 20) -> DataFrame:
     """Busiest routes of the mart; ties by label and countries."""
     first = mart.orderBy(F.desc("total_flights"), "route_label", "origin_country", "destination_country").limit(k)

@@ -198,6 +198,8 @@ class Tables:
     airports: str = "dim_airport"
     route_mart: str = "gold_route_frequency"
     territory_mart: str = "gold_territory_heatmap"
+    route_days: str = "gold_route_days"
+    territory_days: str = "gold_territory_days"
 
 
 def _dates(df: DataFrame, column: str) -> tuple:
@@ -234,8 +236,8 @@ def clear(spark: SparkSession, table: str, seen: Snapshot) -> None:
     spark.catalog.refreshTable(table)
 
 
-def _rewrite(spark: SparkSession, table: str, ends: DataFrame, run_ts: Column) -> int:
-    """End open history crossings, rewriting only the dates they were entered on."""
+def _rewrite(spark: SparkSession, table: str, ends: DataFrame, run_ts: Column) -> tuple[int, list]:
+    """End open history crossings, rewriting only the dates they were entered on; their number and these dates."""
     ends = cut_lineage(ends)
     dates = [r[0] for r in ends.select(F.to_date("entered_at")).distinct().collect()]
     if dates:
@@ -243,7 +245,7 @@ def _rewrite(spark: SparkSession, table: str, ends: DataFrame, run_ts: Column) -
         arranged = by_date(new.select(*spark.table(table).columns), "entered_date")
         arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
         spark.catalog.refreshTable(table)
-    return ends.count()
+    return ends.count(), dates
 
 
 def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_marts: bool = True, carry_days: int = 3) -> dict:
@@ -278,11 +280,13 @@ def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool,
             out["events_rolled"] = new.count()
         if carried:
             ends = cut_lineage(closings(crossings, old_crossings()))
-            out["closed"] = _rewrite(spark, tables.hist_crossings, ends, at)
+            out["closed"], closed_dates = _rewrite(spark, tables.hist_crossings, ends, at)
             # Open stays of earlier days without a row of their own today end with the aircraft's next landing or entry.
             earlier = still_open(old_crossings()).join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
             left = close_carried(earlier, carried_ends(earlier, events, crossings), schema.CROSSING_KEY).filter(F.col("exited_at").isNotNull())
-            out["closed"] += _rewrite(spark, tables.hist_crossings, left.select(*schema.CROSSING_KEY, *_ENDING), at)
+            more, more_dates = _rewrite(spark, tables.hist_crossings, left.select(*schema.CROSSING_KEY, *_ENDING), at)
+            out["closed"] += more
+            closed_dates += more_dates
         if crossing_dates[0] is not None:
             new = cut_lineage(rollup_crossings(crossings, events, old_events(), _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates), at))
             by_date(new, "entered_date").write.mode("append").partitionBy("entered_date").format("parquet").saveAsTable(tables.hist_crossings)
@@ -297,12 +301,20 @@ def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool,
         if short:
             raise ReconciliationError("; ".join(short))
         out["in_flight"] = in_flight(spark.table(tables.hist_crossings), day).first()["in_flight"]
+        days = lambda df, column: [r[0] for r in df.select(column).distinct().collect()]
+        event_days, crossing_days = days(events, "event_date"), sorted({*days(crossings, "entered_date"), *(closed_dates if carried else [])})
         clear(spark, tables.daily_events, seen_events)
         clear(spark, tables.daily_crossings, seen_crossings)
+        # The folded days follow every night, also one that builds no mart from them.
+        routes = lambda h: marts.departures_with_landings(h, schema.HISTORY_SOURCE)
+        if build_marts or spark.catalog.tableExists(tables.route_days):
+            route_days = marts.refresh_days(spark, tables.route_days, routes, spark.table(tables.hist_events), "event_date", event_days)
+        if build_marts or spark.catalog.tableExists(tables.territory_days):
+            territory_days = marts.refresh_days(spark, tables.territory_days, marts.territory_days, spark.table(tables.hist_crossings), "entered_date", crossing_days)
         if build_marts:
-            history, master = spark.table(tables.hist_events), spark.table(tables.aircraft)
-            marts.write_mart(marts.route_mart(history, master, spark.table(tables.airports)), tables.route_mart)
-            marts.write_mart(marts.territory_mart(spark.table(tables.hist_crossings), master), tables.territory_mart)
+            master = spark.table(tables.aircraft)
+            marts.write_mart(marts.route_mart_of(route_days, master, spark.table(tables.airports)), tables.route_mart)
+            marts.write_mart(marts.territory_mart_of(territory_days, master), tables.territory_mart)
     except Exception as e:  # the summary reports whatever stopped the run
         out["error"] = f"{type(e).__name__}: {e}"
     if out["error"]:

@@ -80,7 +80,7 @@ def test_warnings_and_checks(spark):
 def catalog(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS night")
     spark.sql("USE night")
-    for name in [*tables.SOURCES, "gold_route_frequency", "gold_territory_heatmap"]:
+    for name in [*tables.SOURCES, "gold_route_frequency", "gold_territory_heatmap", "gold_route_days", "gold_territory_days"]:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     tables.create_catalog_tables(spark)
     yield spark
