@@ -1,7 +1,7 @@
 """N-gram Jaccard join by grouped prefixes, with connected components.
 
 Two sets as similar as asked share a token among the first few of each, in any order common to all. Tokens come in the order of
-their hash, those of buckets with unusually many tokens last. Documents with the same prefix and size form one group, and only
+how full their bucket is in a fixed table of counts over all documents, then of their hash: frequent ones come last. Documents with the same prefix and size form one group, and only
 groups are listed under tokens. Lists with one group alone are dropped; the others are opened into the members' distinct sets,
 each with a histogram of its tokens over 256 buckets. The difference of two histograms never exceeds that of the
 sets, which rules out almost all pairs that are not links. Whole sets are fetched for the rest only.
@@ -27,10 +27,13 @@ from flightlake.llm.common import (
     unpacked, unstage, word_bounds, word_hashes,
 )
 
-#: Buckets that tokens are counted in to find the frequent ones; fixed, whatever the corpus.
-SKETCH = 1 << 16
+#: Buckets that tokens are counted in; fixed, whatever the corpus.
+SKETCH_BITS = 18
+SKETCH = 1 << SKETCH_BITS
 #: Buckets of a set's histogram, a byte each.
 BINS = 256
+#: Sets of more than ``LARGE`` tokens have another one of ``FINE`` buckets, looked at before the whole set is.
+LARGE, FINE = 1000, 2048
 #: Members of a list that are compared at a time.
 BLOCK = 1024
 #: Pairs that are compared at a time.
@@ -54,24 +57,19 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def histogram(tokens: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((tokens & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+def histogram(tokens: np.ndarray, bins: int = BINS) -> bytes:
+    return np.minimum(np.bincount((tokens & np.uint64(bins - 1)).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
 
 
 def _count(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SKETCH, np.int64)
     for batch in batches_of(batches, limit=BATCH_BYTES // 2):
         for tokens in shingles(batch.column("text"), size):
-            counts += np.bincount((tokens >> np.uint64(48)).astype(np.int64), minlength=SKETCH)
+            counts += np.bincount((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=SKETCH)
     at = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
 
 
-def levels(counts: np.ndarray) -> np.ndarray:
-    """0 for buckets about as full as the mean, more for each doubling."""
-    return np.floor(np.log2(np.maximum(counts / max(counts.mean(), 1e-9), 1))).astype(np.uint64)
-
-
 _SETS = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("g", pa.int64()), ("hist", pa.binary()), ("prefix", pa.list_(pa.int64()))])
 
 
@@ -80,7 +78,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int, percent: int, level) ->
     for batch in batches_of(batches, limit=BATCH_BYTES // 2):
         out: list[list] = [[] for _ in range(6)]
         for tokens in shingles(batch.column("text"), size):
-            order = np.argsort(level.value[(tokens >> np.uint64(48)).astype(np.int64)], kind="stable")
+            order = np.argsort(level.value[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
             prefix = tokens[order[: prefix_length(len(tokens), percent)]]
             with np.errstate(over="ignore"):
                 sums = [int(mixed(tokens ^ seed).sum().view(np.int64)), int(mixed(mixed(tokens) + seed).sum().view(np.int64)), int(mixed(prefix).sum().view(np.int64))]
@@ -171,7 +169,9 @@ def _blocks(lists: DataFrame) -> DataFrame:
 
 def _whole(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches_of(batches, "packed", BATCH_BYTES // 4):
-        yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([t.tobytes() for t in shingles(unpacked(batch.column("packed")), size)], pa.binary())], names=["sid", "tokens"])
+        sets = list(shingles(unpacked(batch.column("packed")), size))
+        fine = [histogram(t, FINE) if len(t) > LARGE else b"" for t in sets]
+        yield pa.RecordBatch.from_arrays([batch.column("sid"), pa.array([len(t) for t in sets], pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary()), pa.array(fine, pa.binary())], names=["sid", "n", "tokens", "fine"])
 
 
 def _allowed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -200,8 +200,21 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _finely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for x, y, n in zip(batch.column("fine_a").to_pylist(), batch.column("fine_b").to_pylist(), batch.column("n").to_pylist()):
+            apart = int(np.abs(np.frombuffer(x, np.uint8).astype(np.int16) - np.frombuffer(y, np.uint8)).sum()) if x and y else 0
+            keep.append((100 + percent) * apart <= (100 - percent) * n)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs ``a, b`` that link, by their whole sets ``sid, tokens``."""
+    """Those of the pairs ``a, b`` that link: by the fine histograms of large sets, then by the whole sets ``sid, n, tokens, fine``."""
+    ends = pairs
+    for end in "ab":
+        ends = ends.join(sets.select(F.col("sid").alias(end), F.col("n").alias(f"n_{end}"), F.col("fine").alias(f"fine_{end}")), end)
+    pairs = stage(ends.select("a", "b", "fine_a", "fine_b", (F.col("n_a") + F.col("n_b")).alias("n")).mapInArrow(partial(_finely, percent=percent), "a long, b long"))
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("tokens").alias("tokens_a")), "a")
     full = left.join(sets.select(F.col("sid").alias("b"), F.col("tokens").alias("tokens_b")), "b")
     return full.select("a", "b", "tokens_a", "tokens_b").mapInArrow(partial(_linked, percent=percent), "a long, b long")
@@ -219,9 +232,10 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     texts = keyed(docs)
     counts = np.zeros(SKETCH, np.int64)
-    for r in texts.select("text").mapInArrow(partial(_count, size=size), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["bucket"]] = r["n"]  # at most SKETCH rows, whatever the corpus
-    level = spark.sparkContext.broadcast(levels(counts))
+    # At most SKETCH rows, whatever the corpus.
+    for batch in texts.select("text").mapInArrow(partial(_count, size=size), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        counts[batch.column("bucket").to_numpy()] = batch.column("n").to_numpy()
+    level = spark.sparkContext.broadcast(counts)
     rows = stage(texts.mapInArrow(partial(_sets, size=size, percent=percent, level=level), "doc_id long, _h int, n long, s1 long, s2 long, g long, hist binary, prefix array<long>"))
     same = ["s1", "s2", "n"]
     members_of = stage(rows.select("doc_id", "_h", *same))
@@ -244,7 +258,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     lists = stage(groups.join(member.join(involved, "sid"), ["g", "n"]).select("token", "members", "sid", "n", "hist"))
     fetched = sets.join(involved, "sid").select("sid", "rep.doc_id", "rep._h")
     moved = packed(texts)
-    whole = stage(moved.join(fetched, on_key(moved, fetched)).select("sid", "packed").mapInArrow(partial(_whole, size=size), "sid long, tokens binary").dropDuplicates(["sid"]))
+    whole = stage(moved.join(fetched, on_key(moved, fetched)).select("sid", "packed").mapInArrow(partial(_whole, size=size), "sid long, n long, tokens binary, fine binary").dropDuplicates(["sid"]))
 
     # Stars: every member of a list with its most central one, the one with the most company over all its lists.
     company = lists.groupBy("token").agg(F.count("*").alias("c"))
