@@ -23,6 +23,8 @@ from flightlake.llm.common import ALNUM, LOWER, SPACED, arrow_batch, batches_of,
 
 HEADS = ("quality", "toxic")
 META = ("lang", "source", "n_chars")
+#: Bytes of text that are looked at together.
+BATCH = 2 << 20
 #: Bytes at the beginning of a word that are features too.
 STEMS = (4, 5)
 _LETTERS_UP = np.zeros(256, bool)
@@ -205,7 +207,7 @@ def _columns_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.int64())), ("meta", pa.list_(pa.int64())), ("quality", pa.float64()), ("toxic", pa.float64())])
-    for batch in batches_of(batches):
+    for batch in batches_of(batches, limit=BATCH):
         features, begins, meta = _columns_of(batch)
         yield arrow_batch(schema, batch.column("doc_id"), np.split(features.view(np.int64), begins[1:-1]), list(meta.view(np.int64)), batch.column("quality"), batch.column("toxic"))
 
@@ -228,7 +230,7 @@ def _train_task(frames: Iterator[pd.DataFrame], rounds: int) -> Iterator[pd.Data
 
 def _score(batches: Iterator[pa.RecordBatch], model, more: list[str]) -> Iterator[pa.RecordBatch]:
     heads: dict[str, Head] = pickle.loads(model.value)
-    for batch in batches_of(batches):
+    for batch in batches_of(batches, limit=BATCH):
         features, begins, meta = _columns_of(batch)
         meta_begins = np.arange(0, meta.size + 1, 3)
         p = {}
@@ -296,7 +298,7 @@ def accepted(docs: DataFrame, model: bytes) -> DataFrame:
 
 
 def _filter(batches: Iterator[pa.RecordBatch], model, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    for batch in batches_of(batches):
+    for batch in batches_of(batches, limit=BATCH):
         view = pa.RecordBatch.from_arrays([batch.column("text"), *(batch.column(f"__view_{c}") for c in META)], names=["text", *META])
         keep = next(_score(iter([view]), model, [])).column("_keep")
         yield batch.select(columns).filter(keep)
