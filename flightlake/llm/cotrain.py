@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,13 +122,29 @@ class Linear:
             self.weights -= 0.3 * gradient / np.sqrt(seen + 1e-12)
 
 
+def without_rare(features: np.ndarray, begins: np.ndarray, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The features that at least ``least`` of the documents have, and where each document's begin. Sorts one copy and holds no other."""
+    ordered = np.sort(features)
+    # A value stands ``least`` times in a row where it equals the one so many places on.
+    often = ordered[: max(len(ordered) - least + 1, 0)]
+    often = np.unique(often[often == ordered[least - 1 :]])
+    del ordered
+    kept = np.zeros(len(features), bool)
+    for a in range(0, len(features), 1 << 20):
+        part = features[a : a + (1 << 20)]
+        at = np.minimum(np.searchsorted(often, part), max(len(often) - 1, 0))
+        kept[a : a + (1 << 20)] = often[at] == part if len(often) else False
+    return features[kept], np.concatenate([[0], np.cumsum(kept)])[begins]
+
+
 def select(features: np.ndarray, begins: np.ndarray, target: np.ndarray, size: int, least: int = 5, certain: float = 30.0) -> np.ndarray:
     """The features of at least ``least`` documents that tell most about the target; at most ``size``.
 
     A feature whose chi-square is below ``certain`` would be one of many that only seem to tell something, and is left out.
     """
-    vocabulary, at = np.unique(features, return_inverse=True)
-    rows = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+    vocabulary = np.unique(features)
+    at = np.searchsorted(vocabulary, features).astype(np.int32)
+    rows = np.repeat(np.arange(len(begins) - 1, dtype=np.int32), np.diff(begins))
     ok = ~np.isnan(target)
     have = ok[rows]
     n, pos = max(ok.sum(), 1), np.nansum(target)
@@ -212,20 +227,24 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield arrow_batch(schema, batch.column("doc_id"), np.split(features.view(np.int64), begins[1:-1]), list(meta.view(np.int64)), batch.column("quality"), batch.column("toxic"))
 
 
-def _train_task(frames: Iterator[pd.DataFrame], rounds: int) -> Iterator[pd.DataFrame]:
-    parts = [f for f in frames if len(f)]
-    if parts:
-        rows = pd.concat(parts, ignore_index=True)
-        rows["doc_id"] = rows["doc_id"].fillna(-1)
-        rows = rows.sort_values("doc_id", kind="stable")
-        parts = [np.asarray(f, np.int64).view(np.uint64) for f in rows["features"]]
-        begins = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        meta = np.array([np.asarray(m, np.int64) for m in rows["meta"]], np.int64).view(np.uint64)
-        held = mixed(rows["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(5) == 0
-        heads = train(np.concatenate(parts), begins, meta, {h: rows[h].to_numpy(float) for h in HEADS}, held, rounds)
-    else:
-        heads = train(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros((0, 3), np.uint64), {h: np.zeros(0) for h in HEADS}, np.zeros(0, bool))
-    yield pd.DataFrame({"model": [pickle.dumps(heads)]})
+def _train_task(batches: Iterator[pa.RecordBatch], rounds: int) -> Iterator[pa.RecordBatch]:
+    """The whole sample, sorted by id, in one task; it is bounded by its parameters."""
+    parts, ends, meta, ids, targets = [np.zeros(0, np.uint64)], [], [], [], {h: [] for h in HEADS}
+    for batch in batches:
+        lists = batch.column("features")
+        parts.append(lists.flatten().to_numpy().view(np.uint64).copy())
+        ends.append(lists.value_lengths().to_numpy())
+        meta.append(batch.column("meta").flatten().to_numpy().reshape(-1, len(META)).view(np.uint64).copy())
+        ids.append(batch.column("doc_id").to_numpy())
+        for h in HEADS:
+            targets[h].append(batch.column(h).to_numpy(zero_copy_only=False).astype(float))
+    joined = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    features, begins = np.concatenate(parts), np.concatenate([[0], np.cumsum(joined(ends, np.int64))])
+    del parts
+    features, begins = without_rare(features, begins)
+    held = mixed(joined(ids, np.int64).astype(np.int64).view(np.uint64)) % np.uint64(5) == 0
+    heads = train(features, begins, np.concatenate(meta) if meta else np.zeros((0, len(META)), np.uint64), {h: joined(t, float) for h, t in targets.items()}, held, rounds)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(heads)], pa.binary())], names=["model"])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, more: list[str]) -> Iterator[pa.RecordBatch]:
@@ -264,9 +283,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, max_unla
     # The sample is bounded by its parameters, so it may be broadcast; texts are not shuffled.
     texts = _view(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
     features = stage(texts.select("doc_id", "text", *META, *HEADS).mapInArrow(_sampled, _SAMPLED))
-    model = features.repartition(1).mapInPandas(partial(_train_task, rounds=rounds), "model binary").first()["model"]
+    model = features.repartition(1).sortWithinPartitions("doc_id").mapInArrow(partial(_train_task, rounds=rounds), "model binary").first()
     unstage(sample, features)
-    return bytes(model)
+    # Without a sample Spark starts no task; the model that knows nothing keeps everything.
+    return bytes(model["model"]) if model else next(_train_task(iter([]), rounds)).column("model")[0].as_py()
 
 
 def _view(docs: DataFrame) -> DataFrame:
