@@ -19,7 +19,7 @@ from flightlake import session
 #: Multiplier of the polynomial hash of a word's bytes and of the rolling hash of words; odd, so it has an inverse.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that a batch of texts may have before it is cut into smaller ones.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def stage(df: DataFrame) -> DataFrame:
