@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from flightlake.llm import queries
+from tools import check
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -31,6 +32,12 @@ def test_every_operator_has_its_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_with_sql(spark, name):
+    out = check.compare(name, spark, check.open_tables(SMALL), SMALL)
+    assert out.ok, out.detail
+
+
 @pytest.mark.parametrize("name", ["op4_bwt_repeats", "op5_grouped_prefix_join"])
 def test_queries_without_sql(spark, rows, name):
     corpus = [tuple(r) for r in duckdb.connect().execute(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet' ORDER BY length(text) LIMIT 120").fetchall()]
