@@ -1,6 +1,6 @@
 """Licence scans by sentence rules.
 
-Texts that mention a licence at all are cut into sentences, both line by line and with wrapped lines joined. Normalised sentences are
+All texts are cut into sentences, both line by line and with wrapped lines joined. Normalised sentences are
 looked up among known ones by an equality join with a fixed small table. The identifiers of a document, in order, are then matched against
 licence rules, the most specific ones first; what a rule has matched no later rule sees.
 """
@@ -78,7 +78,7 @@ RULES = [
     ("Apache-2.0", ["apache2-under"]), ("MIT", ["mit-under"]), ("GPL-2.0-only", ["gpl2-under"]), ("GPL-3.0-only", ["gpl3-under"]), ("MPL-2.0", ["mpl2-subject"]), ("ISC", ["isc-grant"]),
     ("BSL-1.0", ["boost-under"]), ("Unlicense", ["unlicense-free"]), ("CC-BY-4.0", ["cc-by"]), ("CC-BY-SA-4.0", ["cc-by-sa"]), ("CC-BY-NC-4.0", ["cc-by-nc"]), ("CC-BY-ND-4.0", ["cc-by-nd"]), ("CC0-1.0", ["cc0"]),
 ]
-#: Each known text that ends a match contains one of these, whatever the language around it.
+#: A text that holds one of these speaks of licences; in others a bare name, like a line "mit", is no mention of one.
 CUES = "licen[sc]e|redistribut|hereby granted|permission is granted|public domain|rights reserved|licensed under cc"
 _COMMENT = r"(^|\n)[ \t]*(//+|/?[*]+/?|#+|;+|--+|%+|<!--)[ \t]*"
 _WRAP = r"([^.!?;:\s])[ \t\r]*\n[ \t]*(\S)"
@@ -101,13 +101,13 @@ def sentences(text: Column, joined: bool) -> Column:
 
 
 def known_sentences(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, joined, place, sentence``: identifiers of the known sentences of each row, in both ways of cutting."""
-    mentions = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).withColumn("row", F.monotonically_increasing_id()).filter(F.lower("text").rlike(CUES))
+    """``doc_id, row, joined, place, sentence, cued``: identifiers of the known sentences of each row, in both ways of cutting, and whether its text holds a cue."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).withColumns({"row": F.monotonically_increasing_id(), "cued": F.lower("text").rlike(CUES)})
     known = docs.sparkSession.createDataFrame([(s, i) for i, all_of in SENTENCES.items() for s in all_of], "known string, sentence string")
     ways = F.array(*(F.struct(F.lit(joined).alias("joined"), sentences(F.col("text"), joined).alias("parts")) for joined in (False, True)))
-    cut = mentions.select("doc_id", "row", F.inline(ways)).select("doc_id", "row", "joined", F.posexplode("parts").alias("place", "s"))
+    cut = rows.select("doc_id", "row", "cued", F.inline(ways)).select("doc_id", "row", "cued", "joined", F.posexplode("parts").alias("place", "s"))
     # The table of known sentences is fixed, so it may be broadcast.
-    return cut.withColumn("s", normalised(F.col("s"))).join(F.broadcast(known), F.col("s") == F.col("known")).select("doc_id", "row", "joined", "place", "sentence")
+    return cut.withColumn("s", normalised(F.col("s"))).join(F.broadcast(known), F.col("s") == F.col("known")).select("doc_id", "row", "joined", "place", "sentence", "cued")
 
 
 def licences(docs: DataFrame) -> DataFrame:
@@ -115,17 +115,19 @@ def licences(docs: DataFrame) -> DataFrame:
 
     ``licences`` lists the licences that rules found, in alphabetic order and joined by commas, empty if none did. ``n_sentences`` counts known
     sentences and ``n_unmatched`` those that no rule took, each in the way of cutting that leaves fewer unmatched (line by line, if equal).
-    Null and empty texts have none; repeated rows are scanned as often as they occur. Other columns are not read.
+    Null and empty texts have none, and bare names (``name-``) alone count only in a text that holds a cue; repeated rows are scanned as
+    often as they occur. Other columns are not read.
     """
     wrapped = lambda i: F.concat(F.lit("<"), i, F.lit(">"))
-    ordered = known_sentences(docs).groupBy("row", "joined").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(F.struct("place", "sentence"))).alias("found"))
-    marks = ordered.select("doc_id", "row", "joined", F.size("found").cast("long").alias("n"), F.concat_ws("", F.transform("found", lambda f: wrapped(f["sentence"]))).alias("marks"))
+    says = F.max(F.col("cued") | ~F.startswith(F.col("sentence"), F.lit("name-"))).alias("says")
+    ordered = known_sentences(docs).groupBy("row", "joined").agg(F.first("doc_id").alias("doc_id"), says, F.sort_array(F.collect_list(F.struct("place", "sentence"))).alias("found"))
+    marks = ordered.select("doc_id", "row", "joined", "says", F.size("found").cast("long").alias("n"), F.concat_ws("", F.transform("found", lambda f: wrapped(f["sentence"]))).alias("marks"))
     rules = F.array(*(F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in RULES))
     start = F.struct(F.col("marks").alias("rest"), F.array().cast("array<string>").alias("names"))
     step = lambda a, r: F.when(F.contains(a["rest"], r["ids"]), F.struct(F.replace(a["rest"], r["ids"], F.lit("|")).alias("rest"), F.array_union(a["names"], F.array(r["name"])).alias("names"))).otherwise(a)
-    matched = marks.withColumn("m", F.aggregate(rules, start, step)).select("doc_id", "row", "joined", "n", F.col("m.names").alias("names"), (F.length("m.rest") - F.length(F.replace("m.rest", F.lit("<"), F.lit("")))).cast("long").alias("open"))
-    both = matched.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.min(F.struct("open", "joined", "n")).alias("best"))
-    return both.select("doc_id", F.concat_ws(",", F.sort_array("names")).alias("licences"), F.col("best.n").alias("n_sentences"), F.col("best.open").alias("n_unmatched"))
+    matched = marks.withColumn("m", F.aggregate(rules, start, step)).select("doc_id", "row", "joined", "says", "n", F.col("m.names").alias("names"), (F.length("m.rest") - F.length(F.replace("m.rest", F.lit("<"), F.lit("")))).cast("long").alias("open"))
+    both = matched.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("says").alias("says"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.min(F.struct("open", "joined", "n")).alias("best"))
+    return both.filter("says").select("doc_id", F.concat_ws(",", F.sort_array("names")).alias("licences"), F.col("best.n").alias("n_sentences"), F.col("best.open").alias("n_unmatched"))
 
 
 def licences_sql() -> str:

@@ -54,3 +54,12 @@ def test_sql_says_the_same(spark):
 
 def test_empty_table(spark):
     assert licences.licences(brute.frame(spark, [])).collect() == []
+
+
+def test_sentences_without_a_cue_or_with_a_wrapped_one(spark):
+    isc = "/*\n * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby\n * granted, provided that the above copyright notice and this permission notice\n * appear in all copies.\n */"
+    free = "# This is free and unencumbered software released into the public\n# domain."
+    liable = "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    corpus = [(1, "CC0 1.0 Universal"), (2, isc), (3, free), (4, liable), (5, "ISC"), (6, "My licence:\nISC")]
+    got = sorted(tuple(r) for r in licences.licences(brute.frame(spark, corpus)).collect())
+    assert got == [(1, "CC0-1.0", 1, 0), (2, "ISC", 1, 0), (3, "Unlicense", 1, 0), (4, "", 1, 1), (6, "", 1, 1)]
