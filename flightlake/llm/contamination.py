@@ -19,12 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.llm.common import ALNUM, LOWER, arrow_batch, batches_of, flat, keyed, text_key, word_bounds, word_hashes
+from flightlake.llm.common import ALNUM, LOWER, arrow_batch, batches_of, flat, keyed, stage, text_key, word_bounds, word_hashes
 
 SAMPLE = 8
 #: Characters of test items whose phrases travel as one block.
 BLOCK_CHARS = 8_000_000
 SPANS = "doc_id long, _h int, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+_ROWS = f"{SPANS}, row long"
 
 
 class WaveletMatrix:
@@ -173,7 +174,8 @@ def occurrences(hashes: np.ndarray, counts: np.ndarray, p: Phrases) -> tuple[np.
     return np.repeat(np.arange(len(n)), n), source[index.locate(_expand(lo, n))]
 
 
-def _search(batches: Iterator[pa.RecordBatch], phrases) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterator[pa.RecordBatch], phrases, hits_only: bool = False) -> Iterator[pa.RecordBatch]:
+    """Spans and items of each row; with a column ``row`` behind the text it is passed on. ``hits_only``: of rows with a span."""
     schema = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
     p = phrases.value
     for batch in batches_of(batches):
@@ -197,7 +199,10 @@ def _search(batches: Iterator[pa.RecordBatch], phrases) -> Iterator[pa.RecordBat
             pairs = np.unique(np.stack([doc, phrase], 1), axis=0)
             for d, f in pairs:
                 items[d] += [p.names[i] for i in p.item_of[p.phrase_at[f] : p.phrase_at[f + 1]]]
-        yield arrow_batch(schema, batch.column(0), batch.column(1), np.diff(counts), spans, [sorted(set(x)) for x in items])
+        out = arrow_batch(schema, batch.column(0), batch.column(1), np.diff(counts), spans, [sorted(set(x)) for x in items])
+        if "row" in batch.schema.names:
+            out = out.append_column("row", batch.column("row"))
+        yield out.filter(pa.array([len(x) > 0 for x in spans], pa.bool_())) if hits_only else out
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,18 +233,22 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     texts = keyed(docs)
     items = benchmark.select(benchmark["item_id"].cast("string").alias("item_id"), benchmark["text"].alias("text"))
     blocks = max(1, -(-int(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_CHARS))
+    if blocks > 1:
+        # Rows are numbered once, so that each is merged with itself only, whatever ids and texts repeat.
+        texts = stage(texts.withColumn("row", F.monotonically_increasing_id()))
     found = []
     for b in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         phrases = spark.sparkContext.broadcast(phrases_of([tuple(r) for r in part.toLocalIterator()], size))
-        found.append(texts.mapInArrow(partial(_search, phrases=phrases), SPANS))
+        found.append(texts.mapInArrow(partial(_search, phrases=phrases, hits_only=b > 0), SPANS if blocks == 1 else _ROWS))
     if blocks == 1:
         return found[0]
     every = found[0]
     for df in found[1:]:
         every = every.unionByName(df)
-    both = every.groupBy("doc_id", "_h").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-    return both.mapInArrow(_merge, SPANS)
+    merged = (F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items"))
+    both = every.groupBy("row").agg(*(F.first(c).alias(c) for c in ("doc_id", "_h", "n_words")), *merged)
+    return both.drop("row").mapInArrow(_merge, SPANS)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

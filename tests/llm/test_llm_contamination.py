@@ -26,6 +26,13 @@ def test_nulls_and_repeated_rows(spark, rows):
     assert got == sorted(brute.contamination(corpus, ITEMS, 3), key=repr)
 
 
+def test_nulls_and_repeated_rows_over_several_blocks(spark, rows, monkeypatch):
+    monkeypatch.setattr(contamination, "BLOCK_CHARS", 12)
+    corpus = [*brute.corpus(1, n=20), (None, "w1 w2 w3 and so on"), (None, "w1 w2 w3 and so on"), (None, "no such words at all here")]
+    got = rows(contamination.digests(contamination.removal_spans(brute.frame(spark, corpus), items(spark, ITEMS), 3)))
+    assert got == sorted(brute.contamination(corpus, ITEMS, 3), key=repr)
+
+
 def test_empty_tables(spark, rows):
     assert rows(contamination.removal_spans(brute.frame(spark, []), items(spark, ITEMS))) == []
     got = rows(contamination.digests(contamination.removal_spans(brute.frame(spark, [(1, "a b")]), items(spark, []))))
