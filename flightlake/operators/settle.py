@@ -55,6 +55,17 @@ def with_parent(crossings: DataFrame, daily_events: DataFrame, hist_events: Data
     )
 
 
+def event_dates_of(crossings: DataFrame, daily_events: DataFrame, near: DataFrame, before: DataFrame) -> list:
+    """The dates on which ``before`` has the events of crossings whose event is neither of the day nor in ``near``."""
+    lost = cut_lineage(with_parent(crossings, daily_events, near).filter(F.col("_icao24").isNull()).select("flight_event_id", "icao24").distinct())
+    if lost.isEmpty():
+        return []
+    named = before.select(F.col("event_id").alias("flight_event_id"), "icao24", "event_date").join(lost, ["flight_event_id", "icao24"], "left_semi")
+    # Of an id that is used again the latest event counts.
+    newest = named.groupBy("flight_event_id", "icao24").agg(F.max("event_date").alias("event_date"))
+    return [r[0] for r in newest.select("event_date").distinct().collect()]
+
+
 def rollup_crossings(
     daily: DataFrame, daily_events: DataFrame, hist_events: DataFrame, hist: DataFrame, run_ts: Column
 ) -> DataFrame:
@@ -253,7 +264,8 @@ def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_ma
 
     Works on the files the daily tables have at its start, and clears just these. Keys
     contain their own timestamp, so a row of the batch can only repeat a history row of the same date: history is read
-    for the batch's dates only, and ``carry_days`` before them for stays and their events that went on over midnight.
+    for the batch's dates only, and ``carry_days`` before them for events that went on over midnight. Open stays are looked for in
+    all of history before the batch, and for crossings whose event is not there, the dates on which history has it are read too.
     """
     with scratch(spark):
         return _settle(spark, run_ts, tables, build_marts, carry_days)
@@ -272,22 +284,26 @@ def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool,
         first = min([d for d in (event_dates[0], crossing_dates[0]) if d is not None], default=None)
         last = max([d for d in (event_dates[1], crossing_dates[1]) if d is not None], default=None)
         carried = (first - timedelta(days=carry_days), last) if first else None
-        old_events = lambda: _within(spark.table(tables.hist_events), "event_date", carried)
+        older_dates: list = []
+        old_events = lambda: spark.table(tables.hist_events).filter(F.col("event_date").between(*map(F.lit, carried)) | F.col("event_date").isin(older_dates))
         old_crossings = lambda: _within(spark.table(tables.hist_crossings), "entered_date", carried)
+        open_stays = lambda: still_open(spark.table(tables.hist_crossings).filter(F.col("entered_date") <= F.lit(last)))
         if event_dates[0] is not None:
             new = cut_lineage(rollup_events(events, _within(spark.table(tables.hist_events), "event_date", event_dates), at))
             by_date(new, "event_date").write.mode("append").partitionBy("event_date").format("parquet").saveAsTable(tables.hist_events)
             out["events_rolled"] = new.count()
         if carried:
-            ends = cut_lineage(closings(crossings, old_crossings()))
+            ends = cut_lineage(closings(crossings, open_stays()))
             out["closed"], closed_dates = _rewrite(spark, tables.hist_crossings, ends, at)
             # Open stays of earlier days without a row of their own today end with the aircraft's next landing or entry.
-            earlier = still_open(old_crossings()).join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
+            earlier = open_stays().join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
             left = close_carried(earlier, carried_ends(earlier, events, crossings), schema.CROSSING_KEY).filter(F.col("exited_at").isNotNull())
             more, more_dates = _rewrite(spark, tables.hist_crossings, left.select(*schema.CROSSING_KEY, *_ENDING), at)
             out["closed"] += more
             closed_dates += more_dates
         if crossing_dates[0] is not None:
+            before = spark.table(tables.hist_events).filter(F.col("event_date") < F.lit(carried[0]))
+            older_dates += event_dates_of(crossings, events, old_events(), before)
             new = cut_lineage(rollup_crossings(crossings, events, old_events(), _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates), at))
             by_date(new, "entered_date").write.mode("append").partitionBy("entered_date").format("parquet").saveAsTable(tables.hist_crossings)
             out["crossings_rolled"] = new.count()

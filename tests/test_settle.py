@@ -161,6 +161,22 @@ def test_rows_that_come_after_the_check_survive(catalog, monkeypatch):
     assert [r["icao24"] for r in spark.table("daily_flight_events").collect()] == ["late"]
 
 
+def test_stays_open_for_longer_than_three_days(catalog):
+    """Of two stays that history has open, one ends by a landing ten days later and one by the next entry; an entry that day hangs on an old event."""
+    spark = catalog
+    late, back = NOON + timedelta(hours=11), NOON + timedelta(days=10)
+    append(spark, "daily_flight_events", [event(1, "a", at=late), event(2, "b", at=late), event(3, "c", at=late)])
+    append(spark, "daily_territory_crossings", [crossing(11, 1, "a", late, "IN_PROGRESS"), crossing(12, 2, "b", late, "IN_PROGRESS")])
+    assert settle.settle(spark, RUN, build_marts=False)["in_flight"] == 2
+    append(spark, "daily_flight_events", [event(4, "b", "LANDED", at=back)])
+    append(spark, "daily_territory_crossings", [crossing(13, 1, "a", back, tid=2), crossing(14, 3, "c", back, tid=2)])
+    out = settle.settle(spark, "2026-05-02 23:59:00", build_marts=False)
+    assert out["error"] is None, out["error"]
+    assert (out["closed"], out["orphans"], out["crossings_rolled"]) == (2, 0, 2)
+    got = history(spark)
+    assert got[11]["exited_at"] == back and got[12]["exited_at"] == back and got[14]["flight_event_id"] == 3
+
+
 def test_settlement_leaves_no_staging(catalog):
     import glob
 
