@@ -1,9 +1,9 @@
 """Co-training of a text view and a metadata view, for quality and for toxicity.
 
-The model is fitted on bounded samples of labelled and of unlabelled documents; everything else reads all documents. The text view
+The model starts from a bounded sample of labelled documents; everything else reads all documents. The text view
 knows which words of a selected vocabulary stand in a text, and how it is written (letter case, symbols, repetition, length).
-The metadata view knows language, source and stored length. Over several rounds each view labels the sampled documents that it is
-sure of for the other one. On labelled documents held back from training both are calibrated into one probability.
+The metadata view knows language, source and stored length. Over several rounds each view labels all documents that it is
+sure of for the other one: what they would change is summed up for each feature where they are read. On labelled documents held back from training both are calibrated into one probability.
 """
 
 from __future__ import annotations
@@ -97,6 +97,10 @@ class Linear:
     vocabulary: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
+    def grow(self) -> None:
+        if len(self.weights) != len(self.vocabulary) + 1:
+            self.weights = np.zeros(len(self.vocabulary) + 1)
+
     def columns(self, features: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and vocabulary place of the known features."""
         if not len(self.vocabulary):
@@ -108,20 +112,42 @@ class Linear:
     def logits(self, rows: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(rows, self.weights[columns], n) + self.weights[-1]
 
-    def fit(self, rows: np.ndarray, columns: np.ndarray, target: np.ndarray, weight: np.ndarray, steps: int, penalty: float = 1.0) -> None:
-        """Gradient steps with rates that follow each weight's own gradients; goes on from the present weights."""
+    def fit(self, rows: np.ndarray, columns: np.ndarray, target: np.ndarray, weight: np.ndarray, steps: int, penalty: float = 1.0, pull: Pull | None = None) -> None:
+        """Gradient steps with rates that follow each weight's own gradients; goes on from the present weights.
+
+        ``pull`` stands for documents that are not here: their loss is bounded, weight by weight, by a parabola around the weights it was summed up at.
+        """
         n, k = len(target), len(self.vocabulary)
-        if len(self.weights) != k + 1:
-            self.weights = np.zeros(k + 1)
+        self.grow()
         use = weight[rows] > 0
         rows, columns, seen, total = rows[use], columns[use], np.zeros(k + 1), max(weight.sum(), 1e-9)
+        begin = self.weights.copy()
+        if pull is not None:
+            total += pull.total
         for _ in range(steps):
             error = (1 / (1 + np.exp(-np.clip(self.logits(rows, columns, n), -30, 30))) - target) * weight
-            gradient = np.append(np.bincount(columns, error[rows], k) + penalty * self.weights[:-1], error.sum()) / total
+            gradient = np.append(np.bincount(columns, error[rows], k) + penalty * self.weights[:-1], error.sum())
+            if pull is not None:
+                gradient = gradient + pull.gradient + pull.curve * (self.weights - begin)
+            gradient = gradient / total
             seen += gradient * gradient
             self.weights -= 0.3 * gradient / np.sqrt(seen + 1e-12)
 
 
+@dataclass
+class Pull:
+    """Sums over documents, for each weight of a view (the last is the constant): gradient and a bound of the curvature; and the documents' weight."""
+
+    gradient: np.ndarray
+    curve: np.ndarray
+    total: float
+
+    @staticmethod
+    def of(gradient: np.ndarray, curve: np.ndarray) -> Pull:
+        """From sums as ``pulls`` makes them."""
+        return Pull(gradient[:-1] / UNIT, curve[:-1] / UNIT, gradient[-1] * 0.5)
+
+
 def without_rare(features: np.ndarray, begins: np.ndarray, least: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """The features that at least ``least`` of the documents have, and where each document's begin. Sorts one copy and holds no other."""
     ordered = np.sort(features)
@@ -181,35 +207,69 @@ def _mix(views: np.ndarray, target: np.ndarray, steps: int = 50) -> np.ndarray:
 
 
 def train(features: np.ndarray, begins: np.ndarray, meta: np.ndarray, targets: dict[str, np.ndarray], held: np.ndarray, rounds: int = 3, sure: float = 0.97, vocabulary: int = 20_000) -> dict[str, Head]:
-    """Heads from sampled documents; a target is 1, 0 or NaN where it is not known. ``held`` documents calibrate only."""
+    """Heads from documents at hand; a target is 1, 0 or NaN where it is not known. ``held`` documents calibrate only."""
     n = len(begins) - 1
     meta_begins = np.arange(0, 3 * n + 1, 3)
-    shown = {h: np.where(held, np.nan, t) for h, t in targets.items()}
-    heads = {}
-    for h, known in targets.items():
-        words = select(features, begins, shown[h], vocabulary)
-        views = [Linear(words), Linear(np.unique(meta))]
-        places = [views[0].columns(features, begins), views[1].columns(meta.ravel(), meta_begins)]
-        own = ~np.isnan(shown[h])
-        if own.sum() < 2 or not len(words):
-            heads[h] = Head(Linear(np.zeros(1, np.uint64), np.zeros(2)), Linear(np.zeros(1, np.uint64), np.zeros(2)), np.array([0.0, 0.0, 4.0 if h == "quality" else -4.0]))
-            continue
-        target = [np.where(own, shown[h], 0.0) for _ in views]
-        weight = [own.astype(float) for _ in views]
-        for turn in range(rounds):
-            for view, place, t, w in zip(views, places, target, weight):
-                view.fit(*place, t, w, 250 if turn == 0 else 50)
-            logits = [view.logits(*place, n) for view, place in zip(views, places)]
-            if turn < rounds - 1:
-                free = ~own & ~held & np.isnan(known)
-                for other in (0, 1):  # what one view is sure of becomes a label for the other
-                    certain = free & (np.abs(logits[1 - other]) > np.log(sure / (1 - sure)))
-                    target[other][certain] = logits[1 - other][certain] > 0
-                    weight[other][certain] = 0.5
-        check = held & ~np.isnan(known)
-        both = np.column_stack(logits)
-        heads[h] = Head(*views, _mix(both[check], known[check]) if check.sum() >= 2 else np.array([1.0, 0.0, 0.0]))
-    return heads
+    state, told = State({}, {}, {}), None
+    for turn in range(rounds):
+        one_round(state, features, begins, meta, targets, held, told, turn == rounds - 1, vocabulary)
+        views = [[(text, text.columns(features, begins)), (about, about.columns(meta.ravel(), meta_begins))] for text, about in state.views.values()]
+        busy = [held | ~np.isnan(targets[h]) for h in state.views]
+        told = {(list(state.views)[h], v): Pull.of(*sums) for h, v, *sums in pulls(views, busy, n, sure)}
+    return state.heads
+
+
+#: Sums are in whole units of this size, so they do not depend on the order of documents or on how they are dealt.
+UNIT = 1 << 20
+_PULLS = "head int, view int, place int, gradient long, curve long"
+
+
+def pulls(views: list[list], targets_known: list[np.ndarray], n: int, sure: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """What each view would learn from documents the other one is sure of: head, view, and for each weight gradient and curvature in units; last, their number.
+
+    ``views`` has for each head its two pairs of model and known features of the documents, ``targets_known`` which documents have a label.
+    """
+    limit = np.log(sure / (1 - sure))
+    for h, pair in enumerate(views):
+        logits = [view.logits(rows, columns, n) for view, (rows, columns) in pair]
+        for v, (view, (rows, columns)) in enumerate(pair):
+            certain = ~targets_known[h] & (np.abs(logits[1 - v]) > limit)
+            # A label of another view counts half.
+            error = (1 / (1 + np.exp(-np.clip(logits[v], -30, 30))) - (logits[1 - v] > 0)) * certain * 0.5
+            # The logistic curvature is a quarter at most; it is shared out among the weights a document has.
+            bound = certain * 0.125 * (np.bincount(rows, minlength=n) + 1)
+            units = [np.rint(x * UNIT) for x in (error, bound)]
+            k = len(view.vocabulary)
+            sums = [np.concatenate([np.bincount(columns, u[rows], k), [u.sum()], [certain.sum() if i == 0 else 0]]) for i, u in enumerate(units)]
+            yield h, v, *(x.astype(np.int64) for x in sums)
+
+
+def _pulls(batches: Iterator[pa.RecordBatch], model, sure: float) -> Iterator[pa.RecordBatch]:
+    """The sums of ``pulls`` over all rows of a task."""
+    state: State = pickle.loads(model.value)
+    sums: dict[tuple[int, int], list[np.ndarray]] = {}
+    for batch in batches_of(batches, limit=BATCH):
+        features, begins, meta = _columns_of(batch)
+        meta_begins = np.arange(0, meta.size + 1, 3)
+        views = [[(text, text.columns(features, begins)), (about, about.columns(meta.ravel(), meta_begins))] for text, about in state.views.values()]
+        ids = batch.column("doc_id").fill_null(0).to_numpy()
+        have = ~batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+        labelled = [np.isin(ids, state.labelled[h]) & have for h in state.views]
+        for h, v, *parts in pulls(views, labelled, batch.num_rows, sure):
+            sums[h, v] = [a + b for a, b in zip(sums[h, v], parts)] if (h, v) in sums else parts
+    schema = pa.schema([("head", pa.int32()), ("view", pa.int32()), ("place", pa.int32()), ("gradient", pa.int64()), ("curve", pa.int64())])
+    for (h, v), (gradient, curve) in sums.items():
+        at = np.flatnonzero((gradient != 0) | (curve != 0))
+        yield arrow_batch(schema, np.full(len(at), h, np.int32), np.full(len(at), v, np.int32), at.astype(np.int32), gradient[at], curve[at])
+
+
+@dataclass
+class State:
+    """Where training stands between rounds: both views of each head that can be trained, ids with a known label, and finished heads."""
+
+    views: dict[str, tuple[Linear, Linear]]
+    labelled: dict[str, np.ndarray]
+    heads: dict[str, Head]
 
 
 _SAMPLED = "doc_id long, features array<long>, meta array<long>, quality double, toxic double"
@@ -227,8 +287,11 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield arrow_batch(schema, batch.column("doc_id"), np.split(features.view(np.int64), begins[1:-1]), list(meta.view(np.int64)), batch.column("quality"), batch.column("toxic"))
 
 
-def _train_task(batches: Iterator[pa.RecordBatch], rounds: int) -> Iterator[pa.RecordBatch]:
-    """The whole sample, sorted by id, in one task; it is bounded by its parameters."""
+def _train_task(batches: Iterator[pa.RecordBatch], before: bytes | None = None, told: dict | None = None, last: bool = True) -> Iterator[pa.RecordBatch]:
+    """One round on the whole sample, sorted by id, in one task; the sample is bounded by its parameter.
+
+    ``before`` is the state after the round before and ``told`` what all documents tell each view since then.
+    """
     parts, ends, meta, ids, targets = [np.zeros(0, np.uint64)], [], [], [], {h: [] for h in HEADS}
     for batch in batches:
         lists = batch.column("features")
@@ -242,9 +305,38 @@ def _train_task(batches: Iterator[pa.RecordBatch], rounds: int) -> Iterator[pa.R
     features, begins = np.concatenate(parts), np.concatenate([[0], np.cumsum(joined(ends, np.int64))])
     del parts
     features, begins = without_rare(features, begins)
-    held = mixed(joined(ids, np.int64).astype(np.int64).view(np.uint64)) % np.uint64(5) == 0
-    heads = train(features, begins, np.concatenate(meta) if meta else np.zeros((0, len(META)), np.uint64), {h: joined(t, float) for h, t in targets.items()}, held, rounds)
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(heads)], pa.binary())], names=["model"])
+    ids = joined(ids, np.int64).astype(np.int64)
+    held = mixed(ids.view(np.uint64)) % np.uint64(5) == 0
+    metas = np.concatenate(meta) if meta else np.zeros((0, len(META)), np.uint64)
+    known = {h: joined(t, float) for h, t in targets.items()}
+    state = pickle.loads(before) if before else State({}, {h: np.unique(ids[~np.isnan(t)]) for h, t in known.items()}, {})
+    one_round(state, features, begins, metas, known, held, told if before else None, last)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], names=["model"])
+
+
+def one_round(state: State, features: np.ndarray, begins: np.ndarray, meta: np.ndarray, targets: dict[str, np.ndarray], held: np.ndarray, told: dict | None, last: bool, vocabulary: int = 20_000) -> None:
+    """Fit both views of each head to the labelled documents and to what they are told; ``told`` is None in the first round. ``held`` documents calibrate only."""
+    n = len(begins) - 1
+    meta_begins = np.arange(0, 3 * n + 1, 3)
+    for h, known in targets.items():
+        shown = np.where(held, np.nan, known)
+        own = ~np.isnan(shown)
+        if told is None:
+            words = select(features, begins, shown, vocabulary)
+            if own.sum() < 2 or not len(words):
+                state.heads[h] = Head(Linear(np.zeros(1, np.uint64), np.zeros(2)), Linear(np.zeros(1, np.uint64), np.zeros(2)), np.array([0.0, 0.0, 4.0 if h == "quality" else -4.0]))
+                continue
+            state.views[h] = Linear(words), Linear(np.unique(meta))
+        elif h not in state.views:
+            continue
+        views = state.views[h]
+        places = [views[0].columns(features, begins), views[1].columns(meta.ravel(), meta_begins)]
+        for v, (view, place) in enumerate(zip(views, places)):
+            view.fit(*place, np.where(own, shown, 0.0), own.astype(float), 250 if told is None else 50, pull=told.get((h, v)) if told else None)
+        if last:
+            check = held & ~np.isnan(known)
+            both = np.column_stack([view.logits(*place, n) for view, place in zip(views, places)])
+            state.heads[h] = Head(*views, _mix(both[check], known[check]) if check.sum() >= 2 else np.array([1.0, 0.0, 0.0]))
 
 
 def _score(batches: Iterator[pa.RecordBatch], model, more: list[str]) -> Iterator[pa.RecordBatch]:
@@ -267,26 +359,47 @@ def _share(key: Column, of: int, wanted: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 20)) < int(min(1.0, wanted / max(of, 1)) * (1 << 20))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, max_unlabelled: int = 4_000, rounds: int = 3) -> bytes:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, max_unlabelled: int | None = None, rounds: int = 3, sure: float = 0.97) -> bytes:
     """The model, of a size that does not depend on the tables.
 
-    About ``max_labelled`` labelled and ``max_unlabelled`` unlabelled documents, chosen by a hash of their id, are the sample; a fifth of
-    them is held back to calibrate. Several labels of a document count as their majority, ties and null as unknown.
+    About ``max_labelled`` labelled documents, chosen by a hash of their id, are the sample; a fifth of them is held back to calibrate.
+    Several labels of a document count as their majority, ties and null as unknown. Between rounds every row of ``docs`` whose label for a head is not in the
+    sample is scored by both views, and what one is sure of counts half as a label for the other. ``max_unlabelled`` bounds nothing any more.
     """
     spark = docs.sparkSession
     vote = lambda c: F.signum(F.sum(F.when(labels[c] > 0, 1).when(labels[c] <= 0, -1)))
     known = labels.filter(labels["doc_id"].isNotNull()).groupBy(labels["doc_id"].cast("long").alias("label_id")).agg(*(F.when(vote(h) > 0, 1.0).when(vote(h) < 0, 0.0).alias(h) for h in HEADS))
-    chosen = known.filter(_share(F.col("label_id"), labels.count(), max_labelled))
-    ids = docs.select(docs["doc_id"].cast("long").alias("label_id")).filter("label_id IS NOT NULL")
-    pool = ids.filter(_share(F.col("label_id"), docs.count(), max_unlabelled)).distinct().join(known, "label_id", "left_anti")
-    sample = stage(chosen.unionByName(pool.select("label_id", *(F.lit(None).cast("double").alias(h) for h in HEADS))))
-    # The sample is bounded by its parameters, so it may be broadcast; texts are not shuffled.
+    sample = stage(known.filter(_share(F.col("label_id"), labels.count(), max_labelled)))
+    # The sample is bounded by its parameter, so it may be broadcast; texts are not shuffled.
     texts = _view(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
     features = stage(texts.select("doc_id", "text", *META, *HEADS).mapInArrow(_sampled, _SAMPLED))
-    model = features.repartition(1).sortWithinPartitions("doc_id").mapInArrow(partial(_train_task, rounds=rounds), "model binary").first()
+    state, told = None, None
+    for turn in range(max(rounds, 1)):
+        last = turn >= rounds - 1
+        row = features.repartition(1).sortWithinPartitions("doc_id").mapInArrow(partial(_train_task, before=state, told=told, last=last), "model binary").first()
+        # Without a sample Spark starts no task; the model that knows nothing keeps everything.
+        state = bytes(row["model"]) if row else next(_train_task(iter([]))).column("model")[0].as_py()
+        if last or not pickle.loads(state).views:
+            break
+        told = _told(docs, state, sure)
     unstage(sample, features)
-    # Without a sample Spark starts no task; the model that knows nothing keeps everything.
-    return bytes(model["model"]) if model else next(_train_task(iter([]), rounds)).column("model")[0].as_py()
+    return pickle.dumps(pickle.loads(state).heads)
+
+
+def _told(docs: DataFrame, state: bytes, sure: float) -> dict[tuple[str, int], Pull]:
+    """What all documents that one view is sure of tell the other one. Sums come for the fixed vocabularies only, so they fit the driver."""
+    shared = docs.sparkSession.sparkContext.broadcast(state)
+    sums = _view(docs).mapInArrow(partial(_pulls, model=shared, sure=sure), _PULLS).groupBy("head", "view", "place").agg(F.sum("gradient").alias("gradient"), F.sum("curve").alias("curve")).toPandas()
+    out = {}
+    for i, (h, views) in enumerate(pickle.loads(state).views.items()):
+        for v, view in enumerate(views):
+            k = len(view.vocabulary)
+            own = sums[(sums["head"] == i) & (sums["view"] == v)]
+            gradient, curve = np.zeros(k + 2), np.zeros(k + 2)
+            gradient[own["place"]], curve[own["place"]] = own["gradient"], own["curve"]
+            out[h, v] = Pull.of(gradient, curve)
+    shared.unpersist()
+    return out
 
 
 def _view(docs: DataFrame) -> DataFrame:

@@ -46,6 +46,22 @@ def test_the_sample_is_bounded(spark):
     assert cotrain.fit(docs, labels, max_labelled=150, max_unlabelled=10, rounds=2)
 
 
+def test_all_unlabelled_documents_take_part(spark, monkeypatch):
+    rows, docs, labels = labelled(spark)
+    seen, told_by = [], cotrain._told
+
+    def told(docs, state, sure):
+        out = told_by(docs, state, sure)
+        again = told_by(docs.repartition(7), state, sure)
+        assert all((out[k].gradient == again[k].gradient).all() and (out[k].curve == again[k].curve).all() for k in out)
+        seen.append(max(p.total for p in out.values()) * 2)
+        return out
+
+    monkeypatch.setattr(cotrain, "_told", told)
+    cotrain.fit(docs, labels, max_unlabelled=10)
+    assert len(seen) == 2 and min(seen) > 100
+
+
 def test_nothing_to_learn_from(spark):
     docs = brute.frame(spark, [(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
