@@ -22,7 +22,7 @@ from flightlake.llm.common import SPACED, arrow_batch, batches_of, flat, mixed,
 #: Starts of windows that are looked at together; bounds the memory a long text takes.
 CHUNK = 1 << 20
 _POSITION = np.uint64((1 << 28) - 1)
-STRETCHES = "doc_id long, _h int, start int, n int, anchor long, whole long"
+STRETCHES = "doc_id long, _h long, start int, n int, anchor long, whole long"
 _STRETCHES = pa.schema([(c, pa.int64() if t == "long" else pa.int32()) for c, t in (x.split() for x in STRETCHES.split(", "))])
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03 >> 1 | 1))
 
@@ -126,8 +126,8 @@ def of_documents(texts: DataFrame, places: DataFrame, *columns: str) -> DataFram
     return texts.join(lists, on_key(texts, lists), "left").select(texts["doc_id"], texts["_h"], texts["text"], "places")
 
 
-WINDOWS = "anchor long, window long, copies long, doc_id long, _h int, start int"
-_WINDOWS = pa.schema([("anchor", pa.int64()), ("window", pa.int64()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("_h", pa.int32()), ("start", pa.int32())])
+WINDOWS = "anchor long, window long, copies long, doc_id long, _h long, start int"
+_WINDOWS = pa.schema([("anchor", pa.int64()), ("window", pa.int64()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("_h", pa.int64()), ("start", pa.int32())])
 
 
 def _columns(batch: pa.RecordBatch, names: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:

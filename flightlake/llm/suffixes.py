@@ -136,7 +136,7 @@ def _resolve(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     return pd.DataFrame({"doc_id": own["doc_id"].astype("Int64").array, "_h": own["_h"].to_numpy(), "start": (own["start"].to_numpy() + offset[first]).astype(np.int32), "n": np.diff(np.append(first, len(at))).astype(np.int32)})
 
 
-_SEGMENTS = pa.schema([("doc_id", pa.int64()), ("_h", pa.int32()), ("start", pa.int32()), ("anchor", pa.int64()), ("copies", pa.int64()), ("segment", pa.binary())])
+_SEGMENTS = pa.schema([("doc_id", pa.int64()), ("_h", pa.int64()), ("start", pa.int32()), ("anchor", pa.int64()), ("copies", pa.int64()), ("segment", pa.binary())])
 
 
 def _segments(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -165,9 +165,9 @@ def repeated_windows(docs: DataFrame, window: int = 400, anchor: int | None = No
     shards = max(1, -(-int(total) // shard))
     small = unclear.join(large, "anchor", "left_anti")
     places = repeats.of_documents(texts, small, "start", "n", "anchor", "copies").filter("places IS NOT NULL")
-    segments = places.mapInArrow(partial(_segments, window=window), "doc_id long, _h int, start int, anchor long, copies long, segment binary")
+    segments = places.mapInArrow(partial(_segments, window=window), "doc_id long, _h long, start int, anchor long, copies long, segment binary")
     dealt = segments.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-    found = stage(dealt.groupBy("shard").applyInPandas(partial(_resolve, window=window), "doc_id long, _h int, start int, n int"))
+    found = stage(dealt.groupBy("shard").applyInPandas(partial(_resolve, window=window), "doc_id long, _h long, start int, n int"))
     out = whole.unionByName(found)
     if large.limit(1).count():
         out = out.unionByName(repeats.windows_that_repeat(texts, unclear.join(large, "anchor", "left_semi"), "bytes", window))
