@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.llm import contamination, cotrain, jaccard, licences, lines, packing, passages, suffixes, topk, warc
+from flightlake.llm import contamination, cotrain, infill, jaccard, licences, lines, near, packing, passages, resampling, suffixes, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,3 +161,50 @@ def op8_licence_sentences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLES["op8_licence_sentences"] = licences.licences_sql()
+
+
+@query
+def op11_subspace_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors of one label by the component of near duplicates they are in: cosine 0.98."""
+    return near.near_duplicates(table(spark, sf, "embeddings"), near.Join(cosine=0.98))
+
+
+ORACLES["op11_subspace_near_duplicates"] = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS v,
+  embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fine FROM embeddings),
+link AS (SELECT a.rid AS a, b.rid AS b FROM e a JOIN e b ON a.label = b.label AND a.rid <> b.rid AND a.fine AND b.fine
+  AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT rid AS a, rid AS b FROM e UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+least AS (SELECT r.a AS rid, min(e.vec_id) AS component_id FROM reach r JOIN e ON e.rid = r.b GROUP BY r.a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = e.rid) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept FROM e JOIN least USING (rid)
+"""
+
+
+@query
+def op12_infill_displacement(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents rearranged for filling in their middle, and restored again."""
+    return infill.digests(table(spark, sf, "documents"), infill.Rule(seed=1, rate=90, spm=20))
+
+
+ORACLES["op12_infill_displacement"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+  ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+cut AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+part AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM part
+"""
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents drawn by how much their words are like those of the benchmark."""
+    return resampling.resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"), min_words=20, percent=10, seed=2024)
+
+
+# DuckDB has no CRC-32; the query is tested against a plain version on whole tables.
