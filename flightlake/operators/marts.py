@@ -20,6 +20,7 @@ from flightlake.functions.measure import ratio
 from flightlake.functions.text import route_label
 from flightlake.plans.ranking import smallest_mode, with_rank
 from flightlake.session import cut_lineage
+from flightlake.sources import versions
 
 # The years the marts break their counts down by.
 MART_YEARS = (2019, 2020, 2021, 2022)
@@ -286,9 +287,7 @@ def refresh_days(spark: SparkSession, table: str, days: Callable[[DataFrame], Da
     if not spark.catalog.tableExists(table):
         days(history).write.partitionBy(date).format("parquet").saveAsTable(table)
     elif touched:
-        new = days(history.filter(F.col(date).isin(list(touched)))).select(*spark.table(table).columns)
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-        spark.catalog.refreshTable(table)
+        versions.replace(spark, table, days(history.filter(F.col(date).isin(list(touched)))), date, touched)
     return spark.table(table)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 from flightlake import schema
 from flightlake.operators import marts
 from flightlake.operators.crossings import close_carried
+from flightlake.plans import bloom
 from flightlake.plans.sequence import first_per_key
 from flightlake.session import cut_lineage, delete, scratch
+from flightlake.sources import versions
 from flightlake.sources.tables import by_date
 
 # Counts under which a day looks suspicious.
@@ -55,14 +58,20 @@ def with_parent(crossings: DataFrame, daily_events: DataFrame, hist_events: Data
     )
 
 
-def event_dates_of(crossings: DataFrame, daily_events: DataFrame, near: DataFrame, before: DataFrame) -> list:
-    """The dates on which ``before`` has the events of crossings whose event is neither of the day nor in ``near``."""
-    lost = cut_lineage(with_parent(crossings, daily_events, near).filter(F.col("_icao24").isNull()).select("flight_event_id", "icao24").distinct())
-    if lost.isEmpty():
-        return []
-    named = before.select(F.col("event_id").alias("flight_event_id"), "icao24", "event_date").join(lost, ["flight_event_id", "icao24"], "left_semi")
+EVENT_ID = ("icao24", "event_id")
+
+
+def lost_events(crossings: DataFrame, daily_events: DataFrame, near: DataFrame) -> DataFrame:
+    """``icao24, event_id`` of crossings whose event is neither of the day nor in ``near``."""
+    lost = with_parent(crossings, daily_events, near).filter(F.col("_icao24").isNull())
+    return lost.select("icao24", F.col("flight_event_id").alias("event_id")).distinct()
+
+
+def event_dates_of(lost: DataFrame, before: DataFrame) -> list:
+    """The dates on which ``before`` has the events of these ids."""
+    named = before.select(*EVENT_ID, "event_date").join(lost, list(EVENT_ID), "left_semi")
     # Of an id that is used again the latest event counts.
-    newest = named.groupBy("flight_event_id", "icao24").agg(F.max("event_date").alias("event_date"))
+    newest = named.groupBy(*EVENT_ID).agg(F.max("event_date").alias("event_date"))
     return [r[0] for r in newest.select("event_date").distinct().collect()]
 
 
@@ -211,6 +220,8 @@ class Tables:
     territory_mart: str = "gold_territory_heatmap"
     route_days: str = "gold_route_days"
     territory_days: str = "gold_territory_days"
+    open_stays: str = "state_open_stays"
+    event_filters: str = "state_event_filters"
 
 
 def _dates(df: DataFrame, column: str) -> tuple:
@@ -234,10 +245,13 @@ def snapshot(spark: SparkSession, table: str) -> Snapshot:
     spark.catalog.refreshTable(table)
     source = spark.table(table)
     files = tuple(source.inputFiles())
-    if not files:
-        return Snapshot(spark.createDataFrame([], source.schema), ())
-    place = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()["data_type"]
-    return Snapshot(spark.read.schema(source.schema).option("basePath", place).parquet(*files), files)
+    rows = spark.createDataFrame([], source.schema)
+    # Partitions that were replaced lie in folders of their own; each has its own base.
+    bases: dict[str, list[str]] = {}
+    for file in files:
+        bases.setdefault(file.rsplit("/", 2)[0], []).append(file)
+    read = [spark.read.schema(source.schema).option("basePath", base).parquet(*own) for base, own in bases.items()]
+    return Snapshot(reduce(DataFrame.unionByName, read) if read else rows, files)
 
 
 def clear(spark: SparkSession, table: str, seen: Snapshot) -> None:
@@ -247,15 +261,67 @@ def clear(spark: SparkSession, table: str, seen: Snapshot) -> None:
     spark.catalog.refreshTable(table)
 
 
+#: Partitions of the table of open stays.
+STAY_BUCKETS = 64
+_STAY = (*schema.CROSSING_KEY, *_ENDING, "entered_date", "batch_date")
+
+
+def _stays(crossings: DataFrame) -> DataFrame:
+    return still_open(crossings).select(*_STAY, F.pmod(F.xxhash64("icao24"), F.lit(STAY_BUCKETS)).cast("int").alias("bucket"))
+
+
+def open_stays(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The stays that history has open, kept as a table by aircraft; it is made from history once, where it is missing.
+
+    Whoever else changes the state of stays in history drops this table, so that the next settlement makes it anew.
+    """
+    if not spark.catalog.tableExists(tables.open_stays):
+        found = _stays(spark.table(tables.hist_crossings))
+        found.hint("rebalance", "bucket").write.format("parquet").partitionBy("bucket").saveAsTable(tables.open_stays)
+    return spark.table(tables.open_stays)
+
+
+def merge_stays(spark: SparkSession, tables: Tables, ended: DataFrame, opened: DataFrame) -> None:
+    """Take ended stays out of the table of open ones and enter new ones; only the buckets that change are read and written."""
+    key = list(schema.CROSSING_KEY)
+    opened, ended = cut_lineage(_stays(opened)), cut_lineage(ended.select(*key, F.pmod(F.xxhash64("icao24"), F.lit(STAY_BUCKETS)).cast("int").alias("bucket")))
+    buckets = [r[0] for r in opened.select("bucket").unionByName(ended.select("bucket")).distinct().collect()]
+    if buckets:
+        kept = spark.table(tables.open_stays).filter(F.col("bucket").isin(buckets))
+        gone = ended.select(*key).unionByName(opened.select(*key))
+        columns = spark.table(tables.open_stays).columns
+        rows = kept.join(gone, key, "left_anti").select(*columns).unionByName(opened.dropDuplicates(key).select(*columns))
+        versions.replace(spark, tables.open_stays, rows, "bucket", buckets)
+
+
+def event_filters(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Filters of the event ids of each history date; made from all of history once, where they are missing."""
+    if not spark.catalog.tableExists(tables.event_filters):
+        every = bloom.filters(spark.table(tables.hist_events).select(*EVENT_ID, "event_date"), "event_date", EVENT_ID)
+        every.write.format("parquet").saveAsTable(tables.event_filters)
+    return spark.table(tables.event_filters)
+
+
+def event_candidates(spark: SparkSession, tables: Tables, lost: DataFrame) -> list:
+    """Dates on which history may have events of these ids: those whose filter may hold one, and those without a filter."""
+    made = event_filters(spark, tables)
+    have = {str(r[0]) for r in made.select("event_date").distinct().collect()}
+    dates = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {tables.hist_events}").collect()}
+    return [*[r[0] for r in bloom.candidates(lost, made, "event_date", EVENT_ID).collect()], *sorted(dates - have)]
+
+
+def add_event_filters(spark: SparkSession, tables: Tables, events: DataFrame) -> None:
+    """Enter events into the filters of their dates, before history has them; a run that is repeated only enters them again."""
+    columns = event_filters(spark, tables).columns
+    new = bloom.filters(events.select(*EVENT_ID, "event_date"), "event_date", EVENT_ID)
+    new.select(*columns).write.mode("append").format("parquet").saveAsTable(tables.event_filters)
+
+
 def _rewrite(spark: SparkSession, table: str, ends: DataFrame, run_ts: Column) -> tuple[int, list]:
     """End open history crossings, rewriting only the dates they were entered on; their number and these dates."""
-    ends = cut_lineage(ends)
     dates = [r[0] for r in ends.select(F.to_date("entered_at")).distinct().collect()]
     if dates:
-        new = cut_lineage(with_endings(spark.table(table).filter(F.col("entered_date").isin(dates)), ends, run_ts))
-        arranged = by_date(new.select(*spark.table(table).columns), "entered_date")
-        arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
-        spark.catalog.refreshTable(table)
+        versions.replace(spark, table, with_endings(spark.table(table).filter(F.col("entered_date").isin(dates)), ends, run_ts), "entered_date", dates)
     return ends.count(), dates
 
 
@@ -264,8 +330,8 @@ def settle(spark: SparkSession, run_ts: str, tables: Tables = Tables(), build_ma
 
     Works on the files the daily tables have at its start, and clears just these. Keys
     contain their own timestamp, so a row of the batch can only repeat a history row of the same date: history is read
-    for the batch's dates only, and ``carry_days`` before them for events that went on over midnight. Open stays are looked for in
-    all of history before the batch, and for crossings whose event is not there, the dates on which history has it are read too.
+    for the batch's dates only, and ``carry_days`` before them for events that went on over midnight. Stays that are open, however
+    long, stand in a table of their own. For crossings whose event is not there, filters of the event ids tell which older dates may have it.
     """
     with scratch(spark):
         return _settle(spark, run_ts, tables, build_marts, carry_days)
@@ -287,23 +353,24 @@ def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool,
         older_dates: list = []
         old_events = lambda: spark.table(tables.hist_events).filter(F.col("event_date").between(*map(F.lit, carried)) | F.col("event_date").isin(older_dates))
         old_crossings = lambda: _within(spark.table(tables.hist_crossings), "entered_date", carried)
-        open_stays = lambda: still_open(spark.table(tables.hist_crossings).filter(F.col("entered_date") <= F.lit(last)))
         if event_dates[0] is not None:
             new = cut_lineage(rollup_events(events, _within(spark.table(tables.hist_events), "event_date", event_dates), at))
+            add_event_filters(spark, tables, new)
             by_date(new, "event_date").write.mode("append").partitionBy("event_date").format("parquet").saveAsTable(tables.hist_events)
             out["events_rolled"] = new.count()
         if carried:
-            ends = cut_lineage(closings(crossings, open_stays()))
-            out["closed"], closed_dates = _rewrite(spark, tables.hist_crossings, ends, at)
+            stays = open_stays(spark, tables).filter(F.col("entered_date") <= F.lit(last))
             # Open stays of earlier days without a row of their own today end with the aircraft's next landing or entry.
-            earlier = open_stays().join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
+            earlier = stays.join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_anti")
             left = close_carried(earlier, carried_ends(earlier, events, crossings), schema.CROSSING_KEY).filter(F.col("exited_at").isNotNull())
-            more, more_dates = _rewrite(spark, tables.hist_crossings, left.select(*schema.CROSSING_KEY, *_ENDING), at)
-            out["closed"] += more
-            closed_dates += more_dates
+            ends = cut_lineage(closings(crossings, stays).unionByName(left.select(*schema.CROSSING_KEY, *_ENDING)))
+            out["closed"], closed_dates = _rewrite(spark, tables.hist_crossings, ends, at)
         if crossing_dates[0] is not None:
-            before = spark.table(tables.hist_events).filter(F.col("event_date") < F.lit(carried[0]))
-            older_dates += event_dates_of(crossings, events, old_events(), before)
+            lost = cut_lineage(lost_events(crossings, events, old_events()))
+            if not lost.isEmpty():
+                maybe = event_candidates(spark, tables, lost)
+                before = spark.table(tables.hist_events).filter((F.col("event_date") < F.lit(carried[0])) & F.col("event_date").isin(maybe))
+                older_dates += event_dates_of(lost, before)
             new = cut_lineage(rollup_crossings(crossings, events, old_events(), _within(spark.table(tables.hist_crossings), "entered_date", crossing_dates), at))
             by_date(new, "entered_date").write.mode("append").partitionBy("entered_date").format("parquet").saveAsTable(tables.hist_crossings)
             out["crossings_rolled"] = new.count()
@@ -316,7 +383,11 @@ def _settle(spark: SparkSession, run_ts: str, tables: Tables, build_marts: bool,
         short = [f"{c['table_name']}: {c['missing']} of {c['expected']} rows are not in history" for c in checks if not c["ok"]]
         if short:
             raise ReconciliationError("; ".join(short))
-        out["in_flight"] = in_flight(spark.table(tables.hist_crossings), day).first()["in_flight"]
+        if carried:
+            # From what history now has of the day's keys, so a run that was cut short enters the same stays again.
+            known = old_crossings().join(crossings.select(*schema.CROSSING_KEY), list(schema.CROSSING_KEY), "left_semi")
+            merge_stays(spark, tables, ends, known)
+        out["in_flight"] = in_flight(open_stays(spark, tables), day).first()["in_flight"]
         days = lambda df, column: [r[0] for r in df.select(column).distinct().collect()]
         event_days, crossing_days = days(events, "event_date"), sorted({*days(crossings, "entered_date"), *(closed_dates if carried else [])})
         clear(spark, tables.daily_events, seen_events)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flightlake.operators.events import with_route_codes
 from flightlake.plans.sequence import latest_per_key
-from flightlake.session import cut_lineage
+from flightlake.sources import versions
 
 
 def _of_day(events: DataFrame, day: str) -> DataFrame:
@@ -90,13 +90,5 @@ def completeness(events: DataFrame, day: str | None = None) -> DataFrame:
 
 
 def rewrite_day(enriched: DataFrame, table: str, day: str) -> None:
-    """Replace the partition of a day with the enriched rows.
-
-    The rows are written to the shared folder first: a table is never read and
-    overwritten in one plan.
-    """
-    spark = enriched.sparkSession
-    rows = cut_lineage(_of_day(enriched, day).drop("changed", "touched"))
-    target = spark.table(table)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows.select(*target.columns).write.mode("overwrite").insertInto(table)
+    """Replace the partition of a day with the enriched rows; other days are not touched."""
+    versions.replace(enriched.sparkSession, table, _of_day(enriched, day).drop("changed", "touched"), "event_date", [day])
