@@ -57,26 +57,31 @@ def rollup_twice(spark, sf):
 
 _PARENTS = "SELECT event_id, icao24, event_timestamp, event_type FROM hist_events WHERE event_type <> 'CLIMBING'"
 _SETTLED = "SELECT * FROM crossings WHERE crossing_role = 'START'"
+# By sets of keys: what must be in history afterwards is every daily key that was not there, if its event is known.
+# It hangs on the first history id that has the event's natural key.
+_FIRST_IDS = "SELECT event_id, 5000000 + min(event_id) OVER (PARTITION BY icao24, event_timestamp, event_type) AS hist_id FROM hist_events"
+_NEW_KEYS = "SELECT icao24, entered_at, territory_id FROM crossings EXCEPT SELECT icao24, entered_at, territory_id FROM settled"
 _NEW_CROSSINGS = f"""
-    SELECT h.event_id + 5000000 AS flight_event_id, c.icao24, c.territory_type, c.territory_id, c.crossing_role, c.flight_status,
-           {s.ts_text('c.entered_at')} AS entered_at, c.duration_minutes, 'opensky' AS source, '{DAY}' AS batch_date
-    FROM crossings c JOIN parents d ON d.event_id = c.flight_event_id
-    JOIN hist_events h ON h.icao24 = d.icao24 AND h.event_timestamp = d.event_timestamp AND h.event_type = d.event_type
-    WHERE NOT EXISTS (SELECT 1 FROM settled x WHERE x.icao24 = c.icao24 AND x.entered_at = c.entered_at AND x.territory_id = c.territory_id)"""
+    SELECT hist_id AS flight_event_id, icao24, crossing_id, callsign, territory_type, territory_id, territory_name, crossing_role, flight_status,
+           {s.ts_text('entered_at')} AS entered_at, CAST(entered_date AS VARCHAR) AS entered_date, {s.ts_text('exited_at')} AS exited_at,
+           CAST(duration_minutes AS DOUBLE) AS duration_minutes, 'opensky' AS source,
+           '{DAY} 23:59:00.000000' AS inserted_at, '{DAY} 23:59:00.000000' AS updated_at, '{DAY}' AS batch_date
+    FROM crossings SEMI JOIN new_keys USING (icao24, entered_at, territory_id) JOIN first_ids ON event_id = flight_event_id
+    WHERE flight_event_id IN (SELECT event_id FROM parents)"""
 
 
 def _daily_parents(spark, sf):
     return s.hist_events(spark, sf).filter(F.col("event_type") != "CLIMBING")
 
 
-@query("rollup_crossings", s.with_views(f"SELECT * REPLACE (CAST(duration_minutes AS DOUBLE) AS duration_minutes) FROM ({_NEW_CROSSINGS})", "crossings", parents=_PARENTS, settled=_SETTLED))
+@query("rollup_crossings", s.with_views(_NEW_CROSSINGS, "crossings", parents=_PARENTS, settled=_SETTLED, first_ids=_FIRST_IDS, new_keys=_NEW_KEYS))
 def rollup_crossings(spark, sf):
     daily = s.crossings(spark, sf).drop("source")
     hist_events = s.hist_events(spark, sf).withColumn("event_id", F.col("event_id") + 5000000)
     old = daily.filter(F.col("crossing_role") == "START")
     return settle.rollup_crossings(daily, _daily_parents(spark, sf), hist_events, old, _run()).select(
-        "flight_event_id", "icao24", "territory_type", "territory_id", "crossing_role", "flight_status", "entered_at",
-        "duration_minutes", "source", "batch_date")
+        "flight_event_id", "icao24", "crossing_id", "callsign", "territory_type", "territory_id", "territory_name", "crossing_role", "flight_status",
+        "entered_at", "entered_date", "exited_at", "duration_minutes", "source", "inserted_at", "updated_at", "batch_date")
 
 
 @query("orphan_crossings", s.with_views(
