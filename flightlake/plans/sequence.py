@@ -3,9 +3,12 @@
 A plain window over one key puts that key's whole history into one task. Here
 the history of a key is first cut into time chunks, the window runs per
 (key, chunk), and only what crosses a chunk border is resolved in a second,
-small step over the key. The second step sees at most two rows per chunk, so
-its size is bounded by the time span over the chunk width, never by the number
-of rows of the key. Results equal those of the plain window.
+small step over the key. That step sees at most two rows per chunk.
+
+A chunk that holds too many rows itself is cut further: the rows of all such chunks are
+sorted into ranges of (key, order), however many a chunk fills, and every range is a piece with borders of its own.
+Which chunks these are is counted beforehand, over the key and time columns alone; where there are none nothing
+else is done. Results equal those of the plain window.
 
 ``order`` starts with a timestamp column and must be unique within a key.
 """
@@ -13,14 +16,20 @@ of rows of the key. Results equal those of the plain window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightlake.session import cut_lineage
+
 MINUTE = 60
 HOUR = 3600
 DAY = 86400
-_CHUNK = "_chunk"
+#: Rows of a key and chunk that one task may have; more are cut into ranges.
+MOST = 1_000_000
+_CHUNK, _PIECE = "_chunk", "_piece"
 _ROW = "_row"
 
 
@@ -30,19 +39,20 @@ def chunk_of(ts: Column | str, width: int) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(width * 1_000_000))
 
 
-def fitting_width(
-    df: DataFrame, key: Sequence[str], ts: str, most_rows: int = 5_000_000, widths: Sequence[int] = (DAY, HOUR, MINUTE, 1)
-) -> int:
-    """Widest of ``widths`` whose fullest (key, chunk) holds at most ``most_rows``; the narrowest if none does.
-
-    For data whose density is not known: each try is one count over the key and time columns.
-    Positions polled once a minute need no measuring, an hour of one aircraft is 60 rows.
-    """
-    for width in widths[:-1]:
-        fullest = df.groupBy(*key, chunk_of(ts, width).alias(_CHUNK)).count().agg(F.max("count").alias("n")).first()["n"]
-        if fullest is None or fullest <= most_rows:
-            return width
-    return widths[-1]
+def in_pieces(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int, most: int) -> DataFrame:
+    """Rows with their chunk and, in chunks of more than ``most`` rows, the range of (key, order) they lie in."""
+    cut = df.withColumn(_CHUNK, chunk_of(order[0], width))
+    place = [*key, _CHUNK]
+    dense = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    if dense.isEmpty():
+        return cut.withColumn(_PIECE, F.lit(0))
+    dense = cut_lineage(dense)
+    same = lambda a, b: reduce(and_, [a[c].eqNullSafe(b[c]) for c in place])
+    crowded = cut.join(dense, same(cut, dense), "left_semi")
+    ranges = -(-dense.agg(F.sum("_n")).first()[0] // most) + 1
+    # Staged, as the number of a range must not depend on when it is computed.
+    ranged = cut_lineage(crowded.repartitionByRange(ranges, *key, *order).withColumn(_PIECE, F.spark_partition_id() + 1))
+    return cut.join(dense, same(cut, dense), "left_anti").withColumn(_PIECE, F.lit(0)).unionByName(ranged)
 
 
 def with_neighbours(
@@ -58,10 +68,10 @@ def with_neighbours(
 
     A missing neighbour is a NULL struct.
     """
-    near = Window.partitionBy(*key, _CHUNK).orderBy(*order)
+    near = Window.partitionBy(*key, _CHUNK, _PIECE).orderBy(*order)
     far = Window.partitionBy(*key).orderBy(*order)
     row = F.struct(*fields)
-    cut = df.withColumn(_CHUNK, chunk_of(order[0], width)).withColumn(_ROW, row)
+    cut = in_pieces(df, key, order, width, MOST).withColumn(_ROW, row)
     cut = cut.select(*df.columns, _ROW, F.lag(_ROW).over(near).alias(back), F.lead(_ROW).over(near).alias(ahead))
     border = F.col(back).isNull() | F.col(ahead).isNull()
     joined = cut.filter(border).select(
@@ -76,21 +86,21 @@ def with_last_known(
     df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, width: int, out: str
 ) -> DataFrame:
     """Forward fill: last non-NULL ``value`` of the key at or before each row."""
-    near = Window.partitionBy(*key, _CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*key).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    cut = df.withColumn(_CHUNK, chunk_of(order[0], width))
+    near = Window.partitionBy(*key, _CHUNK, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*key).orderBy(_CHUNK, _PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    cut = in_pieces(df, key, order, width, MOST)
     known = F.col(value).isNotNull()
     carried = (
-        cut.groupBy(*key, _CHUNK)
+        cut.groupBy(*key, _CHUNK, _PIECE)
         .agg(F.max_by(F.when(known, F.col(value)), F.when(known, F.struct(*order))).alias("_tail"))
         .withColumn("_carry", F.last("_tail", ignorenulls=True).over(earlier))
         .drop("_tail")
     )
     return (
         cut.withColumn(out, F.last(value, ignorenulls=True).over(near))
-        .join(carried, [*key, _CHUNK], "left")
+        .join(carried, [*key, _CHUNK, _PIECE], "left")
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
-        .drop("_carry", _CHUNK)
+        .drop("_carry", _CHUNK, _PIECE)
     )
 
 

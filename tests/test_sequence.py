@@ -91,8 +91,13 @@ def test_rank_equals_sql_rank(spark, rows):
     assert rows(with_rank(df, "n", "r")) == rows(whole)
 
 
-def test_fitting_width(spark):
-    df = frame(spark, skewed(600))
-    assert sequence.fitting_width(df, ["k"], "t", most_rows=10_000) == sequence.DAY
-    assert sequence.fitting_width(df, ["k"], "t", most_rows=20) == sequence.HOUR
-    assert sequence.fitting_width(df, ["k"], "t", most_rows=0) == 1
+def test_one_hour_of_one_key_is_cut(spark, rows, monkeypatch):
+    """A third of all rows on one key in one hour, many at one moment: no window task has more than a few ranges' rows."""
+    monkeypatch.setattr(sequence, "MOST", 50)
+    data = [("hot", j % 7, j % 5 or None) for j in range(900)] + [(f"k{j % 300}", (j * 91) % 5000, j % 3 or None) for j in range(1800)]
+    df = frame(spark, data)
+    pieces = sequence.in_pieces(df, ["k"], ["t", "i"], 3600, 50)
+    sizes = [r["count"] for r in pieces.filter("k = 'hot'").groupBy("_chunk", "_piece").count().collect()]
+    assert sum(sizes) == 900 and len(sizes) > 9 and max(sizes) <= 150
+    assert rows(chunked_neighbours(df, 3600)) == rows(plain_neighbours(df))
+    assert rows(sequence.with_last_known(df, ["k"], ["t", "i"], "v", 3600, "f")) == rows(plain_fill(df))
