@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.functions import geometry as g
@@ -41,7 +41,7 @@ class TerritoryCells:
 
 @dataclass(frozen=True)
 class AirportGrids:
-    """Airports per cell of every grid ``steps`` wide, and the stored size if measured."""
+    """Occupied cells of grids ``steps`` wide, each with its parent's place, and as a last level the airports; the stored size if measured."""
 
     cells: DataFrame
     steps: tuple[float, ...]
@@ -186,50 +186,65 @@ def near_territories(points: DataFrame, index: TerritoryCells, radius: float, lo
     )
 
 
-# Cell widths in degrees tried in turn. The last one covers the whole plane.
-_NEAREST_STEPS = (1.0, 4.0, 16.0, 64.0, 512.0)
+# Cell widths in degrees, from the widest cells down; each is divided into 4 x 4 of the next.
+_NEAREST_STEPS = (512.0, 128.0, 32.0, 8.0, 2.0, 0.5)
 
 
 def build_airport_grids(airports: DataFrame, steps: tuple[float, ...] = _NEAREST_STEPS) -> AirportGrids:
-    """Commercial airports with an IATA code, entered into their own and the eight neighbouring cells of every grid."""
-    around = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    """Commercial airports with an IATA code in a hierarchy of grids: one row per occupied cell and its parent, and one per airport.
+
+    A cell has the box its airports fill and one of them; nothing in it grows with their number.
+    """
     spots = airports.filter(F.col("airport_iata_code").isNotNull() & F.col("is_commercial")).select(
-        F.struct(
-            F.col("longitude_deg").cast("double").alias("x"), F.col("latitude_deg").cast("double").alias("y"),
-            F.col("ident"), F.col("airport_iata_code").alias("code"),
-        ).alias("a"),
-        F.posexplode(F.array(*[F.lit(w) for w in steps])).alias("grid", "_width"),
-    )
-    cell = lambda axis: F.floor(F.col(f"a.{axis}") / F.col("_width")).cast("int")
-    entered = spots.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
-    grouped = entered.groupBy("grid", (cell("x") + F.col("_dx")).alias("cell_x"), (cell("y") + F.col("_dy")).alias("cell_y"))
-    return AirportGrids(grouped.agg(F.collect_list("a").alias("near")), steps)
+        F.col("longitude_deg").cast("double").alias("ax"), F.col("latitude_deg").cast("double").alias("ay"), "ident", F.col("airport_iata_code").alias("code"),
+    ).filter(F.col("ax").isNotNull() & F.col("ay").isNotNull())
+    wider = [F.lit(None).cast("double"), *[F.lit(w) for w in steps[:-1]]]
+    levels = F.posexplode(F.array(*[F.struct(F.lit(w).alias("own"), up.alias("up")) for w, up in zip(steps, wider)]))
+    cell = lambda axis, width: F.coalesce(F.floor(F.col(axis) / F.col(f"_width.{width}")).cast("int"), F.lit(0))
+    placed = spots.select("ax", "ay", "ident", levels.alias("grid", "_width")).select(
+        "*", cell("ax", "own").alias("cell_x"), cell("ay", "own").alias("cell_y"), cell("ax", "up").alias("up_x"), cell("ay", "up").alias("up_y"))
+    cells = placed.groupBy("grid", "up_x", "up_y", "cell_x", "cell_y").agg(
+        F.min("ax").alias("x0"), F.max("ax").alias("x1"), F.min("ay").alias("y0"), F.max("ay").alias("y1"), F.min_by(F.struct("ax", "ay"), "ident").alias("one"))
+    leaves = spots.select(F.lit(len(steps)).alias("grid"), _cell(F.col("ax"), steps[-1]).alias("up_x"), _cell(F.col("ay"), steps[-1]).alias("up_y"), "ax", "ay", "ident", "code")
+    return AirportGrids(cells.unionByName(leaves, allowMissingColumns=True), steps)
+
+
+def nearest_airports(spots: DataFrame, grids: AirportGrids) -> DataFrame:
+    """``_x, _y, code``: the nearest airport of each of these distinct spots, by branch and bound.
+
+    From the widest cells down, a spot keeps the cells that may hold its nearest airport: no farther, at their nearest
+    point, than the nearest of the airports that stand for the cells it has. What is left of the last
+    level are a few cells, whose airports are compared one by one.
+    """
+    x, y = F.col("_x"), F.col("_y")
+    outside = lambda v, low, high: F.greatest(F.col(low) - v, v - F.col(high), F.lit(0.0))
+    own = Window.partitionBy("_x", "_y")
+    going = spots.withColumns({"up_x": F.lit(0), "up_y": F.lit(0)})
+    for number in range(len(grids.steps)):
+        cells = grids.cells.filter(F.col("grid") == number).select("up_x", "up_y", "cell_x", "cell_y", "x0", "x1", "y0", "y1", "one")
+        met = join_lookup(going, cells, ["up_x", "up_y"], grids.stored_bytes, [x, y], "inner")
+        dx, dy = outside(x, "x0", "x1"), outside(y, "y0", "y1")
+        least = F.sqrt(dx * dx + dy * dy)
+        most = F.min(g.planar_distance(x, y, F.col("one.ax"), F.col("one.ay"))).over(own)
+        # Both distances are rounded: a little room keeps a cell that is as near.
+        near = met.select("_x", "_y", "cell_x", "cell_y", least.alias("_least"), most.alias("_most")).filter(F.col("_least") <= F.col("_most") * (1 + 1e-12))
+        going = near.select("_x", "_y", F.col("cell_x").alias("up_x"), F.col("cell_y").alias("up_y"))
+    airports = grids.cells.filter(F.col("grid") == len(grids.steps)).select("up_x", "up_y", "ax", "ay", "ident", "code")
+    met = join_lookup(going, airports, ["up_x", "up_y"], grids.stored_bytes, [x, y], "inner")
+    best = F.min_by("code", F.struct(g.planar_distance(x, y, F.col("ax"), F.col("ay")), F.col("ident")))
+    return met.groupBy("_x", "_y").agg(best.alias("code"))
 
 
 def with_nearest_airport(
     points: DataFrame, grids: AirportGrids, out: str = "origin_iata", lon: str = "longitude", lat: str = "latitude"
 ) -> DataFrame:
-    """Code of the commercial airport with an IATA code nearest in planar degrees.
+    """Code of the commercial airport with an IATA code nearest in planar degrees; exact.
 
-    The grids are tried from fine to wide. A candidate closer than one cell width is certainly the
-    nearest, since anything outside the nine cells is at least that far away. Points not settled
-    on one grid go on to the next; the last grid holds every airport, so the answer
-    is exact. Ties go to the smallest ``ident``; NULL coordinates give NULL.
+    Only distinct spots are searched, and rows without one go past the search. Ties go to the
+    smallest ``ident``; NULL coordinates give NULL.
     """
-    x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
-    found = points.withColumn("_best", F.lit(None).cast("struct<d:double,ident:string,code:string>"))
-    for number, width in enumerate(grids.steps):
-        cells = grids.cells.filter(F.col("grid") == number).select("cell_x", "cell_y", "near")
-        open_ = F.col("_best").isNull()
-        ranked = F.array_min(F.transform("near", lambda a: F.struct(
-            g.planar_distance(x, y, a["x"], a["y"]).alias("d"), a["ident"].alias("ident"), a["code"].alias("code"),
-        )))
-        last = number == len(grids.steps) - 1
-        placed = found.withColumn("cell_x", F.when(open_, _cell(x, width))).withColumn("cell_y", F.when(open_, _cell(y, width)))
-        found = (
-            join_lookup(placed, cells, ["cell_x", "cell_y"], grids.stored_bytes, [x, y])
-            .withColumn("_new", F.when(open_, ranked))
-            .withColumn("_best", F.coalesce(F.col("_best"), F.when(F.lit(last) | (F.col("_new.d") <= width), F.col("_new"))))
-            .drop("cell_x", "cell_y", "near", "_new")
-        )
-    return found.withColumn(out, F.col("_best.code")).drop("_best")
+    placed = points.withColumns({"_x": F.col(lon).cast("double"), "_y": F.col(lat).cast("double")})
+    known = F.col("_x").isNotNull() & F.col("_y").isNotNull()
+    found = nearest_airports(placed.filter(known).select("_x", "_y").distinct(), grids)
+    searched = placed.filter(known).join(found, ["_x", "_y"], "left").select(*points.columns, F.col("code").alias(out))
+    return searched.unionByName(placed.filter(~known).select(*points.columns, F.lit(None).cast("string").alias(out)))

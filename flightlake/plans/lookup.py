@@ -14,9 +14,9 @@ SALTS = 32
 
 
 def join_lookup(
-    rows: DataFrame, table: DataFrame, on: Sequence[str], stored_bytes: int | None, spread: Sequence[Column], salts: int = SALTS
+    rows: DataFrame, table: DataFrame, on: Sequence[str], stored_bytes: int | None, spread: Sequence[Column], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Left join to a lookup with one row per key.
+    """Join to a lookup with one row or a few per key.
 
     A table known to be small is broadcast, so the rows are not shuffled. A
     larger or unmeasured one is joined by shuffle with every key split into
@@ -25,7 +25,7 @@ def join_lookup(
     within a key; the salt is a hash of them, so a retried task repeats it.
     """
     if stored_bytes is not None and stored_bytes <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(table), list(on), "left")
+        return rows.join(F.broadcast(table), list(on), how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], "left").drop("_salt")
+    return rows.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")

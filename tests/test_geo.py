@@ -119,6 +119,28 @@ def test_nearest_airport_is_exact(spark, airports):
     assert got[900] == "TIF"
 
 
+def test_nearest_airport_among_clusters(spark):
+    """Clusters, airports on one spot, ties, and repeated spots; measured and unmeasured grids agree with a plain search."""
+    import random
+
+    rng = random.Random(5)
+    spots = [(f"c{i}", f"C{i}", 40 + rng.gauss(0, 0.2), 30 + rng.gauss(0, 0.2)) for i in range(300)]
+    spots += [(f"s{i}", f"S{i}", -70.0, -10.0) for i in range(40)] + [(f"f{i}", f"F{i}", rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(30)]
+    spots += [("t1", "T1", 100.0, 0.0), ("t0", "T0", 102.0, 0.0), ("x", "X", None, 1.0)]
+    airports = spark.createDataFrame([(*s, True) for s in spots], "ident string, airport_iata_code string, longitude_deg double, latitude_deg double, is_commercial boolean")
+    ask = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(120)] + [(40 + rng.gauss(0, 1), 30 + rng.gauss(0, 1)) for _ in range(60)] + [(101.0, 0.0), (-70.0, -10.0), (-70.0, -10.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(ask)], "i int, longitude double, latitude double")
+    fixed = [s for s in spots if s[2] is not None]
+    want = [min(fixed, key=lambda a: (((x - a[2]) ** 2 + (y - a[3]) ** 2) ** 0.5, a[0]))[1] for x, y in ask]
+    grids = geo.build_airport_grids(airports)
+    for index in (grids, geo.stored(grids)):
+        got = {r["i"]: r["origin_iata"] for r in geo.with_nearest_airport(points, index).collect()}
+        assert [got[i] for i in range(len(ask))] == want
+    assert not [f for f in grids.cells.schema if f.dataType.typeName() == "array"]
+    none = geo.with_nearest_airport(points, geo.build_airport_grids(airports.limit(0)))
+    assert none.count() == len(ask) and none.filter("origin_iata IS NOT NULL").count() == 0
+
+
 def test_only_departures_get_an_origin(spark, airports):
     df = spark.createDataFrame([("DEPARTED", 10.1, 10.0), ("LANDED", 10.1, 10.0), ("DEPARTED", None, None)], "event_type string, longitude double, latitude double")
     got = sorted((r["event_type"], str(r["longitude"]), r["origin_iata"]) for r in events.with_origin(df, geo.build_airport_grids(airports)).collect())
