@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake import schema
@@ -29,6 +29,10 @@ def at_most(limits: Mapping[str, int]) -> dict[str, Column]:
     return {f"{c} is longer than {n}": F.col(c).isNull() | (F.length(c) <= n) for c, n in limits.items()}
 
 
+def airport_rules() -> dict[str, Column]:
+    return {**required("ident"), **at_most(schema.TEXT_LIMITS["airport"])}
+
+
 def crossing_rules() -> dict[str, Column]:
     return {
         **required("icao24", "territory_type", "territory_id", "crossing_role", "flight_status", "entered_at"),
@@ -67,6 +71,37 @@ def split(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     return judged.filter(F.size("reasons") == 0).drop("reasons"), judged.filter(F.size("reasons") > 0)
 
 
+def load_checked(df: DataFrame, rules: Rules, path: str, load: str) -> DataFrame:
+    """Write rows and their verdict below ``path`` in one pass, and enter the counts into the ledger there; returns the load's entry.
+
+    Rows that keep every rule lie under ``rows/rejected=false``, the others with their ``reasons`` under ``rows/rejected=true``. The
+    counts are taken while the rows are written, so the input is read once. A load of the same name replaces what it left before.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    judged = with_reasons(df, rules).withColumn("rejected", F.size("reasons") > 0)
+    metrics = [F.count(F.lit(1)).alias("total"), F.count_if("rejected").alias("rejects")]
+    metrics += [F.count_if(F.array_contains("reasons", name)).alias(f"rule_{i}") for i, name in enumerate(rules)]
+    judged.observe(seen, *metrics).write.mode("overwrite").partitionBy("rejected").parquet(f"{path}/rows/load={load}")
+    counts = seen.get
+    broken = {name: counts[f"rule_{i}"] for i, name in enumerate(rules) if counts[f"rule_{i}"]}
+    entry = spark.createDataFrame([(counts["total"], counts["rejects"], broken)], "total long, rejects long, broken map<string,long>")
+    entry.write.mode("overwrite").parquet(f"{path}/ledger/load={load}")
+    return entry
+
+
+def loaded(spark: SparkSession, path: str, schema_of_rows: str, rejected: bool) -> DataFrame:
+    """Accepted or rejected rows of all loads below ``path``, with the load's name."""
+    rows = spark.read.schema(f"{schema_of_rows}, reasons array<string>, load string, rejected boolean").option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    chosen = rows.filter(F.col("rejected") == rejected).drop("rejected")
+    return chosen if rejected else chosen.drop("reasons")
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """``load, total, rejects, broken`` of every load below ``path``."""
+    return spark.read.schema("total long, rejects long, broken map<string,long>, load string").option("basePath", f"{path}/ledger").parquet(f"{path}/ledger")
+
+
 def first_offenders(df: DataFrame, rules: Rules, key: str) -> DataFrame:
     """Per broken rule: how many rows break it, and the one with the smallest key."""
     return (

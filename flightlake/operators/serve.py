@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightlake.functions import measure, text
@@ -91,13 +91,16 @@ def flight_documents(located: DataFrame) -> DataFrame:
     """Crossings as nested lists in entry order: per aircraft, date and hour of entry.
 
     The hour pages the list, so a document is bounded by one hour of one
-    aircraft. Pages of one aircraft and date, in page order, make up its full list.
+    aircraft. Pages of one aircraft and date, in page order, make up its full list. All show the callsign of the first entry of the date.
     """
     item = F.struct("entered_at", *[c for c in _CROSSING_DOC if c != "entered_at"])
-    return located.groupBy("icao24", "entered_date", F.hour("entered_at").alias("page")).agg(
-        F.min("callsign").alias("_callsign"), F.array_sort(F.collect_list(item)).alias("crossings")
-    ).select(
-        "icao24", shown_callsign("_callsign", "icao24").alias("callsign"), "entered_date", "page",
+    pages = located.groupBy("icao24", "entered_date", F.hour("entered_at").alias("page")).agg(
+        F.min_by(F.struct("callsign"), F.struct("entered_at", "crossing_id")).alias("_first"), F.array_sort(F.collect_list(item)).alias("crossings")
+    )
+    # A day has at most 24 pages; its header is that of the first one.
+    day = Window.partitionBy("icao24", "entered_date").orderBy("page")
+    return pages.withColumn("_first", F.first("_first").over(day)).select(
+        "icao24", shown_callsign("_first.callsign", "icao24").alias("callsign"), "entered_date", "page",
         F.size("crossings").alias("crossing_count"), "crossings",
     )
 

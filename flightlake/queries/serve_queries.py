@@ -90,9 +90,10 @@ def territory_lookup_poly(spark, sf):
 
 
 @query("crossings_nested", s.with_views(
-    "SELECT icao24, coalesce(min(callsign), icao24) AS callsign, CAST(entered_date AS VARCHAR) AS entered_date, hour(entered_at) AS page, count(*) AS crossing_count, "
-    "string_agg(crossing_id || ':' || territory_name || ':' || crossing_role, ',' ORDER BY entered_at, crossing_id) AS crossings FROM crossings "
-    "GROUP BY icao24, entered_date, hour(entered_at)", "crossings"))
+    "SELECT c.icao24, any_value(coalesce(h.callsign, h.icao24)) AS callsign, CAST(c.entered_date AS VARCHAR) AS entered_date, hour(entered_at) AS page, count(*) AS crossing_count, "
+    "string_agg(crossing_id || ':' || territory_name || ':' || crossing_role, ',' ORDER BY entered_at, crossing_id) AS crossings FROM crossings c "
+    "JOIN heads h ON h.icao24 = c.icao24 AND h.entered_date = c.entered_date GROUP BY c.icao24, c.entered_date, hour(entered_at)", "crossings",
+    heads="SELECT DISTINCT ON (icao24, entered_date) icao24, entered_date, callsign FROM crossings ORDER BY icao24, entered_date, entered_at, crossing_id"))
 def crossings_nested(spark, sf):
     doc = serve.flight_documents(_located(spark, sf))
     return doc.withColumn("crossings", F.array_join(F.transform("crossings", lambda c: F.concat_ws(":", c["crossing_id"].cast("string"), c["territory_name"], c["crossing_role"])), ","))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightlake import schema
+from flightlake.plans import bloom
 from flightlake.plans.sequence import first_per_key
 from flightlake.session import cut_lineage
 
@@ -62,29 +63,50 @@ class TableRegistry:
                     raise
         return made
 
+    def _exists(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
+    def _filters(self, name: str, key: tuple[str, ...]) -> DataFrame:
+        """Filters of the keys of each partition; made from the whole table where it has none."""
+        part, place = SOURCES[name].partition, f"{self.root}/_keys/{name}"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            bloom.filters(self.read(name).select(*key, part), part, key).write.mode("overwrite").parquet(place)
+        return self.spark.read.schema(f"{part} date, slots bigint, slot bigint, bits binary").parquet(place)
+
+    def _candidates(self, name: str, keys: DataFrame, key: tuple[str, ...]) -> list:
+        """Partitions that may have one of the keys."""
+        return [r[0] for r in bloom.candidates(keys, self._filters(name, key), SOURCES[name].partition, key).collect()]
+
+    def _extend_filters(self, name: str, keys: DataFrame, key: tuple[str, ...]) -> None:
+        """Enter keys into the filters before their rows: a load that ends in between leaves a filter that knows too much, never too little."""
+        if self._exists(name):
+            self._filters(name, key)
+        bloom.filters(keys, SOURCES[name].partition, key).write.mode("append").parquet(f"{self.root}/_keys/{name}")
+
     def append_new(self, name: str, rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
         """Append the rows whose key the table lacks, and return them.
 
         Of rows with the same key the first by ``order`` and then by all other columns
         is kept. Values a column cannot hold become NULL; rows without a required
-        value are left out. Only the table's partitions that the batch touches are compared.
+        value are left out. Only the partitions whose filter may hold a key of the batch are compared:
+        a filter of the keys of each date lies beside the table, and is extended before rows are added.
         """
         part, struct = SOURCES[name].partition, SOURCES[name].schema
         shaped = rows.select(*[F.col(f.name).try_cast(f.dataType) for f in struct])
         shaped = shaped.dropna(subset=[f.name for f in struct if not f.nullable])
         rest = [c for c in shaped.columns if c not in key and c not in order]
         shaped = cut_lineage(first_per_key(shaped, list(key), [*order, *rest]))
-        try:
+        if self._exists(name):
             have = self.read(name)
-            low, high = shaped.agg(F.min(part), F.max(part)).first() if part else (None, None)
-            if low is not None:
-                have = have.filter(F.col(part).between(F.lit(low), F.lit(high)))
+            if part:
+                dates = self._candidates(name, shaped.select(*key, part), key)
+                have = have.filter(F.col(part).isin(dates))
             shaped = shaped.join(have.select(*key), list(key), "left_anti").select(*shaped.columns)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
         new = cut_lineage(shaped)
         if part:
+            self._extend_filters(name, new.select(*key, part), key)
             by_date(new, part).write.mode("append").partitionBy(part).parquet(self.path(name))
         else:
             new.write.mode("append").parquet(self.path(name))

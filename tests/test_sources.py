@@ -136,3 +136,47 @@ def test_registry(spark, tmp_path):
     assert reg.register() == ["daily_flight_events"]
     assert spark.sql("SELECT count(*) FROM daily_flight_events WHERE event_date = DATE '2026-04-22'").first()[0] == 3
     assert len(tables.SOURCES) == 8
+
+
+def test_registry_reads_candidate_partitions_only(spark, tmp_path):
+    """The files of a date whose filter has none of the keys are not opened, even if the batch has rows of that date."""
+    reg = tables.TableRegistry(spark, str(tmp_path))
+    at = lambda d: datetime(2026, 4, d, 12)
+    row = lambda i, k, d: tuple({"event_id": i, "icao24": k, "event_type": "LANDED", "event_timestamp": at(d), "event_date": at(d).date()}.get(f.name) for f in schema.DAILY_EVENT)
+    make = lambda *r: spark.createDataFrame(list(r), schema.DAILY_EVENT)
+    reg.append_new("daily_flight_events", make(row(1, "a", 20), row(2, "b", 21)), schema.EVENT_KEY)
+    for file in glob.glob(str(tmp_path / "daily_flight_events/event_date=2026-04-20/*")):
+        open(file, "w").write("unreadable")
+    got = reg.append_new("daily_flight_events", make(row(3, "new", 20), row(4, "b", 21), row(5, "c", 21)), schema.EVENT_KEY)
+    assert sorted(r["icao24"] for r in got.collect()) == ["c", "new"]
+    with pytest.raises(Exception):
+        reg.append_new("daily_flight_events", make(row(6, "a", 20)), schema.EVENT_KEY).collect()
+
+
+def test_registry_of_a_table_without_filters(spark, tmp_path):
+    """Keys of rows that were written some other way are known too."""
+    at = datetime(2026, 4, 22, 12)
+    row = lambda i, k: tuple({"event_id": i, "icao24": k, "event_type": "LANDED", "event_timestamp": at, "event_date": at.date()}.get(f.name) for f in schema.DAILY_EVENT)
+    make = lambda *r: spark.createDataFrame(list(r), schema.DAILY_EVENT)
+    make(row(1, "a"), row(2, "b")).write.partitionBy("event_date").parquet(str(tmp_path / "daily_flight_events"))
+    reg = tables.TableRegistry(spark, str(tmp_path))
+    assert [r["icao24"] for r in reg.append_new("daily_flight_events", make(row(3, "a"), row(4, "z")), schema.EVENT_KEY).collect()] == ["z"]
+    assert reg.append_new("daily_flight_events", make(row(5, "b"), row(6, "z")), schema.EVENT_KEY).count() == 0
+
+
+def test_checked_load(spark, tmp_path):
+    from flightlake.operators import quality
+
+    path = str(tmp_path / "checked")
+    rules = {**quality.required("a"), **quality.within("n", 0, 9)}
+    rows = lambda *r: spark.createDataFrame(list(r), "a string, n int")
+    quality.load_checked(rows(("x", 1), (None, 50)), rules, path, "one")
+    entry = quality.load_checked(rows(("y", 2), (None, 3), ("z", -1)), rules, path, "two").first()
+    assert (entry["total"], entry["rejects"], entry["broken"]) == (3, 2, {"a is missing": 1, "n is out of range": 1})
+    quality.load_checked(rows(("x", 1), (None, 50)), rules, path, "one")  # the same load again
+    assert sorted((r["a"], r["load"]) for r in quality.loaded(spark, path, "a string, n int", False).collect()) == [("x", "one"), ("y", "two")]
+    assert sorted((r["n"], tuple(r["reasons"])) for r in quality.loaded(spark, path, "a string, n int", True).collect()) == [
+        (-1, ("n is out of range",)), (3, ("a is missing",)), (50, ("a is missing", "n is out of range"))]
+    assert {r["load"]: (r["total"], r["rejects"]) for r in quality.ledger(spark, path).collect()} == {"one": (2, 1), "two": (3, 2)}
+    none = quality.load_checked(rows(("x", 1)).filter("false"), rules, path, "none").first()
+    assert (none["total"], none["rejects"], none["broken"]) == (0, 0, {})

@@ -114,5 +114,39 @@ def test_topic_failure_does_not_fail_the_table(spark, tmp_path):
     assert sorted(r["key"] for r in spark.read.parquet(topic).collect()) == ["a", "a", "b"]
 
 
+def test_outbox_sends_what_failed(spark, tmp_path):
+    """Two failing sends, a retried batch, and a start with nothing new: the topic ends with every batch once, in order."""
+    from flightlake.streaming import outbox
+
+    base, order, broken = str(tmp_path), [], [True, True]
+
+    def send(rows, number):
+        if number == 1 and broken:
+            broken.pop()
+            raise RuntimeError("no broker")
+        order.append(number)
+        rows.write.mode("overwrite").parquet(f"{base}/topic/batch={number}")
+
+    def table(batch, number):
+        batch.write.mode("overwrite").parquet(f"{base}/table/batch={number}")
+        return batch.filter("icao24 <> 'b'")
+
+    box = outbox.Outbox(f"{base}/box", send)
+    each = outbox.outbox_write(table, box, accepted_only=True)
+    parts = [message_rows(spark, [(k, "LANDED", i, True), ("b", "LANDED", i, True)]) for i, k in enumerate("acd")]
+    each(parts[0], 0)
+    each(parts[1], 1)
+    assert box.waiting(spark) == [1] and order == [0]
+    each(parts[2], 2)
+    assert box.waiting(spark) == [1, 2] and order == [0]
+    each(parts[2], 2)  # the stream retries its newest batch
+    assert box.waiting(spark) == [] and order == [0, 1, 2]
+    each(parts[2], 2)
+    each(parts[0].filter("false"), 3)
+    assert order == [0, 1, 2] and box.flush(spark) == 0
+    assert sorted(r["icao24"] for r in spark.read.parquet(f"{base}/topic/*").collect()) == ["a", "c", "d"]
+    assert spark.read.parquet(f"{base}/table/*").count() == 6
+
+
 def test_output_names():
     assert set(schema.FLIGHT_STATUSES) == {"IN_PROGRESS", "COMPLETED"}
