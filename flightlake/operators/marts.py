@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from flightlake import schema
 from flightlake.functions.measure import ratio
 from flightlake.functions.text import route_label
+from flightlake.plans import bitmaps
 from flightlake.plans.ranking import smallest_mode, with_rank
 from flightlake.session import cut_lineage
 from flightlake.sources import versions
@@ -320,6 +321,18 @@ def yearly_trend(events: DataFrame) -> DataFrame:
     )
 
 
+def trend_of(days: DataFrame) -> DataFrame:
+    """``yearly_trend`` out of stored days that ``bitmaps.fold`` made by ``event_date``; the events are not read."""
+    yearly = bitmaps.distinct_of(days.withColumn("year", F.year("event_date")), ["year"], "unique_aircraft")
+    return yearly.select("year", F.col("rows").alias("total_flights"), "unique_aircraft")
+
+
+def write_ordered(mart: DataFrame, table: str, by: Sequence[str], rows_per_file: int = 1_000_000) -> None:
+    """Full rebuild of a mart table in the order of ``by``: files and row groups hold ranges, so a reader of the first ranks skips the others."""
+    ranged = mart.repartitionByRange(*by).sortWithinPartitions(*by)
+    ranged.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).saveAsTable(table)
+
+
 def write_mart(mart: DataFrame, table: str) -> None:
     """Full rebuild of a mart table."""
     mart.write.mode("overwrite").saveAsTable(table)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.operators import marts
+from flightlake.plans import bitmaps
 from flightlake.queries import standins as s
-from flightlake.queries.registry import query
+from flightlake.queries.registry import ORACLES, query
 from flightlake.session import cut_lineage
 
 _YEARS = "".join(f"count(*) FILTER (WHERE yr = {y}) AS {{what}}_{y}, " for y in marts.MART_YEARS)
@@ -93,6 +94,16 @@ def mart_incremental(spark, sf):
     return mart
 
 
+@query("ordered_mart", s.with_views("SELECT * FROM mart WHERE route_rank <= 40", *_ROUTE_VIEWS, **_ROUTE_CTES))
+def ordered_mart(spark, sf):
+    """The first ranks of the route mart, read from the table that was written in their order."""
+    name = f"ordered_{uuid.uuid4().hex}"
+    marts.write_ordered(_routes(spark, sf), name, ["route_rank", "route_label"])
+    first = cut_lineage(spark.table(name).filter("route_rank <= 40"))
+    spark.sql(f"DROP TABLE {name}")
+    return first
+
+
 @query("top_routes", s.with_views(
     "SELECT route_label, total_flights, primary_airline, avg_duration_min FROM mart "
     "ORDER BY total_flights DESC, route_label, origin_country, destination_country LIMIT 20", *_ROUTE_VIEWS, **_ROUTE_CTES))
@@ -153,6 +164,36 @@ def yearly_trend(spark, sf):
     return marts.yearly_trend(s.hist_events(spark, sf))
 
 
+def _folded(spark, rows, by, late, date):
+    """Folded groups of rows that came in two loads: keys numbered twice, and only the dates of the second load folded anew."""
+    numbers, name = f"numbers_{uuid.uuid4().hex}", f"folded_{uuid.uuid4().hex}"
+    first = bitmaps.number_keys(spark, rows.filter(~late), "icao24", numbers)
+    marts.refresh_days(spark, name, lambda h: bitmaps.fold(h, by, "icao24", first), rows.filter(~late), date, [])
+    every = bitmaps.number_keys(spark, rows, "icao24", numbers)
+    touched = [r[0] for r in rows.filter(late).select(date).distinct().collect()]
+    days = cut_lineage(marts.refresh_days(spark, name, lambda h: bitmaps.fold(h, by, "icao24", every), rows, date, touched))
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {numbers}")
+    return days
+
+
+@query("trend_incremental", ORACLES["yearly_trend"])
+def trend_incremental(spark, sf):
+    """The yearly trend out of bitmaps stored per date."""
+    late = (F.dayofmonth("event_date") <= 3) & (F.col("event_id") % 2 == 0)
+    return marts.trend_of(_folded(spark, s.hist_events(spark, sf), ["event_date"], late, "event_date"))
+
+
+@query("territory_visitors", s.with_views(
+    "SELECT territory_type, territory_id, count(*) AS crossings, count(DISTINCT icao24) AS aircraft FROM crossings GROUP BY 1, 2", "crossings"))
+def territory_visitors(spark, sf):
+    """Distinct aircraft over each territory, out of bitmaps stored per territory and date."""
+    by = ["territory_type", "territory_id"]
+    late = (F.dayofmonth("entered_date") <= 3) & (F.col("crossing_id") % 2 == 0)
+    days = _folded(spark, s.crossings(spark, sf), [*by, "entered_date"], late, "entered_date")
+    return bitmaps.distinct_of(days, by, "aircraft").withColumnRenamed("rows", "crossings")
+
+
 # The marts over the largest tables: order lines as flights -----------------------------------
 
 _SCALE_YEARS = (1996, 1997, 1998, 1999)
