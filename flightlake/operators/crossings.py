@@ -9,7 +9,7 @@ from flightlake import schema
 from flightlake.functions import measure
 from flightlake.operators.events import has_position, with_event_type, with_last_event
 from flightlake.operators.geo import TerritoryCells, containing, with_cells, with_territory
-from flightlake.plans.sequence import HOUR, with_neighbours
+from flightlake.plans.sequence import HOUR, is_calm, with_neighbours
 from flightlake.session import cut_lineage
 
 # Fixed value: segments a route is cut into.
@@ -50,9 +50,10 @@ def territory_sessions(
     position before. They and the later stay borders are written to the shared
     folder, so neither a lost executor nor a later step repeats the scan.
     """
-    seen = with_event_type(located_pings(pings, index, exact_zero), order, carry=_SAME, width=width)
-    tracked = tracked_marks(seen, order, aircraft, width)
-    framed = framed_borders(tracked, order, width)
+    calm = is_calm(pings, ["icao24"], order[0], width)
+    seen = with_event_type(located_pings(pings, index, exact_zero), order, carry=_SAME, width=width, calm=calm)
+    tracked = tracked_marks(seen, order, aircraft, width, calm)
+    framed = framed_borders(tracked, order, width, calm)
     first, landed = F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), F.col("after.event_type").eqNullSafe("LANDED")
     role = F.when(first, "START")
     if mark_end:
@@ -73,7 +74,7 @@ def located_pings(pings: DataFrame, index: TerritoryCells, exact_zero: bool = Fa
     return with_territory(placed, index, "_x", "_y").drop("_x", "_y")
 
 
-def tracked_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None, width: int) -> DataFrame:
+def tracked_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None, width: int, calm: bool = False) -> DataFrame:
     """Rows that can matter to sessions, with the last accepted event at or before each.
 
     A ``carried`` column marks the row an earlier run ended with; it brings its own ``carried_event``.
@@ -87,21 +88,21 @@ def tracked_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame |
     marks = seen.filter(keep).drop("before")
     if aircraft is not None:
         marks = marks.join(aircraft.select("icao24"), "icao24", "left_semi")
-    return with_last_event(cut_lineage(marks).withColumn("_event", event), order, "_event", width).drop("_event").filter(
+    return with_last_event(cut_lineage(marks).withColumn("_event", event), order, "_event", width, calm=calm).drop("_event").filter(
         F.col("last_event").isNotNull()
     )
 
 
-def framed_borders(tracked: DataFrame, order: tuple[str, ...], width: int) -> DataFrame:
+def framed_borders(tracked: DataFrame, order: tuple[str, ...], width: int, calm: bool = False) -> DataFrame:
     """Landings and first rows of stays, each with the border before and after it."""
     landing = F.col("event_type").eqNullSafe("LANDED")
     steps = tracked.filter(F.col("territory_id").isNotNull() | landing)
-    near = with_neighbours(steps, ["icao24"], order, ["event_type", *_SAME], width, "before", "after").drop("after")
+    near = with_neighbours(steps, ["icao24"], order, ["event_type", *_SAME], width, "before", "after", calm).drop("after")
     border = landing | F.col("before.territory_id").isNull() | _differs("before")
     if "carried" in tracked.columns:
         border = border | F.col("carried")
     borders = cut_lineage(near.filter(border).drop("before"))
-    return with_neighbours(borders, ["icao24"], order, ["event_type", order[0]], width, "before", "after")
+    return with_neighbours(borders, ["icao24"], order, ["event_type", order[0]], width, "before", "after", calm)
 
 
 def stay_end(entered: Column, ts: str) -> list[Column]:

@@ -31,13 +31,13 @@ def event_type(before_ground: Column, before_rate: Column, ground: Column, rate:
     )
 
 
-def with_event_type(pings: DataFrame, order: tuple[str, ...] = ("timestamp",), carry: tuple[str, ...] = (), width: int = HOUR) -> DataFrame:
+def with_event_type(pings: DataFrame, order: tuple[str, ...] = ("timestamp",), carry: tuple[str, ...] = (), width: int = HOUR, calm: bool = False) -> DataFrame:
     """Positions with ``event_type`` and the previous position ``before``.
 
-    ``carry`` names further columns of the previous position to keep.
+    ``carry`` names further columns of the previous position to keep; ``calm`` is as in ``with_neighbours``.
     """
     fields = ["on_ground", "vertical_rate_fpm", *carry]
-    return with_neighbours(pings, ["icao24"], order, fields, width, "before", "after").drop("after").withColumn(
+    return with_neighbours(pings, ["icao24"], order, fields, width, "before", "after", calm).drop("after").withColumn(
         "event_type",
         event_type(
             F.col("before.on_ground"), F.col("before.vertical_rate_fpm"),
@@ -92,9 +92,9 @@ def event_rows(events: DataFrame, run_ts: Column, source: str = schema.LIVE_SOUR
     return shaped.select(*[F.col(f.name).try_cast(f.dataType) for f in schema.DAILY_EVENT])
 
 
-def with_last_event(rows: DataFrame, order: tuple[str, ...], event: str, width: int = HOUR, out: str = "last_event") -> DataFrame:
+def with_last_event(rows: DataFrame, order: tuple[str, ...], event: str, width: int = HOUR, out: str = "last_event", calm: bool = False) -> DataFrame:
     """Last accepted event of the aircraft at or before each row."""
-    return with_last_known(rows, ["icao24"], order, event, width, out)
+    return with_last_known(rows, ["icao24"], order, event, width, out, calm)
 
 
 def airport_codes(airports: DataFrame) -> DataFrame:

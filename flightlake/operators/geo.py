@@ -16,6 +16,8 @@ joins by shuffle with hot cells split (``plans.lookup``).
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,13 +32,14 @@ _TERRITORY = ("level", "territory_id", "territory_name")
 @dataclass(frozen=True)
 class TerritoryCells:
     """Cell table, the cell width in degrees it was built for, its stored size if measured,
-    and how far beyond a cell its edges reach.
+    how far beyond a cell its edges reach, and which cells are divided, how often.
     """
 
     cells: DataFrame
     size: float
     stored_bytes: int | None = None
     reach: float = 0.0
+    divided: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -50,15 +53,22 @@ class AirportGrids:
 
 def stored(index):
     """The index with its cell table written to the shared folder and measured, for use by many queries."""
+    if index.stored_bytes is not None:
+        return index
     cells, size = cut_lineage_sized(index.cells)
     return replace(index, cells=cells, stored_bytes=size)
 
 
 def boundary_edges(boundaries: DataFrame, wkt: str = "wkt") -> DataFrame:
-    """WKT text of each territory as an array of edges."""
-    return boundaries.filter(F.col(wkt).isNotNull()).withColumn("edges", g.wkt_edges(wkt)).drop(wkt).filter(
-        F.size("edges") > 0
-    )
+    """WKT text of each territory as an array of edges.
+
+    An outline that goes on beyond the 180th meridian is there once more, a turn of the globe away.
+    """
+    drawn = boundaries.filter(F.col(wkt).isNotNull()).withColumn("edges", g.wkt_edges(wkt)).drop(wkt).filter(F.size("edges") > 0)
+    turned = lambda by: F.transform("edges", lambda e: F.struct((e["x1"] + by).alias("x1"), e["y1"], (e["x2"] + by).alias("x2"), e["y2"]))
+    beyond = lambda test: F.exists("edges", lambda e: test(e["x1"]) | test(e["x2"]))
+    east, west = beyond(lambda x: x > 180), beyond(lambda x: x < -180)
+    return drawn.withColumn("edges", F.when(east, F.concat("edges", turned(-360.0))).when(west, F.concat("edges", turned(360.0))).otherwise(F.col("edges")))
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -69,32 +79,64 @@ def _span(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(_cell(lo, size), _cell(hi, size))
 
 
-def build_cells(territories: DataFrame, size: float = 1.0, reach: float = 0.0) -> TerritoryCells:
-    """Cell table from territories ``(level, territory_id, territory_name, edges)``.
+#: Edges a cell should have at most, and how often it may be divided into four for that.
+MOST_EDGES, DEEPEST = 512, 6
+
+
+def build_cells(territories: DataFrame, size: float = 1.0, reach: float = 0.0, most: int = MOST_EDGES, deepest: int = DEEPEST) -> TerritoryCells:
+    """Cell table from territories ``(level, territory_id, territory_name, edges)``, stored and measured.
+
+    A cell with more than ``most`` edges is divided into quarters, and these again, until each has few enough or the
+    division is ``deepest``; all parts of one cell are divided alike. So a point is tested against a bounded number of edges
+    wherever outlines are detailed. Outlines are parsed once and written to the shared folder, as are the cells.
+    """
+    drawn = cut_lineage(territories.select(*_TERRITORY, "edges"))
+    kept, divided, crowded, bytes_ = [], [], None, 0
+    for depth in range(deepest + 1):
+        cells, stored_bytes = cut_lineage_sized(_cells_of(drawn, size / 2**depth, reach, crowded, depth))
+        bytes_ += stored_bytes
+        part = cells.withColumn("depth", F.lit(depth))
+        own = [F.shiftright(F.col(c), depth).alias(c) for c in ("cell_x", "cell_y")]
+        edges = F.aggregate("entries", F.lit(0), lambda n, t: n + F.size(t["edges"]))
+        full = cells.filter(edges > most).select(*own).distinct()
+        if depth == deepest or full.isEmpty():
+            kept.append(part)
+            break
+        crowded = cut_lineage(full)
+        divided.append(crowded.withColumn("depth", F.lit(depth + 1)))
+        inside = reduce(and_, [F.shiftright(part[c], depth) == crowded[c] for c in ("cell_x", "cell_y")])
+        kept.append(part.join(crowded, inside, "left_anti"))
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
+    deep = cut_lineage(union(divided).groupBy("cell_x", "cell_y").agg(F.max("depth").alias("depth"))) if divided else None
+    return TerritoryCells(union(kept) if divided else kept[0].drop("depth"), size, bytes_, reach, deep)
+
+
+def _cells_of(drawn: DataFrame, size: float, reach: float, within: DataFrame | None, depth: int) -> DataFrame:
+    """Cells of one width; ``within`` are the undivided cells that are looked at, all if None.
 
     Edges are first cut to latitude bands, then to cells, so the work per cell
     is the edges of its band. A cell that no edge touches is wholly in or out.
     ``reach`` also enters territories and edges up to that many degrees outside a cell, for discs.
-    The parsed edges are written to the shared folder, so outlines are parsed once.
     """
+    only = lambda df, *axes: df if within is None else df.join(
+        within.select(*[F.col(c).alias(f"_{c}") for c in axes]).distinct(), reduce(and_, [F.shiftright(df[c], depth) == F.col(f"_{c}") for c in axes]), "left_semi")
     step, r = F.lit(float(size)), F.lit(float(reach))
     low = lambda e, axis: F.least(e[f"{axis}1"], e[f"{axis}2"])
     high = lambda e, axis: F.greatest(e[f"{axis}1"], e[f"{axis}2"])
     ends = lambda pick, f, axis: pick(F.transform("edges", lambda e: f(e, axis)))
-    drawn = cut_lineage(territories.select(*_TERRITORY, "edges"))
     bands = (
-        drawn.select(
+        only(drawn.select(
             *_TERRITORY, "edges",
             (ends(F.array_min, low, "x") - r).alias("x_lo"), (ends(F.array_max, high, "x") + r).alias("x_hi"),
             F.explode(_span(ends(F.array_min, low, "y") - r, ends(F.array_max, high, "y") + r, size)).alias("cell_y"),
-        )
+        ), "cell_y")
         .withColumn("y0", F.col("cell_y") * step)
         .withColumn("band", F.filter("edges", lambda e: (high(e, "y") >= F.col("y0") - r) & (low(e, "y") <= F.col("y0") + step + r)))
         .drop("edges")
     )
     right = F.col("x0") + step + r
     cut = (
-        bands.withColumn("cell_x", F.explode(_span(F.col("x_lo"), F.col("x_hi"), size)))
+        only(bands.withColumn("cell_x", F.explode(_span(F.col("x_lo"), F.col("x_hi"), size))), "cell_x", "cell_y")
         .withColumn("x0", F.col("cell_x") * step)
         .withColumn("near", F.filter("band", lambda e: high(e, "x") >= F.col("x0") - r))
         .withColumn("touching", F.filter("near", lambda e: low(e, "x") <= right))
@@ -120,7 +162,7 @@ def build_cells(territories: DataFrame, size: float = 1.0, reach: float = 0.0) -
             F.coalesce("flips", F.array().cast("array<double>")).alias("flips"),
         ).alias("entry"))
     )
-    return TerritoryCells(entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries")), size, reach=reach)
+    return entries.groupBy("cell_x", "cell_y").agg(F.collect_list("entry").alias("entries"))
 
 
 def _in_entry(entry: Column, lon: Column, lat: Column) -> Column:
@@ -131,8 +173,15 @@ def _in_entry(entry: Column, lon: Column, lat: Column) -> Column:
 
 def with_cells(points: DataFrame, index: TerritoryCells, lon: str, lat: str) -> DataFrame:
     """Points with the candidate territories of their cell; one row per point."""
+    spread = [F.col(lon), F.col(lat)]
     placed = points.withColumn("cell_x", _cell(F.col(lon), index.size)).withColumn("cell_y", _cell(F.col(lat), index.size))
-    return join_lookup(placed, index.cells, ["cell_x", "cell_y"], index.stored_bytes, [F.col(lon), F.col(lat)])
+    if index.divided is None:
+        return join_lookup(placed, index.cells, ["cell_x", "cell_y"], index.stored_bytes, spread)
+    # A divided cell's parts are as much narrower as it is deep; the table of divided cells is smaller than that of the cells.
+    deep = join_lookup(placed, index.divided, ["cell_x", "cell_y"], index.stored_bytes, spread).withColumn("depth", F.coalesce("depth", F.lit(0)))
+    width = F.lit(float(index.size)) / F.pow(F.lit(2.0), F.col("depth"))
+    part = deep.withColumns({"cell_x": F.floor(F.col(lon) / width).cast("int"), "cell_y": F.floor(F.col(lat) / width).cast("int")})
+    return join_lookup(part, index.cells, ["depth", "cell_x", "cell_y"], index.stored_bytes, spread).drop("depth")
 
 
 def containing(entries: Column, level: str, lon: Column, lat: Column) -> Column:

@@ -39,20 +39,25 @@ def chunk_of(ts: Column | str, width: int) -> Column:
     return F.floor(F.unix_micros(c) / F.lit(width * 1_000_000))
 
 
-def in_pieces(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int, most: int) -> DataFrame:
-    """Rows with their chunk and, in chunks of more than ``most`` rows, the range of (key, order) they lie in."""
+def is_calm(df: DataFrame, key: Sequence[str], ts: str, width: int, most: int | None = None) -> bool:
+    """Whether no chunk of ``df`` has too many rows; nor has then any of fewer rows of the same, so steps that only leave rows out need not count again."""
+    counts = df.groupBy(*key, chunk_of(ts, width).alias(_CHUNK)).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > (MOST if most is None else most)).isEmpty()
+
+
+def in_pieces(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int, most: int, calm: bool = False) -> tuple[DataFrame, list[str]]:
+    """Rows with their chunk and, in chunks of more than ``most`` rows, the range of (key, order) they lie in; and the columns that tell the parts of a key."""
     cut = df.withColumn(_CHUNK, chunk_of(order[0], width))
     place = [*key, _CHUNK]
-    dense = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
-    if dense.isEmpty():
-        return cut.withColumn(_PIECE, F.lit(0))
-    dense = cut_lineage(dense)
+    if calm or is_calm(df, key, order[0], width, most):
+        return cut, [_CHUNK]
+    dense = cut_lineage(cut.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most))
     same = lambda a, b: reduce(and_, [a[c].eqNullSafe(b[c]) for c in place])
     crowded = cut.join(dense, same(cut, dense), "left_semi")
     ranges = -(-dense.agg(F.sum("_n")).first()[0] // most) + 1
     # Staged, as the number of a range must not depend on when it is computed.
     ranged = cut_lineage(crowded.repartitionByRange(ranges, *key, *order).withColumn(_PIECE, F.spark_partition_id() + 1))
-    return cut.join(dense, same(cut, dense), "left_anti").withColumn(_PIECE, F.lit(0)).unionByName(ranged)
+    return cut.join(dense, same(cut, dense), "left_anti").withColumn(_PIECE, F.lit(0)).unionByName(ranged), [_CHUNK, _PIECE]
 
 
 def with_neighbours(
@@ -63,15 +68,16 @@ def with_neighbours(
     width: int,
     back: str = "before",
     ahead: str = "after",
+    calm: bool = False,
 ) -> DataFrame:
     """Add the previous and the next row of the key as structs of ``fields``.
 
-    A missing neighbour is a NULL struct.
+    A missing neighbour is a NULL struct. ``calm`` says that no chunk is crowded; else they are counted.
     """
-    near = Window.partitionBy(*key, _CHUNK, _PIECE).orderBy(*order)
+    cut, parts = in_pieces(df, key, order, width, MOST, calm)
+    near = Window.partitionBy(*key, *parts).orderBy(*order)
     far = Window.partitionBy(*key).orderBy(*order)
-    row = F.struct(*fields)
-    cut = in_pieces(df, key, order, width, MOST).withColumn(_ROW, row)
+    cut = cut.withColumn(_ROW, F.struct(*fields))
     cut = cut.select(*df.columns, _ROW, F.lag(_ROW).over(near).alias(back), F.lead(_ROW).over(near).alias(ahead))
     border = F.col(back).isNull() | F.col(ahead).isNull()
     joined = cut.filter(border).select(
@@ -83,24 +89,24 @@ def with_neighbours(
 
 
 def with_last_known(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, width: int, out: str
+    df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, width: int, out: str, calm: bool = False
 ) -> DataFrame:
     """Forward fill: last non-NULL ``value`` of the key at or before each row."""
-    near = Window.partitionBy(*key, _CHUNK, _PIECE).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*key).orderBy(_CHUNK, _PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    cut = in_pieces(df, key, order, width, MOST)
+    cut, parts = in_pieces(df, key, order, width, MOST, calm)
+    near = Window.partitionBy(*key, *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*key).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
     known = F.col(value).isNotNull()
     carried = (
-        cut.groupBy(*key, _CHUNK, _PIECE)
+        cut.groupBy(*key, *parts)
         .agg(F.max_by(F.when(known, F.col(value)), F.when(known, F.struct(*order))).alias("_tail"))
         .withColumn("_carry", F.last("_tail", ignorenulls=True).over(earlier))
         .drop("_tail")
     )
     return (
         cut.withColumn(out, F.last(value, ignorenulls=True).over(near))
-        .join(carried, [*key, _CHUNK, _PIECE], "left")
+        .join(carried, [*key, *parts], "left")
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
-        .drop("_carry", _CHUNK, _PIECE)
+        .drop("_carry", *parts)
     )
 
 

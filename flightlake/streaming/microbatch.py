@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.crossings import framed_borders, located_pings, stay_end, tracked_marks
 from flightlake.operators.events import with_event_type
 from flightlake.operators.geo import TerritoryCells
-from flightlake.plans.sequence import HOUR, latest_per_key
+from flightlake.plans.sequence import HOUR, is_calm, latest_per_key
 from flightlake.session import cut_lineage, scratch
 
 _EVENT = "struct<at:timestamp,kind:string>"
@@ -71,10 +71,11 @@ class Tracking:
         place = [F.col(f"stay.{c}").alias(c) for c in (*_SAME, "territory_name")]
         resumed = before.select("*", *place, F.lit(True).alias("carried"))
         rows = located.unionByName(resumed, allowMissingColumns=True)
-        seen = cut_lineage(with_event_type(rows, order, carry=_SAME, width=self.width))
+        calm = is_calm(batch, ["icao24"], "timestamp", self.width)
+        seen = cut_lineage(with_event_type(rows, order, carry=_SAME, width=self.width, calm=calm))
 
-        tracked = cut_lineage(tracked_marks(seen, order, self.aircraft, self.width))
-        framed = framed_borders(tracked, order, self.width)
+        tracked = cut_lineage(tracked_marks(seen, order, self.aircraft, self.width, calm))
+        framed = framed_borders(tracked, order, self.width, calm)
         opened = F.when(F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), "START").otherwise("ROUTE")
         kept = lambda field, otherwise: F.when(F.col("carried"), F.col(f"stay.{field}")).otherwise(otherwise)
         stays = cut_lineage(framed.filter(F.col("territory_id").isNotNull()).select(

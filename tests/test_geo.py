@@ -1,5 +1,7 @@
-from pyspark.sql import functions as F
+import dataclasses
+
 import pytest
+from pyspark.sql import functions as F
 
 from flightlake.functions import geometry as g
 from flightlake.operators import events, geo
@@ -162,3 +164,37 @@ def test_detailed_outline_stays_small_per_cell(spark):
     outline = cut_lineage(shape.select("edges"))
     want = {r["id"] for r in points.join(outline).filter(g.inside(F.col("edges"), F.col("longitude"), F.col("latitude"))).collect()}
     assert got == want and 100 < len(want) < 450
+
+
+def test_crowded_cells_are_divided(spark):
+    """A very detailed outline in one corner: edges per cell are bounded, coarse cells stay as they are, and answers equal a plain test."""
+    import math
+
+    ring = [(3 + math.cos(a) * (1 + 0.2 * math.sin(61 * a)), 2 + math.sin(a) * (1 + 0.2 * math.sin(83 * a))) for a in (2 * math.pi * i / 4000 for i in range(4000))]
+    wkt = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
+    rows = [("COUNTRY", 1, "Jagged", wkt), ("COUNTRY", 2, "Plain", "POLYGON ((-40 -40, -20 -40, -20 -20, -40 -20, -40 -40))"), ("STATE", 3, "Inner", "POLYGON ((2.5 1.5, 3.5 1.5, 3.5 2.5, 2.5 2.5, 2.5 1.5))")]
+    shape = geo.boundary_edges(spark.createDataFrame(rows, "level string, territory_id int, territory_name string, wkt string"))
+    index = geo.build_cells(shape, 8.0, most=200)
+    sizes = index.cells.select("depth", F.aggregate("entries", F.lit(0), lambda n, t: n + F.size(t["edges"])).alias("n"))
+    assert index.divided is not None and sizes.agg(F.max("n")).first()[0] <= 200
+    depths = {r[0] for r in sizes.select("depth").distinct().collect()}
+    assert 0 in depths and max(depths) >= 3
+    points = spark.range(600).select("id", ((F.col("id") * 7919) % 3001 / 1000 + 1.5).alias("longitude"), ((F.col("id") * 104729) % 3001 / 1000 + 0.5).alias("latitude"))
+    points = points.unionByName(spark.createDataFrame([(900, -30.0, -30.0), (901, -10.0, -30.0), (902, None, 1.0)], points.schema))
+    outline = cut_lineage(shape.select("level", "territory_id", "edges"))
+    for chosen in (index, dataclasses.replace(index, stored_bytes=None)):
+        got = {(r["id"], r["country"] and r["country"]["id"], r["state"] and r["state"]["id"]) for r in geo.locate(points, chosen).collect()}
+        inside = points.join(outline).filter(g.inside(F.col("edges"), F.col("longitude"), F.col("latitude"))).collect()
+        hit = lambda i, level: next((r["territory_id"] for r in inside if r["id"] == i and r["level"] == level), None)
+        assert got == {(i, hit(i, "COUNTRY"), hit(i, "STATE")) for i in [*range(600), 900, 901, 902]}
+
+
+def test_outline_beyond_the_antimeridian(spark):
+    rows = [("COUNTRY", 1, "East", "MULTIPOLYGON (((170 0, 190 0, 190 10, 170 10, 170 0), (175 2, 185 2, 185 4, 175 4, 175 2)), ((100 0, 101 0, 101 1, 100 0)))"),
+            ("COUNTRY", 2, "West", "POLYGON ((-185 20, -175 20, -175 30, -185 30, -185 20))")]
+    shape = geo.boundary_edges(spark.createDataFrame(rows, "level string, territory_id int, territory_name string, wkt string"))
+    index = geo.build_cells(shape, 5.0)
+    spots = [(172.0, 1.0, 1), (-172.0, 1.0, 1), (-176.0, 3.0, None), (178.0, 3.0, None), (-169.0, 1.0, None), (100.9, 0.5, 1), (178.0, 25.0, 2), (-178.0, 25.0, 2), (0.0, 1.0, None)]
+    points = spark.createDataFrame([(i, x, y) for i, (x, y, _) in enumerate(spots)], "i int, longitude double, latitude double")
+    got = {r["i"]: r["country"] and r["country"]["id"] for r in geo.locate(points, index).collect()}
+    assert [got[i] for i in range(len(spots))] == [want for _, _, want in spots]

@@ -96,7 +96,8 @@ def test_one_hour_of_one_key_is_cut(spark, rows, monkeypatch):
     monkeypatch.setattr(sequence, "MOST", 50)
     data = [("hot", j % 7, j % 5 or None) for j in range(900)] + [(f"k{j % 300}", (j * 91) % 5000, j % 3 or None) for j in range(1800)]
     df = frame(spark, data)
-    pieces = sequence.in_pieces(df, ["k"], ["t", "i"], 3600, 50)
+    pieces, parts = sequence.in_pieces(df, ["k"], ["t", "i"], 3600, 50)
+    assert parts == ["_chunk", "_piece"] and not sequence.is_calm(df, ["k"], "t", 3600)
     sizes = [r["count"] for r in pieces.filter("k = 'hot'").groupBy("_chunk", "_piece").count().collect()]
     assert sum(sizes) == 900 and len(sizes) > 9 and max(sizes) <= 150
     assert rows(chunked_neighbours(df, 3600)) == rows(plain_neighbours(df))
