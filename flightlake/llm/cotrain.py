@@ -244,19 +244,44 @@ def pulls(views: list[list], targets_known: list[np.ndarray], n: int, sure: floa
             yield h, v, *(x.astype(np.int64) for x in sums)
 
 
-def _pulls(batches: Iterator[pa.RecordBatch], model, sure: float) -> Iterator[pa.RecordBatch]:
+def _known(batch: pa.RecordBatch, vocabulary: np.ndarray) -> Iterator[tuple[pa.RecordBatch, object, object]]:
+    """Notes of some documents at a time, with functions that give a text or metadata view the row and place of its known features."""
+    lists = batch.column("places")
+    ends = np.cumsum(lists.value_lengths().to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + BATCH, "right")))
+        part = batch.slice(at, to - at)
+        rows = np.repeat(np.arange(to - at), part.column("places").value_lengths().to_numpy())
+        places = part.column("places").flatten().to_numpy()
+        meta = part.column("meta").flatten().to_numpy().view(np.uint64)
+
+        def text(view: Linear, rows: np.ndarray = rows, places: np.ndarray = places) -> tuple[np.ndarray, np.ndarray]:
+            own = np.full(len(vocabulary), -1, np.int64)
+            own[np.searchsorted(vocabulary, view.vocabulary)] = np.arange(len(view.vocabulary))
+            found = own[places]
+            return rows[found >= 0], found[found >= 0]
+
+        def about(view: Linear, meta: np.ndarray = meta) -> tuple[np.ndarray, np.ndarray]:
+            return view.columns(meta, np.arange(0, len(meta) + 1, len(META)))
+
+        yield part, text, about
+        at = to
+
+
+def _pulls(batches: Iterator[pa.RecordBatch], model, vocabulary, sure: float) -> Iterator[pa.RecordBatch]:
     """The sums of ``pulls`` over all rows of a task."""
     state: State = pickle.loads(model.value)
     sums: dict[tuple[int, int], list[np.ndarray]] = {}
-    for batch in batches_of(batches, limit=BATCH):
-        features, begins, meta = _columns_of(batch)
-        meta_begins = np.arange(0, meta.size + 1, 3)
-        views = [[(text, text.columns(features, begins)), (about, about.columns(meta.ravel(), meta_begins))] for text, about in state.views.values()]
-        ids = batch.column("doc_id").fill_null(0).to_numpy()
-        have = ~batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-        labelled = [np.isin(ids, state.labelled[h]) & have for h in state.views]
-        for h, v, *parts in pulls(views, labelled, batch.num_rows, sure):
-            sums[h, v] = [a + b for a, b in zip(sums[h, v], parts)] if (h, v) in sums else parts
+    for batch in batches:
+        for part, text, about in _known(batch, vocabulary.value):
+            views = [[(t, text(t)), (m, about(m))] for t, m in state.views.values()]
+            ids = part.column("doc_id").fill_null(0).to_numpy()
+            have = ~part.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            labelled = [np.isin(ids, state.labelled[h]) & have for h in state.views]
+            for h, v, *parts in pulls(views, labelled, part.num_rows, sure):
+                sums[h, v] = [a + b for a, b in zip(sums[h, v], parts)] if (h, v) in sums else parts
     schema = pa.schema([("head", pa.int32()), ("view", pa.int32()), ("place", pa.int32()), ("gradient", pa.int64()), ("curve", pa.int64())])
     for (h, v), (gradient, curve) in sums.items():
         at = np.flatnonzero((gradient != 0) | (curve != 0))
@@ -272,6 +297,8 @@ class State:
     heads: dict[str, Head]
 
 
+_SCORES = "doc_id long, _quality double, _toxic double, _score double, _keep boolean"
+_SCORE_NAMES = ("doc_id", "quality", "toxic", "score", "keep")
 _SAMPLED = "doc_id long, features array<long>, meta array<long>, quality double, toxic double"
 
 
@@ -280,6 +307,18 @@ def _columns_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return features, begins, meta_features(*(batch.column(c).to_pylist() for c in META))
 
 
+def _noted(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
+    """What the views can use of each document: places of its features in the vocabulary, and its metadata's features."""
+    words = Linear(vocabulary.value)
+    for batch in batches_of(batches, limit=BATCH):
+        features, begins, meta = _columns_of(batch)
+        rows, places = words.columns(features, begins)
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=batch.num_rows))])
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(places, pa.int32()))
+        about = pa.ListArray.from_arrays(pa.array(np.arange(0, meta.size + 1, len(META)), pa.int32()), pa.array(meta.ravel().view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, about], names=["doc_id", "places", "meta"])
+
+
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.int64())), ("meta", pa.list_(pa.int64())), ("quality", pa.float64()), ("toxic", pa.float64())])
     for batch in batches_of(batches, limit=BATCH):
@@ -339,19 +378,26 @@ def one_round(state: State, features: np.ndarray, begins: np.ndarray, meta: np.n
             state.heads[h] = Head(*views, _mix(both[check], known[check]) if check.sum() >= 2 else np.array([1.0, 0.0, 0.0]))
 
 
+def _judged(heads: dict[str, Head], n: int, text, about) -> list[np.ndarray]:
+    """Quality, toxicity, score and whether to keep, of ``n`` documents whose known features the two functions give."""
+    p = {h: head.probability(*(v.logits(*known(v), n) for v, known in ((head.text, text), (head.meta, about)))) for h, head in heads.items()}
+    return [p["quality"], p["toxic"], p["quality"] * (1 - p["toxic"]), (p["quality"] >= 0.5) & (p["toxic"] < 0.5)]
+
+
 def _score(batches: Iterator[pa.RecordBatch], model, more: list[str]) -> Iterator[pa.RecordBatch]:
     heads: dict[str, Head] = pickle.loads(model.value)
     for batch in batches_of(batches, limit=BATCH):
         features, begins, meta = _columns_of(batch)
         meta_begins = np.arange(0, meta.size + 1, 3)
-        p = {}
-        for h, head in heads.items():
-            views = [v.logits(*v.columns(f, b), batch.num_rows) for v, f, b in ((head.text, features, begins), (head.meta, meta.ravel(), meta_begins))]
-            p[h] = head.probability(*views)
-        score = p["quality"] * (1 - p["toxic"])
-        keep = (p["quality"] >= 0.5) & (p["toxic"] < 0.5)
-        columns = [*(batch.column(c) for c in more), *(pa.array(x) for x in (p["quality"], p["toxic"], score, keep))]
-        yield pa.RecordBatch.from_arrays(columns, names=[*more, "_quality", "_toxic", "_score", "_keep"])
+        out = _judged(heads, batch.num_rows, lambda v: v.columns(features, begins), lambda v: v.columns(meta.ravel(), meta_begins))  # noqa: B023
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in more), *map(pa.array, out)], names=[*more, "_quality", "_toxic", "_score", "_keep"])
+
+
+def _score_notes(batches: Iterator[pa.RecordBatch], model, vocabulary) -> Iterator[pa.RecordBatch]:
+    heads: dict[str, Head] = pickle.loads(model.value)
+    for batch in batches:
+        for part, text, about in _known(batch, vocabulary.value):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, _judged(heads, part.num_rows, text, about))], names=["doc_id", "_quality", "_toxic", "_score", "_keep"])
 
 
 def _share(key: Column, of: int, wanted: int) -> Column:
@@ -359,13 +405,15 @@ def _share(key: Column, of: int, wanted: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 20)) < int(min(1.0, wanted / max(of, 1)) * (1 << 20))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, max_unlabelled: int | None = None, rounds: int = 3, sure: float = 0.97) -> bytes:
-    """The model, of a size that does not depend on the tables.
+@dataclass
+class Notes:
+    """Known features of every document, staged, and the vocabulary their places are in."""
 
-    About ``max_labelled`` labelled documents, chosen by a hash of their id, are the sample; a fifth of them is held back to calibrate.
-    Several labels of a document count as their majority, ties and null as unknown. Between rounds every row of ``docs`` whose label for a head is not in the
-    sample is scored by both views, and what one is sure of counts half as a label for the other. ``max_unlabelled`` bounds nothing any more.
-    """
+    table: DataFrame
+    vocabulary: np.ndarray
+
+
+def _trained(docs: DataFrame, labels: DataFrame, max_labelled: int, rounds: int, sure: float) -> tuple[bytes, Notes | None]:
     spark = docs.sparkSession
     vote = lambda c: F.signum(F.sum(F.when(labels[c] > 0, 1).when(labels[c] <= 0, -1)))
     known = labels.filter(labels["doc_id"].isNotNull()).groupBy(labels["doc_id"].cast("long").alias("label_id")).agg(*(F.when(vote(h) > 0, 1.0).when(vote(h) < 0, 0.0).alias(h) for h in HEADS))
@@ -373,23 +421,54 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, max_unla
     # The sample is bounded by its parameter, so it may be broadcast; texts are not shuffled.
     texts = _view(docs).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id"))
     features = stage(texts.select("doc_id", "text", *META, *HEADS).mapInArrow(_sampled, _SAMPLED))
-    state, told = None, None
+    state, told, notes = None, None, None
     for turn in range(max(rounds, 1)):
         last = turn >= rounds - 1
         row = features.repartition(1).sortWithinPartitions("doc_id").mapInArrow(partial(_train_task, before=state, told=told, last=last), "model binary").first()
         # Without a sample Spark starts no task; the model that knows nothing keeps everything.
         state = bytes(row["model"]) if row else next(_train_task(iter([]))).column("model")[0].as_py()
-        if last or not pickle.loads(state).views:
+        views = pickle.loads(state).views
+        if last or not views:
             break
-        told = _told(docs, state, sure)
+        if notes is None:
+            # The first round has fixed the vocabularies: texts are looked at once more, and never again between rounds.
+            words = np.unique(np.concatenate([text.vocabulary for text, _ in views.values()]))
+            shared = spark.sparkContext.broadcast(words)
+            notes = Notes(stage(_view(docs).mapInArrow(partial(_noted, vocabulary=shared), "doc_id long, places array<int>, meta array<long>")), words)
+        told = _told(notes, state, sure)
     unstage(sample, features)
-    return pickle.dumps(pickle.loads(state).heads)
+    return pickle.dumps(pickle.loads(state).heads), notes
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, rounds: int = 3, sure: float = 0.97) -> bytes:
+    """The model, of a size that does not depend on the tables.
+
+    About ``max_labelled`` labelled documents, chosen by a hash of their id, are the sample; a fifth of them is held back to calibrate.
+    Several labels of a document count as their majority, ties and null as unknown. Between rounds every row of ``docs`` whose label for a head is not in the
+    sample is scored by both views, and what one is sure of counts half as a label for the other.
+    """
+    model, notes = _trained(docs, labels, max_labelled, rounds, sure)
+    if notes:
+        unstage(notes.table)
+    return model
+
+
+def fitted_scores(docs: DataFrame, labels: DataFrame, max_labelled: int = 10_000, rounds: int = 3, sure: float = 0.97) -> DataFrame:
+    """``scores`` of the documents that the model is fitted with; their texts are not looked at again."""
+    model, notes = _trained(docs, labels, max_labelled, rounds, sure)
+    if notes is None:
+        return scores(docs, model)
+    share = docs.sparkSession.sparkContext.broadcast
+    out = notes.table.mapInArrow(partial(_score_notes, model=share(model), vocabulary=share(notes.vocabulary)), _SCORES)
+    return out.toDF(*_SCORE_NAMES)
 
 
-def _told(docs: DataFrame, state: bytes, sure: float) -> dict[tuple[str, int], Pull]:
+def _told(notes: Notes, state: bytes, sure: float) -> dict[tuple[str, int], Pull]:
     """What all documents that one view is sure of tell the other one. Sums come for the fixed vocabularies only, so they fit the driver."""
-    shared = docs.sparkSession.sparkContext.broadcast(state)
-    sums = _view(docs).mapInArrow(partial(_pulls, model=shared, sure=sure), _PULLS).groupBy("head", "view", "place").agg(F.sum("gradient").alias("gradient"), F.sum("curve").alias("curve")).toPandas()
+    share = notes.table.sparkSession.sparkContext.broadcast
+    shared, words = share(state), share(notes.vocabulary)
+    each = notes.table.mapInArrow(partial(_pulls, model=shared, vocabulary=words, sure=sure), _PULLS)
+    sums = each.groupBy("head", "view", "place").agg(F.sum("gradient").alias("gradient"), F.sum("curve").alias("curve")).toPandas()
     out = {}
     for i, (h, views) in enumerate(pickle.loads(state).views.items()):
         for v, view in enumerate(views):
@@ -399,6 +478,7 @@ def _told(docs: DataFrame, state: bytes, sure: float) -> dict[tuple[str, int], P
             gradient[own["place"]], curve[own["place"]] = own["gradient"], own["curve"]
             out[h, v] = Pull.of(gradient, curve)
     shared.unpersist()
+    words.unpersist()
     return out
 
 
@@ -416,8 +496,7 @@ def scores(docs: DataFrame, model: bytes) -> DataFrame:
     """
     kept = ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = _view(docs).mapInArrow(partial(_score, model=shared, more=kept), "doc_id long, _quality double, _toxic double, _score double, _keep boolean")
-    return out.toDF("doc_id", "quality", "toxic", "score", "keep")
+    return _view(docs).mapInArrow(partial(_score, model=shared, more=kept), _SCORES).toDF(*_SCORE_NAMES)
 
 
 def accepted(docs: DataFrame, model: bytes) -> DataFrame:

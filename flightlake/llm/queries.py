@@ -114,8 +114,7 @@ FROM p JOIN f USING (body)
 @query
 def op10_cotrained_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality and toxicity of every document, by a model fitted on a sample of the labels."""
-    docs = table(spark, sf, "documents")
-    return cotrain.scores(docs, cotrain.fit(docs, table(spark, sf, "labels")))
+    return cotrain.fitted_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
 @query

@@ -43,31 +43,44 @@ def test_unlabelled_documents_are_judged(spark):
 def test_the_sample_is_bounded(spark):
     _, docs, labels = labelled(spark)
     assert abs(docs.join(labels.filter(cotrain._share(labels["doc_id"], 400, 100)), "doc_id").count() - 100) < 40
-    assert cotrain.fit(docs, labels, max_labelled=150, max_unlabelled=10, rounds=2)
+    assert cotrain.fit(docs, labels, max_labelled=150, rounds=2)
 
 
 def test_all_unlabelled_documents_take_part(spark, monkeypatch):
     rows, docs, labels = labelled(spark)
     seen, told_by = [], cotrain._told
 
-    def told(docs, state, sure):
-        out = told_by(docs, state, sure)
-        again = told_by(docs.repartition(7), state, sure)
+    def told(notes, state, sure):
+        out = told_by(notes, state, sure)
+        again = told_by(cotrain.Notes(notes.table.repartition(7), notes.vocabulary), state, sure)
         assert all((out[k].gradient == again[k].gradient).all() and (out[k].curve == again[k].curve).all() for k in out)
         seen.append(max(p.total for p in out.values()) * 2)
         return out
 
     monkeypatch.setattr(cotrain, "_told", told)
-    cotrain.fit(docs, labels, max_unlabelled=10)
+    cotrain.fit(docs, labels)
     assert len(seen) == 2 and min(seen) > 100
 
 
+def test_scores_from_notes_equal_scores_from_texts(spark):
+    """Also with repeated rows, ids that repeat with other texts, ties among labels, and ids without a number."""
+    rows, docs, labels = labelled(spark, 300)
+    more = [*rows, *rows[:5], (7, "another text " * 30), (7, None)]
+    docs = brute.frame(spark, more)
+    labels = labels.unionByName(spark.createDataFrame([(2, 1, 1), (2, 0, 0), (4, 0, 1)], "doc_id long, quality int, toxic int"))
+    plain = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    got = plain(cotrain.fitted_scores(docs, labels))
+    assert len(got) == len(more)
+    assert got == plain(cotrain.scores(docs, cotrain.fit(docs, labels)))
+
+
 def test_nothing_to_learn_from(spark):
     docs = brute.frame(spark, [(1, "a b"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert all(r["keep"] for r in cotrain.scores(docs, cotrain.fit(docs, none)).collect())
     empty = brute.frame(spark, [])
     assert cotrain.scores(empty, cotrain.fit(empty, none)).collect() == []
+    assert cotrain.fitted_scores(empty, none).collect() == [] and all(r["keep"] for r in cotrain.fitted_scores(docs, none).collect())
 
 
 def test_views_teach_each_other():
