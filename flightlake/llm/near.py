@@ -192,6 +192,7 @@ def tiles(classes: DataFrame, join: Join, kind: str) -> DataFrame:
     cells = lambda vectors: classes.mapInArrow(partial(_cells, join=join, kind=kind, with_vectors=vectors), _CELLS)
     sizes = cells(False).groupBy(*_KEY).agg(F.count_if(~F.col("visits")).alias("homes"), F.count_if("visits").alias("guests"))
     large = sizes.filter(F.col("homes") + F.col("guests") > 2 * TILE).select(*_KEY, F.ceil(F.col("homes") / TILE).alias("h"), F.ceil(F.col("guests") / TILE).alias("g"))
+    large = stage(large)  # Spark knows its size then: while it is small the vectors are not shuffled to meet it
     dealt = cells(True).join(large, _KEY, "left").withColumn("own", F.when(F.col("visits"), F.col("h") + F.pmod(F.xxhash64("node"), F.greatest("g", F.lit(1)))).otherwise(F.pmod(F.xxhash64("node"), F.greatest("h", F.lit(1)))))
     # A large cell: tile a of its home vectors meets itself, the tiles behind it and those of the visitors. A visitor has no partner without a home.
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")))
