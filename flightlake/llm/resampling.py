@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from flightlake.llm.common import ALNUM, LOWER, arrow_batch, batches_of, flat, partitions, stage, word_bounds
 
 #: Keys that the runs give for the choice of splitters, in all; the driver sorts them.
-SAMPLES = 200_000
+SAMPLES = 50_000
 #: Rows of a segment at most, on average.
 SEGMENT = 1_000_000
 #: Longer words go through zlib one by one.
