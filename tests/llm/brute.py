@@ -125,3 +125,40 @@ def contamination(rows, items, size):
 
 def sha(data):
     return hashlib.sha256(data).hexdigest()
+
+
+def byte_repeats(rows, window, base=0x5851F42D4C957F2D):
+    """``repeats`` for whole tables: every window's 64-bit polynomial hash in one sorted array; independent of the operators' own hashes."""
+    import numpy as np
+
+    data = [np.frombuffer((t or "").encode(), np.uint8) for _, t in rows]
+    longest = max((len(b) for b in data), default=0)
+    with np.errstate(over="ignore"):
+        up = np.cumprod(np.full(longest + 1, base, np.uint64))
+        lift = np.uint64(pow(base, window, 1 << 64))
+
+        def hashes(b):
+            if len(b) < window:
+                return np.zeros(0, np.uint64)
+            # Horner's rule by prefix sums of byte times base^-i is undone by a multiplication with base^i.
+            down = np.uint64(pow(base, -1, 1 << 64))
+            inverse = np.cumprod(np.full(len(b), down, np.uint64))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * inverse)])
+            return (sums[window:] - sums[:-window]) * up[: len(b) - window + 1] * lift
+
+        every = [hashes(b) for b in data]
+        flat = np.concatenate(every) if every else np.zeros(0, np.uint64)
+        order = np.sort(flat)
+        often = np.unique(order[1:][order[1:] == order[:-1]])
+    out = []
+    for (d, _), b, h in zip(rows, data, every):
+        change = np.zeros(len(b) + 1, np.int64)
+        if len(h) and len(often):
+            at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+            hit = np.flatnonzero(often[at] == h)
+            np.add.at(change, hit, 1)
+            np.add.at(change, hit + window, -1)
+        gone = np.cumsum(change[:-1]) > 0
+        spans = int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]]))) if len(gone) else 0
+        out.append((d, len(b), int(gone.sum()), spans, sha(b[~gone].tobytes())))
+    return out

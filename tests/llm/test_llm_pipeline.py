@@ -46,3 +46,11 @@ def test_queries_without_sql(spark, rows, name):
         assert rows(queries.suffixes.digests(docs, window=400)) == sorted(brute.repeats(corpus, 400), key=repr)
     else:
         assert rows(queries.jaccard.jaccard_components(docs, 4, 85).select("doc_id", "n_shingles", "component_id")) == sorted(brute.jaccard(corpus, 4, 85), key=repr)
+
+
+def test_byte_repeats_of_a_whole_table(spark, rows):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    corpus = [tuple(r) for r in docs.collect()]
+    want = brute.byte_repeats(corpus, 400)
+    assert rows(queries.QUERIES["op4_bwt_repeats"](spark, "/root/testdata/sf0.01")) == sorted(want, key=repr)
+    assert sum(w[2] > 0 for w in want) > 50
