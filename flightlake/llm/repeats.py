@@ -24,6 +24,9 @@ CHUNK = 1 << 20
 _POSITION = np.uint64((1 << 28) - 1)
 STRETCHES = "doc_id long, _h long, start int, n int, anchor long, whole long"
 _STRETCHES = pa.schema([(c, pa.int64() if t == "long" else pa.int32()) for c, t in (x.split() for x in STRETCHES.split(", "))])
+#: Neighbours of a stretch in its document: the hashes of all their text, 0 for none.
+LINKS = "before long, after long"
+_LINKED = pa.schema([*_STRETCHES, ("before", pa.int64()), ("after", pa.int64())])
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03 >> 1 | 1))
 
 
@@ -82,7 +85,7 @@ def hashed(units: np.ndarray) -> np.ndarray:
     return _BYTES[units] if units.dtype == np.uint8 else units
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], kind: str, window: int, k: int) -> Iterator[pa.RecordBatch]:
+def _stretches(batches: Iterator[pa.RecordBatch], kind: str, window: int, k: int, links: bool = False) -> Iterator[pa.RecordBatch]:
     units_of = word_units if kind == "words" else byte_units
     for batch in batches_of(batches, limit=4 << 20):
         units, counts = units_of(batch.column(2))
@@ -92,13 +95,28 @@ def _stretches(batches: Iterator[pa.RecordBatch], kind: str, window: int, k: int
             doc = np.searchsorted(counts, np.arange(first, first + len(part)), "right") - 1
             starts, n, anchor, whole = stretches_of(hashed(part), counts[doc + 1], first, window, k)
             if len(starts):
-                own = pa.array(doc[starts - first])
-                yield arrow_batch(_STRETCHES, ids.take(own), marks.take(own), starts - counts[doc[starts - first]], n, anchor, whole)
+                at = doc[starts - first]
+                own = pa.array(at)
+                columns = [ids.take(own), marks.take(own), starts - counts[at], n, anchor, whole]
+                if links:
+                    same = at[1:] == at[:-1]
+                    columns += [np.append(0, whole[:-1] * same), np.append(whole[1:] * same, 0)]
+                yield arrow_batch(_LINKED if links else _STRETCHES, *columns)
 
 
-def stretches(texts: DataFrame, kind: str, window: int, k: int) -> DataFrame:
-    """``doc_id, _h, start, n, anchor, whole``: place and number of windows, hash of the anchor and of all its text."""
-    return texts.select("doc_id", "_h", "text").mapInArrow(partial(_stretches, kind=kind, window=window, k=k), STRETCHES)
+def stretches(texts: DataFrame, kind: str, window: int, k: int, links: bool = False) -> DataFrame:
+    """``doc_id, _h, start, n, anchor, whole``: place and number of windows, hash of the anchor and of all its text; with ``links`` the neighbours."""
+    return texts.select("doc_id", "_h", "text").mapInArrow(partial(_stretches, kind=kind, window=window, k=k, links=links), f"{STRETCHES}, {LINKS}" if links else STRETCHES)
+
+
+def met_again(texts: DataFrame, kind: str, window: int, k: int, links: bool = False) -> DataFrame:
+    """The stretches whose anchor another stretch has too, staged."""
+    every = stage(stretches(texts, kind, window, k, links))
+    # Staged on both sides, so that the share of a frequent anchor or stretch is split among tasks.
+    kept = stage(every.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor"))
+    again = stage(every.join(kept, "anchor", "left_semi"))
+    unstage(every, kept)
+    return again
 
 
 def repeated_and_open(texts: DataFrame, kind: str, window: int, k: int) -> tuple[DataFrame, DataFrame]:
@@ -107,12 +125,7 @@ def repeated_and_open(texts: DataFrame, kind: str, window: int, k: int) -> tuple
     The first are ``doc_id, _h, start, n``. The second, ``doc_id, _h, start, n, anchor, copies``, stand for all equal ones, ``copies`` in number,
     of the anchors that have different stretches and any that occurs once; only those with one copy are still to be judged.
     """
-    every = stage(stretches(texts, kind, window, k))
-    anchors = every.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
-    # Staged on both sides, so that the share of a frequent anchor or stretch is split among tasks.
-    kept = stage(anchors)
-    again = stage(every.join(kept, "anchor", "left_semi"))
-    unstage(every, kept)
+    again = met_again(texts, kind, window, k)
     classes = stage(again.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "_h", "start", "n")).alias("at")))
     whole = again.join(classes.filter("copies > 1"), ["anchor", "whole"], "left_semi").select("doc_id", "_h", "start", "n")
     branching = stage(classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest")).filter("kinds > 1 AND fewest = 1").select("anchor"))
@@ -120,9 +133,10 @@ def repeated_and_open(texts: DataFrame, kind: str, window: int, k: int) -> tuple
     return whole, unclear
 
 
-def of_documents(texts: DataFrame, places: DataFrame, *columns: str) -> DataFrame:
-    """``texts`` with the list ``places`` of what ``columns`` hold for each document; null for none."""
-    lists = places.groupBy("doc_id", "_h").agg(F.collect_list(F.struct(*columns)).alias("places"))
+def of_documents(texts: DataFrame, places: DataFrame, *columns: str, once: bool = False) -> DataFrame:
+    """``texts`` with the list ``places`` of what ``columns`` hold for each document; null for none, with ``once`` without repeats."""
+    collected = F.collect_set if once else F.collect_list
+    lists = places.groupBy("doc_id", "_h").agg(collected(F.struct(*columns)).alias("places"))
     return texts.join(lists, on_key(texts, lists), "left").select(texts["doc_id"], texts["_h"], texts["text"], "places")
 
 

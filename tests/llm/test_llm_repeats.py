@@ -2,6 +2,7 @@
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from flightlake.llm import passages, repeats, suffixes
@@ -52,8 +53,6 @@ def test_very_common_passage(spark, rows):
 
 
 def test_chunks_do_not_show(spark, rows, monkeypatch):
-    import pyarrow as pa
-
     monkeypatch.setattr(repeats, "CHUNK", 50)
     texts = [t for _, t in brute.corpus(4, n=20)]
     batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), pa.array([2] * len(texts), pa.int32()), pa.array(texts)], names=["doc_id", "_h", "text"])
@@ -82,3 +81,23 @@ def test_windows_met_twice():
             counts[s[i : i + 8]] = counts.get(s[i : i + 8], 0) + c
     wanted = {(k, i) for k, s in enumerate(segments) for i in range(len(s) - 7) if counts[s[i : i + 8]] > 1 and copies[k] == 1}
     assert set(zip(*(x.tolist() for x in suffixes.windows_met_twice(segments, copies, 8)))) == wanted
+
+
+def test_paths_are_compacted_over_stretches_and_cut_at_branches(spark, rows):
+    a, b = [[f"{c}{i}" for i in range(60)] for c in "ab"]
+    corpus = [(1, " ".join(a)), (2, " ".join(["x"] + a + ["y"])), (3, " ".join(b)), (4, " ".join(b[:30] + a[:20])), (5, " ".join(["z"] + a + ["w"]))]
+    got = rows(passages.repeated_paths(passages.keyed(brute.frame(spark, corpus)), 6, 3).select("doc_id", "start", "n"))
+    # a is left after its word 20 by document 4, and documents begin and end inside others: each such node parts a path, nothing else does.
+    assert got == sorted([(1, 0, 15), (1, 15, 40), (2, 1, 15), (2, 16, 40), (3, 0, 25), (4, 0, 25), (4, 30, 15), (5, 1, 15), (5, 16, 40)], key=repr)
+
+
+def test_chains(spark, rows):
+    linked = spark.createDataFrame([(i, i - 1) for i in range(2, 40)] + [(101, 100)], "path long, back long")
+    assert rows(passages.chains(linked)) == sorted([(i, 1) for i in range(2, 40)] + [(101, 100)], key=repr)
+
+
+def test_places_whose_words_differ_are_left_alone(spark, rows):
+    corpus = [(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (3, "v w x y z")]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 3, "_h": 1, "text": "v w x y z", "places": [{"start": 0, "n": 2, "path": 7}], "wrong": [0]}])
+    assert [b.column("n_removed").to_pylist() for b in passages._digests(iter([batch]), 4)] == [[0]]
+    assert rows(passages.digests(brute.frame(spark, corpus), window=4)) == sorted(brute.passages(corpus, 4), key=repr)
