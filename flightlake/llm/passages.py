@@ -47,49 +47,43 @@ def _edges(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
 
 
 def paths(texts: DataFrame, classes: DataFrame, window: int) -> DataFrame:
-    """``anchor, whole, i, n, path, follows``, staged: the nonbranching paths in each different stretch, from its edge ``i`` on.
+    """``anchor, whole, i, n, path, c``, staged: the nonbranching paths in each different stretch, from its edge ``i`` on, and how often each occurs.
 
-    ``path`` is null where the edges occur once; ``follows`` is the path before it in the stretch. ``classes`` are the different stretches, with how often
-    each occurs and one place of it.
+    ``path`` is null where that is once. ``classes`` are the different stretches, with how often each occurs and one place of it.
     """
     anchors = classes.groupBy("anchor").agg(F.count("*").alias("kinds"))
     branching = stage(anchors.filter("kinds > 1").select("anchor"))
-    alone = classes.join(branching, "anchor", "left_anti").select(
-        "anchor", "whole", F.lit(0).alias("i"), F.col("at.n").cast("long").alias("n"), F.col("whole").alias("path"), F.lit(None).cast("long").alias("follows"))
+    alone = classes.join(branching, "anchor", "left_anti").select("anchor", "whole", F.lit(0).alias("i"), F.col("at.n").cast("long").alias("n"), F.col("whole").alias("path"), F.col("copies").alias("c"))
     mixed = classes.join(branching, "anchor", "left_semi").select("at.*", "anchor", "whole", "copies")
     places = repeats.of_documents(texts, mixed, "start", "n", "anchor", "whole", "copies", once=True).filter("places IS NOT NULL")
-    # Rows equal in id and text both show the stretch.
-    edges = stage(places.mapInArrow(partial(_edges, window=window), EDGES))
+    # Rows equal in id and text all show a stretch that stands for them.
+    edges = stage(places.mapInArrow(partial(_edges, window=window), EDGES).dropDuplicates(["anchor", "whole", "i"]))
     nodes = stage(edges.groupBy("anchor", "edge").agg(
-        (F.sum("copies") > 1).alias("repeated"), (F.min("before") == F.max("before")).alias("one_in"), (F.min("after") == F.max("after")).alias("one_out")))
-    known = edges.dropDuplicates(["anchor", "whole", "i"]).join(nodes, ["anchor", "edge"])
+        F.sum("copies").alias("c"), (F.min("before") == F.max("before")).alias("one_in"), (F.min("after") == F.max("after")).alias("one_out")))
     stretch = Window.partitionBy("anchor", "whole").orderBy("i")
     cut = ~(F.col("one_in") & F.coalesce(F.lag("one_out").over(stretch), F.lit(False)))
-    numbered = known.withColumn("cut", cut).withColumn("run", F.sum(F.col("cut").cast("int")).over(stretch))
+    numbered = edges.join(nodes, ["anchor", "edge"]).withColumn("cut", cut).withColumn("run", F.sum(F.col("cut").cast("int")).over(stretch))
     found = numbered.groupBy("anchor", "whole", "run").agg(
-        F.min("i").alias("i"), F.count("*").alias("n"), F.min_by(F.when(F.col("repeated"), F.col("edge")), "i").alias("path"))
-    inside = found.withColumn("follows", F.lag("path").over(stretch)).select("anchor", "whole", "i", "n", "path", "follows")
-    out = stage(alone.unionByName(inside))
+        F.min("i").alias("i"), F.count("*").alias("n"), F.min_by(F.when(F.col("c") > 1, F.col("edge")), "i").alias("path"), F.max("c").alias("c"))
+    out = stage(alone.unionByName(found.drop("run")))
     unstage(branching, edges, nodes)
     return out
 
 
 def links(again: DataFrame, parts: DataFrame) -> DataFrame:
-    """``path, back``: paths that every document enters from the path ``back``, which every document leaves that way.
+    """``path, back``, staged: paths that every document enters from the path ``back``, which every document leaves that way.
 
-    A node is where one path ends and the next begins; null stands for edges that do not repeat and for the ends of a document.
+    So it is if a node between two stretches is passed from the one to the other as often as each of the two paths occurs at all: then no document
+    begins, ends, branches off or comes in there.
     """
-    ends = parts.groupBy("whole").agg(F.min_by(F.struct("path"), "i").alias("first"), F.max_by(F.struct("path"), "i").alias("last"))
-    ends = stage(ends.select("whole", F.col("first.path").alias("first"), F.col("last.path").alias("last")))
-    both = F.explode(F.array(F.struct(F.col("before").alias("a"), F.col("whole").alias("b")), F.struct(F.col("whole").alias("a"), F.col("after").alias("b"))))
-    borders = stage(again.select(both.alias("x")).select("x.a", "x.b").distinct())
-    met = borders.join(ends.select(F.col("whole").alias("a"), F.col("last").alias("back")), "a", "left")
-    met = met.join(ends.select(F.col("whole").alias("b"), F.col("first").alias("path")), "b", "left").select("back", "path")
-    passed = stage(met.unionByName(parts.filter("i > 0").select(F.col("follows").alias("back"), "path")).filter("back IS NOT NULL OR path IS NOT NULL").distinct())
-    one = lambda key, other: passed.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count("*").alias("ways"), F.min(other).alias(other)).filter(f"ways = 1 AND {other} IS NOT NULL").select(key, other)
-    out = stage(one("back", "path").join(one("path", "back"), ["path", "back"]))
-    unstage(ends, borders, passed)
+    ends = parts.groupBy("whole").agg(F.min_by(F.struct("path", "c"), "i").alias("first"), F.max_by(F.struct("path", "c"), "i").alias("last"))
+    ends = stage(ends)
+    borders = again.filter("before <> 0").groupBy("before", "whole").agg(F.count("*").alias("m"))
+    left = ends.select(F.col("whole").alias("before"), F.col("last.path").alias("back"), F.col("last.c").alias("out")).filter("back IS NOT NULL")
+    right = ends.select("whole", F.col("first.path").alias("path"), F.col("first.c").alias("c")).filter("path IS NOT NULL")
+    passed = borders.join(left, "before").join(right, "whole").groupBy("back", "path").agg(F.sum("m").alias("m"), F.max("out").alias("out"), F.max("c").alias("c"))
+    out = stage(passed.filter("m = out AND m = c").select("path", "back"))
+    unstage(ends)
     return out
 
 

@@ -24,9 +24,8 @@ CHUNK = 1 << 20
 _POSITION = np.uint64((1 << 28) - 1)
 STRETCHES = "doc_id long, _h long, start int, n int, anchor long, whole long"
 _STRETCHES = pa.schema([(c, pa.int64() if t == "long" else pa.int32()) for c, t in (x.split() for x in STRETCHES.split(", "))])
-#: Neighbours of a stretch in its document: the hashes of all their text, 0 for none.
-LINKS = "before long, after long"
-_LINKED = pa.schema([*_STRETCHES, ("before", pa.int64()), ("after", pa.int64())])
+#: The stretch before one in its document: the hash of all its text, 0 for none.
+_LINKED = pa.schema([*_STRETCHES, ("before", pa.int64())])
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03 >> 1 | 1))
 
 
@@ -99,14 +98,13 @@ def _stretches(batches: Iterator[pa.RecordBatch], kind: str, window: int, k: int
                 own = pa.array(at)
                 columns = [ids.take(own), marks.take(own), starts - counts[at], n, anchor, whole]
                 if links:
-                    same = at[1:] == at[:-1]
-                    columns += [np.append(0, whole[:-1] * same), np.append(whole[1:] * same, 0)]
+                    columns.append(np.append(0, whole[:-1] * (at[1:] == at[:-1])))
                 yield arrow_batch(_LINKED if links else _STRETCHES, *columns)
 
 
 def stretches(texts: DataFrame, kind: str, window: int, k: int, links: bool = False) -> DataFrame:
-    """``doc_id, _h, start, n, anchor, whole``: place and number of windows, hash of the anchor and of all its text; with ``links`` the neighbours."""
-    return texts.select("doc_id", "_h", "text").mapInArrow(partial(_stretches, kind=kind, window=window, k=k, links=links), f"{STRETCHES}, {LINKS}" if links else STRETCHES)
+    """``doc_id, _h, start, n, anchor, whole``: place and number of windows, hash of the anchor and of all its text; with ``links`` also ``before``."""
+    return texts.select("doc_id", "_h", "text").mapInArrow(partial(_stretches, kind=kind, window=window, k=k, links=links), f"{STRETCHES}, before long" if links else STRETCHES)
 
 
 def met_again(texts: DataFrame, kind: str, window: int, k: int, links: bool = False) -> DataFrame:
