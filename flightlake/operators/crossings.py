@@ -52,7 +52,7 @@ def territory_sessions(
     """
     calm = is_calm(pings, ["icao24"], order[0], width)
     seen = with_event_type(located_pings(pings, index, exact_zero), order, carry=_SAME, width=width, calm=calm)
-    tracked = tracked_marks(seen, order, aircraft, width, calm)
+    tracked = tracked_marks(session_marks(seen, order, aircraft), order, width, calm)
     framed = framed_borders(tracked, order, width, calm)
     first, landed = F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), F.col("after.event_type").eqNullSafe("LANDED")
     role = F.when(first, "START")
@@ -74,8 +74,8 @@ def located_pings(pings: DataFrame, index: TerritoryCells, exact_zero: bool = Fa
     return with_territory(placed, index, "_x", "_y").drop("_x", "_y")
 
 
-def tracked_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None, width: int, calm: bool = False) -> DataFrame:
-    """Rows that can matter to sessions, with the last accepted event at or before each.
+def session_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None) -> DataFrame:
+    """Rows that can matter to sessions, staged, each with its accepted event ``_event``.
 
     A ``carried`` column marks the row an earlier run ended with; it brings its own ``carried_event``.
     """
@@ -88,9 +88,12 @@ def tracked_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame |
     marks = seen.filter(keep).drop("before")
     if aircraft is not None:
         marks = marks.join(aircraft.select("icao24"), "icao24", "left_semi")
-    return with_last_event(cut_lineage(marks).withColumn("_event", event), order, "_event", width, calm=calm).drop("_event").filter(
-        F.col("last_event").isNotNull()
-    )
+    return cut_lineage(marks).withColumn("_event", event)
+
+
+def tracked_marks(marks: DataFrame, order: tuple[str, ...], width: int, calm: bool = False) -> DataFrame:
+    """Marks with the last accepted event at or before each; none before the first event of an aircraft."""
+    return with_last_event(marks, order, "_event", width, calm=calm).drop("_event").filter(F.col("last_event").isNotNull())
 
 
 def framed_borders(tracked: DataFrame, order: tuple[str, ...], width: int, calm: bool = False) -> DataFrame:

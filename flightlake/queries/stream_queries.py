@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import functions as F
 
 from flightlake.operators import events as event_ops
@@ -21,16 +24,20 @@ _PARTS = 4
 
 
 def _streamed(spark, sf):
-    """The events table as a stream of micro-batches in time order."""
+    """The events table as a stream of micro-batches in time order, of as many files each as the smallest one can fill; rows without a time come first."""
     base = workdir(prepare(spark), "stream")
     events = s.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    step = (last - first) / _PARTS
-    for i in range(_PARTS):
-        low, high = (F.lit(first + step * k).cast("timestamp_ntz") for k in (i, i + 1))
-        part = events.filter((F.col("ts") >= low) & ((F.col("ts") < high) if i < _PARTS - 1 else F.lit(True)))
-        part.coalesce(1).write.mode("append").parquet(base)
-    return spark.readStream.schema(_EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(base)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(at, [i / _PARTS for i in range(1, _PARTS)])).first()[0] or []
+    part = reduce(add, [(at > F.lit(c)).cast("int") for c in cuts], F.lit(0))
+    numbered = events.withColumn("part", F.coalesce(part, F.lit(0)))
+    rows = dict(sorted(numbered.groupBy("part").count().collect()))
+    files = max(1, min(rows.values(), default=0) // 100_000)
+    for i in rows:
+        numbered.filter(F.col("part") == i).drop("part").repartition(files).write.mode("append").parquet(base)
+    if rows and len(spark.read.parquet(base).inputFiles()) != files * len(rows):
+        raise RuntimeError("a micro-batch would not hold the files of one part")
+    return spark.readStream.schema(_EVENT_SCHEMA).option("maxFilesPerTrigger", files).parquet(base)
 
 
 def _finish(query_):

@@ -10,12 +10,14 @@ three folders, so the one a retry starts from is never the one being written, an
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightlake.operators.crossings import framed_borders, located_pings, stay_end, tracked_marks
+from flightlake.operators.crossings import framed_borders, located_pings, session_marks, stay_end, tracked_marks
 from flightlake.operators.events import with_event_type
 from flightlake.operators.geo import TerritoryCells
 from flightlake.plans.sequence import HOUR, is_calm, latest_per_key
@@ -46,10 +48,14 @@ class Tracking:
         before = spark.read.schema(_STATE).parquet(self._state(number - 1)) if number else spark.createDataFrame([], _STATE)
         with scratch(spark):
             events, closed, state, late = self.step(batch, before)
-            events.write.mode("overwrite").parquet(f"{self.base}/events/batch={number}")
-            closed.write.mode("overwrite").parquet(f"{self.base}/crossings/batch={number}")
-            late.write.mode("overwrite").parquet(f"{self.base}/late/batch={number}")
-            state.withColumn("number", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(self._state(number))
+            outputs = [
+                (events, f"{self.base}/events/batch={number}"), (closed, f"{self.base}/crossings/batch={number}"), (late, f"{self.base}/late/batch={number}"),
+                (state.withColumn("number", F.lit(number).cast("bigint")), self._state(number)),
+            ]
+            # None reads another, so their small jobs run side by side; the first failure ends the micro-batch, and a retry replaces all four.
+            write = inheritable_thread_target(spark)(lambda output: output[0].write.mode("overwrite").parquet(output[1]))
+            with ThreadPoolExecutor(len(outputs)) as pool:
+                list(pool.map(write, outputs))
 
     def _state(self, number: int) -> str:
         return f"{self.base}/state/slot={number % 3}"
@@ -74,8 +80,8 @@ class Tracking:
         calm = is_calm(batch, ["icao24"], "timestamp", self.width)
         seen = cut_lineage(with_event_type(rows, order, carry=_SAME, width=self.width, calm=calm))
 
-        tracked = cut_lineage(tracked_marks(seen, order, self.aircraft, self.width, calm))
-        framed = framed_borders(tracked, order, self.width, calm)
+        marks = session_marks(seen, order, self.aircraft)
+        framed = framed_borders(tracked_marks(marks, order, self.width, calm), order, self.width, calm)
         opened = F.when(F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), "START").otherwise("ROUTE")
         kept = lambda field, otherwise: F.when(F.col("carried"), F.col(f"stay.{field}")).otherwise(otherwise)
         stays = cut_lineage(framed.filter(F.col("territory_id").isNotNull()).select(
@@ -86,7 +92,7 @@ class Tracking:
 
         events = seen.filter(F.col("event_type").isNotNull()).drop("before", "carried", "carried_event", "stay", *_SAME, "territory_name", "country_name")
         last = latest_per_key(seen.select("icao24", *order, "on_ground", "vertical_rate_fpm"), ["icao24"], list(order))
-        heard = tracked.groupBy("icao24").agg(F.max_by("last_event", F.struct(*order)).alias("carried_event"))
+        heard = marks.filter(F.col("_event").isNotNull()).groupBy("icao24").agg(F.max_by("_event", F.struct(*order)).alias("carried_event"))
         open_ = stays.filter(F.col("exited_at").isNull()).select("icao24", F.struct(
             *_SAME, "territory_name", "entered_at", "callsign", F.col("crossing_role").alias("role"), "event",
         ).alias("stay"))
