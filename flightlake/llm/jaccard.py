@@ -97,17 +97,22 @@ def bound_passes(hist: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarr
     return out
 
 
-def _pairs(runs: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of places within each run, some at a time."""
-    left = np.concatenate([np.arange(a, a + n) for a, n in zip(runs, lengths)]) if len(runs) else np.zeros(0, np.int64)
-    rest = np.repeat(runs + lengths, lengths) - left - 1
+def _run_ends(new: np.ndarray) -> np.ndarray:
+    """For each place the end of its run; ``new`` marks where runs begin."""
+    runs = np.flatnonzero(new)
+    ends = np.append(runs[1:], len(new))
+    return np.repeat(ends, ends - runs)
+
+
+def _pairs(partners: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each place with those from ``partners`` to ``ends``, some pairs at a time."""
+    rest = ends - partners
     done = np.cumsum(rest)
     at = 0
-    while at < len(left):
+    while at < len(rest):
         to = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + PAIRS, "right")))
         n = rest[at:to]
-        a = np.repeat(left[at:to], n)
-        yield a, a + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield np.repeat(np.arange(at, to), n), np.repeat(partners[at:to] - np.cumsum(n) + n, n) + np.arange(n.sum())
         at = to
 
 
@@ -135,36 +140,47 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def _close(batches: Iterator[pa.RecordBatch], percent: int, pairs: bool) -> Iterator[pa.RecordBatch]:
-    """Of each list the pairs in different components that sizes and histograms allow, or the sets in such pairs."""
+def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of each list the pairs in different components that sizes and histograms allow; pairs within a component are not formed."""
     for token, lo, hi, b, sid, n, comp, hist in _lists(batches):
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])
-        runs = np.flatnonzero(new)
+        other = new.copy()
+        other[1:] |= comp[1:] != comp[:-1]
         found: list[np.ndarray] = []
-        for x, y in _pairs(runs, np.diff(np.append(runs, len(token)))):
-            maybe = (comp[x] != comp[y]) & ((lo[x] == hi[x]) | (b[x] != b[y]))
+        for x, y in _pairs(_run_ends(other), _run_ends(new)):
+            maybe = (lo[x] == hi[x]) | (b[x] != b[y])
             x, y = x[maybe], y[maybe]
             ok = bound_passes(hist, n, x, y, percent)
-            both = np.stack([np.minimum(sid[x], sid[y])[ok], np.maximum(sid[x], sid[y])[ok]], 1)
-            found.append(np.unique(both, axis=0) if pairs else np.unique(both))
+            found.append(np.unique(np.stack([np.minimum(sid[x], sid[y])[ok], np.maximum(sid[x], sid[y])[ok]], 1), axis=0))
         if found:
-            if pairs:
-                all_pairs = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(all_pairs[:, 0]), pa.array(all_pairs[:, 1])], names=["a", "b"])
-            else:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], names=["sid"])
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _blocks(lists: DataFrame) -> DataFrame:
-    """Lists of more than a block are compared block by block; sorted for ``_lists``.
+def _shapes(lists: DataFrame) -> DataFrame:
+    """``token, core, cores, others`` of the lists ``token, sid, n, comp`` with several components: blocks of the core and of the other members.
 
-    ``lists`` has ``token, members, sid, n, hist, comp``.
+    A component with more than a block of a list's members is its core. It meets the other members only, so a list
+    of a million copies and a few strangers costs a million rows, not their square.
     """
-    count = F.ceil(F.col("members") / BLOCK)
-    own = lists.withColumn("b", F.pmod(F.xxhash64("sid"), count)).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)))
-    keyed_lists = own.select("token", F.least("b", "k").alias("lo"), F.greatest("b", "k").alias("hi"), "b", "sid", "n", "comp", "hist")
-    return keyed_lists.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    parts = lists.groupBy("token", "comp").agg(F.count("*").alias("c"))
+    shape = parts.groupBy("token").agg(F.count("*").alias("kinds"), F.sum("c").alias("members"), F.max(F.struct("c", "comp")).alias("most")).filter("kinds > 1")
+    core = F.when(F.col("most.c") > BLOCK, F.col("most.c")).otherwise(0)
+    return shape.select(
+        "token", F.when(core > 0, F.col("most.comp")).alias("core"), F.ceil(core / BLOCK).alias("cores"), F.ceil((F.col("members") - core) / BLOCK).alias("others"),
+    )
+
+
+def _blocks(lists: DataFrame, shapes: DataFrame, member: DataFrame) -> DataFrame:
+    """Rows of the lists, dealt to the pairs of blocks they are compared in and sorted for ``_lists``."""
+    at = F.xxhash64("sid")
+    inner = F.col("comp").eqNullSafe(F.col("core"))
+    own = lists.join(shapes, "token").withColumn("b", F.when(inner, F.col("others") + F.pmod(at, F.greatest("cores", F.lit(1)))).otherwise(F.pmod(at, "others")))
+    last = F.when(inner, F.col("others")).otherwise(F.col("others") + F.col("cores")) - 1
+    met = own.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    keyed_lists = met.select("token", F.least("b", "k").alias("lo"), F.greatest("b", "k").alias("hi"), "b", "sid", "n", "comp").join(member.select("sid", "hist"), "sid")
+    return keyed_lists.select("token", "lo", "hi", "b", "sid", "n", "comp", "hist").repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "comp")
 
 
 def _whole(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -246,39 +262,48 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     # Lists of groups under each prefix token; a list with one group alone pairs nothing but that group's members.
     postings = rows.select(F.explode("prefix").alias("token"), "g", "n").repartition("token")
-    shared = postings.groupBy("token").agg(F.count("*").alias("members"), (F.min("g") != F.max("g")).alias("g2"), (F.min("n") != F.max("n")).alias("n2")).filter("g2 OR n2").select("token", "members")
+    shared = postings.groupBy("token").agg((F.min("g") != F.max("g")).alias("g2"), (F.min("n") != F.max("n")).alias("n2")).filter("g2 OR n2").select("token")
     listed = stage(postings.join(shared, "token").dropDuplicates(["token", "g", "n"]))
     unstage(rows)
     # Within a group its own key is the list.
-    inside = sets.groupBy("g", "n").agg(F.count("*").alias("members")).filter("members > 1").select(F.xxhash64("g", "n").alias("token"), "members", "g", "n")
-    groups = listed.select("token", "members", "g", "n").unionByName(inside)
-    member = sets.select("g", "n", "sid", "hist")
-    lists = groups.join(member, ["g", "n"]).withColumn("comp", F.col("sid"))
-    involved = stage(_blocks(lists).mapInArrow(partial(_close, percent=percent, pairs=False), "sid long").distinct())
-    lists = stage(groups.join(member.join(involved, "sid"), ["g", "n"]).select("token", "members", "sid", "n", "hist"))
-    fetched = sets.join(involved, "sid").select("sid", "rep.doc_id", "rep._h")
+    inside = sets.groupBy("g", "n").agg(F.count("*").alias("members")).filter("members > 1").select(F.xxhash64("g", "n").alias("token"), "g", "n")
+    groups = listed.select("token", "g", "n").unionByName(inside)
+    member = sets.select("sid", "n", "hist")
+    lists = stage(groups.join(sets.select("g", "n", "sid"), ["g", "n"]).select("token", "sid", "n"))
     moved = packed(texts)
-    whole = stage(moved.join(fetched, on_key(moved, fetched)).select("sid", "packed").mapInArrow(partial(_whole, size=size), "sid long, n long, tokens binary, fine binary").dropDuplicates(["sid"]))
+
+    def tokens_of(needed: DataFrame) -> DataFrame:
+        """Whole sets of the ``sid`` needed, out of their texts."""
+        fetched = sets.join(needed, "sid").select("sid", "rep.doc_id", "rep._h")
+        return stage(moved.join(fetched, on_key(moved, fetched)).select("sid", "packed").mapInArrow(partial(_whole, size=size), "sid long, n long, tokens binary, fine binary").dropDuplicates(["sid"]))
+
+    ends_of = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
 
     # Stars: every member of a list with its most central one, the one with the most company over all its lists.
     company = lists.groupBy("token").agg(F.count("*").alias("c"))
-    central = lists.select("token", "sid").join(company, "token").groupBy("sid").agg(F.sum("c").alias("weight"))
-    placed = lists.select("token", "sid", "n").join(central, "sid")
+    central = lists.join(company, "token").groupBy("sid").agg(F.sum("c").alias("weight"))
+    placed = lists.join(central, "sid")
     pivots = placed.groupBy("token").agg(F.max(F.struct("weight", "sid", "n")).alias("p")).select("token", F.col("p.sid").alias("pivot"), F.col("p.n").alias("pivot_n"))
     fits = (F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent) & (F.col("sid") != F.col("pivot"))
-    stars = stage(placed.join(pivots, "token").filter(fits).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct())
-    first = stage(verified(stage(allowed(stars, member.join(involved, "sid"), percent)), whole, percent))
+    stars = placed.join(pivots, "token").filter(fits).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
+    near = stage(allowed(stars, member, percent))
+    starred = stage(ends_of(near))
+    whole = tokens_of(starred)
+    first = stage(verified(near, whole, percent))
+    # Pairs are formed only now, and only between what the stars left apart.
     joined = components(first)
-    apart = lists.join(joined.select(F.col("node").alias("sid"), "label"), "sid", "left").withColumn("comp", F.coalesce("label", "sid"))
-    rest = stage(_blocks(apart).mapInArrow(partial(_close, percent=percent, pairs=True), "a long, b long").distinct())
-    links = first.unionByName(verified(rest, whole, percent))
+    apart = stage(lists.join(joined.select(F.col("node").alias("sid"), "label"), "sid", "left").select("token", "sid", "n", F.coalesce("label", "sid").alias("comp")))
+    shapes = stage(_shapes(apart))
+    rest = stage(_blocks(apart, shapes, member).mapInArrow(partial(_close, percent=percent), "a long, b long").distinct())
+    later = tokens_of(ends_of(rest).join(starred, "sid", "left_anti"))
+    links = first.unionByName(verified(rest, whole.unionByName(later), percent))
     final = components(links)
 
     labelled = sets.join(final.select(F.col("node").alias("sid"), "label"), "sid", "left").select(*same, "least", F.coalesce("label", "sid").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     of_set = stage(labelled.join(named, "label").select(*same, "label", "component_id"))
     result = members_of.join(of_set, same, "left")
-    unstage(sets, listed, involved, lists, whole, stars, first, rest)
+    unstage(sets, listed, lists, whole, near, starred, first, apart, shapes, rest, later)
     return result.select("doc_id", "_h", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "label")
 
 
