@@ -11,7 +11,6 @@ from flightlake import schema
 from flightlake.functions import geometry as g
 from flightlake.functions import measure
 from flightlake.operators.marts import is_international
-from flightlake.plans.lookup import join_lookup
 
 NEAR_KM = 50.0
 # Slightly less than the length of a degree of latitude, so that cells are never too narrow.
@@ -49,7 +48,7 @@ def flight_features(events: DataFrame, aircraft: DataFrame, airports: DataFrame)
 
 @dataclass(frozen=True)
 class AirportDiscs:
-    """Airports by the grid cells their disc of ``near_km`` may meet; ``columns`` cells go round the earth."""
+    """One row per airport and grid cell its disc of ``near_km`` may meet; ``columns`` cells go round the earth."""
 
     cells: DataFrame
     columns: int
@@ -77,16 +76,15 @@ def build_discs(airports: DataFrame, near_km: float = NEAR_KM) -> AirportDiscs:
     )
     cell_x = F.pmod(_cell(F.col("lon"), columns) + F.col("_dx"), F.lit(columns)).alias("cell_x")
     cell_y = (_cell(F.col("lat"), columns) + F.col("_dy")).alias("cell_y")
-    grouped = entered.groupBy(cell_x, cell_y).agg(F.collect_set(F.struct("airport_iata_code", "lon", "lat")).alias("near"))
-    return AirportDiscs(grouped, columns, near_km)
+    return AirportDiscs(entered.select(cell_x, cell_y, "airport_iata_code", "lon", "lat").distinct(), columns, near_km)
 
 
 def congestion(departures: DataFrame, pings: DataFrame, discs: AirportDiscs, poll: str = "poll") -> DataFrame:
     """Aircraft near the origin in the poll that saw the departure.
 
-    ``poll`` identifies one position snapshot in both inputs. Each position
-    looks up the airports around it in the cell table, so the work grows with the positions and the
-    airports near them; positions are never paired with each other, and the count per (poll,
+    ``poll`` identifies one position snapshot in both inputs. Only airports with a departure
+    in a poll are entered into the cells of that poll, so a position is measured against the airports near it that its own poll
+    asks for, however many others there are. Positions are never paired with each other, and the count per (poll,
     airport) is folded before it meets the departures.
     """
     x, y = F.col("longitude").cast("double"), F.col("latitude").cast("double")
@@ -94,11 +92,15 @@ def congestion(departures: DataFrame, pings: DataFrame, discs: AirportDiscs, pol
         poll, "icao24", x.alias("longitude"), y.alias("latitude"),
         F.pmod(_cell(x, discs.columns), F.lit(discs.columns)).alias("cell_x"), _cell(y, discs.columns).alias("cell_y"),
     )
+    asked = (
+        departures.select(poll, "origin_iata").distinct()
+        .join(discs.cells.withColumnRenamed("airport_iata_code", "origin_iata"), "origin_iata")
+        .groupBy(poll, "cell_x", "cell_y").agg(F.collect_list(F.struct("origin_iata", "lon", "lat")).alias("near"))
+    )
     close = F.filter("near", lambda a: g.haversine_km(F.col("longitude"), F.col("latitude"), a["lon"], a["lat"]) <= discs.near_km)
     around = (
-        join_lookup(placed, discs.cells, ["cell_x", "cell_y"], discs.stored_bytes, [F.col("icao24"), F.col(poll)])
-        .select(poll, "icao24", F.explode(F.transform(close, lambda a: a["airport_iata_code"])).alias("origin_iata"))
-        .join(departures.select(poll, "origin_iata").distinct(), [poll, "origin_iata"], "left_semi")  # no other airport is asked for
+        placed.join(asked, [poll, "cell_x", "cell_y"])
+        .select(poll, "icao24", F.explode(F.transform(close, lambda a: a["origin_iata"])).alias("origin_iata"))
         .distinct()
         .groupBy(poll, "origin_iata").agg(F.count(F.lit(1)).alias("origin_congestion_score"))
     )

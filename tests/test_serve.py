@@ -103,6 +103,20 @@ def test_congestion_across_the_date_line_and_pole(spark):
     assert got == {(1, "DL"): 2, (1, "PO"): 1, (2, "DL"): 1, (3, "DL"): 0}
 
 
+def test_congestion_measures_no_airport_that_is_not_asked_for(spark, monkeypatch):
+    """One spot holds 400 airports and one of them has a departure: the distance to that one alone is taken."""
+    airports = spark.range(400).selectExpr("cast(id as string) AS ident", "concat('A', id) AS airport_iata_code", "'X' AS iso_country", "0D AS longitude_deg", "0D AS latitude_deg", "true AS is_commercial")
+    pings = spark.range(20).selectExpr("1 AS poll", "cast(id % 10 as string) AS icao24", "id / 1000D AS longitude", "0D AS latitude").unionByName(
+        spark.createDataFrame([(1, "far", 9.0, 0.0), (2, "a", 0.0, 0.0), (1, "none", None, 0.0)], "poll int, icao24 string, longitude double, latitude double"))
+    departures = spark.createDataFrame([(1, "A7"), (3, "A8"), (1, None), (None, "A7"), (1, "?")], "poll int, origin_iata string")
+    met, length = spark.sparkContext.accumulator(0), F.udf(lambda n: met.add(n) or True, "boolean")
+    plain = F.filter
+    monkeypatch.setattr(features.F, "filter", lambda c, f: F.when(length(F.size(c)), plain(c, f)) if c == "near" else plain(c, f))
+    got = {(r["poll"], r["origin_iata"]): int(r["origin_congestion_score"]) for r in features.congestion(departures, pings, features.build_discs(airports)).collect()}
+    assert got == {(1, "A7"): 10, (3, "A8"): 0, (1, None): 0, (None, "A7"): 0, (1, "?"): 0}
+    assert 20 <= met.value <= 100
+
+
 def test_delay_attach_keeps_one_row(spark):
     f = spark.createDataFrame([("AA", "X", "Y", date(2026, 1, 1)), ("BB", "X", "Y", date(2026, 1, 1))], "airline_iata string, origin_iata string, destination_iata string, flight_date date")
     d = spark.createDataFrame([("AA", "X", "Y", date(2026, 1, 1), Decimal("10.0")), ("AA", "X", "Y", date(2026, 1, 1), Decimal("20.5"))],
