@@ -29,6 +29,13 @@ def filters(rows: DataFrame, by: str, key: Sequence[str]) -> DataFrame:
     return set_bits.groupBy(by, "slots", F.floor(F.col("_p") / BITS).alias("slot")).agg(F.bitmap_construct_agg(F.col("_p") % BITS).alias("bits"))
 
 
+def most_keys(made: DataFrame, by: str) -> DataFrame:
+    """``by, keys``: how many keys the filters of each value were made for, at most; read from their sizes alone."""
+    # A load that came later has bitmaps of the same numbers.
+    sizes = made.groupBy(by, "slots", "slot").agg(F.count(F.lit(1)).alias("_c")).groupBy(by, "slots").agg(F.max("_c").alias("_copies"))
+    return sizes.groupBy(by).agg(F.sum(F.col("slots") * F.col("_copies") * F.lit(BITS // BITS_PER_KEY)).alias("keys"))
+
+
 def _is_set(bits: Column, position: Column) -> Column:
     byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint")
     return F.getbit(byte, (position % 8).cast("int")) == 1

@@ -127,9 +127,11 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row of each key by ``order``: first-wins deduplication, no window."""
     rest = [c for c in df.columns if c not in key]
+    # An order of all columns is the row itself, which then need not be kept twice.
+    first = F.min(F.struct(*order)) if set(rest) <= set(order) else F.min_by(F.struct(*rest), F.struct(*order))
     return (
         df.groupBy(*key)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+        .agg(first.alias("_row"))
         .select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
         .select(*df.columns)
     )

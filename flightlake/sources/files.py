@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ AIRPORT_FILE = (
 REGION_FILE = ("id", "code", "local_code", "name", "continent", "iso_country", "wikipedia_link", "keywords")
 PREFIX_FILE = ("Prefix", "CountryISO2")
 COUNTRY_NAME_FILE = ("ISO", "Name")
+# What a header may hold besides its names.
+_UNNAMED = r'["\s\ufeff]'
 
 
 def texts(columns: Sequence[str]) -> T.StructType:
@@ -51,8 +54,10 @@ def named_rows(lines: DataFrame, columns: Sequence[str] = schema.FLIGHT_LIST_COL
     Names are trimmed and lower-cased; columns beyond ``columns`` are not read. A file whose header
     lacks one of them, or has none, stops the load and is named. Files with the same header are read together.
     """
-    bare = F.lower(F.regexp_replace("value", r'["\s\ufeff]', ""))
-    is_header = F.forall(F.array(*[F.lit(c) for c in columns[:3]]), lambda c: F.array_contains(F.split(bare, ","), c))
+    bare = F.lower(F.regexp_replace("value", _UNNAMED, ""))
+    # One search tells nearly every row of data from a header; only what passes is taken apart.
+    named = F.col("value").rlike("(?iu)" + f"{_UNNAMED}*".join(re.escape(x) for x in columns[0]))
+    is_header = named & F.forall(F.array(*[F.lit(c) for c in columns[:3]]), lambda c: F.array_contains(F.split(bare, ","), c))
     marked = lines.filter(F.trim("value") != "").select("file", "value", is_header.alias("_header"))
     heads = marked.groupBy("file").agg(F.min(F.when(F.col("_header"), bare)).alias("header")).collect()  # one row for each file
     by_header: dict[str, list[str]] = {}
@@ -65,7 +70,8 @@ def named_rows(lines: DataFrame, columns: Sequence[str] = schema.FLIGHT_LIST_COL
     for header, names in by_header.items():
         fields = ", ".join(f"`{c or i}` string" for i, c in enumerate(header.split(",")))
         row = F.from_csv("value", fields, {"mode": "PERMISSIVE", "escape": '"'})
-        rows = marked.filter(F.col("file").isin(names) & ~F.col("_header")).select("file", row.alias("r"))
+        # As a generator the parse stays below every filter on its columns and runs once for each line.
+        rows = marked.filter(F.col("file").isin(names) & ~F.col("_header")).select("file", F.inline(F.array(F.struct(row.alias("r")))))
         part = rows.select(*[F.nullif(F.col(f"r.`{c}`"), F.lit("")).alias(c) for c in columns], "file")
         out = part if out is None else out.unionByName(part)
     return out if out is not None else lines.sparkSession.createDataFrame([], texts([*columns, "file"]))

@@ -14,6 +14,10 @@ from flightlake.plans.sequence import first_per_key
 from flightlake.session import cut_lineage
 
 
+#: A partition is read without asking its filter if the batch has at least ``PROBED`` keys of it, and one for each ``READ_PER_KEY`` it may hold.
+PROBED, READ_PER_KEY = 4096, 16
+
+
 @dataclass(frozen=True)
 class Source:
     schema: T.StructType
@@ -76,8 +80,12 @@ class TableRegistry:
         return self.spark.read.schema(f"{part} date, slots bigint, slot bigint, bits binary").parquet(place)
 
     def _candidates(self, name: str, keys: DataFrame, key: tuple[str, ...]) -> list:
-        """Partitions that may have one of the keys."""
-        return [r[0] for r in bloom.candidates(keys, self._filters(name, key), SOURCES[name].partition, key).collect()]
+        """Partitions that may have one of the keys; those that many are asked of, as measured by what they hold, are not probed: reading them is no more work."""
+        part, made = SOURCES[name].partition, self._filters(name, key)
+        asked = keys.groupBy(part).agg(F.count(F.lit(1)).alias("n")).join(bloom.most_keys(made, part), part).collect()  # one row for each date
+        full = [r[part] for r in asked if r["n"] >= PROBED and r["n"] * READ_PER_KEY >= r["keys"]]
+        few = [r[part] for r in asked if r[part] not in full]
+        return full + ([r[0] for r in bloom.candidates(keys.filter(F.col(part).isin(few)), made, part, key).collect()] if few else [])
 
     def _extend_filters(self, name: str, keys: DataFrame, key: tuple[str, ...]) -> None:
         """Enter keys into the filters before their rows: a load that ends in between leaves a filter that knows too much, never too little."""
@@ -97,14 +105,13 @@ class TableRegistry:
         shaped = rows.select(*[F.col(f.name).try_cast(f.dataType) for f in struct])
         shaped = shaped.dropna(subset=[f.name for f in struct if not f.nullable])
         rest = [c for c in shaped.columns if c not in key and c not in order]
-        shaped = cut_lineage(first_per_key(shaped, list(key), [*order, *rest]))
+        new = shaped = cut_lineage(first_per_key(shaped, list(key), [*order, *rest]))
         if self._exists(name):
             have = self.read(name)
             if part:
                 dates = self._candidates(name, shaped.select(*key, part), key)
                 have = have.filter(F.col(part).isin(dates))
-            shaped = shaped.join(have.select(*key), list(key), "left_anti").select(*shaped.columns)
-        new = cut_lineage(shaped)
+            new = cut_lineage(shaped.join(have.select(*key), list(key), "left_anti").select(*shaped.columns))
         if part:
             self._extend_filters(name, new.select(*key, part), key)
             by_date(new, part).write.mode("append").partitionBy(part).parquet(self.path(name))

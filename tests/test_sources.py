@@ -153,6 +153,35 @@ def test_registry_reads_candidate_partitions_only(spark, tmp_path):
         reg.append_new("daily_flight_events", make(row(6, "a", 20)), schema.EVENT_KEY).collect()
 
 
+def test_registry_probes_no_date_it_reads_anyway(spark, tmp_path, monkeypatch):
+    """A date that the batch has many keys of is read; only keys of other dates are looked for in filters. Every known key is found."""
+    probed, plain = [], tables.bloom.candidates
+    monkeypatch.setattr(tables, "PROBED", 3)
+    monkeypatch.setattr(tables.bloom, "candidates", lambda keys, *a: probed.extend(r["icao24"] for r in keys.collect()) or plain(keys, *a))
+    reg = tables.TableRegistry(spark, str(tmp_path))
+    at = lambda d: datetime(2026, 4, d, 12)
+    row = lambda i, k, d: tuple({"event_id": i, "icao24": k, "event_type": "LANDED", "event_timestamp": at(d), "event_date": at(d).date()}.get(f.name) for f in schema.DAILY_EVENT)
+    # Of one key many times, each with another time, so that a date's filter is for 2,048 keys and the batch has one for 16 of them.
+    many = spark.range(200).selectExpr("id AS event_id", "concat('m', id) AS icao24", "'LANDED' AS event_type", "timestamp'2026-04-20 12:00:00' AS event_timestamp", "date'2026-04-20' AS event_date")
+    shaped = lambda df: df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.DAILY_EVENT])
+    one = lambda k, d: spark.createDataFrame([row(900, k, d)], schema.DAILY_EVENT)
+    reg.append_new("daily_flight_events", shaped(many).unionByName(one("b", 21)), schema.EVENT_KEY)
+    got = reg.append_new("daily_flight_events", shaped(many.filter("id < 150")).unionByName(one("n", 20)).unionByName(one("b", 21)).unionByName(one("c", 21)).unionByName(one("d", 22)), schema.EVENT_KEY)
+    assert sorted(r["icao24"] for r in got.collect()) == ["c", "d", "n"]
+    assert sorted(set(probed)) == ["b", "c"]
+
+
+def test_flight_list_lines_are_parsed_once(spark, tmp_path):
+    """The filter on the aircraft id does not parse the line a second time; a header with blanks and quotes is found among data that names a callsign."""
+    names = [c.upper() if c == "number" else c for c in schema.FLIGHT_LIST_COLUMNS]
+    cells = lambda **v: ",".join(v.get(c, "") for c in schema.FLIGHT_LIST_COLUMNS)
+    head = ",".join(f' "{c}"' if c == "callsign" else c for c in names)
+    (tmp_path / "a.csv").write_text("\n".join([head.replace("icao24", "ica o24"), cells(callsign="Callsign", icao24="abc"), cells(icao24=" "), cells(callsign="X", icao24="def")]))
+    df = files.flight_lists(spark, str(tmp_path / "a.csv"))
+    assert sorted((r["icao24"], r["callsign"]) for r in df.collect()) == [("abc", "Callsign"), ("def", "X")]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+
+
 def test_registry_of_a_table_without_filters(spark, tmp_path):
     """Keys of rows that were written some other way are known too."""
     at = datetime(2026, 4, 22, 12)
