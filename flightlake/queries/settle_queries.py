@@ -215,7 +215,8 @@ _MIN = "(epoch_us(t) - epoch_us(entered_at))"
 def settle_nights(spark, sf):
     """Crossings in history after three settlements in a row, the last one run twice."""
     events = s.flight_events(spark, sf).filter(F.col("event_date").between(*[F.lit(n).cast("date") for n in (_NIGHTS[0], _NIGHTS[-1])]))
-    events = events.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in events.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.DAILY_EVENT])
+    # Staged, as every night reads them twice and they are a few dates of all.
+    events = cut_lineage(events.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in events.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.DAILY_EVENT]))
     n, entered = F.col("event_id"), F.col("event_timestamp")
     stays = events.filter("event_type = 'CRUISING'").withColumn("x", entered + F.make_dt_interval(mins=(30 * (1 + n % 60)).cast("int")))
     base = f"nights_{uuid.uuid4().hex}"

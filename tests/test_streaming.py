@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.operators import crossings, events, geo
+from flightlake.queries import settle_queries, standins
 from flightlake.sources import messages
 from flightlake.streaming import jobs, microbatch
 
@@ -150,3 +151,25 @@ def test_outbox_sends_what_failed(spark, tmp_path):
 
 def test_output_names():
     assert set(schema.FLIGHT_STATUSES) == {"IN_PROGRESS", "COMPLETED"}
+
+
+def _counted(spark, monkeypatch, folder):
+    """A folder with 200 events of January 2024, four of them without a time, and a count of the rows the queries read from it."""
+    rows = spark.range(200).selectExpr(
+        "id AS event_id", "if(id % 50 = 7, NULL, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id * 4 as int), 0, 0)) AS ts", "id % 9 AS user_id",
+        "element_at(array('signup', 'click', 'view', 'error', 'purchase'), cast(id % 5 as int) + 1) AS event_type", "cast(id % 60 as double) AS value", "'{}' AS props")
+    rows.write.parquet(f"{folder}/events.parquet")
+    read, plain = spark.sparkContext.accumulator(0), standins.table
+    seen = F.udf(lambda _: read.add(1) or True, "boolean")
+    monkeypatch.setattr(standins, "table", lambda sp, sf, name: plain(sp, sf, name).filter(seen("event_id")))
+    return read
+
+
+def test_nights_read_the_table_once(spark, monkeypatch, tmp_path):
+    read = _counted(spark, monkeypatch, str(tmp_path))
+    settled = []
+    monkeypatch.setattr(settle_queries.settle, "settle", lambda _, at, names, **k: settled.append(spark.table(names.daily_events).count()) or {"error": None})
+    settle_queries.settle_nights(spark, str(tmp_path))
+    assert len(settled) == len(settle_queries._NIGHTS) + 1 and settled[-1] > 0
+    # Rows of other dates may be left out before they are counted.
+    assert 0 < read.value <= 200 and read.value <= settled[-1]
