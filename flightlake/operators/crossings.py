@@ -9,7 +9,7 @@ from flightlake import schema
 from flightlake.functions import measure
 from flightlake.operators.events import has_position, with_event_type, with_last_event
 from flightlake.operators.geo import TerritoryCells, containing, with_cells, with_territory
-from flightlake.plans.sequence import HOUR, is_calm, with_neighbours
+from flightlake.plans.sequence import CROWDED, HOUR, SPARSE, density, with_neighbours
 from flightlake.session import cut_lineage
 
 # Fixed value: segments a route is cut into.
@@ -45,14 +45,14 @@ def territory_sessions(
     * A stay still open has no exit and status IN_PROGRESS.
 
     Positions are located first (row-local), then one pass over each aircraft
-    in time chunks finds events and territory changes together. Only rows that
+    (in time chunks, where one has many) finds events and territory changes together. Only rows that
     can matter later go on: events, and positions whose territory differs from the
-    position before. They and the later stay borders are written to the shared
+    position before. They (unless every aircraft has few rows) and the later stay borders are written to the shared
     folder, so neither a lost executor nor a later step repeats the scan.
     """
-    calm = is_calm(pings, ["icao24"], order[0], width)
+    calm = density(pings, ["icao24"], order[0], width)
     seen = with_event_type(located_pings(pings, index, exact_zero), order, carry=_SAME, width=width, calm=calm)
-    tracked = tracked_marks(session_marks(seen, order, aircraft), order, width, calm)
+    tracked = tracked_marks(session_marks(seen, order, aircraft, calm), order, width, calm)
     framed = framed_borders(tracked, order, width, calm)
     first, landed = F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), F.col("after.event_type").eqNullSafe("LANDED")
     role = F.when(first, "START")
@@ -74,8 +74,8 @@ def located_pings(pings: DataFrame, index: TerritoryCells, exact_zero: bool = Fa
     return with_territory(placed, index, "_x", "_y").drop("_x", "_y")
 
 
-def session_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None) -> DataFrame:
-    """Rows that can matter to sessions, staged, each with its accepted event ``_event``.
+def session_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame | None, calm: int = CROWDED) -> DataFrame:
+    """Rows that can matter to sessions, each with its accepted event ``_event``; staged, unless every aircraft has few rows and one shuffle serves all steps.
 
     A ``carried`` column marks the row an earlier run ended with; it brings its own ``carried_event``.
     """
@@ -88,23 +88,24 @@ def session_marks(seen: DataFrame, order: tuple[str, ...], aircraft: DataFrame |
     marks = seen.filter(keep).drop("before")
     if aircraft is not None:
         marks = marks.join(aircraft.select("icao24"), "icao24", "left_semi")
-    return cut_lineage(marks).withColumn("_event", event)
+    return (marks if calm == SPARSE else cut_lineage(marks)).withColumn("_event", event)
 
 
-def tracked_marks(marks: DataFrame, order: tuple[str, ...], width: int, calm: bool = False) -> DataFrame:
+def tracked_marks(marks: DataFrame, order: tuple[str, ...], width: int, calm: int = CROWDED) -> DataFrame:
     """Marks with the last accepted event at or before each; none before the first event of an aircraft."""
     return with_last_event(marks, order, "_event", width, calm=calm).drop("_event").filter(F.col("last_event").isNotNull())
 
 
-def framed_borders(tracked: DataFrame, order: tuple[str, ...], width: int, calm: bool = False) -> DataFrame:
-    """Landings and first rows of stays, each with the border before and after it."""
+def framed_borders(tracked: DataFrame, order: tuple[str, ...], width: int, calm: int = CROWDED, staged: bool = True) -> DataFrame:
+    """Landings and first rows of stays, each with the border before and after it; without ``staged`` the result is the caller's to stage."""
     landing = F.col("event_type").eqNullSafe("LANDED")
     steps = tracked.filter(F.col("territory_id").isNotNull() | landing)
     near = with_neighbours(steps, ["icao24"], order, ["event_type", *_SAME], width, "before", "after", calm).drop("after")
     border = landing | F.col("before.territory_id").isNull() | _differs("before")
     if "carried" in tracked.columns:
         border = border | F.col("carried")
-    borders = cut_lineage(near.filter(border).drop("before"))
+    borders = near.filter(border).drop("before")
+    borders = cut_lineage(borders) if staged else borders
     return with_neighbours(borders, ["icao24"], order, ["event_type", order[0]], width, "before", "after", calm)
 
 

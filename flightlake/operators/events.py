@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flightlake import schema
 from flightlake.functions import clean, measure
 from flightlake.operators.geo import AirportGrids, with_nearest_airport
-from flightlake.plans.sequence import DAY, HOUR, with_last_known, with_neighbours
+from flightlake.plans.sequence import CROWDED, DAY, HOUR, with_last_known, with_neighbours
 
 _MEASURES = ("callsign", "latitude", "longitude", "altitude_ft", "velocity_kmh", "heading_deg", "vertical_rate_fpm", "on_ground")
 
@@ -31,13 +31,14 @@ def event_type(before_ground: Column, before_rate: Column, ground: Column, rate:
     )
 
 
-def with_event_type(pings: DataFrame, order: tuple[str, ...] = ("timestamp",), carry: tuple[str, ...] = (), width: int = HOUR, calm: bool = False) -> DataFrame:
+def with_event_type(pings: DataFrame, order: tuple[str, ...] = ("timestamp",), carry: tuple[str, ...] = (), width: int = HOUR, calm: int = CROWDED, last: str | None = None) -> DataFrame:
     """Positions with ``event_type`` and the previous position ``before``.
 
-    ``carry`` names further columns of the previous position to keep; ``calm`` is as in ``with_neighbours``.
+    ``carry`` names further columns of the previous position to keep; ``calm`` is as in ``with_neighbours``. ``last`` names a column that tells the last position of each aircraft.
     """
     fields = ["on_ground", "vertical_rate_fpm", *carry]
-    return with_neighbours(pings, ["icao24"], order, fields, width, "before", "after", calm).drop("after").withColumn(
+    near = with_neighbours(pings, ["icao24"], order, fields, width, "before", "after", calm)
+    return (near.withColumn(last, F.col("after").isNull()) if last else near).drop("after").withColumn(
         "event_type",
         event_type(
             F.col("before.on_ground"), F.col("before.vertical_rate_fpm"),
@@ -92,7 +93,7 @@ def event_rows(events: DataFrame, run_ts: Column, source: str = schema.LIVE_SOUR
     return shaped.select(*[F.col(f.name).try_cast(f.dataType) for f in schema.DAILY_EVENT])
 
 
-def with_last_event(rows: DataFrame, order: tuple[str, ...], event: str, width: int = HOUR, out: str = "last_event", calm: bool = False) -> DataFrame:
+def with_last_event(rows: DataFrame, order: tuple[str, ...], event: str, width: int = HOUR, out: str = "last_event", calm: int = CROWDED) -> DataFrame:
     """Last accepted event of the aircraft at or before each row."""
     return with_last_known(rows, ["icao24"], order, event, width, out, calm)
 

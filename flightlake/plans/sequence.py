@@ -10,6 +10,9 @@ sorted into ranges of (key, order), however many a chunk fills, and every range
 Which chunks these are is counted beforehand, over the key and time columns alone; where there are none nothing
 else is done. Results equal those of the plain window.
 
+Where every key has few rows, chunks would only part what one task can order: nearly each row would be a border.
+Steps told so (``SPARSE``) run the plain window, and steps after one another share one shuffle and sort.
+
 ``order`` starts with a timestamp column and must be unique within a key.
 """
 
@@ -17,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +32,10 @@ HOUR = 3600
 DAY = 86400
 #: Rows of a key and chunk that one task may have; more are cut into ranges.
 MOST = 1_000_000
+#: Rows a key may have, in all, to be ordered in one piece.
+FEW = 100_000
+#: What ``calm`` tells: some chunk may have too many rows, none has, or every key has few.
+CROWDED, CALM, SPARSE = range(3)
 _CHUNK, _PIECE = "_chunk", "_piece"
 _ROW = "_row"
 
@@ -45,7 +52,18 @@ def is_calm(df: DataFrame, key: Sequence[str], ts: str, width: int, most: int |
     return counts.filter(F.col("_n") > (MOST if most is None else most)).isEmpty()
 
 
-def in_pieces(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int, most: int, calm: bool = False) -> tuple[DataFrame, list[str]]:
+def density(df: DataFrame, key: Sequence[str], ts: str, width: int) -> int:
+    """``SPARSE``, ``CALM`` or ``CROWDED``; it holds for steps that leave rows out or add one a key, too.
+
+    A key that is null counts as one of many rows: its values are filled forward within a chunk only.
+    """
+    rows = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    if rows.filter((F.col("_n") > FEW) | reduce(or_, [F.col(c).isNull() for c in key])).isEmpty():
+        return SPARSE
+    return CALM if is_calm(df, key, ts, width) else CROWDED
+
+
+def in_pieces(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int, most: int, calm: int = CROWDED) -> tuple[DataFrame, list[str]]:
     """Rows with their chunk and, in chunks of more than ``most`` rows, the range of (key, order) they lie in; and the columns that tell the parts of a key."""
     cut = df.withColumn(_CHUNK, chunk_of(order[0], width))
     place = [*key, _CHUNK]
@@ -68,12 +86,15 @@ def with_neighbours(
     width: int,
     back: str = "before",
     ahead: str = "after",
-    calm: bool = False,
+    calm: int = CROWDED,
 ) -> DataFrame:
     """Add the previous and the next row of the key as structs of ``fields``.
 
-    A missing neighbour is a NULL struct. ``calm`` says that no chunk is crowded; else they are counted.
+    A missing neighbour is a NULL struct. ``calm`` says that no chunk is crowded or, as ``SPARSE``, no key; else chunks are counted.
     """
+    if calm == SPARSE:
+        whole = Window.partitionBy(*key).orderBy(*order)
+        return df.withColumn(_ROW, F.struct(*fields)).select(*df.columns, F.lag(_ROW).over(whole).alias(back), F.lead(_ROW).over(whole).alias(ahead))
     cut, parts = in_pieces(df, key, order, width, MOST, calm)
     near = Window.partitionBy(*key, *parts).orderBy(*order)
     far = Window.partitionBy(*key).orderBy(*order)
@@ -89,9 +110,12 @@ def with_neighbours(
 
 
 def with_last_known(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, width: int, out: str, calm: bool = False
+    df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, width: int, out: str, calm: int = CROWDED
 ) -> DataFrame:
     """Forward fill: last non-NULL ``value`` of the key at or before each row."""
+    if calm == SPARSE:
+        whole = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(whole))
     cut, parts = in_pieces(df, key, order, width, MOST, calm)
     near = Window.partitionBy(*key, *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*key).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)

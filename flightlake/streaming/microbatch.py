@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from flightlake.operators.crossings import framed_borders, located_pings, session_marks, stay_end, tracked_marks
 from flightlake.operators.events import with_event_type
 from flightlake.operators.geo import TerritoryCells
-from flightlake.plans.sequence import HOUR, is_calm, latest_per_key
+from flightlake.plans.sequence import HOUR, SPARSE, density
 from flightlake.session import cut_lineage, scratch
 
 _EVENT = "struct<at:timestamp,kind:string>"
@@ -77,11 +77,11 @@ class Tracking:
         place = [F.col(f"stay.{c}").alias(c) for c in (*_SAME, "territory_name")]
         resumed = before.select("*", *place, F.lit(True).alias("carried"))
         rows = located.unionByName(resumed, allowMissingColumns=True)
-        calm = is_calm(batch, ["icao24"], "timestamp", self.width)
-        seen = cut_lineage(with_event_type(rows, order, carry=_SAME, width=self.width, calm=calm))
+        calm = density(batch, ["icao24"], "timestamp", self.width)
+        seen = cut_lineage(with_event_type(rows, order, carry=_SAME, width=self.width, calm=calm, last="_last"))
 
-        marks = session_marks(seen, order, self.aircraft)
-        framed = framed_borders(tracked_marks(marks, order, self.width, calm), order, self.width, calm)
+        marks = session_marks(seen, order, self.aircraft, calm)
+        framed = framed_borders(tracked_marks(marks, order, self.width, calm), order, self.width, calm, staged=calm != SPARSE)
         opened = F.when(F.col("before").isNull() | F.col("before.event_type").eqNullSafe("LANDED"), "START").otherwise("ROUTE")
         kept = lambda field, otherwise: F.when(F.col("carried"), F.col(f"stay.{field}")).otherwise(otherwise)
         stays = cut_lineage(framed.filter(F.col("territory_id").isNotNull()).select(
@@ -90,8 +90,8 @@ class Tracking:
             kept("role", opened).alias("crossing_role"), *stay_end(kept("entered_at", F.col("timestamp")), "timestamp"),
         ))
 
-        events = seen.filter(F.col("event_type").isNotNull()).drop("before", "carried", "carried_event", "stay", *_SAME, "territory_name", "country_name")
-        last = latest_per_key(seen.select("icao24", *order, "on_ground", "vertical_rate_fpm"), ["icao24"], list(order))
+        events = seen.filter(F.col("event_type").isNotNull()).drop("_last", "before", "carried", "carried_event", "stay", *_SAME, "territory_name", "country_name")
+        last = seen.filter("_last").select("icao24", *order, "on_ground", "vertical_rate_fpm")
         heard = marks.filter(F.col("_event").isNotNull()).groupBy("icao24").agg(F.max_by("_event", F.struct(*order)).alias("carried_event"))
         open_ = stays.filter(F.col("exited_at").isNull()).select("icao24", F.struct(
             *_SAME, "territory_name", "entered_at", "callsign", F.col("crossing_role").alias("role"), "event",

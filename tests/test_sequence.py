@@ -102,3 +102,37 @@ def test_one_hour_of_one_key_is_cut(spark, rows, monkeypatch):
     assert sum(sizes) == 900 and len(sizes) > 9 and max(sizes) <= 150
     assert rows(chunked_neighbours(df, 3600)) == rows(plain_neighbours(df))
     assert rows(sequence.with_last_known(df, ["k"], ["t", "i"], "v", 3600, "f")) == rows(plain_fill(df))
+
+
+def shuffles(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+def test_few_rows_a_key_are_not_cut(spark, rows):
+    """Neighbours, fill and neighbours again of keys with few rows: one shuffle, and the rows of the plain windows."""
+    df = frame(spark, skewed())
+    assert sequence.density(df, ["k"], "t", 3600) == sequence.SPARSE
+    for calm in (sequence.SPARSE, sequence.CALM):
+        near = lambda d: sequence.with_neighbours(d, ["k"], ["t", "i"], ["v", "i"], 3600, calm=calm)
+        out = near(df).select(*df.columns, F.col("before.v").alias("p"), F.col("before.i").alias("pi"), F.col("after.i").alias("ni"))
+        assert rows(out) == rows(plain_neighbours(df))
+        filled = sequence.with_last_known(df, ["k"], ["t", "i"], "v", 3600, "f", calm=calm)
+        assert rows(filled.select(*df.columns, "f")) == rows(plain_fill(df))
+    steps = sequence.with_neighbours(df, ["k"], ["t", "i"], ["v"], 3600, calm=sequence.SPARSE)
+    steps = sequence.with_last_known(steps, ["k"], ["t", "i"], "v", 3600, "f", calm=sequence.SPARSE)
+    steps = sequence.with_neighbours(steps, ["k"], ["t", "i"], ["f"], 3600, "b", "a", calm=sequence.SPARSE)
+    assert shuffles(steps) == 1
+    assert rows(steps.select(*df.columns, "f")) == rows(plain_fill(df))
+
+
+def test_many_rows_a_key_are_cut(spark, monkeypatch):
+    df = frame(spark, skewed())
+    monkeypatch.setattr(sequence, "FEW", 100)
+    assert sequence.density(df, ["k"], "t", 3600) == sequence.CALM
+    monkeypatch.setattr(sequence, "MOST", 5)
+    assert sequence.density(df, ["k"], "t", 3600) == sequence.CROWDED
+    monkeypatch.setattr(sequence, "FEW", 10_000)
+    # The rows without a key are filled within a chunk only, as they are by the chunked steps.
+    monkeypatch.setattr(sequence, "MOST", 10_000)
+    assert sequence.density(df.unionByName(frame(spark, [(None, 1, 1)])), ["k"], "t", 3600) == sequence.CALM

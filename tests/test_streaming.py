@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flightlake import schema
 from flightlake.operators import crossings, events, geo
+from flightlake.plans import sequence
 from flightlake.queries import settle_queries, standins
 from flightlake.sources import messages
 from flightlake.streaming import jobs, microbatch
@@ -173,3 +174,23 @@ def test_nights_read_the_table_once(spark, monkeypatch, tmp_path):
     assert len(settled) == len(settle_queries._NIGHTS) + 1 and settled[-1] > 0
     # Rows of other dates may be left out before they are counted.
     assert 0 < read.value <= 200 and read.value <= settled[-1]
+
+
+def test_micro_batches_of_sparse_and_cut_aircraft_agree(spark, tmp_path, rows, index, monkeypatch):
+    """Aircraft with few rows are ordered in one piece, with one staged table a step fewer; the results are those of time chunks."""
+    df = spark.createDataFrame(pings(spark, {**busy(), "x": FLIGHT}).collect(), PING)
+    cut = F.lit(T0 + timedelta(minutes=100))
+    found, staged = [], []
+    stage = microbatch.cut_lineage
+    for few in (sequence.FEW, 2):
+        monkeypatch.setattr(sequence, "FEW", few)
+        count = []
+        for module in (microbatch, crossings):
+            monkeypatch.setattr(module, "cut_lineage", lambda d: count.append(1) or stage(d))
+        job = microbatch.Tracking(str(tmp_path / f"few-{few}"), index)
+        for number, part in enumerate((df.filter(F.col("timestamp") < cut), df.filter(F.col("timestamp") >= cut))):
+            job.each(part, number)
+        found.append((rows(job.events(spark)), rows(job.crossings(spark)), rows(spark.read.parquet(f"{job.base}/state/slot=1").select("icao24", "timestamp", "stay"))))
+        staged.append(len(count))
+    assert found[0] == found[1] and found[0][0] and found[0][1]
+    assert staged == [4, 8]
