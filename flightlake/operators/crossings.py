@@ -50,7 +50,7 @@ def territory_sessions(
     position before. They (unless every aircraft has few rows) and the later stay borders are written to the shared
     folder, so neither a lost executor nor a later step repeats the scan.
     """
-    calm = density(pings, ["icao24"], order[0], width)
+    calm = density(pings, ["icao24"], order, width)
     seen = with_event_type(located_pings(pings, index, exact_zero), order, carry=_SAME, width=width, calm=calm)
     tracked = tracked_marks(session_marks(seen, order, aircraft, calm), order, width, calm)
     framed = framed_borders(tracked, order, width, calm)

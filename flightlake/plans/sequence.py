@@ -52,15 +52,17 @@ def is_calm(df: DataFrame, key: Sequence[str], ts: str, width: int, most: int |
     return counts.filter(F.col("_n") > (MOST if most is None else most)).isEmpty()
 
 
-def density(df: DataFrame, key: Sequence[str], ts: str, width: int) -> int:
-    """``SPARSE``, ``CALM`` or ``CROWDED``; it holds for steps that leave rows out or add one a key, too.
+def density(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int) -> int:
+    """``SPARSE``, ``CALM`` or ``CROWDED``; it holds for steps that leave rows out or add an earliest one a key, too.
 
-    A key that is null counts as one of many rows: its values are filled forward within a chunk only.
+    A null key, whose values are filled forward within a chunk only, and rows of equal order, which chunks may bring into
+    another one, are left to the chunked steps.
     """
-    rows = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    if rows.filter((F.col("_n") > FEW) | reduce(or_, [F.col(c).isNull() for c in key])).isEmpty():
+    places = df.groupBy(*key, *order).agg(F.count(F.lit(1)).alias("_same"))
+    rows = places.groupBy(*key).agg(F.sum("_same").alias("_n"), F.max("_same").alias("_same"))
+    if rows.filter((F.col("_n") > FEW) | (F.col("_same") > 1) | reduce(or_, [F.col(c).isNull() for c in key])).isEmpty():
         return SPARSE
-    return CALM if is_calm(df, key, ts, width) else CROWDED
+    return CALM if is_calm(df, key, order[0], width) else CROWDED
 
 
 def in_pieces(df: DataFrame, key: Sequence[str], order: Sequence[str], width: int, most: int, calm: int = CROWDED) -> tuple[DataFrame, list[str]]:

@@ -77,7 +77,7 @@ class Tracking:
         place = [F.col(f"stay.{c}").alias(c) for c in (*_SAME, "territory_name")]
         resumed = before.select("*", *place, F.lit(True).alias("carried"))
         rows = located.unionByName(resumed, allowMissingColumns=True)
-        calm = density(batch, ["icao24"], "timestamp", self.width)
+        calm = density(tied, ["icao24"], order, self.width)
         seen = cut_lineage(with_event_type(rows, order, carry=_SAME, width=self.width, calm=calm, last="_last"))
 
         marks = session_marks(seen, order, self.aircraft, calm)

@@ -112,7 +112,7 @@ def shuffles(df):
 def test_few_rows_a_key_are_not_cut(spark, rows):
     """Neighbours, fill and neighbours again of keys with few rows: one shuffle, and the rows of the plain windows."""
     df = frame(spark, skewed())
-    assert sequence.density(df, ["k"], "t", 3600) == sequence.SPARSE
+    assert sequence.density(df, ["k"], ["t", "i"], 3600) == sequence.SPARSE
     for calm in (sequence.SPARSE, sequence.CALM):
         near = lambda d: sequence.with_neighbours(d, ["k"], ["t", "i"], ["v", "i"], 3600, calm=calm)
         out = near(df).select(*df.columns, F.col("before.v").alias("p"), F.col("before.i").alias("pi"), F.col("after.i").alias("ni"))
@@ -129,10 +129,13 @@ def test_few_rows_a_key_are_not_cut(spark, rows):
 def test_many_rows_a_key_are_cut(spark, monkeypatch):
     df = frame(spark, skewed())
     monkeypatch.setattr(sequence, "FEW", 100)
-    assert sequence.density(df, ["k"], "t", 3600) == sequence.CALM
+    assert sequence.density(df, ["k"], ["t", "i"], 3600) == sequence.CALM
     monkeypatch.setattr(sequence, "MOST", 5)
-    assert sequence.density(df, ["k"], "t", 3600) == sequence.CROWDED
+    assert sequence.density(df, ["k"], ["t", "i"], 3600) == sequence.CROWDED
     monkeypatch.setattr(sequence, "FEW", 10_000)
     # The rows without a key are filled within a chunk only, as they are by the chunked steps.
     monkeypatch.setattr(sequence, "MOST", 10_000)
-    assert sequence.density(df.unionByName(frame(spark, [(None, 1, 1)])), ["k"], "t", 3600) == sequence.CALM
+    assert sequence.density(df.unionByName(frame(spark, [(None, 1, 1)])), ["k"], ["t", "i"], 3600) == sequence.CALM
+    # Nor is there one order of rows that share their place.
+    assert sequence.density(df.unionByName(df.limit(1)), ["k"], ["t", "i"], 3600) == sequence.CALM
+    assert sequence.density(df, ["k"], ["t", "i"], 3600) == sequence.SPARSE
