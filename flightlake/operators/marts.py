@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightlake import schema
@@ -39,42 +39,66 @@ def departures_with_landings(events: DataFrame, landed_source: str) -> DataFrame
     plain join would produce, ``timed`` those with a landing, and the duration
     columns are the sum and extremes over them, all computed from per-side
     counts, sums and extremes. Unpaired departures count once and carry no duration.
+    """
+    departures, landings = _sides(events, landed_source)
+    return _weighed(_folded(departures, "d", *_DAY, "icao24", "event_date", "origin_iata", "destination_iata"), landings)
+
+
+def _sides(events: DataFrame, landed_source: str) -> tuple[DataFrame, DataFrame]:
+    """Departures as they are, and landings folded by aircraft and date.
 
-    Both sides are folded in one scan; the landings of an aircraft-day then reach its routes
-    through a window over these few folded rows. Times are summed as whole seconds
-    and microseconds after the start of the date, which cannot overflow.
+    Times count from the start of the date.
     """
+    after = F.unix_micros("event_timestamp") - F.unix_micros(F.col("event_date").cast("timestamp"))
     departs = (F.col("event_type") == "DEPARTED") & F.col("origin_iata").isNotNull() & F.col("destination_iata").isNotNull()
     lands = (F.col("event_type") == "LANDED") & (F.col("source") == landed_source)
-    after = F.unix_micros("event_timestamp") - F.unix_micros(F.col("event_date").cast("timestamp"))
-    timed = events.filter(departs | lands).select(
-        "icao24", "event_date",
-        F.when(departs, F.col("origin_iata")).alias("origin_iata"), F.when(departs, F.col("destination_iata")).alias("destination_iata"),
-        departs.alias("departs"), after.alias("after"),
-    )
+    day = ["icao24", "event_date", *[key().alias(k) for k, key in _DAY.items()]]
+    departures = events.filter(departs).select(*day, "origin_iata", "destination_iata", after.alias("after"))
+    landings = events.filter(lands).select(*day, after.alias("after"))
+    return departures, _folded(landings, "l", *_DAY)
+
+
+#: Aircraft and date as keys that are never null: an unknown one meets its like, and the join reads the landings as they were dealt out to be folded.
+_DAY = {
+    "_aircraft": lambda: F.coalesce("icao24", F.lit("")), "_unknown": lambda: F.col("icao24").isNull(),
+    "_date": lambda: F.coalesce("event_date", F.lit("1970-01-01").cast("date")), "_undated": lambda: F.col("event_date").isNull(),
+}
+
+
+def _parts() -> tuple[Column, Column]:
+    """``after`` as whole seconds and microseconds, whose sums cannot overflow."""
     rest = F.pmod("after", F.lit(1_000_000))
+    return F.floor((F.col("after") - rest) / 1_000_000), rest
+
+
+def _folded(times: DataFrame, side: str, *by: str) -> DataFrame:
+    seconds, rest = _parts()
+    return times.groupBy(*by).agg(
+        F.count(F.lit(1)).alias(f"{side}_n"), F.sum(seconds).alias(f"{side}_s"), F.sum(rest).alias(f"{side}_u"),
+        F.min("after").alias(f"{side}_min"), F.max("after").alias(f"{side}_max"),
+    )
 
-    def fold(name: str, side) -> list:
-        mine = lambda c: F.when(side, c)
-        return [
-            F.count(mine(F.lit(1))).alias(f"{name}_n"),
-            F.sum(mine(F.floor((F.col("after") - rest) / 1_000_000))).alias(f"{name}_s"), F.sum(mine(rest)).alias(f"{name}_u"),
-            F.min(mine(F.col("after"))).alias(f"{name}_min"), F.max(mine(F.col("after"))).alias(f"{name}_max"),
-        ]
 
-    folded = timed.groupBy("icao24", "event_date", "origin_iata", "destination_iata").agg(
-        *fold("d", F.col("departs")), *fold("l", ~F.col("departs"))
+def _single(departures: DataFrame) -> DataFrame:
+    """Each departure as a fold of its own, for callers who add up the results anyway."""
+    seconds, rest = _parts()
+    after = F.col("after")
+    return departures.select(
+        *_DAY, "icao24", "event_date", "origin_iata", "destination_iata",
+        F.lit(1).cast("bigint").alias("d_n"), seconds.alias("d_s"), rest.alias("d_u"), after.alias("d_min"), after.alias("d_max"),
     )
-    same_day = Window.partitionBy("icao24", "event_date")
-    landings = [F.sum("l_n").over(same_day).alias("l_n")]
-    landings += [F.sum(f"l_{c}").over(same_day).alias(f"l_{c}") for c in ("s", "u")]
-    landings += [F.min("l_min").over(same_day).alias("l_min"), F.max("l_max").over(same_day).alias("l_max")]
-    spread = folded.select("icao24", "event_date", "origin_iata", "destination_iata", "d_n", "d_s", "d_u", "d_min", "d_max", *landings)
+
+
+def _weighed(departures: DataFrame, landings: DataFrame) -> DataFrame:
+    """Folded departures with the weights that the landings of their aircraft and date give them.
+
+    A departure meets one row at most, so no pairs are formed, and Spark can split a busy aircraft-day.
+    """
     total = lambda side: (F.col(f"{side}_s").cast("decimal(20,0)") * 1_000_000 + F.col(f"{side}_u")).cast("decimal(26,0)")
-    return spread.filter(F.col("d_n") > 0).select(
+    return departures.join(landings, list(_DAY), "left").select(
         "icao24", "event_date", "origin_iata", "destination_iata",
-        (F.col("d_n") * F.greatest("l_n", F.lit(1))).alias("flights"),
-        (F.col("d_n") * F.col("l_n")).alias("timed"),
+        (F.col("d_n") * F.coalesce("l_n", F.lit(1))).alias("flights"),
+        (F.col("d_n") * F.coalesce("l_n", F.lit(0))).alias("timed"),
         (F.col("d_n") * total("l") - F.col("l_n") * total("d")).cast("decimal(30,0)").alias("micros_sum"),
         (F.col("l_min") - F.col("d_max")).alias("micros_min"),
         (F.col("l_max") - F.col("d_min")).alias("micros_max"),
@@ -94,15 +118,17 @@ def route_mart(
 
     Departures pair with every same-day landing of the aircraft, and airport
     codes shared by several airports multiply the counts, as in the declared
-    SQL mart; both are applied as weights.
+    SQL mart; both are applied as weights. Departures of one aircraft-day are not folded before
+    they are added up by airline: they are nearly all different.
     """
-    return route_mart_of(departures_with_landings(events, landed_source), aircraft, airports, years, min_flights, ordered)
+    departures, landings = _sides(events, landed_source)
+    return route_mart_of(_weighed(_single(departures), landings), aircraft, airports, years, min_flights, ordered)
 
 
 def route_mart_of(
     days: DataFrame, aircraft: DataFrame, airports: DataFrame, years: Sequence[int] = MART_YEARS, min_flights: int = 2, ordered: bool = False
 ) -> DataFrame:
-    """``route_mart`` out of the folded days of ``departures_with_landings``."""
+    """``route_mart`` out of the days of ``departures_with_landings``, folded or one departure each."""
     airline = aircraft.select("icao24", "airline_name", "airline_iata")
     by_airline = (
         days.join(airline, "icao24", "left")

@@ -211,7 +211,7 @@ def shipments(spark, sf):
     buyer = s.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     seller = s.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nation = lambda c: F.concat(F.lit("N"), F.col(c).cast("string"))
-    return line.join(order, "l_orderkey").join(buyer, "o_custkey").join(seller, "l_suppkey").select(
+    return line.join(order.join(buyer, "o_custkey"), "l_orderkey").join(seller, "l_suppkey").select(
         nation("s_nationkey").alias("origin_iata"), nation("c_nationkey").alias("destination_iata"),
         F.col("o_custkey").cast("string").alias("icao24"),
         F.col("o_orderdate").cast("timestamp").alias("departed_at"), F.col("l_shipdate").cast("timestamp").alias("landed_at"),
@@ -243,7 +243,8 @@ def route_mart_scale(spark, sf):
         F.struct(F.lit("DEPARTED").alias("event_type"), F.col("departed_at").alias("event_timestamp")),
         F.struct(F.lit("LANDED").alias("event_type"), F.col("landed_at").alias("event_timestamp")),
     ))
-    flown = shipments(spark, sf).select("icao24", "origin_iata", "destination_iata", ends.alias("e")).select(
+    # Departures and landings are read apart; staged, the shipments are joined once for both.
+    flown = cut_lineage(shipments(spark, sf)).select("icao24", "origin_iata", "destination_iata", ends.alias("e")).select(
         "icao24", "origin_iata", "destination_iata", "e.*", F.to_date("e.event_timestamp").alias("event_date"), F.lit("x").alias("source"))
     ports = s.table(spark, sf, "nation").select(
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("airport_iata_code"),
