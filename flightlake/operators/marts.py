@@ -1,8 +1,8 @@
 """Gold marts: route frequency and territory heat map, and the trend reports.
 
-Both marts aggregate before they join. A crossing or event row is folded into
-its (aircraft, group) partial first, so the dimension joins see one row per
-aircraft and group, hot aircraft and hot territories shrink on the map side,
+Both marts aggregate before they join. A crossing is folded into its
+(aircraft, group) partial first, and landings into one row per aircraft and
+date, which each departure joins. Hot territories shrink on the map side,
 and no join ever emits the pairs it only needs counted. The aggregated mart,
 which ranking reads twice, is written to the shared folder before it is ranked.
 """
